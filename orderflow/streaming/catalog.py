@@ -1,3 +1,200 @@
-"""Registered streaming queries (filled in by orderflow.streaming.jobs)."""
+"""Registered streaming queries.
+
+Each entry materialises its Spark-derived input as a file source, runs the
+streaming query with ``trigger(availableNow=True)`` (several micro-batches:
+one file per trigger) and returns the sink's contents, so the batch SQL of the
+same operator is its oracle.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from orderflow import schemas as S
+from orderflow.operators import documents as D
+from orderflow.operators import feed as FD
+from orderflow.operators import metrics as M
+from orderflow.plans import catalog as C
+from orderflow.plans import oracle as O
+from orderflow.session import scratch_path
+from orderflow.sources import fixtures as FX
+from orderflow.streaming import jobs as J
+
 QUERIES: dict = {}
 ORACLE: dict = {}
+
+
+def register(key: str, sql: str | None = None):
+    def deco(fn):
+        QUERIES[key] = fn
+        if sql is not None:
+            ORACLE[key] = sql
+        return fn
+    return deco
+
+
+def _scratch(spark, key):
+    return scratch_path(spark, "streams", key)
+
+
+def _topic_source(spark, sf, root) -> str:
+    return J.materialize(FX.topic_log(spark, sf), f"{root}/source", files=4, order_col="offset")
+
+
+# ---------------------------------------------------------------------- A1
+@register("order_stream_source", O.with_(
+    f"SELECT key, value, topic, {O.tier_lane('key')} AS partition, \"offset\", \"timestamp\" FROM topic_log",
+    O.ORDER_DOCS, O.ITEMS, C.TOPIC_LOG))
+def q_order_stream_source(spark: SparkSession, sf: str) -> DataFrame:
+    root = _scratch(spark, "order_stream_source")
+    src = _topic_source(spark, sf, root)
+    stream = J.read_order_stream(spark, src, max_per_trigger=1)
+    J.run_available_now(stream, lambda df, bid: J.write_batch(df, f"{root}/out", bid), f"{root}/ckpt")
+    return J.read_batches(spark, f"{root}/out").drop("batch_id")
+
+
+# ---------------------------------------------------------------------- A8
+@register("live_feed_stream", O.with_(C.LEAN_SQL + " AND d.kafkaOffset % 101 <> 0", O.ORDER_DOCS, O.ITEMS))
+def q_live_feed_stream(spark, sf):
+    """Lean feed rows of every record that parses, built on the stream."""
+    root = _scratch(spark, "live_feed_stream")
+    src = _topic_source(spark, sf, root)
+    parsed = D.parse_orders(J.read_order_stream(spark, src, max_per_trigger=1))
+    lean = FD.lean_order(D.flatten_event(parsed.filter(~F.col("parseError"))))
+    J.run_available_now(lean, lambda df, bid: J.write_batch(df, f"{root}/out", bid), f"{root}/ckpt")
+    return J.read_batches(spark, f"{root}/out").drop("batch_id")
+
+
+# ---------------------------------------------------------------- I1 / I2
+def _flaky(attempt):
+    m = F.col("offset") % 50
+    return (m < 6) & (attempt <= m)
+
+
+def run_order_job(spark, sf, key) -> J.OrderStreamJob:
+    root = _scratch(spark, key)
+    src = _topic_source(spark, sf, root)
+    job = J.OrderStreamJob(spark, f"{root}/job", FX.AS_OF, fails=_flaky)
+    job.run(src, f"{root}/ckpt", max_files=1)
+    return job
+
+
+@register("process_orders_stream", O.with_(
+    "SELECT d.orderId, CASE WHEN a.attempt = 1 THEN a.topic ELSE a.topic || '-retry-' || CAST(a.attempt - 2 AS "
+    "VARCHAR) END AS kafkaTopic, a.\"offset\" AS kafkaOffset, 'SUCCESS' AS processingStatus, a.attempt "
+    "FROM attempts a JOIN order_docs d ON d.kafkaOffset = a.\"offset\" WHERE a.ok",
+    O.ORDER_DOCS, O.ITEMS, C.TOPIC_LOG, C.ATTEMPTS))
+def q_process_orders_stream(spark, sf):
+    """Stored orders after the stream and its retry drain: each order once,
+    with the topic (main or retry-k) of the attempt that succeeded."""
+    job = run_order_job(spark, sf, "process_orders_stream")
+    retry_no = F.regexp_extract("kafkaTopic", r"-retry-(\d+)$", 1)
+    return job.store().select(
+        "orderId", "kafkaTopic", "kafkaOffset", "processingStatus",
+        F.when(retry_no == "", F.lit(1)).otherwise(retry_no.cast("int") + 2).cast("int").alias("attempt"))
+
+
+# ---------------------------------------------------------------------- I4
+@register("dead_letter_stream", C.ORACLE["dead_letter_sink"])
+def q_dead_letter_stream(spark, sf):
+    job = run_order_job(spark, sf, "dead_letter_stream")
+    root = job.root + "/dlt"
+    J.run_dead_letters(spark, job.paths["dead_letters"], root, f"{root}/ckpt", FX.AS_OF)
+    docs = J.read_batches(spark, f"{root}/dlq_docs")
+    return docs.select("orderId", "retryCount", "lastError", "processingStatus", "kafkaTopic", "kafkaPartition",
+                       "kafkaOffset")
+
+
+# ---------------------------------------------------------------------- I5
+def _lifecycle_source(spark, sf, root) -> str:
+    return J.materialize(FX.lifecycle_orders(FX.order_docs(spark, sf)), f"{root}/source", files=4,
+                         order_col="kafkaOffset")
+
+
+def _lifecycle_schema(spark, sf):
+    return FX.lifecycle_orders(FX.order_docs(spark, sf)).schema
+
+
+@register("live_counters_stream", C.ORACLE["dimension_counts"])
+def q_live_counters_stream(spark, sf):
+    """D8 counters kept by a stateful streaming aggregation (update mode);
+    the sink log is folded to the latest count per (dimension, value)."""
+    root = _scratch(spark, "live_counters_stream")
+    src = _lifecycle_source(spark, sf, root)
+    stream = spark.readStream.schema(_lifecycle_schema(spark, sf)).option("maxFilesPerTrigger", 1).parquet(src)
+    counters = J.live_counters(stream)
+    J.run_available_now(counters, lambda df, bid: J.write_batch(df, f"{root}/out", bid), f"{root}/ckpt",
+                        output_mode="update")
+    out = J.read_batches(spark, f"{root}/out")
+    return J.latest_per_key(out, ["dimension", "value"]).select("dimension", "value", "orders")
+
+
+# ---------------------------------------------------------------------- I6
+@register("resync_job", O.with_(
+    "SELECT dimension, value, orders AS live, orders AS store, CAST(0 AS BIGINT) AS diff FROM dim_counts "
+    "WHERE dimension = 'status'", O.ORDER_DOCS, O.LIFECYCLE, C.DIMS, C.DIM_COUNTS))
+def q_resync_job(spark, sf):
+    """The 5-minute resync as an audit: live status counters (from the
+    stream's state) against a recount from the store."""
+    live = q_live_counters_stream(spark, sf).filter(F.col("dimension") == "status")
+    store = M.status_counts(FX.lifecycle_orders(FX.order_docs(spark, sf)))
+    j = live.join(store.withColumnRenamed("orders", "store"), live.value == store.status, "full")
+    return j.select(
+        F.coalesce(F.col("dimension"), F.lit("status")).alias("dimension"),
+        F.coalesce(F.col("value"), F.col("status")).alias("value"),
+        F.coalesce(F.col("orders"), F.lit(0)).alias("live"),
+        F.coalesce(F.col("store"), F.lit(0)).alias("store"),
+        (F.coalesce(F.col("orders"), F.lit(0)) - F.coalesce(F.col("store"), F.lit(0))).alias("diff"),
+    ).filter((F.col("live") > 0) | (F.col("store") > 0))
+
+
+# ---------------------------------------------------------------------- I7
+@register("latest_order_stream", O.with_(
+    "SELECT orderId, customerId, status, totalAmount, seq, createdAt, updatedAt FROM (SELECT *, row_number() OVER "
+    "(PARTITION BY orderId ORDER BY seq DESC) AS rn, min(ingestedAt) OVER (PARTITION BY orderId) AS createdAt, "
+    "ingestedAt AS updatedAt FROM deliveries) WHERE rn = 1", O.ORDER_DOCS, C.DELIVERIES))
+def q_latest_order_stream(spark, sf):
+    root = _scratch(spark, "latest_order_stream")
+    log = FX.deliveries(spark, sf).select("orderId", "customerId", "status", "totalAmount", "seq", "ingestedAt")
+    src = J.materialize(log, f"{root}/source", files=4, order_col="seq")
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    latest = J.latest_orders(stream, ["seq"])
+    J.run_available_now(latest, lambda df, bid: J.write_batch(df, f"{root}/out", bid), f"{root}/ckpt",
+                        output_mode="update")
+    return J.latest_per_key(J.read_batches(spark, f"{root}/out"), ["orderId"]).select(
+        "orderId", "customerId", "status", "totalAmount", "seq", "createdAt", "updatedAt")
+
+
+# ---------------------------------------------------------------------- I8
+@register("hourly_stats_stream",
+          "SELECT strftime(ts, '%Y-%m-%dT%H:00:00Z') AS hour, count(*) AS events, min(value) AS minValue, "
+          "max(value) AS maxValue FROM events GROUP BY 1")
+def q_hourly_stats_stream(spark, sf):
+    """Hourly windows over the events table; the lateness bound is wider than
+    the data's disorder within a micro-batch, so the result equals the batch
+    aggregation."""
+    root = _scratch(spark, "hourly_stats_stream")
+    ev = FX.table(spark, sf, "events")
+    src = J.materialize(ev, f"{root}/source", files=4, order_col="ts")
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    hourly = J.hourly_stats_stream(stream, delay="3650 days")
+    J.run_available_now(hourly, lambda df, bid: J.write_batch(df, f"{root}/out", bid), f"{root}/ckpt",
+                        output_mode="update")
+    return J.latest_per_key(J.read_batches(spark, f"{root}/out"), ["hour"]).select(
+        "hour", "events", "minValue", "maxValue")
+
+
+# ---------------------------------------------------------------------- I9
+@register("session_totals_stream", C.ORACLE["session_totals"])
+def q_session_totals_stream(spark, sf):
+    root = _scratch(spark, "session_totals_stream")
+    feed = FD.lean_order(FX.order_events(spark, sf), keep=["kafkaOffset"])
+    src = J.materialize(feed, f"{root}/source", files=4, order_col="kafkaOffset")
+    stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    totals = M.session_totals(stream)
+    J.run_available_now(totals, lambda df, bid: J.write_batch(df, f"{root}/out", bid), f"{root}/ckpt",
+                        output_mode="complete")
+    out = J.read_batches(spark, f"{root}/out")
+    last = out.agg(F.max("batch_id")).scalar()
+    return out.filter(F.col("batch_id") == last).drop("batch_id")
