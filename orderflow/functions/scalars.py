@@ -1,5 +1,6 @@
-"""Column-level helpers.  All of them are built-in Spark expressions, so they
-stay inside whole-stage codegen and run on the executors; no Python UDFs."""
+"""Column-level helpers.  All of them are built-in Spark expressions that run
+on the executors (no Python UDFs); the array folds use Spark's higher-order
+functions."""
 
 from __future__ import annotations
 
@@ -20,28 +21,33 @@ def _col(c) -> Column:
 def java_string_hash_u32(c) -> Column:
     """``String.hashCode()`` of a column as an unsigned 32-bit BIGINT.
 
-    The 31-polynomial runs over UTF-16 code units, so the text is encoded as
-    UTF-16BE, cut into 4-hex-digit units and folded.  BIGINT with a 2^32
-    modulus keeps every step exact under ANSI mode (INT would overflow).
+    The 31-polynomial runs over UTF-16 code units: a character outside the BMP
+    contributes its two surrogates.  BIGINT with a 2^32 modulus keeps every
+    step exact under ANSI mode (INT arithmetic would overflow).
     """
-    units = F.transform(
-        F.regexp_extract_all(F.hex(F.encode(_col(c), "UTF-16BE")), F.lit("(.{4})"), 1),
-        lambda u: F.conv(u, 16, 10).cast("bigint"),
-    )
-    return F.aggregate(units, F.lit(0).cast("bigint"), lambda acc, u: (acc * 31 + u) % _U32)
+    k = _col(c)
+    code_points = F.transform(F.sequence(F.lit(1), F.char_length(k)), lambda i: F.ascii(F.substring(k, i, 1)))
+
+    def step(acc, cp):
+        high = F.lit(0xD800) + F.shiftright(cp - 0x10000, 10)
+        low = F.lit(0xDC00) + (cp - 0x10000).bitwiseAND(F.lit(0x3FF))
+        pair = (((acc * 31 + high) % _U32) * 31 + low) % _U32
+        return F.when(cp > 0xFFFF, pair).otherwise((acc * 31 + cp) % _U32)
+
+    folded = F.aggregate(code_points, F.lit(0).cast("bigint"), step)
+    # sequence(1, 0) counts down, so the empty string is handled explicitly
+    return F.when(F.char_length(k) == 0, F.lit(0).cast("bigint")).otherwise(folded)
 
 
 def java_string_hash(c) -> Column:
     """Signed 32-bit ``String.hashCode()`` (as BIGINT)."""
-    u = java_string_hash_u32(c)
-    return F.when(u >= _I31, u - _U32).otherwise(u)
+    return (java_string_hash_u32(c) + _I31) % _U32 - _I31
 
 
 def java_abs_hash(c) -> Column:
     """``|hashCode|`` computed in BIGINT, so the MIN_VALUE case is 2^31 rather
     than staying negative: every lane derived from it is valid."""
-    u = java_string_hash_u32(c)
-    return F.when(u >= _I31, F.lit(_U32) - u).otherwise(u)
+    return F.abs(java_string_hash(c))
 
 
 # ----------------------------------------------------------------------- B1-B3
@@ -124,13 +130,6 @@ def money(c) -> Column:
     return F.round(_col(c).cast("decimal(38,6)"), 2).cast(S.AMOUNT)
 
 
-def money_avg(total, n) -> Column:
-    """``total / n`` to 2 places HALF_UP, 0 when n is 0 (BigDecimal.divide)."""
-    t = _col(total).cast("decimal(38,2)")
-    q = F.round(t / _col(n).cast("decimal(20,0)"), 2)
-    return F.when(_col(n) > 0, q).otherwise(F.lit(0)).cast(S.AMOUNT)
-
-
 def pct(part, total) -> Column:
     """Rounded percent as the dashboard computes it: ``Math.round(c/t*100)``."""
     x = _col(part).cast("double") / _col(total).cast("double") * 100.0

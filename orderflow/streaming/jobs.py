@@ -126,35 +126,39 @@ class OrderStreamJob:
     # Clock of one (batch, tick): the logical clock (deterministic, for tests
     # and replays) or the wall clock.  It is recorded before first use, so a
     # replayed batch reuses it and takes exactly the same due retries.
-    def _now(self, batch_id: int, tick: int) -> Column:
+    def _now(self, batch_id: int, tick: int):
+        import datetime as dt
         if self.clock == "wall":
-            return F.current_timestamp()
+            return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         n = batch_id * self.ticks_per_batch + tick
-        return F.lit(self.as_of).cast("timestamp") + F.make_interval(secs=F.lit(n * self.tick_seconds))
+        return dt.datetime.fromisoformat(self.as_of) + dt.timedelta(seconds=n * self.tick_seconds)
 
     _TICKS = T.StructType([T.StructField("now", T.TimestampType()), T.StructField("batch_id", T.IntegerType()),
                            T.StructField("tick", T.IntegerType())])
 
     def _clock(self, batch_id: int, tick: int):
-        path = batch_folder(self.paths["ticks"], batch_id, tick)
-        ticks = read_batches(self.spark, self.paths["ticks"], self._TICKS)
-        mine = ticks.filter((F.col("batch_id") == batch_id) & (F.col("tick") == tick)).take(1)
-        if not mine:
-            self.spark.range(1).select(self._now(batch_id, tick).alias("now")).write.mode("overwrite").parquet(path)
-            ticks = read_batches(self.spark, self.paths["ticks"], self._TICKS)
-            mine = ticks.filter((F.col("batch_id") == batch_id) & (F.col("tick") == tick)).take(1)
-        now = mine[0]["now"]
-        earlier = ticks.filter((F.col("batch_id") < batch_id) | ((F.col("batch_id") == batch_id) & (F.col("tick") < tick)))
-        prev = earlier.agg(F.max("now")).first()[0]
+        """(now, previous tick's now, oldest batch that can hold due retries).
+
+        The tick log is one tiny row per tick, read in one small job."""
+        import datetime as dt
+        ticks = [(r["batch_id"], r["tick"], r["now"])
+                 for r in read_batches(self.spark, self.paths["ticks"], self._TICKS).collect()]
+        mine = [t for t in ticks if (t[0], t[1]) == (batch_id, tick)]
+        if mine:
+            now = mine[0][2]
+        else:
+            now = self._now(batch_id, tick)
+            (self.spark.range(1).select(F.lit(now).cast("timestamp").alias("now")).write.mode("overwrite")
+             .parquet(batch_folder(self.paths["ticks"], batch_id, tick)))
+        earlier = [t for t in ticks if (t[0], t[1]) < (batch_id, tick)]
+        if not earlier:
+            return now, None, batch_id
+        prev = max(t[2] for t in earlier)
         # retries are due at most BACKOFF_MAX_MS after they were written, so
         # only batches with a clock inside that window can hold due rows
-        if prev is None:
-            oldest = batch_id
-        else:
-            lookback = F.lit(prev).cast("timestamp") - F.make_interval(secs=F.lit(S.BACKOFF_MAX_MS // 1000))
-            oldest = earlier.filter(F.col("now") >= lookback).agg(F.min("batch_id")).first()[0]
-            oldest = batch_id if oldest is None else oldest
-        return now, prev, oldest
+        lookback = prev - dt.timedelta(milliseconds=S.BACKOFF_MAX_MS)
+        recent = [t[0] for t in earlier if t[2] >= lookback]
+        return now, prev, (min(recent) if recent else batch_id)
 
     def _due_retries(self, now, prev, oldest_batch: int) -> DataFrame:
         schema = T.StructType(S.ENVELOPE.fields + [
