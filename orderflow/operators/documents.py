@@ -99,29 +99,36 @@ def publish_ack(df: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------- B4
-def to_order_document(events: DataFrame, processing_status: str | Column, as_of: Column,
-                      partition_col: str = "partition", offset_col: str = "offset",
-                      topic_col: str = "topic") -> DataFrame:
-    """Event rows (flattened, plus envelope columns) -> ORDER_DOCUMENT.
-
-    Null items become an empty list, a null retryCount 0 and a missing event
-    time the store's clock.  ``id``/``createdAt``/``updatedAt`` are assigned by
-    the upsert."""
+def document_columns(get, processing_status: str | Column, as_of: Column, partition: Column, offset: Column,
+                     topic: Column) -> list[Column]:
+    """ORDER_DOCUMENT columns from event fields (``get(name) -> Column``) and
+    the record's envelope.  Null items become an empty list, a null
+    retryCount 0 and a missing event time the store's clock."""
     status = processing_status if isinstance(processing_status, Column) else F.lit(processing_status)
     item = lambda i: F.struct(*[i[f.name].alias(f.name) for f in S.ORDER_ITEM.fields])
-    return events.select(
-        "orderId", "customerId", "customerTier", "status", "totalAmount", "currency", "region",
-        F.coalesce(F.transform("items", item), F.array().cast(T.ArrayType(S.ORDER_ITEM))).alias("items"),
-        "paymentMethod", "warehouseId",
-        F.coalesce(F.col("eventTimestamp"), as_of).alias("eventTimestamp"),
-        "sourceSystem",
-        F.coalesce(F.col("retryCount"), F.lit(0)).cast("int").alias("retryCount"),
-        "lastError",
-        F.col(partition_col).cast("int").alias("kafkaPartition"),
-        F.col(offset_col).cast("long").alias("kafkaOffset"),
-        F.col(topic_col).alias("kafkaTopic"),
+    return [
+        *[get(c).alias(c) for c in ["orderId", "customerId", "customerTier", "status", "totalAmount", "currency",
+                                    "region"]],
+        F.coalesce(F.transform(get("items"), item), F.array().cast(T.ArrayType(S.ORDER_ITEM))).alias("items"),
+        get("paymentMethod").alias("paymentMethod"), get("warehouseId").alias("warehouseId"),
+        F.coalesce(get("eventTimestamp"), as_of).alias("eventTimestamp"),
+        get("sourceSystem").alias("sourceSystem"),
+        F.coalesce(get("retryCount"), F.lit(0)).cast("int").alias("retryCount"),
+        get("lastError").alias("lastError"),
+        partition.cast("int").alias("kafkaPartition"),
+        offset.cast("long").alias("kafkaOffset"),
+        topic.alias("kafkaTopic"),
         status.alias("processingStatus"),
-    )
+    ]
+
+
+def to_order_document(events: DataFrame, processing_status: str | Column, as_of: Column,
+                      partition_col: str = "partition", offset_col: str = "offset",
+                      topic_col: str = "topic") -> DataFrame:
+    """Event rows (flattened, plus envelope columns) -> ORDER_DOCUMENT.
+    ``id``/``createdAt``/``updatedAt`` are assigned by the upsert."""
+    return events.select(*document_columns(F.col, processing_status, as_of, F.col(partition_col),
+                                           F.col(offset_col), F.col(topic_col)))
 
 
 # ---------------------------------------------------------------------- B5

@@ -14,17 +14,29 @@ LIFECYCLE_REQUIRED = ["orderId", "customerId", "status", "priority", "region", "
                       "currency", "partition"]
 
 
+def lean_columns(get, ts_col: str = "eventTimestamp") -> list[Column]:
+    """The 10 feed fields from event fields (``get(name) -> Column``)."""
+    return [
+        *[get(c).alias(c) for c in LEAN_REQUIRED],
+        F.coalesce(get("paymentMethod"), F.lit("")).alias("paymentMethod"),
+        F.coalesce(X.iso_text(get(ts_col)), F.lit("")).alias("timestamp"),
+        X.item_count(get("items")).alias("itemCount"),
+    ]
+
+
+def lean_ok(get) -> Column:
+    """A null in any undefaulted field drops the row from the feed."""
+    ok = None
+    for c in LEAN_REQUIRED:
+        ok = get(c).isNotNull() if ok is None else ok & get(c).isNotNull()
+    return ok
+
+
 def lean_order(df: DataFrame, ts_col: str = "eventTimestamp", keep: list[str] | None = None) -> DataFrame:
     """The 10-field feed row (plus ``keep`` columns, e.g. an arrival
     sequence).  A null in any undefaulted field drops the row from the feed
     only (the stored order is unaffected)."""
-    return df.na.drop(subset=LEAN_REQUIRED).select(
-        *LEAN_REQUIRED,
-        F.coalesce(F.col("paymentMethod"), F.lit("")).alias("paymentMethod"),
-        F.coalesce(X.iso_text(F.col(ts_col)), F.lit("")).alias("timestamp"),
-        X.item_count(F.col("items")).alias("itemCount"),
-        *(keep or []),
-    )
+    return df.na.drop(subset=LEAN_REQUIRED).select(*lean_columns(F.col, ts_col), *(keep or []))
 
 
 def lean_lifecycle(df: DataFrame, partition: Column | None = None) -> DataFrame:

@@ -21,22 +21,27 @@ def next_topic(attempt: Column, topic: Column, max_attempts: int = S.MAX_ATTEMPT
                   ).otherwise(F.concat(topic, F.lit(S.DEAD_LETTER_SUFFIX)))
 
 
+def route_columns(attempt: Column, as_of: Column, topic: str | Column = S.ORDER_TOPIC,
+                  max_attempts: int = S.MAX_ATTEMPTS) -> dict[str, Column]:
+    """Where a failed attempt goes: next topic and attempt, delay, due time and
+    whether it is a dead letter.  ``topic`` is the *main* topic name."""
+    t = topic if isinstance(topic, Column) else F.lit(topic)
+    delay = F.when(attempt < max_attempts, X.backoff_ms(attempt)).otherwise(F.lit(0)).cast("bigint")
+    return {
+        "nextTopic": next_topic(attempt, t, max_attempts),
+        "nextAttempt": F.when(attempt < max_attempts, attempt + 1),
+        "delayMs": delay,
+        "dueAt": as_of + F.make_interval(secs=(delay / 1000.0).cast("decimal(18,6)")),
+        "deadLetter": attempt >= max_attempts,
+    }
+
+
 def route_failures(df: DataFrame, ok_col: str, attempt_col: str, as_of: Column,
                    topic: str | Column = S.ORDER_TOPIC, max_attempts: int = S.MAX_ATTEMPTS) -> DataFrame:
-    """Failed rows of ``df`` with their next topic, attempt, delay and due time.
-
-    ``topic`` is the *main* topic name (retry topics share its prefix)."""
-    t = topic if isinstance(topic, Column) else F.lit(topic)
-    a = F.col(attempt_col)
-    delay = F.when(a < max_attempts, X.backoff_ms(a)).otherwise(F.lit(0)).cast("bigint")
-    return (
-        df.filter(~F.col(ok_col))
-        .withColumn("nextTopic", next_topic(a, t, max_attempts))
-        .withColumn("nextAttempt", F.when(a < max_attempts, a + 1))
-        .withColumn("delayMs", delay)
-        .withColumn("dueAt", as_of + F.make_interval(secs=(delay / 1000.0).cast("decimal(18,6)")))
-        .withColumn("deadLetter", a >= max_attempts)
-    )
+    """Failed rows of ``df`` with their next topic, attempt, delay and due
+    time (retry topics share the main topic's prefix)."""
+    return df.filter(~F.col(ok_col)).withColumns(
+        route_columns(F.col(attempt_col), as_of, topic, max_attempts))
 
 
 def with_due_retries(batch: DataFrame, retries: DataFrame, as_of: Column) -> DataFrame:

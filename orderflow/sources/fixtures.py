@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from orderflow import schemas as S
 from orderflow.functions import scalars as X
+from orderflow.operators import documents as D
 
 # The clock every registered query uses, so results are deterministic.
 AS_OF = "2001-08-02 00:00:00"
@@ -51,9 +52,12 @@ def order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
 
+    # orders x customer first: both grow with the data, so Spark's size check
+    # picks a broadcast only while customer is small and a sort-merge join
+    # beyond; the nation/region dimension (25 and 5 rows) joins last.
     geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name")
-    cust = c.join(geo, c.c_nationkey == geo.n_nationkey).select("c_custkey", "r_name")
-    j = o.join(cust, o.o_custkey == cust.c_custkey)
+    oc = o.join(c, o.o_custkey == c.c_custkey)
+    j = oc.join(geo, oc.c_nationkey == geo.n_nationkey)
 
     k = F.col("o_orderkey")
     ck = F.col("c_custkey")
@@ -133,21 +137,12 @@ def order_events(spark: SparkSession, sf_dir: str, with_items: bool = True) -> D
     )
 
 
-def event_json(df: DataFrame) -> Column:
-    """JSON text of an ORDER_EVENT row as the producer serialises it: every
-    field present (nulls included) and the timestamp as ISO instant text."""
-    fields = [
-        (X.iso_text(F.col(f)).alias(f) if f == "eventTimestamp" else F.col(f)) for f in S.ORDER_EVENT_FIELDS
-    ]
-    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
-
-
 def topic_log(spark: SparkSession, sf_dir: str, topic: str = S.ORDER_TOPIC) -> DataFrame:
     """Order events as topic records (key, value, topic, partition, offset,
     timestamp).  Every 101st record has its value cut in half (malformed)."""
     ev = order_events(spark, sf_dir)
     key = X.partition_key(F.col("customerTier"), F.col("customerId"))
-    value = event_json(ev)
+    value = D.event_json(ev)
     cut = F.expr("substring(v, 1, length(v) div 2)")
     return (
         ev.select(key.alias("key"), value.alias("v"), F.col("kafkaOffset").alias("offset"),

@@ -39,7 +39,7 @@ def _scratch(spark, key):
 
 
 def _topic_source(spark, sf, root) -> str:
-    return J.materialize(FX.topic_log(spark, sf), f"{root}/source", files=4, order_col="offset")
+    return J.materialize(FX.topic_log(spark, sf), f"{root}/source", split_col="offset")
 
 
 # ---------------------------------------------------------------------- A1
@@ -49,7 +49,7 @@ def _topic_source(spark, sf, root) -> str:
 def q_order_stream_source(spark: SparkSession, sf: str) -> DataFrame:
     root = _scratch(spark, "order_stream_source")
     src = _topic_source(spark, sf, root)
-    stream = J.read_order_stream(spark, src, max_per_trigger=1)
+    stream = J.read_order_stream(spark, src, max_per_trigger=8)
     J.run_available_now(stream, lambda df, bid: J.write_batch(df, f"{root}/out", bid), f"{root}/ckpt")
     return J.read_batches(spark, f"{root}/out").drop("batch_id")
 
@@ -60,7 +60,7 @@ def q_live_feed_stream(spark, sf):
     """Lean feed rows of every record that parses, built on the stream."""
     root = _scratch(spark, "live_feed_stream")
     src = _topic_source(spark, sf, root)
-    parsed = D.parse_orders(J.read_order_stream(spark, src, max_per_trigger=1))
+    parsed = D.parse_orders(J.read_order_stream(spark, src, max_per_trigger=8))
     lean = FD.lean_order(D.flatten_event(parsed.filter(~F.col("parseError"))))
     J.run_available_now(lean, lambda df, bid: J.write_batch(df, f"{root}/out", bid), f"{root}/ckpt")
     return J.read_batches(spark, f"{root}/out").drop("batch_id")
@@ -76,7 +76,7 @@ def run_order_job(spark, sf, key) -> J.OrderStreamJob:
     root = _scratch(spark, key)
     src = _topic_source(spark, sf, root)
     job = J.OrderStreamJob(spark, f"{root}/job", FX.AS_OF, fails=_flaky)
-    job.run(src, f"{root}/ckpt", max_files=1)
+    job.run(src, f"{root}/ckpt", max_files=8)
     return job
 
 
@@ -100,7 +100,7 @@ def q_process_orders_stream(spark, sf):
 def q_dead_letter_stream(spark, sf):
     job = run_order_job(spark, sf, "dead_letter_stream")
     root = job.root + "/dlt"
-    J.run_dead_letters(spark, job.paths["dead_letters"], root, f"{root}/ckpt", FX.AS_OF)
+    J.run_dead_letters(spark, job.dead_letter_files(), root, f"{root}/ckpt", FX.AS_OF)
     docs = J.read_batches(spark, f"{root}/dlq_docs")
     return docs.select("orderId", "retryCount", "lastError", "processingStatus", "kafkaTopic", "kafkaPartition",
                        "kafkaOffset")
@@ -108,8 +108,7 @@ def q_dead_letter_stream(spark, sf):
 
 # ---------------------------------------------------------------------- I5
 def _lifecycle_source(spark, sf, root) -> str:
-    return J.materialize(FX.lifecycle_orders(FX.order_docs(spark, sf)), f"{root}/source", files=4,
-                         order_col="kafkaOffset")
+    return J.materialize(FX.lifecycle_orders(FX.order_docs(spark, sf)), f"{root}/source", split_col="kafkaOffset")
 
 
 def _lifecycle_schema(spark, sf):
@@ -122,7 +121,7 @@ def q_live_counters_stream(spark, sf):
     the sink log is folded to the latest count per (dimension, value)."""
     root = _scratch(spark, "live_counters_stream")
     src = _lifecycle_source(spark, sf, root)
-    stream = spark.readStream.schema(_lifecycle_schema(spark, sf)).option("maxFilesPerTrigger", 1).parquet(src)
+    stream = spark.readStream.schema(_lifecycle_schema(spark, sf)).option("maxFilesPerTrigger", 8).parquet(src)
     counters = J.live_counters(stream)
     J.run_available_now(counters, lambda df, bid: J.write_batch(df, f"{root}/out", bid), f"{root}/ckpt",
                         output_mode="update")
@@ -157,8 +156,8 @@ def q_resync_job(spark, sf):
 def q_latest_order_stream(spark, sf):
     root = _scratch(spark, "latest_order_stream")
     log = FX.deliveries(spark, sf).select("orderId", "customerId", "status", "totalAmount", "seq", "ingestedAt")
-    src = J.materialize(log, f"{root}/source", files=4, order_col="seq")
-    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    src = J.materialize(log, f"{root}/source", split_col="orderId")
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 8).parquet(src)
     latest = J.latest_orders(stream, ["seq"])
     J.run_available_now(latest, lambda df, bid: J.write_batch(df, f"{root}/out", bid), f"{root}/ckpt",
                         output_mode="update")
@@ -176,8 +175,8 @@ def q_hourly_stats_stream(spark, sf):
     aggregation."""
     root = _scratch(spark, "hourly_stats_stream")
     ev = FX.table(spark, sf, "events")
-    src = J.materialize(ev, f"{root}/source", files=4, order_col="ts")
-    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    src = J.materialize(ev, f"{root}/source", split_col="event_id")
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 8).parquet(src)
     hourly = J.hourly_stats_stream(stream, delay="3650 days")
     J.run_available_now(hourly, lambda df, bid: J.write_batch(df, f"{root}/out", bid), f"{root}/ckpt",
                         output_mode="update")
@@ -190,8 +189,8 @@ def q_hourly_stats_stream(spark, sf):
 def q_session_totals_stream(spark, sf):
     root = _scratch(spark, "session_totals_stream")
     feed = FD.lean_order(FX.order_events(spark, sf), keep=["kafkaOffset"])
-    src = J.materialize(feed, f"{root}/source", files=4, order_col="kafkaOffset")
-    stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    src = J.materialize(feed, f"{root}/source", split_col="kafkaOffset")
+    stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 8).parquet(src)
     totals = M.session_totals(stream)
     J.run_available_now(totals, lambda df, bid: J.write_batch(df, f"{root}/out", bid), f"{root}/ckpt",
                         output_mode="complete")

@@ -45,11 +45,11 @@ def read_order_stream(spark: SparkSession, source: str, fmt: str = "parquet", sc
     return r.options(**options).load(source)
 
 
-def materialize(df: DataFrame, path: str, files: int = 4, order_col: str | None = None) -> str:
-    """Write a DataFrame as ``files`` Parquet files (a replayable stream source).
-    With ``order_col`` the files are range-split on it, so each micro-batch
-    carries a later slice."""
-    out = df.repartitionByRange(files, order_col) if order_col else df.repartition(files)
+def materialize(df: DataFrame, path: str, files: int = 32, split_col: str | None = None) -> str:
+    """Write a DataFrame as ``files`` Parquet files: a replayable file source
+    standing in for a topic (one file ~ one slice of a partition).  The split
+    is a hash on ``split_col`` (one shuffle, no sampling pass)."""
+    out = df.repartition(files, split_col) if split_col else df.repartition(files)
     out.write.mode("overwrite").parquet(path)
     return path
 
@@ -94,16 +94,22 @@ def last_batch_id(query) -> int:
 
 
 # ------------------------------------------------------------- I1 / I2 / I4
+OUTPUT_KINDS = ("store_log", "feed", "retries", "dead_letters")
+_REC_FIELDS = ["key", "value", "partition", "offset", "timestamp"]
+
+
 @dataclass
 class OrderStreamJob:
     """Consume -> parse -> store -> feed, with non-blocking retries.
 
     Per micro-batch: new records (attempt 1) are unioned with the retries that
-    fell due since the previous tick (G1).  Records that parse and pass go to
-    the store log and the feed; failures are routed (I2) to a retry folder with
-    their due time, or after the 4th attempt to the dead-letter folder.  The
-    clock of each batch is recorded once (``ticks``), so a replayed batch sees
-    the same clock and takes the same due retries.
+    fell due since the previous tick (G1).  Records that parse and pass become
+    store rows and feed rows; failures are routed (I2) to the retries, or after
+    the 4th attempt to the dead letters.  All four outputs come from **one
+    pass** over the batch and are written by one job into
+    ``out/batch_id=N/tick=K/kind=...`` (overwrite: a replayed batch rewrites
+    exactly its own output).  The clock of each tick is recorded once
+    (``ticks``), so a replayed batch takes exactly the same due retries.
 
     ``fails(attempt)`` is an optional extra failure predicate (a stand-in for
     the store rejecting a write); a record that does not parse always fails.
@@ -120,12 +126,11 @@ class OrderStreamJob:
     paths: dict = field(default_factory=dict)
 
     def __post_init__(self):
-        for name in ("store_log", "retries", "dead_letters", "feed", "ticks"):
-            self.paths[name] = f"{self.root}/{name}"
+        self.paths["out"] = f"{self.root}/out"
+        self.paths["ticks"] = f"{self.root}/ticks"
 
     # Clock of one (batch, tick): the logical clock (deterministic, for tests
-    # and replays) or the wall clock.  It is recorded before first use, so a
-    # replayed batch reuses it and takes exactly the same due retries.
+    # and replays) or the wall clock.  It is recorded before first use.
     def _now(self, batch_id: int, tick: int):
         import datetime as dt
         if self.clock == "wall":
@@ -138,7 +143,6 @@ class OrderStreamJob:
 
     def _clock(self, batch_id: int, tick: int):
         """(now, previous tick's now, oldest batch that can hold due retries).
-
         The tick log is one tiny row per tick, read in one small job."""
         import datetime as dt
         ticks = [(r["batch_id"], r["tick"], r["now"])
@@ -154,51 +158,78 @@ class OrderStreamJob:
         if not earlier:
             return now, None, batch_id
         prev = max(t[2] for t in earlier)
-        # retries are due at most BACKOFF_MAX_MS after they were written, so
-        # only batches with a clock inside that window can hold due rows
+        # a retry is due at most BACKOFF_MAX_MS after it was written, so only
+        # batches whose clock lies inside that window can hold due rows
         lookback = prev - dt.timedelta(milliseconds=S.BACKOFF_MAX_MS)
         recent = [t[0] for t in earlier if t[2] >= lookback]
         return now, prev, (min(recent) if recent else batch_id)
 
-    def _due_retries(self, now, prev, oldest_batch: int) -> DataFrame:
-        schema = T.StructType(S.ENVELOPE.fields + [
-            T.StructField("attempt", T.IntegerType()), T.StructField("dueAt", T.TimestampType()),
-            T.StructField("batch_id", T.IntegerType()), T.StructField("tick", T.IntegerType())])
-        r = read_batches(self.spark, self.paths["retries"], schema)
+    # ---- output layout
+    def _types(self, parsed: DataFrame) -> dict:
+        return {f.name: f.dataType for f in parsed.schema.fields}
+
+    def output(self, kind: str) -> DataFrame:
+        """One output kind over all batches (partition-pruned on ``kind``),
+        with its ``batch_id``/``tick``."""
+        col = {"store_log": "doc", "feed": "feed", "retries": "rec", "dead_letters": "rec"}[kind]
+        try:
+            out = self.spark.read.option("basePath", self.paths["out"]).parquet(self.paths["out"])
+        except Exception as e:  # noqa: BLE001 - nothing written yet
+            if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e) or "does not exist" in str(e):
+                return None
+            raise
+        return out.filter(F.col("kind") == kind).select(f"{col}.*", "batch_id", "tick")
+
+    def dead_letter_files(self) -> str:
+        """Glob of the dead-letter output, readable as a file stream source."""
+        return f"{self.paths['out']}/batch_id=*/tick=*/kind=dead_letters"
+
+    def _due_retries(self, now, prev, oldest_batch: int):
         if prev is None:
-            return r.limit(0).select(*S.ENVELOPE.fieldNames(), "attempt")
+            return None
+        r = self.output("retries")
+        if r is None:
+            return None
         due = (F.col("dueAt") > F.lit(prev).cast("timestamp")) & (F.col("dueAt") <= F.lit(now).cast("timestamp"))
         # the batch_id predicate prunes folders that cannot hold due rows
         return r.filter((F.col("batch_id") >= oldest_batch) & due).select(*S.ENVELOPE.fieldNames(), "attempt")
 
     def process(self, batch: DataFrame, batch_id: int, tick: int = 0) -> None:
-        spark = self.spark
         now_value, prev, oldest = self._clock(batch_id, tick)
         now = F.lit(now_value).cast("timestamp")
-        new = batch.select(*S.ENVELOPE.fieldNames()).withColumn("attempt", F.lit(1))
-        work = R.with_due_retries(new.withColumn("dueAt", F.lit(None).cast("timestamp")),
-                                  self._due_retries(now_value, prev, oldest).withColumn("dueAt", now), now)
-        parsed = D.parse_orders(work.drop("dueAt"))
+        work = batch.select(*S.ENVELOPE.fieldNames()).withColumn("attempt", F.lit(1))
+        due = self._due_retries(now_value, prev, oldest)
+        if due is not None:
+            work = work.unionByName(due)
+        parsed = D.parse_orders(work)
         ok = ~F.col("parseError")
         if self.fails is not None:
             ok = ok & ~self.fails(F.col("attempt"))
-        parsed = parsed.withColumn("ok", ok).persist()
-        try:
-            seq = {"batch_id": F.lit(batch_id), "tick": F.lit(tick)}
-            good = D.flatten_event(parsed.filter("ok"), ["partition", "offset", "topic", "attempt"])
-            docs = D.to_order_document(good, "SUCCESS", now).withColumns(seq).withColumn("ingestedAt", now)
-            write_batch(docs, self.paths["store_log"], batch_id, tick)
-            write_batch(FD.lean_order(good, keep=["offset", "topic"]).withColumns(seq),
-                        self.paths["feed"], batch_id, tick)
-            routed = R.route_failures(parsed, "ok", "attempt", now, F.lit(self.topic))
-            env = ["key", "value", "partition", "offset", "timestamp"]
-            write_batch(routed.filter(~F.col("deadLetter")).select(
-                *env, F.col("nextTopic").alias("topic"), F.col("nextAttempt").alias("attempt"), "dueAt"),
-                self.paths["retries"], batch_id, tick)
-            write_batch(routed.filter("deadLetter").select(*env, F.col("nextTopic").alias("topic")),
-                        self.paths["dead_letters"], batch_id, tick)
-        finally:
-            parsed.unpersist()
+        parsed = parsed.withColumn("ok", ok)
+
+        ev = lambda c: F.col("event")[c]
+        doc = F.struct(*D.document_columns(ev, "SUCCESS", now, F.col("partition"), F.col("offset"),
+                                           F.col("topic")), now.alias("ingestedAt"))
+        feed = F.struct(*FD.lean_columns(ev), F.col("offset"), F.col("topic"))
+        route = R.route_columns(F.col("attempt"), now, F.lit(self.topic))
+        rec = F.struct(*[F.col(c) for c in _REC_FIELDS], route["nextTopic"].alias("topic"),
+                       route["nextAttempt"].alias("attempt"), route["dueAt"].alias("dueAt"))
+        types = parsed.select(doc.alias("doc"), feed.alias("feed"), rec.alias("rec")).schema
+        null = {f.name: F.lit(None).cast(f.dataType) for f in types.fields}
+
+        def out(kind, d, f, r):
+            return F.struct(F.lit(kind).alias("kind"), d.alias("doc"), f.alias("feed"), r.alias("rec"))
+
+        ok_c, dead = F.col("ok"), route["deadLetter"]
+        rows = F.array(
+            F.when(ok_c, out("store_log", doc, null["feed"], null["rec"])),
+            F.when(ok_c & FD.lean_ok(ev), out("feed", null["doc"], feed, null["rec"])),
+            F.when(~ok_c & ~dead, out("retries", null["doc"], null["feed"], rec)),
+            F.when(~ok_c & dead, out("dead_letters", null["doc"], null["feed"], rec)),
+        )
+        outputs = parsed.select(F.explode(rows).alias("o")).filter(F.col("o").isNotNull()).select("o.*")
+        (outputs.write.mode("overwrite").partitionBy("kind")
+         .parquet(batch_folder(self.paths["out"], batch_id, tick)))
 
     def drain(self, after_batch: int) -> None:
         """Drain ticks: a micro-batch runs only when new data arrives, so
@@ -208,7 +239,7 @@ class OrderStreamJob:
         for tick in range(1, self.ticks_per_batch):
             self.process(empty, after_batch, tick)
 
-    def run(self, source: str, checkpoint: str, max_files: int | None = 1) -> int:
+    def run(self, source: str, checkpoint: str, max_files: int | None = 8) -> int:
         stream = read_order_stream(self.spark, source, max_per_trigger=max_files)
         q = run_available_now(stream, lambda df, bid: self.process(df, bid), checkpoint)
         last = last_batch_id(q)
@@ -219,15 +250,20 @@ class OrderStreamJob:
     def store(self) -> DataFrame:
         """The current store: last arrival per orderId over the store log."""
         from orderflow.operators.store import upsert_orders
-        log = read_batches(self.spark, self.paths["store_log"])
+        log = self.output("store_log")
         return upsert_orders(log, ["batch_id", "tick", "kafkaTopic", "kafkaPartition", "kafkaOffset"])
 
 
-def run_dead_letters(spark: SparkSession, dead_letter_root: str, out_root: str, checkpoint: str, as_of: str):
+def run_dead_letters(spark: SparkSession, dead_letter_files: str, out_root: str, checkpoint: str, as_of: str):
     """I4: the dead-letter consumer as its own streaming query: A5 for records
-    that parse (DLQ documents), A6 quarantine for those that do not."""
+    that parse (DLQ documents), A6 quarantine for those that do not.
+    ``dead_letter_files`` is a path (glob) of files holding a ``rec`` struct."""
+    rec = T.StructType(S.ENVELOPE.fields + [T.StructField("attempt", T.IntegerType()),
+                                            T.StructField("dueAt", T.TimestampType())])
+    schema = T.StructType([T.StructField("rec", rec)])
+
     def process(batch: DataFrame, batch_id: int) -> None:
-        parsed = D.parse_orders(batch).persist()
+        parsed = D.parse_orders(batch.select("rec.*")).persist()
         try:
             docs = D.to_order_document(D.stamp_dead_letters(parsed), "DLQ", F.lit(as_of).cast("timestamp"))
             write_batch(docs, f"{out_root}/dlq_docs", batch_id)
@@ -235,7 +271,7 @@ def run_dead_letters(spark: SparkSession, dead_letter_root: str, out_root: str,
         finally:
             parsed.unpersist()
 
-    stream = spark.readStream.schema(S.ENVELOPE).option("recursiveFileLookup", "true").parquet(dead_letter_root)
+    stream = spark.readStream.schema(schema).parquet(dead_letter_files)
     return run_available_now(stream, process, checkpoint)
 
 

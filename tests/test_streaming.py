@@ -17,9 +17,9 @@ def flaky(attempt):
 @pytest.fixture(scope="module")
 def job_run(spark):
     root = scratch_path(spark, "test-stream")
-    src = J.materialize(FX.topic_log(spark, SF_SMALL), f"{root}/source", files=3, order_col="offset")
+    src = J.materialize(FX.topic_log(spark, SF_SMALL), f"{root}/source", files=12, split_col="offset")
     job = J.OrderStreamJob(spark, f"{root}/job", FX.AS_OF, fails=flaky)
-    last = job.run(src, f"{root}/ckpt", max_files=1)
+    last = job.run(src, f"{root}/ckpt", max_files=4)
     return job, root, src, last
 
 
@@ -37,7 +37,7 @@ def test_every_order_stored_once_or_dead_lettered(spark, job_run):
     n_ok, n_dead = expected(spark)
     assert stored.count() == n_ok
     assert stored.select("orderId").distinct().count() == n_ok
-    dead = J.read_batches(spark, job.paths["dead_letters"])
+    dead = job.output("dead_letters")
     assert dead.count() == n_dead
     assert {r.topic for r in dead.select("topic").distinct().collect()} == {"orders.placed-dlt"}
 
@@ -64,16 +64,16 @@ def test_replayed_batch_is_idempotent(spark):
 
 def test_restart_from_checkpoint_adds_nothing(spark, job_run):
     job, root, src, _ = job_run
-    n_log = J.read_batches(spark, job.paths["store_log"]).count()
+    n_log = job.output("store_log").count()
     again = J.OrderStreamJob(spark, job.root, FX.AS_OF, fails=flaky)
-    J.run_available_now(J.read_order_stream(spark, src, max_per_trigger=1),
+    J.run_available_now(J.read_order_stream(spark, src, max_per_trigger=4),
                         lambda df, bid: again.process(df, bid), f"{root}/ckpt")
-    assert J.read_batches(spark, job.paths["store_log"]).count() == n_log
+    assert job.output("store_log").count() == n_log
 
 
 def test_dead_letter_consumer(spark, job_run):
     job, root, _, _ = job_run
-    J.run_dead_letters(spark, job.paths["dead_letters"], f"{root}/dlt", f"{root}/dlt-ckpt", FX.AS_OF)
+    J.run_dead_letters(spark, job.dead_letter_files(), f"{root}/dlt", f"{root}/dlt-ckpt", FX.AS_OF)
     docs = J.read_batches(spark, f"{root}/dlt/dlq_docs")
     quarantined = J.read_batches(spark, f"{root}/dlt/quarantine")
     _, n_dead = expected(spark)
