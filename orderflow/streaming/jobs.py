@@ -184,21 +184,25 @@ class OrderStreamJob:
         """Glob of the dead-letter output, readable as a file stream source."""
         return f"{self.paths['out']}/batch_id=*/tick=*/kind=dead_letters"
 
-    def _due_retries(self, now, prev, oldest_batch: int):
+    def _due_retries(self, batch_id: int, tick: int, now, prev, oldest_batch: int):
         if prev is None:
             return None
         r = self.output("retries")
         if r is None:
             return None
         due = (F.col("dueAt") > F.lit(prev).cast("timestamp")) & (F.col("dueAt") <= F.lit(now).cast("timestamp"))
-        # the batch_id predicate prunes folders that cannot hold due rows
-        return r.filter((F.col("batch_id") >= oldest_batch) & due).select(*S.ENVELOPE.fieldNames(), "attempt")
+        # only earlier ticks hold retries, and only recent ones can be due: the
+        # partition predicates prune every other folder (including the one this
+        # tick is about to overwrite when it is replayed)
+        b, t = F.col("batch_id"), F.col("tick")
+        earlier = (b < batch_id) | ((b == batch_id) & (t < tick))
+        return r.filter((b >= oldest_batch) & earlier & due).select(*S.ENVELOPE.fieldNames(), "attempt")
 
     def process(self, batch: DataFrame, batch_id: int, tick: int = 0) -> None:
         now_value, prev, oldest = self._clock(batch_id, tick)
         now = F.lit(now_value).cast("timestamp")
         work = batch.select(*S.ENVELOPE.fieldNames()).withColumn("attempt", F.lit(1))
-        due = self._due_retries(now_value, prev, oldest)
+        due = self._due_retries(batch_id, tick, now_value, prev, oldest)
         if due is not None:
             work = work.unionByName(due)
         parsed = D.parse_orders(work)
