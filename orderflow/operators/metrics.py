@@ -215,10 +215,20 @@ def _sorted_map(entries: Column) -> Column:
     return F.map_from_entries(F.array_sort(entries))
 
 
+def counter_sets(orders: DataFrame) -> DataFrame:
+    """The running counters as rows (gid, dimension values, orders, revenue,
+    revenueOrders, failed): what a stream keeps in its state store."""
+    return _counter_sets(orders)
+
+
 def dashboard_snapshot(orders: DataFrame, as_of: Column) -> DataFrame:
     """The dashboard row -- four count maps, revenue, orders, failed and
     average, from one scan plus a fold over the (dimension, value) rows."""
-    g = _counter_sets(orders)
+    return snapshot_from_counters(_counter_sets(orders), as_of)
+
+
+def snapshot_from_counters(g: DataFrame, as_of: Column) -> DataFrame:
+    """Fold counter rows (``counter_sets``) into the one snapshot row."""
     entry = F.struct(F.coalesce(*DIMENSIONS).alias("key"), F.col("orders").alias("value"))
     total = F.col("gid") == _GID_TOTAL
     folded = g.agg(

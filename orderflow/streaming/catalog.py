@@ -197,3 +197,29 @@ def q_session_totals_stream(spark, sf):
     out = J.read_batches(spark, f"{root}/out")
     last = out.agg(F.max("batch_id")).scalar()
     return out.filter(F.col("batch_id") == last).drop("batch_id")
+
+
+# --------------------------------------------------------------------- D19
+@register("flow_counters_stream", C.ORACLE["flow_counters"])
+def q_flow_counters_stream(spark, sf):
+    """D19 live: the order job's counters, observed on each micro-batch with
+    ``DataFrame.observe`` (published, processed, dead-lettered)."""
+    job = run_order_job(spark, sf, "flow_counters_stream")
+    return job.flow_counters()
+
+
+# --------------------------------------------------------------------- A10
+@register("stats_feed_stream", C.ORACLE["stats_feed"])
+def q_stats_feed_stream(spark, sf):
+    """A10: the dashboard snapshot published on every micro-batch from the
+    stream's counters (complete mode over the small counter table); the last
+    payload is the current one."""
+    root = _scratch(spark, "stats_feed_stream")
+    src = _lifecycle_source(spark, sf, root)
+    stream = spark.readStream.schema(_lifecycle_schema(spark, sf)).option("maxFilesPerTrigger", 8).parquet(src)
+    counters = M.counter_sets(stream)
+    J.run_available_now(counters, J.stats_feed_process(f"{root}/out", FX.AS_OF), f"{root}/ckpt",
+                        output_mode="complete")
+    out = J.read_batches(spark, f"{root}/out")
+    last = out.agg(F.max("batch_id")).scalar()
+    return out.filter(F.col("batch_id") == last).drop("batch_id")

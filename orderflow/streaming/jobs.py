@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -125,9 +125,18 @@ class OrderStreamJob:
     clock: str = "logical"
     paths: dict = field(default_factory=dict)
 
+    _FLOW = "published long, processed long, retried long, deadLettered long"
+
     def __post_init__(self):
         self.paths["out"] = f"{self.root}/out"
         self.paths["ticks"] = f"{self.root}/ticks"
+        self.paths["flow"] = f"{self.root}/flow"
+        # Seed each folder with an empty "batch -1" so readers never meet a
+        # missing path (idempotent: the same folders are overwritten on restart).
+        self.spark.createDataFrame([(None,)], "now timestamp").write.mode("overwrite").parquet(
+            batch_folder(self.paths["ticks"], -1, 0))
+        self.spark.createDataFrame([(0, 0, 0, 0)], self._FLOW).write.mode("overwrite").parquet(
+            batch_folder(self.paths["flow"], -1, 0))
 
     # Clock of one (batch, tick): the logical clock (deterministic, for tests
     # and replays) or the wall clock.  It is recorded before first use.
@@ -146,7 +155,8 @@ class OrderStreamJob:
         The tick log is one tiny row per tick, read in one small job."""
         import datetime as dt
         ticks = [(r["batch_id"], r["tick"], r["now"])
-                 for r in read_batches(self.spark, self.paths["ticks"], self._TICKS).collect()]
+                 for r in read_batches(self.spark, self.paths["ticks"], self._TICKS)
+                 .filter(F.col("now").isNotNull()).collect()]
         mine = [t for t in ticks if (t[0], t[1]) == (batch_id, tick)]
         if mine:
             now = mine[0][2]
@@ -168,18 +178,21 @@ class OrderStreamJob:
     def _types(self, parsed: DataFrame) -> dict:
         return {f.name: f.dataType for f in parsed.schema.fields}
 
-    def output(self, kind: str) -> DataFrame:
+    def output(self, kind: str) -> DataFrame | None:
         """One output kind over all batches (partition-pruned on ``kind``),
-        with its ``batch_id``/``tick``."""
+        with its ``batch_id``/``tick``; None before the first batch."""
         col = {"store_log": "doc", "feed": "feed", "retries": "rec", "dead_letters": "rec"}[kind]
-        try:
-            out = self.spark.read.option("basePath", self.paths["out"]).parquet(self.paths["out"])
-        except Exception as e:  # noqa: BLE001 - nothing written yet
-            if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e) or "does not exist" in str(e):
-                return None
-            raise
+        if not self._has_output:
+            return None
+        out = self.spark.read.option("basePath", self.paths["out"]).parquet(self.paths["out"])
         return out.filter(F.col("kind") == kind).select(f"{col}.*", "batch_id", "tick")
 
+    @property
+    def _has_output(self) -> bool:
+        # any tick recorded before now means the output folder was written
+        return read_batches(self.spark, self.paths["ticks"], self._TICKS).filter(
+            F.col("now").isNotNull()).limit(1).count() > 0
+
     def dead_letter_files(self) -> str:
         """Glob of the dead-letter output, readable as a file stream source."""
         return f"{self.paths['out']}/batch_id=*/tick=*/kind=dead_letters"
@@ -210,6 +223,15 @@ class OrderStreamJob:
         if self.fails is not None:
             ok = ok & ~self.fails(F.col("attempt"))
         parsed = parsed.withColumn("ok", ok)
+        # D19 live: counters observed on the same pass (no extra job)
+        obs = Observation(f"flow-{batch_id}-{tick}")
+        parsed = parsed.observe(
+            obs,
+            F.count_if(F.col("attempt") == 1).alias("published"),
+            F.count_if(F.col("ok")).alias("processed"),
+            F.count_if(~F.col("ok") & (F.col("attempt") < S.MAX_ATTEMPTS)).alias("retried"),
+            F.count_if(~F.col("ok") & (F.col("attempt") >= S.MAX_ATTEMPTS)).alias("deadLettered"),
+        )
 
         ev = lambda c: F.col("event")[c]
         doc = F.struct(*D.document_columns(ev, "SUCCESS", now, F.col("partition"), F.col("offset"),
@@ -234,6 +256,11 @@ class OrderStreamJob:
         outputs = parsed.select(F.explode(rows).alias("o")).filter(F.col("o").isNotNull()).select("o.*")
         (outputs.write.mode("overwrite").partitionBy("kind")
          .parquet(batch_folder(self.paths["out"], batch_id, tick)))
+        m = obs.get
+        (self.spark.createDataFrame([(int(m.get("published", 0)), int(m.get("processed", 0)),
+                                      int(m.get("retried", 0)), int(m.get("deadLettered", 0)))],
+                                    self._FLOW)
+         .write.mode("overwrite").parquet(batch_folder(self.paths["flow"], batch_id, tick)))
 
     def drain(self, after_batch: int) -> None:
         """Drain ticks: a micro-batch runs only when new data arrives, so
@@ -251,6 +278,17 @@ class OrderStreamJob:
         return last
 
     # ---- read side
+    def flow_counters(self) -> DataFrame:
+        """D19 live: published / publish-failed / processed / dead-lettered
+        totals over every tick's observed metrics."""
+        f = read_batches(self.spark, self.paths["flow"])
+        return f.agg(
+            F.coalesce(F.sum("published"), F.lit(0)).cast("long").alias("published"),
+            F.lit(0).cast("long").alias("publishFailed"),
+            F.coalesce(F.sum("processed"), F.lit(0)).cast("long").alias("processed"),
+            F.coalesce(F.sum("deadLettered"), F.lit(0)).cast("long").alias("deadLettered"),
+        )
+
     def store(self) -> DataFrame:
         """The current store: last arrival per orderId over the store log."""
         from orderflow.operators.store import upsert_orders
@@ -286,6 +324,20 @@ def live_counters(orders: DataFrame) -> DataFrame:
     return dimension_counts(orders)
 
 
+def stats_feed_process(out_root: str, as_of: str):
+    """A10: ``foreachBatch`` body publishing the dashboard snapshot from the
+    complete-mode counter table (a few dozen rows: one per dimension value
+    plus the grand total), once per micro-batch."""
+    from orderflow.operators import metrics as M
+    from orderflow.functions.scalars import iso_text
+
+    def process(counters: DataFrame, batch_id: int) -> None:
+        snap = M.snapshot_from_counters(counters, F.lit(as_of).cast("timestamp"))
+        payload = FD.stats_json(snap.withColumn("snapshotAt", iso_text("snapshotAt")))
+        write_batch(payload, out_root, batch_id)
+    return process
+
+
 def latest_orders(log: DataFrame, seq_cols: list[str], key: str = "orderId") -> DataFrame:
     """Streaming upsert -- ``max_by`` per key in update mode (window
     functions are rejected on streams).  State grows with distinct keys."""

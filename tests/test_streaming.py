@@ -79,3 +79,10 @@ def test_dead_letter_consumer(spark, job_run):
     _, n_dead = expected(spark)
     assert docs.count() + quarantined.count() == n_dead
     assert {r.processingStatus for r in docs.collect()} == {"DLQ"}
+
+
+def test_observed_flow_counters(spark, job_run):
+    job = job_run[0]
+    n_ok, n_dead = expected(spark)
+    c = job.flow_counters().first()
+    assert (c.published, c.processed, c.deadLettered, c.publishFailed) == (n_ok + n_dead, n_ok, n_dead, 0)
