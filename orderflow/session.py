@@ -72,3 +72,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A new, unique folder under the checkpoint root for one job's files."""
     return "/".join([checkpoint_root(spark), *parts, uuid.uuid4().hex])
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, on whatever file system the path names
+    (local, HDFS, object store), via the session's Hadoop configuration."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))

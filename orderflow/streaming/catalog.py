@@ -100,7 +100,7 @@ def q_process_orders_stream(spark, sf):
 def q_dead_letter_stream(spark, sf):
     job = run_order_job(spark, sf, "dead_letter_stream")
     root = job.root + "/dlt"
-    J.run_dead_letters(spark, job.dead_letter_files(), root, f"{root}/ckpt", FX.AS_OF)
+    J.run_dead_letters(spark, job.dead_letter_folder(), root, f"{root}/ckpt", FX.AS_OF)
     docs = J.read_batches(spark, f"{root}/dlq_docs")
     return docs.select("orderId", "retryCount", "lastError", "processingStatus", "kafkaTopic", "kafkaPartition",
                        "kafkaOffset")

@@ -20,6 +20,7 @@ from orderflow import schemas as S
 from orderflow.operators import documents as D
 from orderflow.operators import feed as FD
 from orderflow.operators import retry as R
+from orderflow.session import path_exists
 
 
 # ------------------------------------------------------------------ plumbing
@@ -65,19 +66,16 @@ def write_batch(df: DataFrame, root: str, batch_id: int, tick: int | None = None
 
 
 def read_batches(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
-    """All batch folders under ``root`` (empty when nothing was written)."""
-    try:
-        r = spark.read
-        if schema is not None:
-            r = r.schema(schema)
-        return r.option("basePath", root).parquet(root)
-    except Exception as e:  # noqa: BLE001 - path missing: no batch yet
-        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e) \
-                and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
+    """All batch folders under ``root`` (empty, with ``schema``, when nothing
+    was written yet)."""
+    if not path_exists(spark, root):
         if schema is None:
-            raise
+            raise FileNotFoundError(root)
         return spark.createDataFrame([], schema)
+    r = spark.read
+    if schema is not None:
+        r = r.schema(schema)
+    return r.option("basePath", root).parquet(root)
 
 
 def run_available_now(stream: DataFrame, process, checkpoint: str, output_mode: str = "append"):
@@ -106,10 +104,12 @@ class OrderStreamJob:
     fell due since the previous tick (G1).  Records that parse and pass become
     store rows and feed rows; failures are routed (I2) to the retries, or after
     the 4th attempt to the dead letters.  All four outputs come from **one
-    pass** over the batch and are written by one job into
-    ``out/batch_id=N/tick=K/kind=...`` (overwrite: a replayed batch rewrites
-    exactly its own output).  The clock of each tick is recorded once
-    (``ticks``), so a replayed batch takes exactly the same due retries.
+    pass** over the batch, written by one job under
+    ``out/kind=K/dueMinute=M/batch_id=N/tick=T`` with dynamic partition
+    overwrite, so a replayed batch rewrites exactly its own partitions.
+    Retries are laid out by due minute: a tick reads only the minute folders
+    of its due window, however long the job has run.  The clock of each tick
+    is recorded once (``ticks``), so a replay takes the same due retries.
 
     ``fails(attempt)`` is an optional extra failure predicate (a stand-in for
     the store rejecting a write); a record that does not parse always fails.
@@ -126,20 +126,14 @@ class OrderStreamJob:
     paths: dict = field(default_factory=dict)
 
     _FLOW = "published long, processed long, retried long, deadLettered long"
+    _TICK = "now timestamp"
+    _NO_MINUTE = "none"
 
     def __post_init__(self):
-        self.paths["out"] = f"{self.root}/out"
-        self.paths["ticks"] = f"{self.root}/ticks"
-        self.paths["flow"] = f"{self.root}/flow"
-        # Seed each folder with an empty "batch -1" so readers never meet a
-        # missing path (idempotent: the same folders are overwritten on restart).
-        self.spark.createDataFrame([(None,)], "now timestamp").write.mode("overwrite").parquet(
-            batch_folder(self.paths["ticks"], -1, 0))
-        self.spark.createDataFrame([(0, 0, 0, 0)], self._FLOW).write.mode("overwrite").parquet(
-            batch_folder(self.paths["flow"], -1, 0))
-
-    # Clock of one (batch, tick): the logical clock (deterministic, for tests
-    # and replays) or the wall clock.  It is recorded before first use.
+        for name in ("out", "ticks", "flow"):
+            self.paths[name] = f"{self.root}/{name}"
+
+    # ---- clock: logical (deterministic, for tests and replays) or wall
     def _now(self, batch_id: int, tick: int):
         import datetime as dt
         if self.clock == "wall":
@@ -147,75 +141,72 @@ class OrderStreamJob:
         n = batch_id * self.ticks_per_batch + tick
         return dt.datetime.fromisoformat(self.as_of) + dt.timedelta(seconds=n * self.tick_seconds)
 
-    _TICKS = T.StructType([T.StructField("now", T.TimestampType()), T.StructField("batch_id", T.IntegerType()),
-                           T.StructField("tick", T.IntegerType())])
+    def _ticks_of(self, batch_id: int) -> list[tuple[int, object]]:
+        """Recorded (tick, now) of one batch: one small folder read."""
+        path = f"{self.paths['ticks']}/batch_id={batch_id}"
+        if batch_id < 0 or not path_exists(self.spark, path):
+            return []
+        rows = self.spark.read.schema(f"{self._TICK}, tick int").option("basePath", path).parquet(path).collect()
+        return [(r["tick"], r["now"]) for r in rows]
 
     def _clock(self, batch_id: int, tick: int):
-        """(now, previous tick's now, oldest batch that can hold due retries).
-        The tick log is one tiny row per tick, read in one small job."""
-        import datetime as dt
-        ticks = [(r["batch_id"], r["tick"], r["now"])
-                 for r in read_batches(self.spark, self.paths["ticks"], self._TICKS)
-                 .filter(F.col("now").isNotNull()).collect()]
-        mine = [t for t in ticks if (t[0], t[1]) == (batch_id, tick)]
-        if mine:
-            now = mine[0][2]
-        else:
+        """(now, previous tick's now).  Micro-batch ids are consecutive, so the
+        previous tick is in this batch or the one before: two folders."""
+        mine = dict(self._ticks_of(batch_id))
+        now = mine.get(tick)
+        if now is None:
             now = self._now(batch_id, tick)
-            (self.spark.range(1).select(F.lit(now).cast("timestamp").alias("now")).write.mode("overwrite")
+            (self.spark.createDataFrame([(now,)], self._TICK).write.mode("overwrite")
              .parquet(batch_folder(self.paths["ticks"], batch_id, tick)))
-        earlier = [t for t in ticks if (t[0], t[1]) < (batch_id, tick)]
+        earlier = [n for t, n in mine.items() if t < tick]
         if not earlier:
-            return now, None, batch_id
-        prev = max(t[2] for t in earlier)
-        # a retry is due at most BACKOFF_MAX_MS after it was written, so only
-        # batches whose clock lies inside that window can hold due rows
-        lookback = prev - dt.timedelta(milliseconds=S.BACKOFF_MAX_MS)
-        recent = [t[0] for t in earlier if t[2] >= lookback]
-        return now, prev, (min(recent) if recent else batch_id)
+            earlier = [n for _, n in self._ticks_of(batch_id - 1)]
+        return now, (max(earlier) if earlier else None)
 
     # ---- output layout
-    def _types(self, parsed: DataFrame) -> dict:
-        return {f.name: f.dataType for f in parsed.schema.fields}
+    def _kind_path(self, kind: str) -> str:
+        return f"{self.paths['out']}/kind={kind}"
 
     def output(self, kind: str) -> DataFrame | None:
-        """One output kind over all batches (partition-pruned on ``kind``),
-        with its ``batch_id``/``tick``; None before the first batch."""
+        """One output kind over all batches, with ``batch_id``/``tick``;
+        None before anything of that kind was written."""
         col = {"store_log": "doc", "feed": "feed", "retries": "rec", "dead_letters": "rec"}[kind]
-        if not self._has_output:
+        path = self._kind_path(kind)
+        if not path_exists(self.spark, path):
             return None
-        out = self.spark.read.option("basePath", self.paths["out"]).parquet(self.paths["out"])
-        return out.filter(F.col("kind") == kind).select(f"{col}.*", "batch_id", "tick")
+        return (self.spark.read.option("basePath", path).parquet(path)
+                .select(f"{col}.*", "batch_id", "tick"))
 
-    @property
-    def _has_output(self) -> bool:
-        # any tick recorded before now means the output folder was written
-        return read_batches(self.spark, self.paths["ticks"], self._TICKS).filter(
-            F.col("now").isNotNull()).limit(1).count() > 0
+    def dead_letter_folder(self) -> str:
+        """The dead-letter output, readable as a (partitioned) file stream."""
+        return self._kind_path("dead_letters")
 
-    def dead_letter_files(self) -> str:
-        """Glob of the dead-letter output, readable as a file stream source."""
-        return f"{self.paths['out']}/batch_id=*/tick=*/kind=dead_letters"
-
-    def _due_retries(self, batch_id: int, tick: int, now, prev, oldest_batch: int):
+    def _due_retries(self, batch_id: int, tick: int, now, prev):
+        """Retries due in (prev, now]: only the due-minute folders of the
+        window are read (explicit paths: no listing of the whole history)."""
+        import datetime as dt
         if prev is None:
             return None
-        r = self.output("retries")
-        if r is None:
+        minutes, m = [], prev.replace(second=0, microsecond=0)
+        while m <= now:
+            minutes.append(m.strftime("%Y%m%d%H%M"))
+            m += dt.timedelta(minutes=1)
+        base = self._kind_path("retries")
+        paths = [f"{base}/dueMinute={x}" for x in minutes if path_exists(self.spark, f"{base}/dueMinute={x}")]
+        if not paths:
             return None
-        due = (F.col("dueAt") > F.lit(prev).cast("timestamp")) & (F.col("dueAt") <= F.lit(now).cast("timestamp"))
-        # only earlier ticks hold retries, and only recent ones can be due: the
-        # partition predicates prune every other folder (including the one this
-        # tick is about to overwrite when it is replayed)
+        r = self.spark.read.option("basePath", base).parquet(*paths)
         b, t = F.col("batch_id"), F.col("tick")
+        # written by an earlier tick (never the folder this tick overwrites)
         earlier = (b < batch_id) | ((b == batch_id) & (t < tick))
-        return r.filter((b >= oldest_batch) & earlier & due).select(*S.ENVELOPE.fieldNames(), "attempt")
+        due = (F.col("rec.dueAt") > F.lit(prev).cast("timestamp")) & (F.col("rec.dueAt") <= F.lit(now).cast("timestamp"))
+        return r.filter(earlier & due).select("rec.*").select(*S.ENVELOPE.fieldNames(), "attempt")
 
     def process(self, batch: DataFrame, batch_id: int, tick: int = 0) -> None:
-        now_value, prev, oldest = self._clock(batch_id, tick)
+        now_value, prev = self._clock(batch_id, tick)
         now = F.lit(now_value).cast("timestamp")
         work = batch.select(*S.ENVELOPE.fieldNames()).withColumn("attempt", F.lit(1))
-        due = self._due_retries(batch_id, tick, now_value, prev, oldest)
+        due = self._due_retries(batch_id, tick, now_value, prev)
         if due is not None:
             work = work.unionByName(due)
         parsed = D.parse_orders(work)
@@ -242,24 +233,27 @@ class OrderStreamJob:
                        route["nextAttempt"].alias("attempt"), route["dueAt"].alias("dueAt"))
         types = parsed.select(doc.alias("doc"), feed.alias("feed"), rec.alias("rec")).schema
         null = {f.name: F.lit(None).cast(f.dataType) for f in types.fields}
+        none = F.lit(self._NO_MINUTE)
 
-        def out(kind, d, f, r):
-            return F.struct(F.lit(kind).alias("kind"), d.alias("doc"), f.alias("feed"), r.alias("rec"))
+        def out(kind, minute, d, f, r):
+            return F.struct(F.lit(kind).alias("kind"), minute.alias("dueMinute"), d.alias("doc"), f.alias("feed"),
+                            r.alias("rec"))
 
         ok_c, dead = F.col("ok"), route["deadLetter"]
         rows = F.array(
-            F.when(ok_c, out("store_log", doc, null["feed"], null["rec"])),
-            F.when(ok_c & FD.lean_ok(ev), out("feed", null["doc"], feed, null["rec"])),
-            F.when(~ok_c & ~dead, out("retries", null["doc"], null["feed"], rec)),
-            F.when(~ok_c & dead, out("dead_letters", null["doc"], null["feed"], rec)),
+            F.when(ok_c, out("store_log", none, doc, null["feed"], null["rec"])),
+            F.when(ok_c & FD.lean_ok(ev), out("feed", none, null["doc"], feed, null["rec"])),
+            F.when(~ok_c & ~dead, out("retries", F.date_format(route["dueAt"], "yyyyMMddHHmm"), null["doc"],
+                                      null["feed"], rec)),
+            F.when(~ok_c & dead, out("dead_letters", none, null["doc"], null["feed"], rec)),
         )
-        outputs = parsed.select(F.explode(rows).alias("o")).filter(F.col("o").isNotNull()).select("o.*")
-        (outputs.write.mode("overwrite").partitionBy("kind")
-         .parquet(batch_folder(self.paths["out"], batch_id, tick)))
+        outputs = (parsed.select(F.explode(rows).alias("o")).filter(F.col("o").isNotNull()).select("o.*")
+                   .withColumns({"batch_id": F.lit(batch_id), "tick": F.lit(tick)}))
+        (outputs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("kind", "dueMinute", "batch_id", "tick").parquet(self.paths["out"]))
         m = obs.get
         (self.spark.createDataFrame([(int(m.get("published", 0)), int(m.get("processed", 0)),
-                                      int(m.get("retried", 0)), int(m.get("deadLettered", 0)))],
-                                    self._FLOW)
+                                      int(m.get("retried", 0)), int(m.get("deadLettered", 0)))], self._FLOW)
          .write.mode("overwrite").parquet(batch_folder(self.paths["flow"], batch_id, tick)))
 
     def drain(self, after_batch: int) -> None:
@@ -281,7 +275,7 @@ class OrderStreamJob:
     def flow_counters(self) -> DataFrame:
         """D19 live: published / publish-failed / processed / dead-lettered
         totals over every tick's observed metrics."""
-        f = read_batches(self.spark, self.paths["flow"])
+        f = read_batches(self.spark, self.paths["flow"], T.StructType.fromDDL(self._FLOW))
         return f.agg(
             F.coalesce(F.sum("published"), F.lit(0)).cast("long").alias("published"),
             F.lit(0).cast("long").alias("publishFailed"),
@@ -296,10 +290,13 @@ class OrderStreamJob:
         return upsert_orders(log, ["batch_id", "tick", "kafkaTopic", "kafkaPartition", "kafkaOffset"])
 
 
-def run_dead_letters(spark: SparkSession, dead_letter_files: str, out_root: str, checkpoint: str, as_of: str):
+def run_dead_letters(spark: SparkSession, dead_letter_folder: str, out_root: str, checkpoint: str, as_of: str):
     """I4: the dead-letter consumer as its own streaming query: A5 for records
     that parse (DLQ documents), A6 quarantine for those that do not.
-    ``dead_letter_files`` is a path (glob) of files holding a ``rec`` struct."""
+    ``dead_letter_folder`` holds files with a ``rec`` struct (partitioned by
+    batch folders).  Returns None when no dead letter was ever written."""
+    if not path_exists(spark, dead_letter_folder):
+        return None
     rec = T.StructType(S.ENVELOPE.fields + [T.StructField("attempt", T.IntegerType()),
                                             T.StructField("dueAt", T.TimestampType())])
     schema = T.StructType([T.StructField("rec", rec)])
@@ -313,7 +310,7 @@ def run_dead_letters(spark: SparkSession, dead_letter_files: str, out_root: str,
         finally:
             parsed.unpersist()
 
-    stream = spark.readStream.schema(schema).parquet(dead_letter_files)
+    stream = spark.readStream.schema(schema).parquet(dead_letter_folder)
     return run_available_now(stream, process, checkpoint)
 
 

@@ -73,7 +73,7 @@ def test_restart_from_checkpoint_adds_nothing(spark, job_run):
 
 def test_dead_letter_consumer(spark, job_run):
     job, root, _, _ = job_run
-    J.run_dead_letters(spark, job.dead_letter_files(), f"{root}/dlt", f"{root}/dlt-ckpt", FX.AS_OF)
+    J.run_dead_letters(spark, job.dead_letter_folder(), f"{root}/dlt", f"{root}/dlt-ckpt", FX.AS_OF)
     docs = J.read_batches(spark, f"{root}/dlt/dlq_docs")
     quarantined = J.read_batches(spark, f"{root}/dlt/quarantine")
     _, n_dead = expected(spark)
