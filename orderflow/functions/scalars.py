@@ -73,17 +73,19 @@ def tier_lane(key, lanes: int = S.TIER_LANES) -> Column:
     ).cast("int")
 
 
-def priority_lane(key, lanes: int = S.PRIORITY_LANES) -> Column:
-    """Lane of a priority-routed key ``priority:customerId``.
-
-    With 8+ lanes FLASH_SALE owns 6-7, EXPRESS 4-5 and everything else 0-3;
-    with fewer lanes the customer hash alone picks one.
-    """
+def priority_key_parts(key) -> tuple[Column, Column]:
+    """(priority, customerId) of a ``priority:customerId`` key (split at the
+    first ``:``; a null key reads as ""; no ``:`` -> the whole key is both)."""
     k = F.coalesce(_col(key), F.lit(""))
     parts = F.split(k, ":", 2)
-    priority = parts.getItem(0)
     cust = F.when(F.size(parts) > 1, F.try_element_at(parts, F.lit(2))).otherwise(k)
-    h = java_abs_hash(cust)
+    return parts.getItem(0), cust
+
+
+def priority_lane_of(priority: Column, abs_hash: Column, lanes: int = S.PRIORITY_LANES) -> Column:
+    """Priority lane from the parts and the customer's |hash| (so one hash can
+    feed several lane layouts)."""
+    h = abs_hash
     if lanes < 8:
         return (h % lanes).cast("int")
     return (
@@ -93,6 +95,16 @@ def priority_lane(key, lanes: int = S.PRIORITY_LANES) -> Column:
     ).cast("int")
 
 
+def priority_lane(key, lanes: int = S.PRIORITY_LANES) -> Column:
+    """Lane of a priority-routed key ``priority:customerId``.
+
+    With 8+ lanes FLASH_SALE owns 6-7, EXPRESS 4-5 and everything else 0-3;
+    with fewer lanes the customer hash alone picks one.
+    """
+    priority, cust = priority_key_parts(key)
+    return priority_lane_of(priority, java_abs_hash(cust), lanes)
+
+
 def routing_label(tier) -> Column:
     return F.when(_col(tier) == S.PREMIUM, F.lit(S.PREMIUM_ROUTE_LABEL)).otherwise(F.lit(S.STANDARD_ROUTE_LABEL))
 

@@ -91,8 +91,10 @@ def q_tier_lane(spark, sf):
     "(SELECT orderId, priority || ':' || customerId AS key FROM order_docs)", DOCS))
 def q_priority_lane(spark, sf):
     d = _docs(spark, sf).select("orderId", X.partition_key("priority", "customerId").alias("key"))
-    return d.select("orderId", "key", X.priority_lane(F.col("key")).alias("lane"),
-                    X.priority_lane(F.col("key"), 3).alias("lane3"))
+    prio, cust = X.priority_key_parts(F.col("key"))
+    h = d.select("orderId", "key", prio.alias("_p"), X.java_abs_hash(cust).alias("_h"))  # hash once
+    return h.select("orderId", "key", X.priority_lane_of(F.col("_p"), F.col("_h")).alias("lane"),
+                    X.priority_lane_of(F.col("_p"), F.col("_h"), 3).alias("lane3"))
 
 
 @register("java_string_hash",

@@ -252,17 +252,25 @@ class OrderStreamJob:
         (outputs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("kind", "dueMinute", "batch_id", "tick").parquet(self.paths["out"]))
         m = obs.get
+        self._last_flow = m
         (self.spark.createDataFrame([(int(m.get("published", 0)), int(m.get("processed", 0)),
                                       int(m.get("retried", 0)), int(m.get("deadLettered", 0)))], self._FLOW)
          .write.mode("overwrite").parquet(batch_folder(self.paths["flow"], batch_id, tick)))
 
     def drain(self, after_batch: int) -> None:
         """Drain ticks: a micro-batch runs only when new data arrives, so
-        pending retries are fed through the same function on empty batches
-        (one tick per remaining attempt)."""
+        pending retries are fed through the same function on empty batches.
+        A tick spacing of at least the longest delay makes every retry due by
+        the next tick, so draining stops at the first tick that routed no new
+        retry (at most one tick per remaining attempt)."""
+        import time
         empty = self.spark.createDataFrame([], S.ENVELOPE)
         for tick in range(1, self.ticks_per_batch):
+            if self.clock == "wall":
+                time.sleep(self.tick_seconds)
             self.process(empty, after_batch, tick)
+            if not getattr(self, "_last_flow", {}).get("retried", 0):
+                break
 
     def run(self, source: str, checkpoint: str, max_files: int | None = 8) -> int:
         stream = read_order_stream(self.spark, source, max_per_trigger=max_files)
