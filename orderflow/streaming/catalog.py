@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow import schemas as S
 from orderflow.operators import documents as D
 from orderflow.operators import feed as FD
 from orderflow.operators import metrics as M
