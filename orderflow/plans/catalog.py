@@ -265,7 +265,7 @@ def _routed(spark, sf):
 
 # SQL twin of the attempt fan-out: attempts 1..first success (or 1..4)
 ATTEMPTS = """attempts AS (
-SELECT t.*, a.attempt,
+SELECT t.*, CAST(a.attempt AS INT) AS attempt,
  (t."offset" % 101 <> 0) AND NOT (t."offset" % 50 < 6 AND a.attempt <= t."offset" % 50) AS ok
 FROM topic_log t, range(1, 5) a(attempt)
 WHERE a.attempt <= CASE WHEN t."offset" % 101 = 0 THEN 4
@@ -625,8 +625,8 @@ def q_status_success_count(spark, sf):
 
 
 @register("store_report", O.with_(
-    "SELECT t.*, (SELECT to_json(list(struct_pack(id := customerTier, count := n, revenue := rev) "
-    "ORDER BY rev DESC)) FROM (SELECT customerTier, count(*) AS n, CAST(coalesce(sum(totalAmount), 0) AS "
+    "SELECT t.*, (SELECT CAST(to_json(list(struct_pack(id := customerTier, count := n, revenue := rev) "
+    "ORDER BY rev DESC)) AS VARCHAR) FROM (SELECT customerTier, count(*) AS n, CAST(coalesce(sum(totalAmount), 0) AS "
     "DECIMAL(38,2)) AS rev FROM order_docs GROUP BY customerTier)) AS tierDistribution FROM ("
     f"SELECT totalOrdersInDb, dlqOrders, totalOrders, totalRevenue, {O.money_avg('totalRevenue', 'totalOrders')} "
     "AS avgOrderValue FROM (SELECT count(*) AS totalOrdersInDb, count(*) FILTER (WHERE processingStatus = 'DLQ') "
@@ -704,8 +704,8 @@ def q_failed_count(spark, sf):
 
 
 def _map_json(dim: str) -> str:
-    return (f"(SELECT to_json(map_from_entries(list(struct_pack(k := value, v := orders) ORDER BY value))) "
-            f"FROM dim_counts WHERE dimension = '{dim}') AS {dim}Counts")
+    return (f"(SELECT CAST(to_json(map_from_entries(list(struct_pack(k := value, v := orders) ORDER BY value))) "
+            f"AS VARCHAR) FROM dim_counts WHERE dimension = '{dim}') AS {dim}Counts")
 
 
 SNAPSHOT_BODY = (
@@ -729,10 +729,10 @@ def q_dashboard_snapshot(spark, sf):
 
 
 @register("stats_feed", O.with_(
-    "SELECT to_json(struct_pack(statusCounts := json(statusCounts), regionCounts := json(regionCounts), "
+    "SELECT CAST(to_json(struct_pack(statusCounts := json(statusCounts), regionCounts := json(regionCounts), "
     "priorityCounts := json(priorityCounts), categoryCounts := json(categoryCounts), totalRevenue24h := "
     "totalRevenue24h, totalOrders24h := totalOrders24h, failedOrders := failedOrders, avgOrderValue := "
-    f"avgOrderValue, snapshotAt := {O.iso('snapshotAt')})) AS payload FROM ({SNAPSHOT_BODY}) s",
+    f"avgOrderValue, snapshotAt := {O.iso('snapshotAt')})) AS VARCHAR) AS payload FROM ({SNAPSHOT_BODY}) s",
     DOCS, LC, DIMS, DIM_COUNTS))
 def q_stats_feed(spark, sf):
     snap = M.dashboard_snapshot(_lc(spark, sf), FX.as_of()).withColumn("snapshotAt", X.iso_text("snapshotAt"))
@@ -740,7 +740,8 @@ def q_stats_feed(spark, sf):
 
 
 @register("resync_24h", O.with_(
-    "SELECT (SELECT to_json(map_from_entries(list(struct_pack(k := s.status, v := coalesce(c.n, 0)) ORDER BY s.pos)))"
+    "SELECT (SELECT CAST(to_json(map_from_entries(list(struct_pack(k := s.status, v := coalesce(c.n, 0)) "
+    "ORDER BY s.pos))) AS VARCHAR)"
     f" FROM (SELECT * FROM (VALUES {', '.join(f'({i}, {chr(39)}{s}{chr(39)})' for i, s in enumerate(S.LIFECYCLE_STATUSES))})"
     " v(pos, status)) s LEFT JOIN (SELECT status, count(*) AS n FROM lifecycle GROUP BY status) c ON c.status = s.status"
     ") AS statusCounts, totalRevenue24h, totalOrders24h, failedOrders, "

@@ -37,7 +37,7 @@ ITEMS = f"""items AS (
 SELECT l_orderkey,
  list(struct_pack(productId := {_ITEM_FIELDS[0]}, productName := p_name, category := p_type,
    quantity := {_ITEM_FIELDS[3]}, unitPrice := {_ITEM_FIELDS[4]}) ORDER BY {', '.join(_ITEM_FIELDS)}) AS items,
- count(*) AS itemCount,
+ CAST(count(*) AS INT) AS itemCount,
  sum({_ITEM_FIELDS[4]} * {_ITEM_FIELDS[3]}) AS itemsTotal
 FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey)"""
 
