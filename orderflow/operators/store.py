@@ -58,6 +58,38 @@ def merge_into_store(current: DataFrame, batch: DataFrame, seq_cols: list[str],
     return upsert_orders(union, seq_cols, key, ingested_col)
 
 
+def compact_store(spark: SparkSession, current: DataFrame, root: str) -> str:
+    """Write the current view as the next snapshot version ``root/version=N``
+    and return its path.  Readers switch to the new version only after it is
+    complete (the folder name is the commit), the log up to it can then be
+    dropped, and the written table cuts the lineage of the incremental
+    merges.  Rows are clustered by ``orderId`` so the next merge's shuffle
+    reads sorted files."""
+    from orderflow.session import path_exists
+    version = latest_version(spark, root) + 1 if path_exists(spark, root) else 0
+    path = f"{root}/version={version}"
+    current.repartition("orderId").sortWithinPartitions("orderId").write.mode("overwrite").parquet(path)
+    return path
+
+
+def latest_version(spark: SparkSession, root: str) -> int:
+    """Highest complete snapshot version under ``root`` (-1 when none)."""
+    from orderflow.session import path_exists
+    jvm = spark.sparkContext._jvm
+    fs_path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    versions = []
+    for st in fs.listStatus(fs_path):
+        name = st.getPath().getName()
+        if name.startswith("version=") and path_exists(spark, f"{root}/{name}/_SUCCESS"):
+            versions.append(int(name.split("=", 1)[1]))
+    return max(versions) if versions else -1
+
+
+def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/version={latest_version(spark, root)}")
+
+
 def scan_orders(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """Read a stored collection with its declared schema (no inference)."""
     reader = spark.read

@@ -101,3 +101,17 @@ def test_orders_exist(spark, docs):
     ids = spark.createDataFrame([("O01",), ("ZZZ",)], "orderId string")
     got = {r.orderId: r.exists for r in L.orders_exist(ids, docs).collect()}
     assert got == {"O01": True, "ZZZ": False}
+
+
+def test_compaction_versions_and_incremental_merge(spark):
+    from orderflow.session import scratch_path
+    root = scratch_path(spark, "test-compact")
+    b1 = [("O1", "PLACED", Decimal("1"), 1, t(1)), ("O2", "PLACED", Decimal("2"), 2, t(1))]
+    b2 = [("O1", "DELIVERED", Decimal("1"), 3, t(5)), ("O3", "PLACED", Decimal("3"), 4, t(5))]
+    v0 = ST.compact_store(spark, ST.upsert_orders(spark.createDataFrame(b1, LOG), ["seq"]), root)
+    assert v0.endswith("version=0") and ST.latest_version(spark, root) == 0
+    merged = ST.merge_into_store(ST.read_snapshot(spark, root), spark.createDataFrame(b2, LOG), ["seq"])
+    v1 = ST.compact_store(spark, merged, root)
+    assert v1.endswith("version=1")
+    snap = {r.orderId: r for r in ST.read_snapshot(spark, root).collect()}
+    assert snap["O1"].status == "DELIVERED" and snap["O1"].createdAt == t(1) and len(snap) == 3
