@@ -162,26 +162,33 @@ class OrderStreamJob:
         n = batch_id * self.ticks_per_batch + tick
         return dt.datetime.fromisoformat(self.as_of) + dt.timedelta(seconds=n * self.tick_seconds)
 
-    def _ticks_of(self, batch_id: int) -> list[tuple[int, object]]:
-        """Recorded (tick, now) of one batch: one small folder read."""
-        path = f"{self.paths['ticks']}/batch_id={batch_id}"
-        if batch_id < 0 or not path_exists(self.spark, path):
-            return []
-        rows = self.spark.read.schema(f"{self._TICK}, tick int").option("basePath", path).parquet(path).collect()
-        return [(r["tick"], r["now"]) for r in rows]
+    def _ticks_of(self, batch_id: int) -> dict:
+        """Recorded {tick: now} of one batch.  Read from the tick log the first
+        time this process touches the batch (e.g. after a restart), then kept
+        in memory together with the ticks this process records."""
+        cache = self.__dict__.setdefault("_tick_cache", {})
+        if batch_id not in cache:
+            path = f"{self.paths['ticks']}/batch_id={batch_id}"
+            rows = []
+            if batch_id >= 0 and path_exists(self.spark, path):
+                rows = (self.spark.read.schema(f"{self._TICK}, tick int").option("basePath", path)
+                        .parquet(path).collect())
+            cache[batch_id] = {r["tick"]: r["now"] for r in rows}
+        return cache[batch_id]
 
     def _clock(self, batch_id: int, tick: int):
         """(now, previous tick's now).  Micro-batch ids are consecutive, so the
         previous tick is in this batch or the one before: two folders."""
-        mine = dict(self._ticks_of(batch_id))
+        mine = self._ticks_of(batch_id)
         now = mine.get(tick)
         if now is None:
             now = self._now(batch_id, tick)
             (self.spark.createDataFrame([(now,)], self._TICK).write.mode("overwrite")
              .parquet(batch_folder(self.paths["ticks"], batch_id, tick)))
+            mine[tick] = now
         earlier = [n for t, n in mine.items() if t < tick]
         if not earlier:
-            earlier = [n for _, n in self._ticks_of(batch_id - 1)]
+            earlier = list(self._ticks_of(batch_id - 1).values())
         return now, (max(earlier) if earlier else None)
 
     # ---- output layout
