@@ -292,13 +292,16 @@ def session_totals(feed: DataFrame) -> DataFrame:
     )
 
 
-def premium_split(feed: DataFrame) -> DataFrame:
-    """Premium vs the rest, counts and rounded percents of the total."""
-    t = feed.agg(
+def premium_counts(feed: DataFrame) -> DataFrame:
+    """Running counts behind D16: total, premium, every other tier."""
+    return feed.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("customerTier") == S.PREMIUM).alias("premium"),
         F.count_if(F.coalesce(F.col("customerTier"), F.lit("")) != S.PREMIUM).alias("standard"),
     )
+
+
+def premium_split_from_counts(t: DataFrame) -> DataFrame:
     return t.select(
         "premium", "standard",
         F.when(F.col("total") > 0, X.pct("premium", "total")).otherwise(0).alias("premiumPct"),
@@ -306,15 +309,27 @@ def premium_split(feed: DataFrame) -> DataFrame:
     )
 
 
+def premium_split(feed: DataFrame) -> DataFrame:
+    """Premium vs the rest, counts and rounded percents of the total."""
+    return premium_split_from_counts(premium_counts(feed))
+
+
+def share_counts(feed: DataFrame, col: str) -> DataFrame:
+    """Running counts behind D17/D18: orders per value of ``col``."""
+    return feed.groupBy(col).agg(F.count(F.lit(1)).alias("orders"))
+
+
+def share_from_counts(counts: DataFrame, col: str) -> DataFrame:
+    """Rounded percent of each value's count; the total is a scalar subquery
+    over the (small) count table, not a join."""
+    total = counts.agg(F.sum("orders")).scalar()
+    return (counts.select(col, "orders", X.pct(F.col("orders"), total).alias("pct"))
+            .orderBy(F.col("orders").desc(), F.col(col).asc_nulls_first()))
+
+
 def share_by(feed: DataFrame, col: str) -> DataFrame:
-    """Count and rounded percent per value of ``col``, count descending.
-    The total is a scalar subquery (a separate one-row job), not a join."""
-    total = feed.agg(F.count(F.lit(1))).scalar()
-    return (
-        feed.groupBy(col).agg(F.count(F.lit(1)).alias("orders"))
-        .select(col, "orders", X.pct(F.col("orders"), total).alias("pct"))
-        .orderBy(F.col("orders").desc(), F.col(col).asc_nulls_first())
-    )
+    """Count and rounded percent per value of ``col``, count descending."""
+    return share_from_counts(share_counts(feed, col), col)
 
 
 def region_share(feed: DataFrame) -> DataFrame:

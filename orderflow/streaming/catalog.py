@@ -185,13 +185,53 @@ def q_hourly_stats_stream(spark, sf):
 
 
 # ---------------------------------------------------------------------- I9
+def _feed_stream(spark, sf, root):
+    feed = FD.lean_order(FX.order_events(spark, sf), keep=["kafkaOffset"])
+    src = J.materialize(feed, f"{root}/source", split_col="kafkaOffset")
+    return spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 8).parquet(src)
+
+
+def _last_batch(spark, out_root):
+    out = J.read_batches(spark, out_root)
+    last = out.agg(F.max("batch_id")).scalar()
+    return out.filter(F.col("batch_id") == last).drop("batch_id")
+
+
+def _counts_then(spark, sf, key, counts_of, finish):
+    """Dashboard maths on the live feed: a complete-mode count table on the
+    stream (a handful of rows), finished per micro-batch by ``finish``."""
+    root = _scratch(spark, key)
+    counts = counts_of(_feed_stream(spark, sf, root))
+    J.run_available_now(counts, lambda df, bid: J.write_batch(finish(df), f"{root}/out", bid), f"{root}/ckpt",
+                        output_mode="complete")
+    return _last_batch(spark, f"{root}/out")
+
+
+@register("premium_split_stream", C.ORACLE["premium_split"])
+def q_premium_split_stream(spark, sf):
+    """D16 on the live feed."""
+    return _counts_then(spark, sf, "premium_split_stream", M.premium_counts, M.premium_split_from_counts)
+
+
+@register("region_share_stream", C.ORACLE["region_share"])
+def q_region_share_stream(spark, sf):
+    """D17 on the live feed."""
+    return _counts_then(spark, sf, "region_share_stream", lambda f: M.share_counts(f, "region"),
+                        lambda c: M.share_from_counts(c, "region"))
+
+
+@register("payment_share_stream", C.ORACLE["payment_share"])
+def q_payment_share_stream(spark, sf):
+    """D18 on the live feed."""
+    return _counts_then(spark, sf, "payment_share_stream", lambda f: M.share_counts(f, "paymentMethod"),
+                        lambda c: M.share_from_counts(c, "paymentMethod"))
+
+
 @register("session_totals_stream", C.ORACLE["session_totals"])
 def q_session_totals_stream(spark, sf):
+    """D15 on the live feed."""
     root = _scratch(spark, "session_totals_stream")
-    feed = FD.lean_order(FX.order_events(spark, sf), keep=["kafkaOffset"])
-    src = J.materialize(feed, f"{root}/source", split_col="kafkaOffset")
-    stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 8).parquet(src)
-    totals = M.session_totals(stream)
+    totals = M.session_totals(_feed_stream(spark, sf, root))
     J.run_available_now(totals, lambda df, bid: J.write_batch(df, f"{root}/out", bid), f"{root}/ckpt",
                         output_mode="complete")
     out = J.read_batches(spark, f"{root}/out")
