@@ -113,6 +113,16 @@ def q_publish_ack(spark, sf):
     return D.publish_ack(_docs(spark, sf))
 
 
+@register("routing_label", O.with_(
+    "SELECT orderId, customerTier AS tier, "
+    f"CASE WHEN customerTier = 'PREMIUM' THEN '{S.PREMIUM_ROUTE_LABEL}' ELSE '{S.STANDARD_ROUTE_LABEL}' END "
+    "AS routing FROM order_docs", DOCS))
+def q_routing_label(spark, sf):
+    """The routing label of every order (lane 0 for PREMIUM)."""
+    return _docs(spark, sf).select("orderId", F.col("customerTier").alias("tier"),
+                                   X.routing_label("customerTier").alias("routing"))
+
+
 # ================================================================ validation
 def _blank(c: str) -> str:
     return f"({c} IS NULL OR regexp_matches({c}, '^[\\x00-\\x20]*$'))"
