@@ -123,6 +123,28 @@ def q_routing_label(spark, sf):
                                    X.routing_label("customerTier").alias("routing"))
 
 
+_LC_LIST = ", ".join(f"'{x}'" for x in S.LIFECYCLE_STATUSES)
+
+
+@register("normalize_enum", O.with_(
+    "SELECT orderId, lower(status) AS rawStatus, "
+    f"CASE WHEN upper(lower(status)) IN ({_LC_LIST}) THEN upper(lower(status)) END AS status, "
+    f"upper(lower(status)) IN ({_LC_LIST}) AS isValid FROM order_docs", DOCS))
+def q_normalize_enum(spark, sf):
+    """H3: P1 statuses as lower-case text checked against the P2 status list
+    (upper-cased; unknown values such as CONFIRMED become null)."""
+    d = _docs(spark, sf).select("orderId", F.lower("status").alias("rawStatus"))
+    norm = X.normalize_enum(F.col("rawStatus"), S.LIFECYCLE_STATUSES)
+    return d.select("orderId", "rawStatus", norm.alias("status"), norm.isNotNull().alias("isValid"))
+
+
+@register("order_id")
+def q_order_id(spark, sf):
+    """H4: a fresh id for every stored order (random: rows-only check; tests
+    check prefix, width and uniqueness)."""
+    return _docs(spark, sf).select("orderId", X.order_id().alias("newOrderId"))
+
+
 # ================================================================ validation
 def _blank(c: str) -> str:
     return f"({c} IS NULL OR regexp_matches({c}, '^[\\x00-\\x20]*$'))"
@@ -393,6 +415,12 @@ def q_upsert_orders(spark, sf):
                                                  "createdAt", "updatedAt")
 
 
+@register("page_orders", O.with_(f"SELECT * FROM order_docs {ORDER_P1} LIMIT 20 OFFSET 60", DOCS))
+def q_page_orders(spark, sf):
+    """page 3 (size 20) of all orders, newest first."""
+    return L.page_orders(_docs(spark, sf), "eventTimestamp", 3, 20).select(*DOC_COLS)
+
+
 @register("scan_orders", O.with_(f"SELECT * FROM order_docs {ORDER_P1} LIMIT 20", DOCS))
 def q_scan_orders(spark, sf):
     return L.page_orders(_docs(spark, sf), "eventTimestamp", 0, 20).select(*DOC_COLS)
