@@ -46,25 +46,38 @@ def read_order_stream(spark: SparkSession, source: str, fmt: str = "parquet", sc
     return r.options(**options).load(source)
 
 
-def materialize(df: DataFrame, path: str, files: int = 32, split_col: str | None = None) -> str:
-    """Write a DataFrame as ``files`` Parquet files: a replayable file source
-    standing in for a topic (one file ~ one slice of a partition).  The split
-    is a hash on ``split_col`` (one shuffle, no sampling pass)."""
-    out = df.repartition(files, split_col) if split_col else df.repartition(files)
-    out.write.mode("overwrite").parquet(path)
+MAX_RECORDS_PER_FILE = 1_000_000
+
+
+def _source_files(df: DataFrame, files: int | None) -> int:
+    # at least 32 slices, more on a bigger cluster; file size is capped below
+    return files or max(32, df.sparkSession.sparkContext.defaultParallelism)
+
+
+def materialize(df: DataFrame, path: str, files: int | None = None, split_col: str | None = None) -> str:
+    """Write a DataFrame as Parquet files: a replayable file source standing in
+    for a topic (one file ~ one slice of a partition).  The split is a hash on
+    ``split_col`` (one shuffle, no sampling pass); no file holds more than
+    ``MAX_RECORDS_PER_FILE`` rows, so file size does not grow with the data."""
+    n = _source_files(df, files)
+    out = df.repartition(n, split_col) if split_col else df.repartition(n)
+    out.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
     return path
 
 
-def materialize_in_order(df: DataFrame, path: str, order_col: str, slices: int = 4, files: int = 8) -> str:
+def materialize_in_order(df: DataFrame, path: str, order_col: str, slices: int = 4, files: int = 8,
+                         relative_error: float = 0.001) -> str:
     """Write ``df`` as ``slices`` consecutive appends, each holding one range of
     ``order_col`` in ``files`` files: a file source read with
     ``maxFilesPerTrigger=files`` then sees the data in order, one slice per
     micro-batch (how an event-time stream arrives).  The range bounds come
-    from ``approxQuantile`` (a few numbers on the driver)."""
+    from ``approxQuantile`` (a few numbers on the driver; a small relative
+    error keeps its summaries bounded on large tables -- the cuts need not be
+    exact)."""
     key = F.unix_micros(F.col(order_col).cast("timestamp")) if dict(df.dtypes)[order_col].startswith(
         "timestamp") else F.col(order_col)
     keyed = df.withColumn("_k", key.cast("double"))
-    cuts = keyed.approxQuantile("_k", [i / slices for i in range(1, slices)], 0.0)
+    cuts = keyed.approxQuantile("_k", [i / slices for i in range(1, slices)], relative_error)
     bounds = [None, *cuts, None]
     for lo, hi in zip(bounds[:-1], bounds[1:]):
         cond = F.lit(True)
@@ -72,7 +85,8 @@ def materialize_in_order(df: DataFrame, path: str, order_col: str, slices: int =
             cond = cond & (F.col("_k") >= lo)
         if hi is not None:
             cond = cond & (F.col("_k") < hi)
-        keyed.filter(cond).drop("_k").repartition(files).write.mode("append").parquet(path)
+        (keyed.filter(cond).drop("_k").repartition(files).write.mode("append")
+         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path))
     return path
 
 
