@@ -295,9 +295,10 @@ class OrderStreamJob:
          .partitionBy("kind", "dueMinute", "batch_id", "tick").parquet(self.paths["out"]))
         m = obs.get
         self._last_flow = m
-        (self.spark.createDataFrame([(int(m.get("published", 0)), int(m.get("processed", 0)),
-                                      int(m.get("retried", 0)), int(m.get("deadLettered", 0)))], self._FLOW)
-         .write.mode("overwrite").parquet(batch_folder(self.paths["flow"], batch_id, tick)))
+        counts = tuple(int(m.get(c, 0)) for c in ("published", "processed", "retried", "deadLettered"))
+        if any(counts):  # an idle tick adds nothing to the totals
+            (self.spark.createDataFrame([counts], self._FLOW)
+             .write.mode("overwrite").parquet(batch_folder(self.paths["flow"], batch_id, tick)))
 
     def drain(self, after_batch: int) -> None:
         """Drain ticks: a micro-batch runs only when new data arrives, so
