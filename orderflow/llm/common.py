@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 from orderflow.session import ensure_defaults, scratch_path
@@ -12,13 +16,28 @@ BATCH_BYTES = 32 << 20
 
 
 def prepare(spark: SparkSession) -> None:
-    """Session settings of every query here: Arrow batches small enough for whole texts."""
+    """Session settings of every query here: Arrow batches small enough for whole texts; workers can import the package."""
     ensure_defaults(spark)
+    ship(spark)
     for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS)),
                        ("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))):
         spark.conf.set(key, value)
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once a session: their Python workers import it to run its functions."""
+    context = spark.sparkContext
+    if getattr(context, "_orderflow_shipped", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = f"{tempfile.mkdtemp(prefix='orderflow-')}/orderflow_package.zip"  # served by the driver
+    with zipfile.ZipFile(archive, "w") as z:
+        for path in sorted(package.rglob("*.py")):
+            z.write(path, path.relative_to(package.parent))
+    context.addPyFile(archive)
+    context._orderflow_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

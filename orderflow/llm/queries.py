@@ -6,14 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderflow.llm import bpe, decontaminate, secret_scan, sharding, url_filters
+from orderflow.llm import (
+    bpe, decontaminate, embedding_dedup, html_extract, jaccard_join, repeats, secret_scan, sharding, toxicity, url_filters,
+)
 from orderflow.llm.common import prepare, table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(repeats.repeat_spans(table(spark, sf_dir, "documents")))
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_urls(table(spark, sf_dir, "pages"))
 
@@ -23,14 +34,26 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(sharding.minimax_shards(table(spark, sf_dir, "documents")))
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_text(table(spark, sf_dir, "pages"))
+
+
 def _ready(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
@@ -40,6 +63,7 @@ def _ready(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 
 
 QUERIES = {f.__name__: _ready(f) for f in (
-    op2_bpe, op4_url_filters, op5_decontamination, op7_secret_scan, op9_sharding)}
+    op1_toxicity, op2_bpe, op3_repeats, op4_url_filters, op5_decontamination, op6_embedding_dedup, op7_secret_scan,
+    op8_jaccard_join, op9_sharding, op10_html_text)}
 
 ORACLE: dict[str, str] = {}
