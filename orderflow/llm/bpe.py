@@ -19,8 +19,8 @@ import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from orderflow.llm.common import by_row
 
 #: Fixed value: the pattern that splits text before the merges (white space by its Unicode property).
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -210,29 +210,25 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     left out, whatever their names. ``vocabulary`` must be readable at the same path on every executor.
     """
     path = vocabulary or default_vocabulary()
-    out = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"id": batch["id"], "ids": [
                 np.frombuffer(p, "<i4") for p in encoder(path).encode_batch([t or "" for t in batch["text"]])]})
 
-    read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return read.mapInPandas(encode, out).withColumnRenamed("id", id_col)
+    return by_row(docs, encode, id_col, "ids array<int>", text=text_col)
 
 
 def decode_documents(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", vocabulary: str | None = None) -> DataFrame:
     """One row for each row of ``encoded``: id, text. Null ids are an empty text."""
     path = vocabulary or default_vocabulary()
-    out = T.StructType([T.StructField("id", encoded.schema[id_col].dataType), T.StructField("text", T.StringType())])
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"id": batch["id"], "text": [
                 "" if ids is None else encoder(path).decode(np.asarray(ids, "<u4").tobytes()) for ids in batch["ids"]]})
 
-    read = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
-    return read.mapInPandas(decode, out).withColumnRenamed("id", id_col)
+    return by_row(encoded, decode, id_col, "text string", ids=ids_col)
 
 
 def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
@@ -241,8 +237,6 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     The cases of ``encode_documents`` hold.
     """
     path = vocabulary or default_vocabulary()
-    out = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("n_tokens", T.LongType()),
-                        T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
 
     def both(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = encoder(path)
@@ -253,5 +247,4 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 "ids_sha256": [hashlib.sha256(p).hexdigest() for p in packed],
                 "decoded_sha256": [hashlib.sha256(bpe.decode(p).encode()).hexdigest() for p in packed]})
 
-    read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return read.mapInPandas(both, out).withColumnRenamed("id", id_col)
+    return by_row(docs, both, id_col, "n_tokens long, ids_sha256 string, decoded_sha256 string", text=text_col)

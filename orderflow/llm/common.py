@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderflow.session import ensure_defaults, scratch_path
 
@@ -42,6 +44,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def by_row(df: DataFrame, fn: Callable, id_col: str, out: str, **columns: str) -> DataFrame:
+    """``fn``, over pandas batches, for the id and ``columns`` (name: column of ``df``); all else is left out.
+
+    The id travels as text and comes back in its type: pandas has no whole numbers beside nulls.
+    """
+    read = df.select(F.col(id_col).cast("string").alias("id"), *(F.col(c).alias(name) for name, c in columns.items()))
+    made = read.mapInPandas(fn, f"id string, {out}")
+    return made.withColumn("id", F.col("id").cast(df.schema[id_col].dataType)).withColumnRenamed("id", id_col)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read again: computed once, and its lineage ends there."""
     spark = df.sparkSession

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderflow.llm.common import by_row
+
 #: Bytes to words: A-Z to lower case, other ASCII but a-z and 0-9 to a space, bytes of other characters as they are.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 #: Characters of benchmark items in one broadcast table; it takes some 30 bytes for each.
@@ -56,12 +58,17 @@ class WindowTable:
         return spans, sorted(x for x in items if x is not None)
 
 
-def _scanned(docs: DataFrame, table: WindowTable, id_type: T.DataType, item_type: T.DataType) -> DataFrame:
+def _tables(benchmark: DataFrame, n: int, item_col: str, text_col: str, block_chars: int) -> Iterator[WindowTable]:
+    """Window tables of blocks of items; each holds about ``block_chars`` characters (an item isn't cut)."""
+    tests = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text"))
+    blocks = -(-(tests.agg(F.sum(F.length("text"))).first()[0] or 0) // block_chars) or 1
+    block = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
+    for b in range(blocks):
+        yield WindowTable([tuple(r) for r in tests.where(block == b).collect()], n)
+
+
+def _scanned(docs: DataFrame, table: WindowTable, item_type: T.DataType) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(table)
-    out = T.StructType([T.StructField("id", id_type), T.StructField("text", T.StringType()),
-                        T.StructField("n_words", T.LongType()),
-                        T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType()))),
-                        T.StructField("items", T.ArrayType(item_type))])
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -70,7 +77,8 @@ def _scanned(docs: DataFrame, table: WindowTable, id_type: T.DataType, item_type
             yield pd.DataFrame({"id": batch["id"], "text": batch["text"], "n_words": [len(w) for w in words],
                                 "spans": [s for s, _ in found], "items": [i for _, i in found]})
 
-    return docs.mapInPandas(scan, out)
+    out = f"text string, n_words long, spans array<array<long>>, items array<{item_type.simpleString()}>"
+    return by_row(docs, scan, "id", out, text="text")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "doc_id", text_col: str = "text",
@@ -83,14 +91,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: st
     benchmark hits nothing, an empty ``docs`` gives no rows. Other columns are left out, whatever their names.
     """
     read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    tests = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text"))
-    total = tests.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = -(-total // block_chars) or 1
-    types = read.schema["id"].dataType, tests.schema["item"].dataType
-    block = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
-    parts = [_scanned(read, WindowTable([tuple(r) for r in tests.where(block == b).collect()], n), *types)
-             for b in range(blocks)]
-    if blocks == 1:
+    item_type = benchmark.schema[item_col].dataType
+    parts = [_scanned(read, t, item_type) for t in _tables(benchmark, n, item_col, item_text_col, block_chars)]
+    if len(parts) == 1:
         return parts[0].withColumnRenamed("id", id_col).withColumnRenamed("text", text_col)
     # equal rows get equal results in every block, so the blocks' hits meet by id and text digest
     key = F.sha2(F.coalesce("text", F.lit("")), 256)
@@ -111,7 +114,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: st
     joined = base.join(hits, base["id"].eqNullSafe(hits["_id"]) & (base["_key"] == hits["_k"]), "left")
     return joined.select(F.col("id").alias(id_col), F.col("text").alias(text_col), "n_words",
                          F.coalesce("found", F.expr("cast(array() as array<array<bigint>>)")).alias("spans"),
-                         F.coalesce("named", F.array().cast(T.ArrayType(types[1]))).alias("items"))
+                         F.coalesce("named", F.array().cast(T.ArrayType(item_type))).alias("items"))
 
 
 def n_hit() -> Column:
@@ -126,13 +129,21 @@ def digest(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
                           (n_hit() > 0).alias("contaminated"))
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    **options) -> DataFrame:
+def _is_clean(shared):
+    def clean(texts: pd.Series) -> pd.Series:
+        return pd.Series([not shared.value.scan(words_of(t))[0] for t in texts], dtype=bool)
+
+    clean.__annotations__ = {"texts": pd.Series, "return": pd.Series}
+    return F.pandas_udf(clean, T.BooleanType())
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, n: int = 10, text_col: str = "text", item_col: str = "item_id",
+                    item_text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` without the rows that hold a benchmark window; all columns stay.
 
-    A document goes by its id and text: a null text is clean, and repeated rows go or stay together.
+    A row is judged by its text alone: a null text is clean, and repeated rows go or stay together.
     """
-    hit = decontaminate(docs, benchmark, id_col=id_col, text_col=text_col, **options).where(n_hit() > 0).select(
-        F.col(id_col).alias("_hit_id"), F.sha2(text_col, 256).alias("_hit_text")).distinct()
-    return docs.join(hit, docs[id_col].eqNullSafe(hit["_hit_id"])
-                     & (F.sha2(docs[text_col], 256) == hit["_hit_text"]), "left_anti")
+    for table in _tables(benchmark, n, item_col, item_text_col, block_chars):
+        shared = docs.sparkSession.sparkContext.broadcast(table)
+        docs = docs.where(_is_clean(shared)(F.col(text_col)))
+    return docs

@@ -20,7 +20,8 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from orderflow.llm.common import by_row
 
 #: HTML's elements without content, with raw content, and those that don't end a block of text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -53,7 +54,7 @@ OUTSIDE = "~outside"
 
 TOKEN = re.compile(
     rf"<!--.*?(?:--!?>|\Z)|<({RAW})(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
-    r"|<(/?)([a-z][^\s/>]*)((?>[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-z][^\s/>]*)([^>]*)>|<[!?/][^>]*>|[^<]+|<", re.S | re.I)
+    r"|<(/?)([a-z][^\s/>]*)((?>[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-z][^\s/>]*)([^>]*)>|<[!?/][^>]*>|<[!?/a-z][^>]*\Z|[^<]+|<", re.S | re.I)
 ATTRIBUTE = re.compile(r"([a-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.S | re.I)
 
 
@@ -247,13 +248,10 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     Repeated rows are read each; an empty table gives no rows; other columns are left out, whatever their names.
     """
     weights = weights or fit_weights(pages, html_col)
-    out = T.StructType([T.StructField("id", pages.schema[id_col].dataType), T.StructField("url", pages.schema[url_col].dataType),
-                        T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [extract(p or "", weights) for p in batch["html"]]
             yield pd.DataFrame({"id": batch["id"], "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
-    return pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")).mapInPandas(
-        read, out).withColumnRenamed("id", id_col).withColumnRenamed("url", url_col)
+    return by_row(pages, read, id_col, "url string, text string, n_chars long", url=url_col, html=html_col).withColumnRenamed("url", url_col)

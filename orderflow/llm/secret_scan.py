@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderflow.llm.common import by_row
+
 #: The base patterns, and the shortest group or match that counts.
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -99,10 +101,6 @@ def novel_spans(text: str, base: list[tuple[int, int, int]], min_share: float =
     return list(found.values())
 
 
-FINDING = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()),
-                        T.StructField("end", T.LongType()), T.StructField("novelty", T.DoubleType())])
-
-
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  min_share: float = MIN_SHARE) -> DataFrame:
     """One row for each row of ``docs``: id, text, findings (kind, start, end in code points, novelty) in order.
@@ -111,9 +109,6 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     go by the order of ``KINDS``; repeated rows are scanned each; an empty table gives no rows; other columns are left
     out, whatever their names.
     """
-    out = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("text", T.StringType()),
-                        T.StructField("findings", T.ArrayType(FINDING))])
-
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = []
@@ -124,8 +119,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                               for s, e, k in spans])
             yield pd.DataFrame({"id": batch["id"], "text": batch["text"], "findings": found})
 
-    read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return read.mapInPandas(scan, out).withColumnRenamed("id", id_col).withColumnRenamed("text", text_col)
+    out = "text string, findings array<struct<kind: string, start: long, end: long, novelty: double>>"
+    return by_row(docs, scan, id_col, out, text=text_col).withColumnRenamed("text", text_col)
 
 
 def digest(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderflow.llm.common import saved
+from orderflow.llm.common import by_row, saved
 from orderflow.llm.decontaminate import words_of
 from orderflow.llm.jaccard_join import shingle_sets
 
@@ -190,9 +190,6 @@ def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col
     A null or empty text has no feature and scores as such. Of equally likely grades the lower counts. Repeated rows
     are scored each; an empty table gives no rows; other columns are left out, whatever their names.
     """
-    out = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("severity", T.DoubleType()),
-                        T.StructField("grade", T.IntegerType()), T.StructField("toxic", T.BooleanType())])
-
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
@@ -205,8 +202,7 @@ def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col
             made.insert(0, "id", batch["id"])
             yield made
 
-    read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return read.mapInPandas(judge, out).withColumnRenamed("id", id_col)
+    return by_row(docs, judge, id_col, "severity double, grade int, toxic boolean", text=text_col)
 
 
 def reject_toxic(docs: DataFrame, model: OrdinalModel, text_col: str = "text", min_severity: float = MIN_SEVERITY) -> DataFrame:

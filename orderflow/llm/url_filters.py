@@ -15,7 +15,8 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from orderflow.llm.common import by_row
 
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
@@ -111,8 +112,6 @@ def filter_urls(pages: DataFrame, rules: Iterable[UrlRule] = RULES, id_col: str
     """
     rules = tuple(rules)
     index = RuleIndex(rules, token_counts(pages, url_col, rules))
-    out = T.StructType([T.StructField("id", pages.schema[id_col].dataType)]
-                       + [T.StructField(c, T.StringType()) for c in ("host", "path", "rule", "verdict")])
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -124,5 +123,4 @@ def filter_urls(pages: DataFrame, rules: Iterable[UrlRule] = RULES, id_col: str
             made.insert(0, "id", batch["id"])
             yield made
 
-    read = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"))
-    return read.mapInPandas(judge, out).withColumnRenamed("id", id_col)
+    return by_row(pages, judge, id_col, "host string, path string, rule string, verdict string", url=url_col)
