@@ -22,11 +22,12 @@ from orderflow.llm.common import saved
 from orderflow.llm.components import connected_components
 
 THRESHOLD = 0.93
-#: The k-means is fitted on at most so many vectors, for at most so many cells, with about so many vectors a cell.
-SAMPLE, MAX_CELLS, CELL_VECTORS = 8192, 1024, 1000
+#: The k-means is fitted on at most so many vectors, for at most so many cells, such that the vectors of one label come to
+#: about so many a cell. Comparing them is cheap next to moving guests, so cells aren't made smaller.
+SAMPLE, MAX_CELLS, CELL_VECTORS = 8192, 1024, 16_000
 K_MEANS_ROUNDS = 15
-#: Vectors of a block; a task compares two blocks.
-BLOCK = 1000
+#: Vectors of a block; a task compares two blocks, so many rows at a time.
+BLOCK, ROWS_AT_ONCE = 2000, 500
 _SLACK = 1e-9
 
 
@@ -83,11 +84,17 @@ def _forest(links: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def link_counts(ids: np.ndarray, x: np.ndarray, copies: np.ndarray, pairs: np.ndarray, threshold: float) -> tuple[np.ndarray, list]:
-    """Links of each row, by copies, among the allowed ``pairs``; and a spanning forest as pairs of ids."""
-    links = (x @ x.T >= threshold) & pairs
+def link_matrix(x: np.ndarray, guest: np.ndarray, side: np.ndarray, threshold: float) -> np.ndarray:
+    """Which rows link: across sides, or within if there is one; guests don't meet guests."""
+    n = len(x)
+    links = np.zeros((n, n), bool)
+    one = side.all() or not side.any()
+    for i in range(0, n, ROWS_AT_ONCE):
+        rows = slice(i, i + ROWS_AT_ONCE)
+        near = x[rows] @ x.T >= threshold
+        links[rows] = near & ~(guest[rows, None] & guest[None, :]) & (one | (side[rows, None] != side[None, :]))
     np.fill_diagonal(links, False)
-    return links @ copies, [(int(ids[a]), int(ids[b])) for a, b in _forest(links)]
+    return links
 
 
 _TASK_OUT = "a long, b long, links long"
@@ -95,15 +102,16 @@ _TASK_OUT = "a long, b long, links long"
 
 def _compare(threshold: float):
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        lo, hi = group["lo"].to_numpy(), group["hi"].to_numpy()
-        side, guest = group["side"].to_numpy(), group["guest"].to_numpy()
-        ids, copies, x = group["rep"].to_numpy(), group["copies"].to_numpy(), unit_rows(group["vec"].tolist())
-        # two blocks of one cell: pairs across them, or within if they are one; guests don't meet guests here
-        across = (side[:, None] != side[None, :]) | (lo == hi)[:, None]
-        links, edges = link_counts(ids, x, copies, across & ~(guest[:, None] & guest[None, :]), threshold)
-        some = links > 0
-        return pd.concat([pd.DataFrame({"a": ids[some], "b": None, "links": links[some]}),
-                          pd.DataFrame({"a": [a for a, _ in edges], "b": [b for _, b in edges], "links": 0})]).astype(
+        if (group["lo"].iloc[0] != group["hi"].iloc[0]) and group["side"].nunique() < 2:
+            return pd.DataFrame({"a": [], "b": [], "links": []}).astype({"a": "int64", "b": "Int64", "links": "int64"})
+        ids, copies = group["rep"].to_numpy(), group["copies"].to_numpy()
+        found = link_matrix(unit_rows(group["vec"].tolist()), group["guest"].to_numpy(), group["side"].to_numpy(), threshold)
+        some = np.flatnonzero(found.any(axis=1))
+        found, ids, copies = found[np.ix_(some, some)], ids[some], copies[some]
+        edges = _forest(found)
+        links = np.array([copies[row].sum() for row in found], np.int64)
+        return pd.concat([pd.DataFrame({"a": ids, "b": None, "links": links}),
+                          pd.DataFrame({"a": ids[[a for a, _ in edges]], "b": ids[[b for _, b in edges]], "links": 0})]).astype(
             {"a": "int64", "b": "Int64", "links": "int64"})
     return compare
 
@@ -126,10 +134,10 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     classes = saved(rows.where("good").groupBy("label", "vec").agg(
         F.min("id").alias("rep"), F.count("*").alias("copies")), "vector_classes")
 
-    sizes = classes.groupBy(F.size("vec").alias("size")).count().orderBy(F.desc("count"), "size").limit(1).collect()
+    sizes = classes.groupBy("label", F.size("vec").alias("size")).count().orderBy(F.desc("count"), "size", "label").limit(1).collect()
     width, n = (sizes[0]["size"], sizes[0]["count"]) if sizes else (1, 0)
     sample = classes.where(F.size("vec") == width).orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("vec").collect()
-    centres = spherical_k_means(unit_rows([r["vec"] for r in sample]), max(1, min(MAX_CELLS, n // CELL_VECTORS))) if sample else np.ones((1, 1))
+    centres = spherical_k_means(unit_rows([r["vec"] for r in sample]), max(1, min(MAX_CELLS, -(-n // CELL_VECTORS)))) if sample else np.ones((1, 1))
     shared = classes.sparkSession.sparkContext.broadcast(centres)  # at most MAX_CELLS rows
 
     out = T.StructType([*classes.schema.fields, T.StructField("cells", T.ArrayType(T.IntegerType()))])
