@@ -5,9 +5,12 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Callable
+from functools import lru_cache
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+import zstandard
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.session import ensure_defaults, scratch_path
@@ -54,6 +57,36 @@ def by_row(df: DataFrame, fn: Callable, id_col: str, out: str, **columns: str) -
     return made.withColumn("id", F.col("id").cast(df.schema[id_col].dataType)).withColumnRenamed("id", id_col)
 
 
+@lru_cache(1)
+def _zstd() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
+def pack(text: str | None) -> bytes | None:
+    return None if text is None else _zstd()[0].compress(text.encode("utf-8", "surrogatepass"))
+
+
+def unpack(packed: bytes | None) -> str | None:
+    return None if packed is None else _zstd()[1].decompress(packed).decode("utf-8", "surrogatepass")
+
+
+def packed(column: str) -> Column:
+    """Text in less than half its bytes, for a shuffle."""
+    def each(texts: pd.Series) -> pd.Series:
+        return pd.Series([pack(t) for t in texts], dtype=object)
+
+    each.__annotations__ = {"texts": pd.Series, "return": pd.Series}
+    return F.pandas_udf(each, "binary")(F.col(column))
+
+
+def unpacked(column: str) -> Column:
+    def each(values: pd.Series) -> pd.Series:
+        return pd.Series([unpack(v) for v in values], dtype=object)
+
+    each.__annotations__ = {"values": pd.Series, "return": pd.Series}
+    return F.pandas_udf(each, "string")(F.col(column))
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read again: computed once, and its lineage ends there."""
     spark = df.sparkSession

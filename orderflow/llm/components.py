@@ -15,7 +15,8 @@ SALTS = 32
 def _with_least(edges: DataFrame, least: DataFrame, node: str) -> DataFrame:
     """``edges`` with the column ``m`` of ``least`` (n, m) for their end ``node``; a hub's edges are dealt by salt."""
     dealt = edges.withColumn("_s", F.pmod(F.xxhash64("a", "b"), F.lit(SALTS)).cast("int"))
-    salted = least.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # grows with the data, and more than Spark's size check knows: never broadcast
+    salted = least.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")
     return dealt.join(salted, (dealt[node] == salted["n"]) & (dealt["_s"] == salted["_t"])).drop("_s", "_t", "n")
 
 

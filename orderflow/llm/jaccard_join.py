@@ -5,8 +5,11 @@ sets is at least three quarters of the whole. The steps, all of them exact:
 
 1. Shingles that are frequent within some part of the corpus are counted over all of it; the most frequent ones go last in
    the order of shingles (an order alone, it changes no result).
-2. Each document's first |x| - ceil(0.75 |x|) + 1 shingles in that order are its prefix; documents that link share one of
-   them. Documents are clustered by shared prefix shingles, and links never leave a cluster.
+2. Each document's first |x| - ceil(0.75 |x|) + 1 shingles in that order are such that documents that link share one of
+   them; of a prefix that is longer by a twelfth of |x| they share a sixteenth of |x| and one more at least. A shingle of
+   the prefix is alive if another document's prefix holds it. A document with too few alive shingles has no link. Of the
+   others, the most frequent ones may be left out but for that number. Documents are clustered by what remains, rare
+   shingles that they share, and links never leave a cluster.
 3. Within a cluster, signature trees find the links. A leaf's documents have bitmaps of their shingles; a node holds the
    OR of those below it and the range of their sizes. Two trees are traversed together, and a pair of nodes is dropped if
    its greatest possible overlap, or its sizes, can't reach the threshold. Pairs left at the leaves are verified on sets.
@@ -25,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderflow.llm.common import saved
+from orderflow.llm.common import packed, saved, unpack, unpacked
 from orderflow.llm.components import Forest, connected_components
 
 WORDS = 5
@@ -33,7 +36,9 @@ WORDS = 5
 NUM, DEN = 3, 4
 #: A shingle is counted as frequent if it is in this share of the documents of a chunk; so many go last in the order.
 FREQUENT_SHARE, FREQUENT_LEAST, FREQUENT_KEPT = 0.005, 8, 100_000
-CHUNK_SHINGLES = 2_000_000
+CHUNK_SHINGLES = 1_000_000
+#: The prefix is longer by the set's size divided by this.
+EXTRA = 12
 #: Documents of a block, of a leaf, and children of a node.
 BLOCK, LEAF, FANOUT = 1024, 16, 8
 
@@ -77,16 +82,25 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
 
 
 def prefix(shingles: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The shingles of which one is shared by any set that links: the first ones, rare before frequent."""
+    """The first shingles of a set, rare before frequent, of which any set that links shares ``needed`` at least."""
     n = len(shingles)
-    take = n - (-(-NUM * n // DEN)) + 1
+    take = min(n, n - (-(-NUM * n // DEN)) + 1 + n // EXTRA)
     if not n or not len(frequent):
-        return shingles[:take] if n else shingles
+        return shingles[:take]
     at = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
     often = frequent[at] == shingles
     return np.concatenate((shingles[~often], shingles[often]))[:take]
 
 
+def needed(n: int) -> int:
+    """How many shingles of its prefix a set of ``n`` shares with any set that links.
+
+    Of two prefixes, all shared shingles up to the earlier end are in both; that is a twelfth of the one set's size and
+    one more, and that set has three quarters of the other's size at least.
+    """
+    return -(-NUM * n // DEN) // EXTRA + 1
+
+
 def links(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether two sets link."""
     if len(a) > len(b):
@@ -209,37 +223,57 @@ def frequent_shingles(docs: DataFrame) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(id, rep, n, prefix): ``rep`` is the id of the first document with the same words in the task; prefix for it alone."""
+    """(id, rep, n, prefix): ``rep`` is the id of the first document with the same words in the task; prefix for it alone.
+
+    A row with a null id has its own null as ``rep``.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         first: dict[bytes, int] = {}
         for batch in batches:
             sets, reps, heads = shingle_sets(batch["text"].tolist()), [], []
-            for i, s in zip(batch["id"], sets, strict=True):
-                named = not pd.isna(i)
-                rep = first.setdefault(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), int(i)) if named and len(s) else i
-                fresh = named and len(s) and rep == i
-                reps.append(rep)
+            for i, named, s in zip(batch["id"].tolist(), batch["named"], sets, strict=True):
+                key = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+                fresh = named and len(s) and first.setdefault(key, i) == i
+                reps.append(first[key] if named and len(s) else i)
                 heads.append(prefix(s, shared.value) if fresh else None)
-            yield pd.DataFrame({"id": batch["id"].astype("Int64"), "rep": pd.array(reps, "Int64"),
-                                "n": [len(s) for s in sets], "prefix": heads})
+            yield pd.DataFrame({"id": batch["id"], "named": batch["named"], "rep": reps, "n": [len(s) for s in sets], "prefix": heads})
+
+    # pandas has no whole numbers beside nulls
+    filled = docs.select(F.coalesce("id", F.lit(0)).alias("id"), F.col("id").isNotNull().alias("named"), "text")
+    made = filled.mapInPandas(read, "id long, named boolean, rep long, n long, prefix array<long>")
+    return made.select(F.when(F.col("named"), F.col("id")).alias("id"), F.when(F.col("named"), F.col("rep")).alias("rep"), "n", "prefix")
+
+
+def _gathered(batches: Iterator[pd.DataFrame], *columns: str) -> list[np.ndarray]:
+    """The columns of a partition, in order of the first of them; only rows whose value there recurs."""
+    read = [tuple(b[c].to_numpy() for c in columns) for b in batches]
+    if not read:
+        return []
+    held = [np.concatenate(x) for x in zip(*read, strict=True)]
+    order = np.argsort(held[0], kind="stable")
+    held = [x[order] for x in held]
+    same = held[0][1:] == held[0][:-1]
+    some = np.concatenate((same, [False])) | np.concatenate(([False], same)) if len(order) else np.zeros(0, bool)
+    return [x[some] for x in held]
+
 
-    return docs.select("id", "text").mapInPandas(read, "id long, rep long, n long, prefix array<long>")
+def _alive(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Shingles that several documents of the partition hold, with their number."""
+    if held := _gathered(batches, "h", "rep", "need"):
+        h, rep, need = held
+        starts = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, np.int64)
+        size = np.diff(starts, append=len(h))
+        yield pd.DataFrame({"rep": rep, "h": h, "df": np.repeat(size, size).astype(np.int32), "need": need})
 
 
 def _clustered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Edges (a: document, b: smallest document) of the clusters by shared shingles within a partition."""
-    read = [(b["h"].to_numpy(), b["rep"].to_numpy()) for b in batches]
-    if read:
-        h, rep = (np.concatenate(x) for x in zip(*read, strict=True))
-        order = np.argsort(h)
-        h, rep = h[order], rep[order]
-        same = h[1:] == h[:-1]
-        some = np.concatenate((same, [False])) | np.concatenate(([False], same))
-        h, (nodes, at) = h[some], np.unique(rep[some], return_inverse=True)
+    if held := _gathered(batches, "h", "rep"):
+        nodes, at = np.unique(held[1], return_inverse=True)
         forest = Forest(len(nodes))
-        forest.join_runs(h, at)
+        forest.join_runs(held[0], at)
         inner = forest.parent != np.arange(len(nodes))
         yield pd.DataFrame({"a": nodes[inner], "b": nodes[forest.parent[inner]]})
 
@@ -260,16 +294,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     read = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = saved(_prefixes(read, frequent_shingles(read)), "jaccard_rows")
-    shared = rows.select("rep", F.explode("prefix").alias("h")).repartition("h")
-    clusters = saved(connected_components(shared.mapInPandas(_clustered, "a long, b long"), "jaccard_clusters"), "jaccard_cluster")
+    three_quarters = F.ceil(F.col("n") * NUM / DEN)
+    alive = rows.select("rep", (F.floor(three_quarters / EXTRA) + 1).cast("int").alias("need"), F.explode("prefix").alias("h")).repartition(
+        "h").mapInPandas(_alive, "rep long, h long, df int, need int")
+    kept = alive.groupBy("rep").agg(F.first("need").alias("need"), F.array_sort(F.collect_list(F.struct("df", "h"))).alias("alive")).where(
+        F.size("alive") >= F.col("need"))
+    rare = kept.select("rep", F.explode(F.slice("alive", F.lit(1), F.size("alive") - F.col("need") + 1)).alias("x")).select("rep", "x.h")
+    clusters = saved(connected_components(
+        rare.repartition("h").mapInPandas(_clustered, "a long, b long"), "jaccard_clusters"), "jaccard_cluster")
 
     # the sets of clustered documents alone
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = shingle_sets(batch["text"].tolist())
+            found = shingle_sets([unpack(t) for t in batch["text"]])
             yield pd.DataFrame({"rep": batch["id"], "cluster": batch["component"], "shingles": found, "size": [len(s) for s in found]})
 
-    held = read.join(clusters, F.col("id") == F.col("node")).select("id", "text", "component").mapInPandas(
+    held = read.select("id", packed("text").alias("text")).join(clusters.hint("merge"), F.col("id") == F.col("node")).select("id", "text", "component").mapInPandas(
         sets, "rep long, cluster long, shingles array<long>, size long").where("size > 0")
     # a cluster beyond a block is cut by size class: documents that link are in one class or in neighbouring ones
     many = clusters.groupBy("component").count().where(F.col("count") > block)
@@ -313,4 +353,5 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """``docs`` with one row of each group kept, that of the smallest id; all columns stay, as do rows without links."""
     found = near_duplicates(docs, id_col, text_col)
     gone = saved(found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct(), "jaccard_gone")
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    light = docs.withColumn(text_col, packed(text_col))
+    return light.join(gone.hint("merge"), light[id_col] == gone["_gone"], "left_anti").withColumn(text_col, unpacked(text_col))
