@@ -32,12 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderflow.llm.common import saved
-
+from orderflow.llm.common import packed, unpack
 #: At most so many frequent keys are told to all tasks.
 FREQUENT_KEPT = 100_000
 #: Bytes that are hashed together.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _BASE = 0x5851F42D4C957F2D
 _BYTE = ((np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(0x2545F4914F6CDD1D)) | np.uint64(1)
@@ -200,7 +199,7 @@ def frequent_keys(docs: DataFrame, settings: Settings) -> list[np.ndarray]:
                 value, times = np.unique(rows[0], return_counts=True)  # longer cores only where a key recurs here
                 at = at[np.isin(rows[0], value[times >= 3])]
                 at = chunk.longer(at, level) if len(at) else at
-            if sum(len(k) for k, _ in held[0]) > 500_000:
+            if sum(len(k) for k, _ in held[0]) > 200_000:
                 yield often()
                 held, n = [], 0
         if held:
@@ -384,7 +383,7 @@ def _contexts(settings: Settings):
         for batch in batches:
             rows = []
             for i, text, places in zip(batch["id"].tolist(), batch["text"], batch["places"], strict=True):
-                raw = (text or "").encode("utf-8", "surrogatepass")
+                raw = (unpack(text) or "").encode("utf-8", "surrogatepass")
                 for p in places:
                     q, k = p["at"] // 4, settings.cores[p["at"] % 4]
                     begin = max(0, q - (settings.window - k))
@@ -403,21 +402,18 @@ def merged(spans: list[tuple[int, int]]) -> list[list[int]]:
     return out
 
 
-def repeat_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
-    """One row for each row of ``docs``: id, text, spans (of its UTF-8 bytes, [start, end), in order, apart).
-
-    A null or empty text has no bytes, and a text of fewer than ``window`` bytes no span. A row that recurs with its id
-    and text is one document; texts that share an id don't repeat each other at equal places. Rows with a null id have
-    no spans and count for no other row. An empty table gives no rows; other columns are left out, whatever their names.
-    """
+def _with_spans(docs: DataFrame, id_col: str, text_col: str, settings: Settings, fields: str, made) -> DataFrame:
+    """id and ``fields`` for each row of ``docs``; ``made``: what these are for a text and its spans."""
     read = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     named = read.where("id is not null")
     shared = docs.sparkSession.sparkContext.broadcast(frequent_keys(named, settings))  # at most FREQUENT_KEPT keys
-    found = saved(named.mapInPandas(_anchor_rows(settings, shared), _ROWS).repartition("part").mapInPandas(
-        _resolve, "id long, at long, key long"), "repeat_places")
+    # the plan below reads it twice: its exchange is made once
+    found = named.mapInPandas(_anchor_rows(settings, shared), _ROWS).repartition("part").mapInPandas(
+        _resolve, "id long, at long, key long")
 
     places = found.where("at >= 0").groupBy(F.col("id").alias("_id")).agg(F.collect_list(F.struct("at", "key")).alias("places"))
-    contexts = named.join(places, F.col("id") == F.col("_id")).select("id", "text", "places").mapInPandas(
+    texts = named.select("id", packed("text").alias("text"))
+    contexts = texts.join(places, F.col("id") == F.col("_id")).select("id", "text", "places").mapInPandas(
         _contexts(settings), "key long, id long, at long, left int, bytes binary")
     trees = contexts.repartition("key").mapInPandas(_tree_spans(settings), "id long, start long, end long")
 
@@ -429,21 +425,32 @@ def repeat_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spans = trees.unionByName(settled).groupBy(F.col("id").alias("_id")).agg(
         F.collect_list(F.struct("start", "end")).alias("found"))
 
-    out = T.StructType([T.StructField("id", T.LongType()), T.StructField("text", T.StringType()),
-                        T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType())))])
+    out = T.StructType.fromDDL(f"id long, {fields}")
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for text, found in zip(batch["text"], batch["found"], strict=True):
+            for i, text, found in zip(batch["id"], map(unpack, batch["text"]), batch["found"], strict=True):
                 n = len((text or "").encode("utf-8", "surrogatepass"))
-                rows.append(merged([(s["start"], min(s["end"], n)) for s in found]) if found is not None else [])
-            yield pd.DataFrame({"id": batch["id"].astype("Int64"), "text": batch["text"], "spans": rows})
+                spans = merged([(s["start"], min(s["end"], n)) for s in found]) if found is not None else []
+                rows.append((None if pd.isna(i) else int(i), *made(text, spans)))
+            yield pd.DataFrame(rows, columns=out.names, dtype=object).astype({"id": "Int64"})
 
     # the same exchange of the texts serves this join and the one above
-    done = named.join(spans, F.col("id") == F.col("_id"), "left").select("id", "text", "found").mapInPandas(finish, out)
-    unnamed = read.where("id is null").withColumn("spans", F.array().cast("array<array<bigint>>"))
-    return done.unionByName(unnamed).withColumnRenamed("id", id_col).withColumnRenamed("text", text_col)
+    done = texts.join(spans, F.col("id") == F.col("_id"), "left").select("id", "text", "found")
+    unnamed = read.where("id is null").select("id", packed("text").alias("text"), F.lit(None).cast(done.schema["found"].dataType).alias("found"))
+    return done.unionByName(unnamed).mapInPandas(finish, out).withColumnRenamed("id", id_col)
+
+
+def repeat_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
+    """One row for each row of ``docs``: id, text, spans (of its UTF-8 bytes, [start, end), in order, apart).
+
+    A null or empty text has no bytes, and a text of fewer than ``window`` bytes no span. A row that recurs with its id
+    and text is one document; texts that share an id don't repeat each other at equal places. Rows with a null id have
+    no spans and count for no other row. An empty table gives no rows; other columns are left out, whatever their names.
+    """
+    return _with_spans(docs, id_col, text_col, settings, "text string, spans array<array<long>>", lambda text, spans: (
+        text, spans)).withColumnRenamed("text", text_col)
 
 
 def kept_bytes(text: str | None, spans) -> bytes:
@@ -454,21 +461,18 @@ def kept_bytes(text: str | None, spans) -> bytes:
     return b"".join([*parts, raw[at:]])
 
 
-def digest(found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    def kept(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([hashlib.sha256(kept_bytes(t, s)).hexdigest() for t, s in zip(texts, spans, strict=True)], dtype=object)
+def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
+    """One row for each row of ``docs``: id, n_bytes, n_removed, n_spans, kept_sha256; the cases of ``repeat_spans`` hold."""
+    def made(text: str | None, spans: list[list[int]]) -> tuple[int, int, int, str]:
+        kept, removed = kept_bytes(text, spans), sum(e - s for s, e in spans)
+        return len(kept) + removed, removed, len(spans), hashlib.sha256(kept).hexdigest()
 
-    kept.__annotations__ = {"texts": pd.Series, "spans": pd.Series, "return": pd.Series}
-    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + F.get(s, F.lit(1)) - F.get(s, F.lit(0)))
-    return found.select(
-        id_col, F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"), removed.alias("n_removed"),
-        F.size("spans").cast("long").alias("n_spans"), F.pandas_udf(kept, T.StringType())(text_col, "spans").alias("kept_sha256"))
+    return _with_spans(docs, id_col, text_col, settings, "n_bytes long, n_removed long, n_spans long, kept_sha256 string", made)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
     """id and text without repeated bytes; a character cut in two is dropped. A null text stays null."""
-    def kept(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None else kept_bytes(t, s).decode("utf-8", "ignore") for t, s in zip(texts, spans, strict=True)], dtype=object)
+    def made(text: str | None, spans: list[list[int]]) -> tuple[str | None]:
+        return (None if text is None else kept_bytes(text, spans).decode("utf-8", "ignore"),)
 
-    kept.__annotations__ = {"texts": pd.Series, "spans": pd.Series, "return": pd.Series}
-    return repeat_spans(docs, id_col, text_col, settings).select(id_col, F.pandas_udf(kept, T.StringType())(text_col, "spans").alias(text_col))
+    return _with_spans(docs, id_col, text_col, settings, "text string", made).withColumnRenamed("text", text_col)

@@ -55,10 +55,10 @@ def corpus(seed, alphabet, n, longest):
     return docs
 
 
-def run(spark, docs, settings):
+def run(spark, docs, settings, what=repeats.repeat_spans):
     prepare(spark)
     df = spark.createDataFrame([(i, t, "clash", 7) for i, t in docs], SCHEMA).repartition(5)
-    return repeats.repeat_spans(df, settings=settings)
+    return what(df, settings=settings)
 
 
 @pytest.mark.parametrize(("seed", "alphabet", "window", "cores", "least"), [
@@ -86,7 +86,7 @@ def test_production_settings_over_long_passages(spark):
     want = brute(docs, 100)
     for r in run(spark, docs, repeats.Settings()).collect():
         assert [list(s) for s in r["spans"]] == want[r["doc_id"], r["text"]], r["doc_id"]
-    found = repeats.digest(run(spark, docs, repeats.Settings())).collect()
+    found = run(spark, docs, repeats.Settings(), repeats.digest).collect()
     for r in found:
         text = dict(docs)[r["doc_id"]]
         spans = want[r["doc_id"], text]
@@ -110,7 +110,7 @@ def test_nulls_empty_texts_repeated_rows_and_empty_tables(spark):
     assert got[4, None] == got[5, ""] == got[6, "short"] == [[]]
     empty = run(spark, [], repeats.Settings())
     assert empty.count() == 0
-    assert repeats.digest(empty).columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert run(spark, [], repeats.Settings(), repeats.digest).columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
 
 def test_text_without_repeats(spark):
