@@ -41,7 +41,7 @@ CHUNK_BYTES = 1 << 19
 _BASE = 0x5851F42D4C957F2D
 _BYTE = ((np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(0x2545F4914F6CDD1D)) | np.uint64(1)
 _SALT = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
-_WHOLE = -(1 << 62)
+_END = 1 << 62
 
 
 @dataclass(frozen=True)
@@ -140,6 +140,18 @@ class Chunk:
         return np.unique(np.concatenate(lots))
 
 
+    def runs(self, doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Spans of documents, cut to these, as maximal runs: document, start and end."""
+        start, end = np.maximum(start, self.starts[doc]), np.minimum(end, self.ends[doc])
+        order = np.lexsort((start, doc))
+        doc, start, end = doc[order], start[order], np.maximum.accumulate(end[order])
+        new = np.ones(len(doc), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (start[1:] > end[:-1])
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(doc))[: len(first)] - 1
+        return doc[first], start[first], end[last]
+
+
 def _chunks(batches: Iterator[pd.DataFrame], settings: Settings, marked: list | None = None) -> Iterator[Chunk]:
     """Chunks of a task's documents without copies; a copy of a greater id is added to ``marked`` as a whole."""
     first: dict[bytes, int] = {}
@@ -216,7 +228,9 @@ def _is_in(values: np.ndarray, among: np.ndarray) -> np.ndarray:
     return among[np.minimum(np.searchsorted(among, values), len(among) - 1)] == values
 
 
-_ROWS = "part long, key long, context long, id long, at long"
+#: Of an anchor: key, context and place (by 4, plus level). Of a span that is settled: ``at`` is minus its start, less 1, and
+#: ``context`` its end; the key is any.
+_ROWS = "key long, context long, id long, at long"
 
 
 def _settled(key: np.ndarray, context: np.ndarray, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -226,7 +240,12 @@ def _settled(key: np.ndarray, context: np.ndarray, ids: np.ndarray, at: np.ndarr
 
 
 def _anchor_rows(settings: Settings, shared):
-    """Rows of anchors (``at``: place by 4, plus level) and of what is settled already (``at`` negative)."""
+    """Rows of anchors, and of spans that a chunk settles itself."""
+    def copied(copies: list[int]) -> pd.DataFrame:
+        ids = np.array(copies, np.int64)
+        copies.clear()
+        return pd.DataFrame({"key": _mix(ids.view(np.uint64)).view(np.int64), "context": _END, "id": ids, "at": np.int64(-1)})
+
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         copies: list[int] = []
         for chunk in _chunks(batches, settings, copies):
@@ -241,36 +260,43 @@ def _anchor_rows(settings: Settings, shared):
             if found:
                 key, context, at, level = (np.concatenate(x) for x in zip(*found, strict=True))
                 doc = np.searchsorted(chunk.ends, at, side="right")
-                ids, at = chunk.ids[doc], (at - chunk.starts[doc]) * 4 + level
-                order, first = _settled(key, context, ids, at)
-                at[order[~first]] = -at[order[~first]] - 1
-                part = np.where(at < 0, _mix((ids * 31 + at).view(np.uint64)).view(np.int64), key)
-                yield pd.DataFrame({"part": part, "key": key, "context": context, "id": ids, "at": at})
+                ids, place = chunk.ids[doc], (at - chunk.starts[doc]) * 4 + level
+                order, first = _settled(key, context, ids, place)
+                keep = order[first]
+                yield pd.DataFrame({"key": key[keep], "context": context[keep], "id": ids[keep], "at": place[keep]})
+                again = order[~first]
+                core = np.array(settings.cores)[level[again]]
+                doc, start, end = chunk.runs(doc[again], at[again] - settings.window + core, at[again] + settings.window)
+                yield pd.DataFrame({"key": _mix((start + doc * 31).view(np.uint64)).view(np.int64), "context": end - chunk.starts[doc],
+                                    "id": chunk.ids[doc], "at": chunk.starts[doc] - start - 1})
             if copies:
-                ids = np.array(copies, np.int64)
-                yield pd.DataFrame({"part": ids, "key": 0, "context": 0, "id": ids, "at": _WHOLE})
-                copies.clear()
+                yield copied(copies)
         if copies:
-            ids = np.array(copies, np.int64)
-            yield pd.DataFrame({"part": ids, "key": 0, "context": 0, "id": ids, "at": _WHOLE})
+            yield copied(copies)
     return read
 
 
-def _resolve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per partition: settled places (``at`` negative), and the first places of keys with several contexts."""
+def _resolve(settings: Settings):
+    return lambda batches: _resolved(batches, settings)
+
+
+def _resolved(batches: Iterator[pd.DataFrame], settings: Settings) -> Iterator[pd.DataFrame]:
+    """Per partition: settled spans (``at`` negative, ``to``: end), and the first places of keys with several contexts (``to``: key)."""
     held = [tuple(b[c].to_numpy() for c in ("key", "context", "id", "at")) for b in batches]
     if not held:
         return
     key, context, ids, at = (np.concatenate(x) for x in zip(*held, strict=True))
     done = at < 0
-    yield pd.DataFrame({"id": ids[done], "at": at[done], "key": np.int64(0)})
+    yield pd.DataFrame({"id": ids[done], "at": at[done], "to": context[done]})
     key, context, ids, at = (x[~done] for x in (key, context, ids, at))
     order, first = _settled(key, context, ids, at)
-    yield pd.DataFrame({"id": ids[order[~first]], "at": -at[order[~first]] - 1, "key": np.int64(0)})
+    again = order[~first]
+    place, core = at[again] // 4, np.array(settings.cores)[at[again] % 4]
+    yield pd.DataFrame({"id": ids[again], "at": -np.maximum(0, place - settings.window + core) - 1, "to": place + settings.window})
     order = order[first]
     same = key[order[1:]] == key[order[:-1]]
     several = np.concatenate((same, [False])) | np.concatenate(([False], same)) if len(order) else np.zeros(0, bool)
-    yield pd.DataFrame({"id": ids[order[several]], "at": at[order[several]], "key": key[order[several]]})
+    yield pd.DataFrame({"id": ids[order[several]], "at": at[order[several]], "to": key[order[several]]})
 
 
 def _common(rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -384,10 +410,11 @@ def _contexts(settings: Settings):
             rows = []
             for i, text, places in zip(batch["id"].tolist(), batch["text"], batch["places"], strict=True):
                 raw = (unpack(text) or "").encode("utf-8", "surrogatepass")
-                for p in places:
-                    q, k = p["at"] // 4, settings.cores[p["at"] % 4]
-                    begin = max(0, q - (settings.window - k))
-                    rows.append((p["key"], i, p["at"], q - begin, raw[begin:q + settings.window]))
+                for p in places if places is not None else ():
+                    if p["at"] >= 0:
+                        q, k = p["at"] // 4, settings.cores[p["at"] % 4]
+                        begin = max(0, q - (settings.window - k))
+                        rows.append((p["to"], i, p["at"], q - begin, raw[begin:q + settings.window]))
             yield pd.DataFrame(rows, columns=["key", "id", "at", "left", "bytes"])
     return read
 
@@ -407,38 +434,33 @@ def _with_spans(docs: DataFrame, id_col: str, text_col: str, settings: Settings,
     read = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     named = read.where("id is not null")
     shared = docs.sparkSession.sparkContext.broadcast(frequent_keys(named, settings))  # at most FREQUENT_KEPT keys
-    # the plan below reads it twice: its exchange is made once
-    found = named.mapInPandas(_anchor_rows(settings, shared), _ROWS).repartition("part").mapInPandas(
-        _resolve, "id long, at long, key long")
-
-    places = found.where("at >= 0").groupBy(F.col("id").alias("_id")).agg(F.collect_list(F.struct("at", "key")).alias("places"))
+    found = named.mapInPandas(_anchor_rows(settings, shared), _ROWS).repartition("key").mapInPandas(
+        _resolve(settings), "id long, at long, to long")
+    # texts and places are read twice below; the exchange of each is made once
+    places = found.groupBy(F.col("id").alias("_id")).agg(F.collect_list(F.struct("at", "to")).alias("places"))
     texts = named.select("id", packed("text").alias("text"))
-    contexts = texts.join(places, F.col("id") == F.col("_id")).select("id", "text", "places").mapInPandas(
+    held = texts.join(places, F.col("id") == F.col("_id"), "left").select("id", "text", "places")
+    contexts = held.mapInPandas(
         _contexts(settings), "key long, id long, at long, left int, bytes binary")
     trees = contexts.repartition("key").mapInPandas(_tree_spans(settings), "id long, start long, end long")
 
-    place = F.floor((-F.col("at") - 1) / 4).cast("long")
-    core = F.element_at(F.array(*map(F.lit, settings.cores)), (F.pmod(-F.col("at") - 1, F.lit(4)) + 1).cast("int"))
-    whole = F.col("at") == _WHOLE
-    settled = found.where("at < 0").select("id", F.when(whole, 0).otherwise(F.greatest(
-        F.lit(0), place - settings.window + core)).alias("start"), F.when(whole, 1 << 62).otherwise(place + settings.window).alias("end"))
-    spans = trees.unionByName(settled).groupBy(F.col("id").alias("_id")).agg(
-        F.collect_list(F.struct("start", "end")).alias("found"))
+    spans = trees.groupBy(F.col("id").alias("_id")).agg(F.collect_list(F.struct("start", "end")).alias("found"))
 
     out = T.StructType.fromDDL(f"id long, {fields}")
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for i, text, found in zip(batch["id"], map(unpack, batch["text"]), batch["found"], strict=True):
+            for i, text, places, found in zip(batch["id"], map(unpack, batch["text"]), batch["places"], batch["found"], strict=True):
                 n = len((text or "").encode("utf-8", "surrogatepass"))
-                spans = merged([(s["start"], min(s["end"], n)) for s in found]) if found is not None else []
+                spans = [(-p["at"] - 1, min(p["to"], n)) for p in (places if places is not None else ()) if p["at"] < 0]
+                spans = merged(spans + [(s["start"], min(s["end"], n)) for s in (found if found is not None else ())])
                 rows.append((None if pd.isna(i) else int(i), *made(text, spans)))
             yield pd.DataFrame(rows, columns=out.names, dtype=object).astype({"id": "Int64"})
 
-    # the same exchange of the texts serves this join and the one above
-    done = texts.join(spans, F.col("id") == F.col("_id"), "left").select("id", "text", "found")
-    unnamed = read.where("id is null").select("id", packed("text").alias("text"), F.lit(None).cast(done.schema["found"].dataType).alias("found"))
+    done = held.join(spans, F.col("id") == F.col("_id"), "left").select("id", "text", "places", "found")
+    unnamed = read.where("id is null").select("id", packed("text").alias("text"), *(
+        F.lit(None).cast(done.schema[c].dataType).alias(c) for c in ("places", "found")))
     return done.unionByName(unnamed).mapInPandas(finish, out).withColumnRenamed("id", id_col)
 
 
