@@ -125,6 +125,12 @@ def check_enum(value: str, allowed: list[str], what: str = "value") -> str:
 
 
 # --------------------------------------------------------------------------- H4
+def padded(c, width: int) -> Column:
+    """A number as text with zeros in front up to ``width``; a longer one stays whole."""
+    text = _col(c).cast("string")
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
+
+
 def order_id(id_hex: int = 8) -> Column:
     """``ORD-`` + upper-case hex taken from a random UUID.
 

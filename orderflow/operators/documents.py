@@ -18,14 +18,20 @@ CORRUPT = "_corrupt_record"
 # ---------------------------------------------------------------------- A2
 def parse_orders(df: DataFrame, value_col: str = "value", schema: T.StructType = S.ORDER_EVENT) -> DataFrame:
     """Decode the JSON value into ``event`` (a struct of ``schema``) and flag
-    failures in ``parseError``.  Unknown fields are ignored; bad syntax or a
-    wrong-typed field is a failure (PERMISSIVE mode keeps the raw text)."""
+    failures in ``parseError``.  Unknown fields are ignored; no value, an empty
+    or blank one, JSON that is no object, bad syntax or a wrong-typed field is
+    a failure (PERMISSIVE mode keeps the raw text).  The parsed value comes out
+    of a one-element explode, so that it is parsed once however often the
+    columns are used."""
     parse_schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(F.col(value_col), parse_schema,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    value = F.col(value_col)
+    no_object = value.isNull() | ~value.rlike(r"^\s*\{")
     return (
-        df.withColumn("_parsed", parsed)
-        .withColumn("parseError", F.col(value_col).isNull() | F.col(f"_parsed.{CORRUPT}").isNotNull())
+        df.select("*", F.explode(F.array(parsed)).alias("_parsed"))
+        .withColumn("parseError", F.coalesce(no_object | F.col("_parsed").isNull() | F.col(f"_parsed.{CORRUPT}").isNotNull(),
+                                             F.lit(True)))
         .withColumn("event", F.when(~F.col("parseError"), F.col("_parsed").dropFields(CORRUPT)))
         .drop("_parsed")
     )
@@ -74,18 +80,28 @@ def to_topic_records(df: DataFrame, routing: str = "tier", lanes: int | None = N
     )
 
 
+def publish_outcome(records: DataFrame, max_bytes: int = S.MAX_RECORD_BYTES) -> DataFrame:
+    """Whether each topic record can be published: ``published`` is false, with
+    a ``publishError``, for one without a key or lane, or larger than the topic takes."""
+    error = (F.when(F.col("key").isNull(), F.lit("no key"))
+             .when(F.col("partition").isNull(), F.lit("no lane"))
+             .when(F.coalesce(F.octet_length("value"), F.lit(0)) > max_bytes, F.lit("record too large")))
+    return records.withColumn("publishError", error).withColumn("published", F.col("publishError").isNull())
+
+
 def write_orders(records: DataFrame, sink: str, fmt: str = "parquet", topic: str = S.ORDER_TOPIC,
-                 options: dict | None = None) -> None:
+                 options: dict | None = None, batch_id: int = 0) -> None:
     """Write topic records.  ``fmt='kafka'`` uses the Kafka sink (its
     ``partition`` column routes records); any file format writes one folder
-    per lane as a stand-in."""
+    per batch and lane as a stand-in, and a batch that is written again
+    replaces its own folder."""
     options = options or {}
     if fmt == "kafka":
         (records.select("key", "value", "partition").write.format("kafka")
          .option("topic", topic).options(**options).save())
     else:
-        (records.withColumn("topic", F.lit(topic)).write.mode("append")
-         .partitionBy("partition").format(fmt).options(**options).save(sink))
+        (records.withColumn("topic", F.lit(topic)).write.mode("overwrite")
+         .partitionBy("partition").format(fmt).options(**options).save(f"{sink}/batch_id={batch_id}"))
 
 
 def publish_ack(df: DataFrame) -> DataFrame:
@@ -132,9 +148,9 @@ def to_order_document(events: DataFrame, processing_status: str | Column, as_of:
 
 
 # ---------------------------------------------------------------------- B5
-def place_orders(requests: DataFrame, id_hex: int = 8) -> DataFrame:
+def place_orders(requests: DataFrame, id_hex: int = 8, keep: list[str] | None = None) -> DataFrame:
     """Requests -> new P2 orders: fresh id, PLACED, no retries, defaults for
-    source system and currency."""
+    source system and currency, plus the ``keep`` columns."""
     return requests.select(
         X.order_id(id_hex).alias("orderId"),
         "customerId", "customerName", "customerEmail",
@@ -142,16 +158,16 @@ def place_orders(requests: DataFrame, id_hex: int = 8) -> DataFrame:
         "priority", "region", "category", "items", "totalAmount",
         F.coalesce(F.col("currency"), F.lit(S.DEFAULT_CURRENCY)).alias("currency"),
         F.coalesce(F.col("sourceSystem"), F.lit(S.DEFAULT_SOURCE_SYSTEM)).alias("sourceSystem"),
-        F.lit(0).alias("retryCount"),
+        F.lit(0).alias("retryCount"), *(keep or []),
     )
 
 
 # ------------------------------------------------------------------ A5 / A6
-def stamp_dead_letters(parsed: DataFrame) -> DataFrame:
+def stamp_dead_letters(parsed: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Parsed dead letters (``event`` struct + envelope) -> DLQ documents
-    carrying the dead-letter topic's metadata."""
+    carrying the dead-letter topic's metadata, plus the ``keep`` columns."""
     ok = parsed.filter(~F.col("parseError"))
-    events = ok.select("partition", "offset", "topic", "event.*").withColumns({
+    events = ok.select("partition", "offset", "topic", "event.*", *(keep or [])).withColumns({
         "retryCount": F.lit(S.MAX_ATTEMPTS),
         "lastError": F.lit(S.DLQ_ERROR),
     })

@@ -1,7 +1,8 @@
 """Filtered, sorted and paged lookups.
 
-Each lookup is a ``filter`` that Catalyst pushes into the Parquet scan (and,
-on the date-partitioned store, into partition pruning) followed by a sort.
+Each lookup is a ``filter`` that Catalyst pushes into the Parquet scan, followed
+by a sort.  On the store (``store.write_store``) a time range also prunes the
+date folders, and equality on an id meets the row groups' Bloom filters.
 Pages are ``orderBy().offset().limit()``, which Spark plans as a single
 TakeOrderedAndProject: a bounded top-(offset+size) heap per task and one small
 merge, never a global sort.  Ties on the time column are broken by
@@ -63,10 +64,12 @@ def require_order(df: DataFrame, order_id: str):
 def orders_exist(ids: DataFrame, df: DataFrame, id_col: str = "orderId") -> DataFrame:
     """Existence of many ids at once: ids + ``exists``.
 
-    A left join against the distinct stored keys; the stored side is
-    de-duplicated with a partial aggregate first, so the join shuffles keys
-    only (or is broadcast when Spark's size check allows it)."""
-    stored = df.select(F.col(id_col).alias("_sid")).distinct().withColumn("_hit", F.lit(True))
+    The stored ids are first reduced to the asked ones (a semi-join, with the
+    ids broadcast when Spark's size check allows it), so only hits are
+    de-duplicated and joined back."""
+    asked = ids.select(F.col(id_col).alias("_aid"))
+    stored = (df.select(F.col(id_col).alias("_sid")).join(asked, F.col("_sid") == F.col("_aid"), "left_semi")
+              .distinct().withColumn("_hit", F.lit(True)))
     return (ids.join(stored, ids[id_col] == stored["_sid"], "left")
             .select(*[ids[c] for c in ids.columns], F.coalesce(F.col("_hit"), F.lit(False)).alias("exists")))
 
@@ -108,22 +111,31 @@ def status_history(df: DataFrame, status: str, ts_col: str = "createdAt") -> Dat
 
 
 # -------------------------------------------------------------- B18-B20 ranges
+def _dated(df: DataFrame, from_, to) -> DataFrame:
+    """The date folders of a store that a time range touches; any other table as it is."""
+    for col, unit in (("event_date", "day"), ("event_month", "month")):
+        if col in df.columns:
+            first, last = (F.trunc(_ts(x).cast("date"), unit) if unit == "month" else _ts(x).cast("date") for x in (from_, to))
+            df = df.filter(F.col(col).between(first, last))
+    return df
+
+
 def orders_between(df, from_, to, page=DEFAULT_PAGE, size=DEFAULT_SIZE, ts_col="eventTimestamp"):
     """P1 range: **both bounds exclusive**."""
     ts = F.col(ts_col)
-    return page_orders(df.filter((ts > _ts(from_)) & (ts < _ts(to))), ts_col, page, size)
+    return page_orders(_dated(df, from_, to).filter((ts > _ts(from_)) & (ts < _ts(to))), ts_col, page, size)
 
 
 def orders_in_range(df, from_, to, page=None, size=None, ts_col="createdAt"):
     """P2 range: both bounds inclusive; unpaged when ``page`` is None."""
-    out = df.filter(F.col(ts_col).between(_ts(from_), _ts(to)))
+    out = _dated(df, from_, to).filter(F.col(ts_col).between(_ts(from_), _ts(to)))
     if page is None:
         return out
     return page_orders(out, ts_col, page, size or DEFAULT_SIZE)
 
 
 def status_in_range(df, status, from_, to, ts_col="createdAt"):
-    return df.filter((F.col("status") == status) & F.col(ts_col).between(_ts(from_), _ts(to)))
+    return _dated(df, from_, to).filter((F.col("status") == status) & F.col(ts_col).between(_ts(from_), _ts(to)))
 
 
 # ------------------------------------------------------------------- B21-B23

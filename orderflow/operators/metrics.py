@@ -23,18 +23,24 @@ def _rev(c) -> Column:
     return F.coalesce(F.sum(c), F.lit(0)).cast(REVENUE)
 
 
-def money_avg(total, n) -> Column:
-    """``total / n`` rounded HALF_UP to 2 places, exactly (integer cents with
-    an exact remainder), and 0 when ``n`` is 0 -- ``BigDecimal.divide(n, 2,
+def money_avg(total, n, scale: int = 2, type_=S.AMOUNT) -> Column:
+    """``total / n`` rounded HALF_UP to ``scale`` places, exactly (integer units
+    with an exact remainder), and 0 when ``n`` is 0 -- ``BigDecimal.divide(n, 2,
     HALF_UP)``."""
     t = total if isinstance(total, Column) else F.col(total)
     cnt = (n if isinstance(n, Column) else F.col(n)).cast("decimal(20,0)")
     cents = (t.cast("decimal(38,2)") * 100).cast("decimal(38,0)")
-    a = F.abs(cents)
+    units = (cents.cast(f"decimal({38 - scale + 2},0)") * F.lit(10 ** (scale - 2)).cast(f"decimal({scale - 1},0)")).cast("decimal(38,0)")
+    a = F.abs(units)
     r = a % cnt
     q = ((a - r) / cnt).cast("decimal(38,0)") + F.when(r * 2 >= cnt, 1).otherwise(0)
-    signed = F.when(cents < 0, -q).otherwise(q)
-    return F.when(cnt > 0, (signed / 100).cast(S.AMOUNT)).otherwise(F.lit(0).cast(S.AMOUNT))
+    signed = F.when(units < 0, -q).otherwise(q)
+    return F.when(cnt > 0, (signed / 10**scale).cast(type_)).otherwise(F.lit(0).cast(type_))
+
+
+def exact_avg(total, n) -> Column:
+    """The store's own average (D1, D14), which isn't rounded to cents: 6 places."""
+    return money_avg(total, n, 6, "decimal(38,6)")
 
 
 # --------------------------------------------------------------------- P1
@@ -44,7 +50,7 @@ def sales_summary(docs: DataFrame) -> DataFrame:
     return (
         ok.agg(F.count(F.lit(1)).alias("totalOrders"), _rev("totalAmount").alias("totalRevenue"))
         .filter(F.col("totalOrders") > 0)
-        .withColumn("avgOrderValue", money_avg("totalRevenue", "totalOrders"))
+        .withColumn("avgOrderValue", exact_avg("totalRevenue", "totalOrders"))
     )
 
 
@@ -100,7 +106,7 @@ def store_report(docs: DataFrame) -> DataFrame:
         F.coalesce("dlqOrders", F.lit(0)).alias("dlqOrders"),
         F.coalesce("totalOrders", F.lit(0)).alias("totalOrders"),
         F.coalesce("totalRevenue", F.lit(0)).cast(REVENUE).alias("totalRevenue"),
-        money_avg(F.coalesce("totalRevenue", F.lit(0)), F.coalesce("totalOrders", F.lit(0))).alias("avgOrderValue"),
+        exact_avg(F.coalesce("totalRevenue", F.lit(0)), F.coalesce("totalOrders", F.lit(0))).alias("avgOrderValue"),
         F.array_sort("_tiers", lambda a, b: F.when(a["revenue"] > b["revenue"], -1)
                      .when(a["revenue"] < b["revenue"], 1).otherwise(0)).alias("tierDistribution"),
     )

@@ -23,6 +23,7 @@ from orderflow.operators import retry as R
 from orderflow.operators import store as ST
 from orderflow.operators import validate as V
 from orderflow.plans import oracle as O
+from orderflow.session import scratch_path
 from orderflow.sources import fixtures as FX
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +68,25 @@ def _lc(spark, sf):
     return FX.lifecycle_orders(FX.order_docs(spark, sf))
 
 
+_STORES: dict[tuple[str, str], str] = {}
+
+
+def _stored(spark, sf) -> DataFrame:
+    """The orders in the store's layout (month folders, clustered files, Bloom
+    filters on ids), written once a Spark application and input.  Lookups run on
+    it: their filters reach the folders and the Parquet scan."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STORES:
+        path = scratch_path(spark, "store")
+        ST.write_store(_docs(spark, sf), path, grain="month")
+        _STORES[key] = path
+    return ST.scan_orders(spark, _STORES[key])
+
+
+def _stored_lc(spark, sf) -> DataFrame:
+    return FX.lifecycle_orders(_stored(spark, sf))
+
+
 def _ts(v: str):
     return F.lit(v).cast("timestamp")
 
@@ -138,11 +158,12 @@ def q_normalize_enum(spark, sf):
     return d.select("orderId", "rawStatus", norm.alias("status"), norm.isNotNull().alias("isValid"))
 
 
-@register("order_id")
+@register("order_id", "SELECT count(*) AS total, count(*) AS wellFormed, count(*) AS distinctIds FROM orders")
 def q_order_id(spark, sf):
-    """H4: a fresh id for every stored order (random: rows-only check; tests
-    check prefix, width and uniqueness)."""
-    return _docs(spark, sf).select("orderId", X.order_id().alias("newOrderId"))
+    """H4: a fresh 128-bit id for every order: all well-formed, no two alike."""
+    ids = FX.table(spark, sf, "orders").select(X.order_id(32).alias("id"))
+    return ids.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("id").rlike("^ORD-[0-9A-F]{32}$")).alias("wellFormed"),
+                   F.countDistinct("id").alias("distinctIds"))
 
 
 # ================================================================ validation
@@ -186,7 +207,7 @@ def q_split_valid(spark, sf):
 _M = S.REQUEST_MESSAGES
 REQUESTS = """requests AS (
 SELECT d.orderId AS requestId, CASE WHEN d.kafkaOffset % 13 = 0 THEN ' ' ELSE d.customerId END AS customerId,
- 'Customer ' || d.customerId AS customerName, d.priority, d.region, d.category, i.items,
+ 'Customer ' || d.customerId AS customerName, d.priority, d.region, d.category, i.items, d.kafkaOffset,
  CASE WHEN d.kafkaOffset % 17 = 0 THEN CAST(0 AS DECIMAL(18,2)) WHEN d.kafkaOffset % 19 = 0 THEN NULL
       ELSE d.totalAmount END AS totalAmount
 FROM order_docs d LEFT JOIN items i ON d.kafkaOffset = i.l_orderkey)"""
@@ -210,12 +231,16 @@ def q_validate_requests(spark, sf):
     return V.validate_requests(FX.order_requests(spark, sf)).select("requestId", "errorText", "isValid")
 
 
-@register("place_orders")
+@register("place_orders", O.with_(
+    "SELECT requestId, true AS idOk, customerId, 'PLACED' AS status, priority, region, totalAmount, "
+    f"'{S.DEFAULT_CURRENCY}' AS currency, CASE WHEN kafkaOffset % 4 = 0 THEN '{S.DEFAULT_SOURCE_SYSTEM}' ELSE 'WEB' END "
+    f"AS sourceSystem, 0 AS retryCount FROM requests WHERE {_REQUEST_ERRORS} IS NULL", DOCS, ITEMS, REQUESTS))
 def q_place_orders(spark, sf):
-    """Fresh random ids: no oracle (checked by tests: prefix, width, defaults)."""
+    """The placed order of every valid request; of the fresh id its form."""
     ok, _ = V.split_valid(V.validate_requests(FX.order_requests(spark, sf)))
-    return D.place_orders(ok).select("orderId", "customerId", "status", "priority", "region", "totalAmount",
-                                     "currency", "sourceSystem", "retryCount")
+    return D.place_orders(ok, keep=["requestId"]).select(
+        "requestId", F.col("orderId").rlike("^ORD-[0-9A-F]{8}$").alias("idOk"), "customerId", "status", "priority", "region",
+        "totalAmount", "currency", "sourceSystem", "retryCount")
 
 
 # ============================================================ records / JSON
@@ -223,7 +248,9 @@ EVENTS_JOIN = "order_docs d LEFT JOIN items i ON d.kafkaOffset = i.l_orderkey"
 DOC_KEY = "(d.customerTier || ':' || d.customerId)"
 TOPIC_LOG = f"""topic_log AS (
 SELECT d.customerTier || ':' || d.customerId AS key,
- CASE WHEN d.kafkaOffset % 101 = 0 THEN substring({O.EVENT_JSON}, 1, length({O.EVENT_JSON}) // 2)
+ CASE WHEN d.kafkaOffset % 101 = 0 THEN CASE (d.kafkaOffset // 101) % 7
+      WHEN 0 THEN substring({O.EVENT_JSON}, 1, length({O.EVENT_JSON}) // 2) WHEN 1 THEN '' WHEN 2 THEN '  '
+      WHEN 3 THEN 'null' WHEN 4 THEN '[]' WHEN 5 THEN '123' ELSE NULL END
       ELSE {O.EVENT_JSON} END AS value,
  '{S.ORDER_TOPIC}' AS topic, d.kafkaOffset AS "offset", d.eventTimestamp AS "timestamp"
 FROM {EVENTS_JOIN})"""
@@ -236,6 +263,39 @@ def q_publish_orders(spark, sf):
     return D.to_topic_records(FX.order_events(spark, sf), routing="tier")
 
 
+_P2_FIELDS = ["orderId", "customerId", "status", "priority", "region", "category", "totalAmount", "currency", "retryCount"]
+
+
+@register("publish_priority", O.with_(
+    f"SELECT key, value, {O.priority_lane('key')} AS partition FROM (SELECT priority || ':' || customerId AS key, "
+    f"CAST(to_json(struct_pack({', '.join(f'{c} := {c}' for c in _P2_FIELDS)})) AS VARCHAR) AS value FROM lifecycle)", DOCS, LC))
+def q_publish_priority(spark, sf):
+    """P2 publish: key ``priority:customerId``, eight lanes in priority bands."""
+    return D.to_topic_records(_lc(spark, sf), routing="priority", fields=_P2_FIELDS)
+
+
+MAX_BYTES = 900
+
+
+@register("publish_outcomes", O.with_(
+    f"SELECT key, CASE WHEN strlen(value) > {MAX_BYTES} THEN 'record too large' END AS publishError, "
+    f"strlen(value) <= {MAX_BYTES} AS published FROM (SELECT {DOC_KEY} AS key, {O.EVENT_JSON} AS value FROM {EVENTS_JOIN})",
+    DOCS, ITEMS))
+def q_publish_outcomes(spark, sf):
+    """Per record, whether a topic that takes small records only takes it."""
+    records = D.to_topic_records(FX.order_events(spark, sf), routing="tier")
+    return D.publish_outcome(records, MAX_BYTES).select("key", "publishError", "published")
+
+
+@register("publish_counters", O.with_(
+    f"SELECT count(*) FILTER (WHERE ok) AS published, count(*) FILTER (WHERE NOT ok) AS publishFailed, CAST(0 AS BIGINT) AS "
+    f"processed, CAST(0 AS BIGINT) AS deadLettered FROM (SELECT strlen({O.EVENT_JSON}) <= {MAX_BYTES} AS ok FROM {EVENTS_JOIN})",
+    DOCS, ITEMS))
+def q_publish_counters(spark, sf):
+    """D19's publish side, counted over each record's outcome."""
+    return M.flow_counters(q_publish_outcomes(spark, sf).select(F.lit("publish").alias("stage"), F.col("published").alias("ok")))
+
+
 def _parsed(spark, sf):
     return D.parse_orders(FX.topic_log(spark, sf))
 
@@ -396,34 +456,51 @@ def q_flow_counters(spark, sf):
 
 # =================================================================== store
 DELIVERIES = """deliveries AS (
-SELECT orderId, customerId, 'PLACED' AS status, totalAmount, kafkaOffset AS seq, eventTimestamp AS ingestedAt
+SELECT orderId, customerId, 'PLACED' AS status, totalAmount, 1 AS delivery, kafkaOffset AS seq, eventTimestamp AS ingestedAt
 FROM order_docs
 UNION ALL
 SELECT orderId, customerId, 'CANCELLED' AS status, CAST(totalAmount + 1 AS DECIMAL(18,2)) AS totalAmount,
- kafkaOffset + 10000000 AS seq, eventTimestamp + INTERVAL 1 HOUR AS ingestedAt
+ 2 AS delivery, kafkaOffset AS seq, eventTimestamp + INTERVAL 1 HOUR AS ingestedAt
 FROM order_docs WHERE kafkaOffset % 10 = 0)"""
 
 
-@register("upsert_orders", O.with_(
-    "SELECT substr(sha256(orderId || ':' || CAST(firstSeq AS VARCHAR)), 1, 24) AS id, orderId, customerId, status, "
-    "totalAmount, seq, createdAt, updatedAt FROM (SELECT *, row_number() OVER (PARTITION BY orderId ORDER BY seq DESC) "
-    "AS rn, min(ingestedAt) OVER (PARTITION BY orderId) AS createdAt, ingestedAt AS updatedAt, "
-    "min(seq) OVER (PARTITION BY orderId) AS firstSeq FROM deliveries) WHERE rn = 1", DOCS, DELIVERIES))
+UPSERT_SQL = O.with_(
+    "SELECT substr(sha256(orderId || ':' || CAST(firstDelivery AS VARCHAR) || ':' || CAST(seq AS VARCHAR)), 1, 24) AS id, orderId, "
+    "customerId, status, totalAmount, delivery, seq, createdAt, updatedAt FROM (SELECT *, row_number() OVER (PARTITION BY orderId "
+    "ORDER BY delivery DESC) AS rn, min(ingestedAt) OVER (PARTITION BY orderId) AS createdAt, ingestedAt AS updatedAt, "
+    "min(delivery) OVER (PARTITION BY orderId) AS firstDelivery FROM deliveries) WHERE rn = 1", DOCS, DELIVERIES)
+_UPSERT_COLS = ["id", "orderId", "customerId", "status", "totalAmount", "delivery", "seq", "createdAt", "updatedAt"]
+
+
+def _deliveries(spark, sf):
+    return FX.deliveries(spark, sf).select("orderId", "customerId", "status", "totalAmount", "delivery", "seq", "ingestedAt")
+
+
+@register("upsert_orders", UPSERT_SQL)
 def q_upsert_orders(spark, sf):
-    log = FX.deliveries(spark, sf).select("orderId", "customerId", "status", "totalAmount", "seq", "ingestedAt")
-    return ST.upsert_orders(log, ["seq"]).select("id", "orderId", "customerId", "status", "totalAmount", "seq",
-                                                 "createdAt", "updatedAt")
+    return ST.upsert_orders(_deliveries(spark, sf), ["delivery", "seq"]).select(_UPSERT_COLS)
+
+
+@register("merge_store", UPSERT_SQL)
+def q_merge_store(spark, sf):
+    """A4 in two batches: the second deliveries first, written as a snapshot,
+    then the first ones, which arrive late; the outcome is the same."""
+    log, seq = _deliveries(spark, sf), ["delivery", "seq"]
+    root = scratch_path(spark, "merge_store")
+    state = ST.upsert_orders(log.filter("delivery = 2"), seq, keep_state=True)
+    ST.compact_store(spark, state, root)
+    return ST.merge_into_store(ST.read_snapshot(spark, root), log.filter("delivery = 1"), seq).select(_UPSERT_COLS)
 
 
 @register("page_orders", O.with_(f"SELECT * FROM order_docs {ORDER_P1} LIMIT 20 OFFSET 60", DOCS))
 def q_page_orders(spark, sf):
     """page 3 (size 20) of all orders, newest first."""
-    return L.page_orders(_docs(spark, sf), "eventTimestamp", 3, 20).select(*DOC_COLS)
+    return L.page_orders(_stored(spark, sf), "eventTimestamp", 3, 20).select(*DOC_COLS)
 
 
 @register("scan_orders", O.with_(f"SELECT * FROM order_docs {ORDER_P1} LIMIT 20", DOCS))
 def q_scan_orders(spark, sf):
-    return L.page_orders(_docs(spark, sf), "eventTimestamp", 0, 20).select(*DOC_COLS)
+    return L.page_orders(_stored(spark, sf), "eventTimestamp", 0, 20).select(*DOC_COLS)
 
 
 @register("retention_90d", O.with_(
@@ -433,6 +510,18 @@ def q_retention_90d(spark, sf):
     return ST.apply_retention(_docs(spark, sf), FX.as_of()).select("orderId", "eventTimestamp")
 
 
+@register("retention_drop", O.with_(
+    f"SELECT orderId, eventTimestamp FROM order_docs WHERE eventTimestamp IS NULL OR "
+    f"eventTimestamp > {O.AS_OF} - INTERVAL '7776000' SECOND", DOCS))
+def q_retention_drop(spark, sf):
+    """A11 on the written store: expired folders are removed whole, and the
+    expired rows of the folder that the cutoff falls into are hidden."""
+    path = scratch_path(spark, "retention_store")
+    ST.write_store(_docs(spark, sf), path, grain="month")
+    ST.drop_expired(spark, path, AS_OF)
+    return ST.apply_retention(ST.scan_orders(spark, path), FX.as_of()).select("orderId", "eventTimestamp")
+
+
 # ==================================================================== feeds
 def lean_sql(extra: str = "") -> str:
     return (
@@ -456,18 +545,38 @@ def q_live_feed(spark, sf):
     return _feed(spark, sf)
 
 
-@register("lifecycle_feed", O.with_(
+LIFECYCLE_FEED_SQL = (
     "SELECT orderId, customerId, '' AS customerName, status, priority, region, category, totalAmount, currency, "
     f"partition, coalesce({O.iso('createdAt')}, '') AS timestamp FROM (SELECT *, "
     f"{O.priority_lane("(priority || ':' || customerId)")} AS partition FROM lifecycle) "
     "WHERE orderId IS NOT NULL AND customerId IS NOT NULL AND status IS NOT NULL AND priority IS NOT NULL AND "
-    "region IS NOT NULL AND category IS NOT NULL AND totalAmount IS NOT NULL AND currency IS NOT NULL",
-    DOCS, LC))
+    "region IS NOT NULL AND category IS NOT NULL AND totalAmount IS NOT NULL AND currency IS NOT NULL")
+
+
+@register("lifecycle_feed", O.with_(LIFECYCLE_FEED_SQL, DOCS, LC))
 def q_lifecycle_feed(spark, sf):
     lc = _lc(spark, sf).withColumn("customerName", F.lit(None).cast("string"))
     return FD.lean_lifecycle(lc)
 
 
+def _json_sql(columns: list[str], source: str) -> str:
+    return f"SELECT CAST(to_json(struct_pack({', '.join(f'{c} := {c}' for c in columns)})) AS VARCHAR) AS payload FROM ({source})"
+
+
+@register("live_feed_json", O.with_(_json_sql([*FD.LEAN_REQUIRED, "paymentMethod", "timestamp", "itemCount"], LEAN_SQL), DOCS, ITEMS))
+def q_live_feed_json(spark, sf):
+    """The payload of each feed row."""
+    return FD.feed_json(_feed(spark, sf))
+
+
+@register("lifecycle_feed_json", O.with_(_json_sql(
+    ["orderId", "customerId", "customerName", "status", "priority", "region", "category", "totalAmount", "currency", "partition",
+     "timestamp"], LIFECYCLE_FEED_SQL), DOCS, LC))
+def q_lifecycle_feed_json(spark, sf):
+    """The payload of each lifecycle feed row."""
+    return FD.feed_json(q_lifecycle_feed(spark, sf))
+
+
 @register("recent_feed", O.with_(
     "SELECT orderId, customerTier, status, totalAmount, region, timestamp, arrival FROM "
     f"({lean_sql(', d.kafkaOffset AS arrival')}) ORDER BY arrival DESC LIMIT 50", DOCS, ITEMS))
@@ -521,108 +630,125 @@ def _page(where: str, order: str, page: int, size: int, src: str = "order_docs")
 
 @register("order_by_id", O.with_(f"SELECT * FROM order_docs WHERE orderId = '{LOOKUP_ID}'", DOCS))
 def q_order_by_id(spark, sf):
-    return L.get_order(_docs(spark, sf), LOOKUP_ID).select(*DOC_COLS)
+    return L.get_order(_stored(spark, sf), LOOKUP_ID).select(*DOC_COLS)
 
 
 @register("orders_exist", O.with_(
-    "SELECT r.orderId, o.orderId IS NOT NULL AS \"exists\" FROM (SELECT 'ORD-' || lpad(CAST(c_custkey * 13 AS "
-    "VARCHAR), 8, '0') AS orderId FROM customer) r LEFT JOIN order_docs o ON r.orderId = o.orderId", DOCS))
+    "SELECT r.orderId, o.orderId IS NOT NULL AS \"exists\" FROM (SELECT 'ORD-' || lpad(CAST(c_custkey * 13 AS VARCHAR), "
+    "greatest(8, length(CAST(c_custkey * 13 AS VARCHAR))), '0') AS orderId FROM customer) r LEFT JOIN order_docs o ON r.orderId = o.orderId", DOCS))
 def q_orders_exist(spark, sf):
     ids = FX.table(spark, sf, "customer").select(
-        F.concat(F.lit("ORD-"), F.lpad((F.col("c_custkey") * 13).cast("string"), 8, "0")).alias("orderId"))
-    return L.orders_exist(ids, _docs(spark, sf))
+        F.concat(F.lit("ORD-"), X.padded(F.col("c_custkey") * 13, 8)).alias("orderId"))
+    return L.orders_exist(ids, _stored(spark, sf))
 
 
 @register("orders_by_status", O.with_(_page("status = 'SHIPPED'", ORDER_P1, 2, 20), DOCS))
 def q_orders_by_status(spark, sf):
-    return L.orders_by_status(_docs(spark, sf), "SHIPPED", 2, 20).select(*DOC_COLS)
+    return L.orders_by_status(_stored(spark, sf), "SHIPPED", 2, 20).select(*DOC_COLS)
 
 
 @register("lifecycle_by_status", O.with_(_page("status = 'DELIVERED'", ORDER_P2, 0, 20, "lifecycle"), DOCS, LC))
 def q_lifecycle_by_status(spark, sf):
-    return L.lifecycle_by_status(_lc(spark, sf), "delivered", 0, 20).select(*LC_COLS)
+    return L.lifecycle_by_status(_stored_lc(spark, sf), "delivered", 0, 20).select(*LC_COLS)
 
 
 @register("status_history", O.with_(f"SELECT * FROM lifecycle WHERE status = 'REFUNDED' {ORDER_P2}", DOCS, LC))
 def q_status_history(spark, sf):
-    return L.status_history(_lc(spark, sf), "REFUNDED").select(*LC_COLS)
+    return L.status_history(_stored_lc(spark, sf), "REFUNDED").select(*LC_COLS)
 
 
 @register("orders_by_customer", O.with_(_page(f"customerId = '{LOOKUP_CUSTOMER}'", ORDER_P1, 0, 20), DOCS))
 def q_orders_by_customer(spark, sf):
-    return L.orders_by_customer(_docs(spark, sf), LOOKUP_CUSTOMER, 0, 20).select(*DOC_COLS)
+    return L.orders_by_customer(_stored(spark, sf), LOOKUP_CUSTOMER, 0, 20).select(*DOC_COLS)
 
 
 @register("orders_by_region", O.with_(_page("region = 'EAST'", ORDER_P1, 1, 20), DOCS))
 def q_orders_by_region(spark, sf):
-    return L.orders_by_region(_docs(spark, sf), "EAST", 1, 20).select(*DOC_COLS)
+    return L.orders_by_region(_stored(spark, sf), "EAST", 1, 20).select(*DOC_COLS)
 
 
 @register("orders_by_tier", O.with_(_page("customerTier = 'PREMIUM'", ORDER_P1, 0, 20), DOCS))
 def q_orders_by_tier(spark, sf):
-    return L.orders_by_tier(_docs(spark, sf), "PREMIUM", 0, 20).select(*DOC_COLS)
+    return L.orders_by_tier(_stored(spark, sf), "PREMIUM", 0, 20).select(*DOC_COLS)
 
 
 @register("orders_between", O.with_(_page(
     f"eventTimestamp > TIMESTAMP '{BETWEEN_FROM}' AND eventTimestamp < TIMESTAMP '{BETWEEN_TO}'", ORDER_P1, 0, 50),
     DOCS))
 def q_orders_between(spark, sf):
-    return L.orders_between(_docs(spark, sf), BETWEEN_FROM, BETWEEN_TO, 0, 50).select(*DOC_COLS)
+    return L.orders_between(_stored(spark, sf), BETWEEN_FROM, BETWEEN_TO, 0, 50).select(*DOC_COLS)
 
 
 @register("orders_in_range", O.with_(
     f"SELECT * FROM lifecycle WHERE createdAt BETWEEN TIMESTAMP '{RANGE_FROM}' AND TIMESTAMP '{RANGE_TO}'", DOCS, LC))
 def q_orders_in_range(spark, sf):
-    return L.orders_in_range(_lc(spark, sf), RANGE_FROM, RANGE_TO).select(*LC_COLS)
+    return L.orders_in_range(_stored_lc(spark, sf), RANGE_FROM, RANGE_TO).select(*LC_COLS)
 
 
 @register("orders_in_range_paged", O.with_(_page(
     f"createdAt BETWEEN TIMESTAMP '{RANGE_FROM}' AND TIMESTAMP '{RANGE_TO}'", ORDER_P2, 1, 20, "lifecycle"),
     DOCS, LC))
 def q_orders_in_range_paged(spark, sf):
-    return L.orders_in_range(_lc(spark, sf), RANGE_FROM, RANGE_TO, 1, 20).select(*LC_COLS)
+    return L.orders_in_range(_stored_lc(spark, sf), RANGE_FROM, RANGE_TO, 1, 20).select(*LC_COLS)
 
 
 @register("status_in_range", O.with_(
     f"SELECT * FROM lifecycle WHERE status = 'SHIPPED' AND createdAt BETWEEN TIMESTAMP '{RANGE_FROM}' AND "
     f"TIMESTAMP '{RANGE_TO}'", DOCS, LC))
 def q_status_in_range(spark, sf):
-    return L.status_in_range(_lc(spark, sf), "SHIPPED", RANGE_FROM, RANGE_TO).select(*LC_COLS)
+    return L.status_in_range(_stored_lc(spark, sf), "SHIPPED", RANGE_FROM, RANGE_TO).select(*LC_COLS)
 
 
 @register("region_priority", O.with_(_page("region = 'EAST' AND priority = 'EXPRESS'", ORDER_P2, 0, 20,
                                            "lifecycle"), DOCS, LC))
 def q_region_priority(spark, sf):
-    return L.region_priority(_lc(spark, sf), "east", "express", 0, 20).select(*LC_COLS)
+    return L.region_priority(_stored_lc(spark, sf), "east", "express", 0, 20).select(*LC_COLS)
 
 
 @register("dlq_orders", O.with_("SELECT * FROM order_docs WHERE processingStatus = 'DLQ'", DOCS))
 def q_dlq_orders(spark, sf):
-    return L.by_processing_status(_docs(spark, sf), "DLQ").select(*DOC_COLS)
+    return L.by_processing_status(_stored(spark, sf), "DLQ").select(*DOC_COLS)
 
 
 @register("failed_orders", O.with_("SELECT * FROM lifecycle WHERE status = 'FAILED' AND retryCount > 0", DOCS, LC))
 def q_failed_orders(spark, sf):
-    return L.failed_orders(_lc(spark, sf)).select(*LC_COLS)
+    return L.failed_orders(_stored_lc(spark, sf)).select(*LC_COLS)
 
 
 @register("search_orders", O.with_(_page("region = 'WEST'", ORDER_P1, 0, 20), DOCS))
 def q_search_orders(spark, sf):
     """region and tier given: region wins (first-match precedence)."""
-    return L.search_orders(_docs(spark, sf), region="WEST", tier="PREMIUM").select(*DOC_COLS)
+    return L.search_orders(_stored(spark, sf), region="WEST", tier="PREMIUM").select(*DOC_COLS)
+
+
+def _search(key: str, where: str, **params):
+    """One branch of the search; parameters of later branches are ignored."""
+    @register(key, O.with_(_page(where, ORDER_P1, 0, 20), DOCS))
+    def query(spark, sf):
+        return L.search_orders(_stored(spark, sf), **params).select(*DOC_COLS)
+    query.__name__ = f"q_{key}"
+
+
+_search("search_by_status", "status = 'PLACED'", status="PLACED", customer_id=LOOKUP_CUSTOMER, region="WEST")
+_search("search_by_customer", f"customerId = '{LOOKUP_CUSTOMER}'", customer_id=LOOKUP_CUSTOMER, region="WEST")
+_search("search_by_tier", "customerTier = 'BASIC'", tier="BASIC", from_=BETWEEN_FROM, to=BETWEEN_TO)
+_search("search_between", f"eventTimestamp > TIMESTAMP '{BETWEEN_FROM}' AND eventTimestamp < TIMESTAMP '{BETWEEN_TO}'",
+        from_=BETWEEN_FROM, to=BETWEEN_TO)
+_search("search_one_end", "true", from_=BETWEEN_FROM)
+_search("search_all", "true")
 
 
 @register("page_info", O.with_(
     "SELECT count(*) AS totalElements, CAST(ceil(count(*) / 20) AS BIGINT) AS totalPages, 20 AS size "
     "FROM order_docs WHERE status = 'SHIPPED'", DOCS))
 def q_page_info(spark, sf):
-    return L.page_info(_docs(spark, sf).filter(F.col("status") == "SHIPPED"), 20)
+    return L.page_info(_stored(spark, sf).filter(F.col("status") == "SHIPPED"), 20)
 
 
 @register("customer_top10", O.with_(
     f"SELECT * FROM lifecycle WHERE customerId = '{LOOKUP_CUSTOMER}' {ORDER_P2} LIMIT 10", DOCS, LC))
 def q_customer_top10(spark, sf):
-    return L.customer_top(_lc(spark, sf), LOOKUP_CUSTOMER, 10).select(*LC_COLS)
+    return L.customer_top(_stored_lc(spark, sf), LOOKUP_CUSTOMER, 10).select(*LC_COLS)
 
 
 @register("recent_per_customer", O.with_(
@@ -634,7 +760,7 @@ def q_recent_per_customer(spark, sf):
 
 # ============================================================ aggregations
 @register("sales_summary", O.with_(
-    f"SELECT totalOrders, totalRevenue, {O.money_avg('totalRevenue', 'totalOrders')} AS avgOrderValue FROM "
+    f"SELECT totalOrders, totalRevenue, {O.exact_avg('totalRevenue', 'totalOrders')} AS avgOrderValue FROM "
     "(SELECT count(*) AS totalOrders, CAST(coalesce(sum(totalAmount), 0) AS DECIMAL(38,2)) AS totalRevenue "
     "FROM order_docs WHERE processingStatus = 'SUCCESS') WHERE totalOrders > 0", DOCS))
 def q_sales_summary(spark, sf):
@@ -662,15 +788,19 @@ def q_status_success_count(spark, sf):
     return M.status_success_count(_docs(spark, sf), "DELIVERED")
 
 
-@register("store_report", O.with_(
-    "SELECT t.*, (SELECT CAST(to_json(list(struct_pack(id := customerTier, count := n, revenue := rev) "
-    "ORDER BY rev DESC)) AS VARCHAR) FROM (SELECT customerTier, count(*) AS n, CAST(coalesce(sum(totalAmount), 0) AS "
-    "DECIMAL(38,2)) AS rev FROM order_docs GROUP BY customerTier)) AS tierDistribution FROM ("
-    f"SELECT totalOrdersInDb, dlqOrders, totalOrders, totalRevenue, {O.money_avg('totalRevenue', 'totalOrders')} "
-    "AS avgOrderValue FROM (SELECT count(*) AS totalOrdersInDb, count(*) FILTER (WHERE processingStatus = 'DLQ') "
-    "AS dlqOrders, count(*) FILTER (WHERE processingStatus = 'SUCCESS') AS totalOrders, CAST(coalesce(sum("
-    "totalAmount) FILTER (WHERE processingStatus = 'SUCCESS'), 0) AS DECIMAL(38,2)) AS totalRevenue "
-    "FROM order_docs)) t", DOCS))
+def store_report_sql(source: str) -> str:
+    return (
+        "SELECT t.*, (SELECT CAST(to_json(list(struct_pack(id := customerTier, count := n, revenue := rev) "
+        "ORDER BY rev DESC)) AS VARCHAR) FROM (SELECT customerTier, count(*) AS n, CAST(coalesce(sum(totalAmount), 0) AS "
+        f"DECIMAL(38,2)) AS rev FROM {source} GROUP BY customerTier)) AS tierDistribution FROM ("
+        f"SELECT totalOrdersInDb, dlqOrders, totalOrders, totalRevenue, {O.exact_avg('totalRevenue', 'totalOrders')} "
+        "AS avgOrderValue FROM (SELECT count(*) AS totalOrdersInDb, count(*) FILTER (WHERE processingStatus = 'DLQ') "
+        "AS dlqOrders, count(*) FILTER (WHERE processingStatus = 'SUCCESS') AS totalOrders, CAST(coalesce(sum("
+        "totalAmount) FILTER (WHERE processingStatus = 'SUCCESS'), 0) AS DECIMAL(38,2)) AS totalRevenue "
+        f"FROM {source})) t")
+
+
+@register("store_report", O.with_(store_report_sql("order_docs"), DOCS))
 def q_store_report(spark, sf):
     r = M.store_report(_docs(spark, sf))
     return r.withColumn("tierDistribution", F.to_json("tierDistribution"))

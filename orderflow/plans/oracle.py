@@ -10,8 +10,8 @@ from __future__ import annotations
 AS_OF = "TIMESTAMP '2001-08-02 00:00:00'"
 
 ORDER_DOCS = """order_docs AS (
-SELECT 'ORD-' || lpad(cast(o_orderkey as string), 8, '0') AS orderId,
- 'CUST-' || lpad(cast(c_custkey as string), 4, '0') AS customerId,
+SELECT 'ORD-' || lpad(cast(o_orderkey as string), greatest(8, length(cast(o_orderkey as string))), '0') AS orderId,
+ 'CUST-' || lpad(cast(c_custkey as string), greatest(4, length(cast(c_custkey as string))), '0') AS customerId,
  CASE WHEN c_custkey % 6 = 0 THEN 'PREMIUM' WHEN c_custkey % 6 <= 3 THEN 'STANDARD' ELSE 'BASIC' END AS customerTier,
  CASE o_orderkey % 5 WHEN 0 THEN 'PLACED' WHEN 1 THEN 'CONFIRMED' WHEN 2 THEN 'SHIPPED' WHEN 3 THEN 'DELIVERED' ELSE 'CANCELLED' END AS status,
  cast(o_totalprice as decimal(18,2)) AS totalAmount, 'INR' AS currency,
@@ -82,13 +82,19 @@ def priority_lane(key: str, lanes: int = 8) -> str:
             f"ELSE {h} % 4 END AS INT)")
 
 
-def money_avg(total: str, n: str) -> str:
-    """total / n, HALF_UP to 2 places, exactly, 0 when n = 0 (DECIMAL(18,2))."""
-    c = f"CAST(({total}) * 100 AS HUGEINT)"
+def money_avg(total: str, n: str, scale: int = 2, type_: str = "DECIMAL(18,2)") -> str:
+    """total / n, HALF_UP to ``scale`` places, exactly, 0 when n = 0."""
+    c = f"(CAST(({total}) * 100 AS HUGEINT) * {10 ** (scale - 2)})"
     q = (f"((abs({c}) // ({n})) + CASE WHEN 2 * (abs({c}) % ({n})) >= ({n}) THEN 1 ELSE 0 END)"
          f" * sign({c})")
-    return (f"CAST(CASE WHEN ({n}) > 0 THEN CAST({q} AS DECIMAL(38,0)) * 0.01 ELSE 0 END "
-            f"AS DECIMAL(18,2))")
+    step = f"CAST(0.{'0' * (scale - 1)}1 AS DECIMAL({scale + 1},{scale}))"
+    return (f"CAST(CASE WHEN ({n}) > 0 THEN CAST({q} AS DECIMAL({38 - scale - 1},0)) * {step} ELSE 0 END "
+            f"AS {type_})")
+
+
+def exact_avg(total: str, n: str) -> str:
+    """The store's own average, which isn't rounded to cents."""
+    return money_avg(total, n, 6, "DECIMAL(38,6)")
 
 
 def pct(part: str, total: str) -> str:

@@ -71,6 +71,9 @@ REQUEST_MESSAGES = {
 }
 # ----------------------------------------------------------------------------
 
+# the largest record a topic takes unless it is told otherwise (Kafka's default)
+MAX_RECORD_BYTES = 1_048_576
+
 ORDER_ITEM = T.StructType([
     T.StructField("productId", T.StringType()),
     T.StructField("productName", T.StringType()),

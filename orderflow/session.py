@@ -8,6 +8,7 @@ driver entry point.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -56,19 +57,22 @@ def ensure_defaults(spark: SparkSession) -> None:
     for key, value in SESSION_DEFAULTS.items():
         if spark.conf.get(key, None) in (None, ""):
             spark.conf.set(key, value)
-    # the UTC clock is load-bearing for hour labels; force it
+    # hour labels, windows and ISO text are UTC by definition, so this one setting
+    # replaces the session's own value
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and points at shared storage;
-    it is only filled in here (with a fresh local folder) when unset, which is
-    the test / single-machine case.
+    On a cluster this is set by the deployment and points at shared storage; a
+    cluster session without it is refused, since executors would write to disks
+    of their own.  On a single machine a fresh local folder is filled in.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="orderflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     spark.sparkContext.setCheckpointDir(root)
@@ -80,6 +84,15 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([checkpoint_root(spark), *parts, uuid.uuid4().hex])
 
 
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right under ``path`` (none if it isn't there)."""
+    if not path_exists(spark, path):
+        return []
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, on whatever file system the path names
     (local, HDFS, object store), via the session's Hadoop configuration."""

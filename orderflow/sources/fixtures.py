@@ -20,8 +20,7 @@ from orderflow.operators import documents as D
 
 # The clock every registered query uses, so results are deterministic.
 AS_OF = "2001-08-02 00:00:00"
-# Second deliveries in the upsert fixture arrive after every first delivery.
-REDELIVERY_SEQ_OFFSET = 10_000_000
+MALFORMED_EVERY = 101
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,8 +62,8 @@ def order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ck = F.col("c_custkey")
     k20 = k % 20
     return j.select(
-        F.concat(F.lit("ORD-"), F.lpad(k.cast("string"), 8, "0")).alias("orderId"),
-        F.concat(F.lit("CUST-"), F.lpad(ck.cast("string"), 4, "0")).alias("customerId"),
+        F.concat(F.lit("ORD-"), X.padded(k, 8)).alias("orderId"),
+        F.concat(F.lit("CUST-"), X.padded(ck, 4)).alias("customerId"),
         F.when(ck % 6 == 0, "PREMIUM").when(ck % 6 <= 3, "STANDARD").otherwise("BASIC").alias("customerTier"),
         _case(k % 5, [(0, "PLACED"), (1, "CONFIRMED"), (2, "SHIPPED"), (3, "DELIVERED")], "CANCELLED")
         .alias("status"),
@@ -95,7 +94,7 @@ def lifecycle_orders(docs: DataFrame) -> DataFrame:
     return docs.select(
         "orderId", "customerId", F.col("lifecycleStatus").alias("status"), "priority", "region",
         "category", "totalAmount", "currency", "retryCount", F.col("eventTimestamp").alias("createdAt"),
-        "kafkaOffset",
+        "kafkaOffset", *[c for c in ("event_date", "event_month") if c in docs.columns],
     )
 
 
@@ -139,17 +138,20 @@ def order_events(spark: SparkSession, sf_dir: str, with_items: bool = True) -> D
 
 def topic_log(spark: SparkSession, sf_dir: str, topic: str = S.ORDER_TOPIC) -> DataFrame:
     """Order events as topic records (key, value, topic, partition, offset,
-    timestamp).  Every 101st record has its value cut in half (malformed)."""
+    timestamp).  Every 101st record is malformed: cut in half, empty, blank,
+    a JSON null, list or number, or no value at all, in turn."""
     ev = order_events(spark, sf_dir)
     key = X.partition_key(F.col("customerTier"), F.col("customerId"))
     value = D.event_json(ev)
-    cut = F.expr("substring(v, 1, length(v) div 2)")
+    kind = F.floor(F.col("offset") / MALFORMED_EVERY) % 7
+    bad = _case(kind, [(1, ""), (2, "  "), (3, "null"), (4, "[]"), (5, "123")], None)
+    bad = F.when(kind == 0, F.expr("substring(v, 1, length(v) div 2)")).otherwise(bad)
     return (
         ev.select(key.alias("key"), value.alias("v"), F.col("kafkaOffset").alias("offset"),
                   F.col("eventTimestamp").alias("timestamp"))
         .select(
             "key",
-            F.when(F.col("offset") % 101 == 0, cut).otherwise(F.col("v")).alias("value"),
+            F.when(F.col("offset") % MALFORMED_EVERY == 0, bad).otherwise(F.col("v")).alias("value"),
             F.lit(topic).alias("topic"),
             X.tier_lane(F.col("key")).alias("partition"),
             "offset",
@@ -160,21 +162,22 @@ def topic_log(spark: SparkSession, sf_dir: str, topic: str = S.ORDER_TOPIC) -> D
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Upsert input: every order delivered once as PLACED; every 10th again
-    later as CANCELLED with amount + 1.  ``seq`` is the arrival order and
-    ``ingestedAt`` the store's clock at arrival.  One scan: each order row
-    emits its one or two deliveries."""
+    later as CANCELLED with amount + 1.  Arrival order is (``delivery``,
+    ``seq``): all first deliveries, then all second ones; ``ingestedAt`` is
+    the store's clock at arrival.  One scan: each order row emits its one or
+    two deliveries."""
     docs = order_docs(spark, sf_dir)
     k = F.col("kafkaOffset")
     first = F.struct(F.lit("PLACED").alias("status"), F.col("totalAmount").alias("totalAmount"),
-                     k.alias("seq"), F.col("eventTimestamp").alias("ingestedAt"))
+                     F.lit(1).alias("delivery"), F.col("eventTimestamp").alias("ingestedAt"))
     again = F.struct(F.lit("CANCELLED").alias("status"), (F.col("totalAmount") + 1).cast(S.AMOUNT).alias("totalAmount"),
-                     (k + REDELIVERY_SEQ_OFFSET).alias("seq"),
+                     F.lit(2).alias("delivery"),
                      (F.col("eventTimestamp") + F.expr("INTERVAL 1 HOUR")).alias("ingestedAt"))
     arrivals = F.filter(F.array(first, F.when(k % 10 == 0, again)), lambda d: d.isNotNull())
     return docs.select("orderId", "customerId", "customerTier", "region", "eventTimestamp", "kafkaOffset",
                        F.explode(arrivals).alias("d")).select(
         "orderId", "customerId", "customerTier", "d.totalAmount", "region", "eventTimestamp", "kafkaOffset",
-        "d.status", "d.seq", "d.ingestedAt")
+        "d.status", "d.delivery", F.col("kafkaOffset").alias("seq"), "d.ingestedAt")
 
 
 def faulty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

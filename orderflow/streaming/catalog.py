@@ -1,9 +1,10 @@
 """Registered streaming queries.
 
 Each entry materialises its Spark-derived input as a file source, runs the
-streaming query with ``trigger(availableNow=True)`` (several micro-batches:
-one file per trigger) and returns the sink's contents, so the batch SQL of the
-same operator is its oracle.
+streaming query with ``trigger(availableNow=True)`` (as many files a
+micro-batch as there are task slots) and returns the sink's contents, so the
+batch SQL of the same operator is its oracle.  The order job is run once for
+all entries that look at its outputs.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from orderflow.operators import documents as D
 from orderflow.operators import feed as FD
+from orderflow.operators import lookup as L
 from orderflow.operators import metrics as M
 from orderflow.plans import catalog as C
 from orderflow.plans import oracle as O
@@ -38,7 +40,7 @@ def _scratch(spark, key):
 
 
 def _topic_source(spark, sf, root) -> str:
-    return J.materialize(FX.topic_log(spark, sf), f"{root}/source", split_col="offset")
+    return J.materialize(FX.topic_log(spark, sf), f"{root}/source")
 
 
 # ---------------------------------------------------------------------- A1
@@ -48,7 +50,7 @@ def _topic_source(spark, sf, root) -> str:
 def q_order_stream_source(spark: SparkSession, sf: str) -> DataFrame:
     root = _scratch(spark, "order_stream_source")
     src = _topic_source(spark, sf, root)
-    stream = J.read_order_stream(spark, src, max_per_trigger=8)
+    stream = J.read_order_stream(spark, src)
     J.run_available_now(stream, lambda df, bid: J.write_batch(df, f"{root}/out", bid), f"{root}/ckpt")
     return J.read_batches(spark, f"{root}/out").drop("batch_id")
 
@@ -59,7 +61,7 @@ def q_live_feed_stream(spark, sf):
     """Lean feed rows of every record that parses, built on the stream."""
     root = _scratch(spark, "live_feed_stream")
     src = _topic_source(spark, sf, root)
-    parsed = D.parse_orders(J.read_order_stream(spark, src, max_per_trigger=8))
+    parsed = D.parse_orders(J.read_order_stream(spark, src))
     lean = FD.lean_order(D.flatten_event(parsed.filter(~F.col("parseError"))))
     J.run_available_now(lean, lambda df, bid: J.write_batch(df, f"{root}/out", bid), f"{root}/ckpt")
     return J.read_batches(spark, f"{root}/out").drop("batch_id")
@@ -71,12 +73,21 @@ def _flaky(attempt):
     return (m < 6) & (attempt <= m)
 
 
-def run_order_job(spark, sf, key) -> J.OrderStreamJob:
-    root = _scratch(spark, key)
-    src = _topic_source(spark, sf, root)
-    job = J.OrderStreamJob(spark, f"{root}/job", FX.AS_OF, fails=_flaky)
-    job.run(src, f"{root}/ckpt", max_files=8)
-    return job
+_RUNS: dict[tuple[str, str], J.OrderStreamJob] = {}
+
+
+def run_order_job(spark, sf) -> J.OrderStreamJob:
+    """The order job over the whole topic, its dead letters consumed; run once
+    a Spark application and input, since several entries read its outputs."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _RUNS:
+        root = _scratch(spark, "order_job")
+        src = _topic_source(spark, sf, root)
+        job = J.OrderStreamJob(spark, f"{root}/job", FX.AS_OF, fails=_flaky)
+        job.run(src, f"{root}/ckpt")
+        job.consume_dead_letters()
+        _RUNS[key] = job
+    return _RUNS[key]
 
 
 @register("process_orders_stream", O.with_(
@@ -87,9 +98,9 @@ def run_order_job(spark, sf, key) -> J.OrderStreamJob:
 def q_process_orders_stream(spark, sf):
     """Stored orders after the stream and its retry drain: each order once,
     with the topic (main or retry-k) of the attempt that succeeded."""
-    job = run_order_job(spark, sf, "process_orders_stream")
+    job = run_order_job(spark, sf)
     retry_no = F.regexp_extract("kafkaTopic", r"-retry-(\d+)$", 1)
-    return job.store().select(
+    return job.store().filter(F.col("processingStatus") == "SUCCESS").select(
         "orderId", "kafkaTopic", "kafkaOffset", "processingStatus",
         F.when(retry_no == "", F.lit(1)).otherwise(retry_no.cast("int") + 2).cast("int").alias("attempt"))
 
@@ -97,17 +108,34 @@ def q_process_orders_stream(spark, sf):
 # ---------------------------------------------------------------------- I4
 @register("dead_letter_stream", C.ORACLE["dead_letter_sink"])
 def q_dead_letter_stream(spark, sf):
-    job = run_order_job(spark, sf, "dead_letter_stream")
-    root = job.root + "/dlt"
-    J.run_dead_letters(spark, job.dead_letter_folder(), root, f"{root}/ckpt", FX.AS_OF)
-    docs = J.read_batches(spark, f"{root}/dlq_docs")
+    """The dead-letter consumer's own output."""
+    docs = J.read_batches(spark, f"{run_order_job(spark, sf).dead_letter_root()}/dlq_docs")
     return docs.select("orderId", "retryCount", "lastError", "processingStatus", "kafkaTopic", "kafkaPartition",
                        "kafkaOffset")
 
 
+@register("stored_dlq_orders", C.ORACLE["dead_letter_sink"])
+def q_stored_dlq_orders(spark, sf):
+    """B22 on the job's own store: dead letters are stored beside the orders."""
+    return L.by_processing_status(run_order_job(spark, sf).store(), "DLQ").select(
+        "orderId", "retryCount", "lastError", "processingStatus", "kafkaTopic", "kafkaPartition", "kafkaOffset")
+
+
+STORED = """stored AS (
+SELECT d.customerTier, d.totalAmount, 'SUCCESS' AS processingStatus FROM attempts a JOIN order_docs d ON d.kafkaOffset = a."offset" WHERE a.ok
+UNION ALL SELECT customerTier, totalAmount, 'DLQ' FROM order_docs WHERE kafkaOffset % 50 IN (4, 5) AND kafkaOffset % 101 <> 0)"""
+
+
+@register("stored_report", O.with_(C.store_report_sql("stored"), O.ORDER_DOCS, O.ITEMS, C.TOPIC_LOG, C.ATTEMPTS, STORED))
+def q_stored_report(spark, sf):
+    """D14 on the job's own store."""
+    r = M.store_report(run_order_job(spark, sf).store())
+    return r.withColumn("tierDistribution", F.to_json("tierDistribution"))
+
+
 # ---------------------------------------------------------------------- I5
 def _lifecycle_source(spark, sf, root) -> str:
-    return J.materialize(FX.lifecycle_orders(FX.order_docs(spark, sf)), f"{root}/source", split_col="kafkaOffset")
+    return J.materialize(FX.lifecycle_orders(FX.order_docs(spark, sf)), f"{root}/source")
 
 
 def _lifecycle_schema(spark, sf):
@@ -120,7 +148,7 @@ def q_live_counters_stream(spark, sf):
     the sink log is folded to the latest count per (dimension, value)."""
     root = _scratch(spark, "live_counters_stream")
     src = _lifecycle_source(spark, sf, root)
-    stream = spark.readStream.schema(_lifecycle_schema(spark, sf)).option("maxFilesPerTrigger", 8).parquet(src)
+    stream = J.read_files(spark, src, _lifecycle_schema(spark, sf))
     counters = J.live_counters(stream)
     J.run_available_now(counters, lambda df, bid: J.write_batch(df, f"{root}/out", bid), f"{root}/ckpt",
                         output_mode="update")
@@ -149,46 +177,43 @@ def q_resync_job(spark, sf):
 
 # ---------------------------------------------------------------------- I7
 @register("latest_order_stream", O.with_(
-    "SELECT orderId, customerId, status, totalAmount, seq, createdAt, updatedAt FROM (SELECT *, row_number() OVER "
-    "(PARTITION BY orderId ORDER BY seq DESC) AS rn, min(ingestedAt) OVER (PARTITION BY orderId) AS createdAt, "
+    "SELECT orderId, customerId, status, totalAmount, delivery, seq, createdAt, updatedAt FROM (SELECT *, row_number() OVER "
+    "(PARTITION BY orderId ORDER BY delivery DESC, seq DESC) AS rn, min(ingestedAt) OVER (PARTITION BY orderId) AS createdAt, "
     "ingestedAt AS updatedAt FROM deliveries) WHERE rn = 1", O.ORDER_DOCS, C.DELIVERIES))
 def q_latest_order_stream(spark, sf):
     root = _scratch(spark, "latest_order_stream")
-    log = FX.deliveries(spark, sf).select("orderId", "customerId", "status", "totalAmount", "seq", "ingestedAt")
-    src = J.materialize(log, f"{root}/source", split_col="orderId")
-    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 8).parquet(src)
-    latest = J.latest_orders(stream, ["seq"])
+    log = FX.deliveries(spark, sf).select("orderId", "customerId", "status", "totalAmount", "delivery", "seq", "ingestedAt")
+    src = J.materialize(log, f"{root}/source")
+    latest = J.latest_orders(J.read_files(spark, src, log.schema), ["delivery", "seq"])
     J.run_available_now(latest, lambda df, bid: J.write_batch(df, f"{root}/out", bid), f"{root}/ckpt",
                         output_mode="update")
     return J.latest_per_key(J.read_batches(spark, f"{root}/out"), ["orderId"]).select(
-        "orderId", "customerId", "status", "totalAmount", "seq", "createdAt", "updatedAt")
+        "orderId", "customerId", "status", "totalAmount", "delivery", "seq", "createdAt", "updatedAt")
 
 
 # ---------------------------------------------------------------------- I8
-@register("hourly_stats_stream",
-          "SELECT strftime(ts, '%Y-%m-%dT%H:00:00Z') AS hour, count(*) AS events, min(value) AS minValue, "
-          "max(value) AS maxValue FROM events GROUP BY 1")
+@register("hourly_stats_stream", O.with_(
+    f"SELECT {O.hour_label('createdAt')} AS hour, count(*) AS count, CAST(coalesce(sum(totalAmount), 0) AS "
+    "DECIMAL(38,2)) AS revenue FROM lifecycle WHERE createdAt IS NOT NULL GROUP BY 1", O.ORDER_DOCS, O.LIFECYCLE))
 def q_hourly_stats_stream(spark, sf):
-    """Hourly windows over the events table with a 1-hour watermark.  The
-    events arrive in time order (one time slice per micro-batch), so nothing
-    is later than the watermark and the result equals the batch aggregation,
-    while state for closed hours is dropped."""
+    """D5 on a stream, over all hours.  Files arrive in no order of time, so
+    the watermark waits for the measured span of the source: no row is late
+    however many files a micro-batch takes, and the state is one row an hour."""
     root = _scratch(spark, "hourly_stats_stream")
-    ev = FX.table(spark, sf, "events")
-    src = J.materialize_in_order(ev, f"{root}/source", "ts", slices=4, files=8)
-    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 8).parquet(src)
-    hourly = J.hourly_stats_stream(stream, delay="1 hour")
-    J.run_available_now(hourly, lambda df, bid: J.write_batch(df, f"{root}/out", bid), f"{root}/ckpt",
-                        output_mode="update")
-    return J.latest_per_key(J.read_batches(spark, f"{root}/out"), ["hour"]).select(
-        "hour", "events", "minValue", "maxValue")
+    orders = FX.lifecycle_orders(FX.order_docs(spark, sf)).select("createdAt", "totalAmount")
+    src = J.materialize(orders, f"{root}/source")
+    hourly = J.hourly_stats_stream(J.read_files(spark, src, orders.schema), delay=J.disorder(spark.read.parquet(src), "createdAt"))
+    q = J.run_available_now(hourly, lambda df, bid: J.write_batch(df, f"{root}/out", bid), f"{root}/ckpt",
+                            output_mode="update")
+    if late := J.late_rows(q):
+        raise RuntimeError(f"{late} rows came later than the measured bound")
+    return J.latest_per_key(J.read_batches(spark, f"{root}/out"), ["hour"]).select("hour", "count", "revenue")
 
 
 # ---------------------------------------------------------------------- I9
 def _feed_stream(spark, sf, root):
     feed = FD.lean_order(FX.order_events(spark, sf), keep=["kafkaOffset"])
-    src = J.materialize(feed, f"{root}/source", split_col="kafkaOffset")
-    return spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 8).parquet(src)
+    return J.read_files(spark, J.materialize(feed, f"{root}/source"), feed.schema)
 
 
 def _last_batch(spark, out_root):
@@ -244,8 +269,7 @@ def q_session_totals_stream(spark, sf):
 def q_flow_counters_stream(spark, sf):
     """D19 live: the order job's counters, observed on each micro-batch with
     ``DataFrame.observe`` (published, processed, dead-lettered)."""
-    job = run_order_job(spark, sf, "flow_counters_stream")
-    return job.flow_counters()
+    return run_order_job(spark, sf).flow_counters()
 
 
 # --------------------------------------------------------------------- A10
@@ -256,7 +280,7 @@ def q_stats_feed_stream(spark, sf):
     payload is the current one."""
     root = _scratch(spark, "stats_feed_stream")
     src = _lifecycle_source(spark, sf, root)
-    stream = spark.readStream.schema(_lifecycle_schema(spark, sf)).option("maxFilesPerTrigger", 8).parquet(src)
+    stream = J.read_files(spark, src, _lifecycle_schema(spark, sf))
     counters = M.counter_sets(stream)
     J.run_available_now(counters, J.stats_feed_process(f"{root}/out", FX.AS_OF), f"{root}/ckpt",
                         output_mode="complete")

@@ -20,7 +20,7 @@ from orderflow import schemas as S
 from orderflow.operators import documents as D
 from orderflow.operators import feed as FD
 from orderflow.operators import retry as R
-from orderflow.session import path_exists
+from orderflow.session import list_folders, path_exists
 
 
 # ------------------------------------------------------------------ plumbing
@@ -31,7 +31,7 @@ def read_order_stream(spark: SparkSession, source: str, fmt: str = "parquet", sc
     ``fmt='kafka'``: ``source`` is the topic (``subscribe``), the per-trigger
     cap maps to ``maxOffsetsPerTrigger`` and the consumer group / commit is the
     checkpoint.  Any file format: ``source`` is a folder and the cap maps to
-    ``maxFilesPerTrigger``."""
+    ``maxFilesPerTrigger`` (by default one file for each task slot)."""
     options = dict(options or {})
     if fmt == "kafka":
         r = spark.readStream.format("kafka").option("subscribe", source)
@@ -41,53 +41,47 @@ def read_order_stream(spark: SparkSession, source: str, fmt: str = "parquet", sc
         return raw.select(F.col("key").cast("string"), F.col("value").cast("string"), "topic", "partition",
                           "offset", "timestamp")
     r = spark.readStream.schema(schema).format(fmt)
-    if max_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_per_trigger)
+    r = r.option("maxFilesPerTrigger", max_per_trigger or files_per_trigger(spark))
     return r.options(**options).load(source)
 
 
 MAX_RECORDS_PER_FILE = 1_000_000
 
 
-def _source_files(df: DataFrame, files: int | None) -> int:
-    # at least 32 slices, more on a bigger cluster; file size is capped below
-    return files or max(32, df.sparkSession.sparkContext.defaultParallelism)
+def files_per_trigger(spark: SparkSession) -> int:
+    """Source files of a micro-batch: one for each task that can run at once."""
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
+def read_files(spark: SparkSession, source: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
+    """A folder of Parquet files as a stream, with as many files a trigger as
+    the cluster has slots (or ``max_files``)."""
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files or files_per_trigger(spark))
+            .parquet(source))
 
 
 def materialize(df: DataFrame, path: str, files: int | None = None, split_col: str | None = None) -> str:
     """Write a DataFrame as Parquet files: a replayable file source standing in
-    for a topic (one file ~ one slice of a partition).  The split is a hash on
-    ``split_col`` (one shuffle, no sampling pass); no file holds more than
-    ``MAX_RECORDS_PER_FILE`` rows, so file size does not grow with the data."""
-    n = _source_files(df, files)
-    out = df.repartition(n, split_col) if split_col else df.repartition(n)
-    out.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
+    for a topic (one file ~ one slice of a partition).  Rows stay in the
+    partitions they are read in (no shuffle) unless ``files`` asks for a
+    number of files; no file holds more than ``MAX_RECORDS_PER_FILE`` rows."""
+    if files:
+        df = df.repartition(files, split_col) if split_col else df.repartition(files)
+    df.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
     return path
 
 
-def materialize_in_order(df: DataFrame, path: str, order_col: str, slices: int = 4, files: int = 8,
-                         relative_error: float = 0.001) -> str:
-    """Write ``df`` as ``slices`` consecutive appends, each holding one range of
-    ``order_col`` in ``files`` files: a file source read with
-    ``maxFilesPerTrigger=files`` then sees the data in order, one slice per
-    micro-batch (how an event-time stream arrives).  The range bounds come
-    from ``approxQuantile`` (a few numbers on the driver; a small relative
-    error keeps its summaries bounded on large tables -- the cuts need not be
-    exact)."""
-    key = F.unix_micros(F.col(order_col).cast("timestamp")) if dict(df.dtypes)[order_col].startswith(
-        "timestamp") else F.col(order_col)
-    keyed = df.withColumn("_k", key.cast("double"))
-    cuts = keyed.approxQuantile("_k", [i / slices for i in range(1, slices)], relative_error)
-    bounds = [None, *cuts, None]
-    for lo, hi in zip(bounds[:-1], bounds[1:]):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (F.col("_k") >= lo)
-        if hi is not None:
-            cond = cond & (F.col("_k") < hi)
-        (keyed.filter(cond).drop("_k").repartition(files).write.mode("append")
-         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path))
-    return path
+def disorder(df: DataFrame, ts_col: str) -> str:
+    """A watermark delay with which no row of ``df`` is late, in whatever order
+    its files are read: the span of its event times."""
+    span = df.agg((F.unix_seconds(F.max(F.col(ts_col).cast("timestamp"))) - F.unix_seconds(
+        F.min(F.col(ts_col).cast("timestamp")))).alias("s")).first()["s"]
+    return f"{int(span or 0) + 1} seconds"
+
+
+def late_rows(query) -> int:
+    """Rows that the stateful operators of a finished query dropped as late."""
+    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for p in query.recentProgress for op in p["stateOperators"])
 
 
 def batch_folder(root: str, batch_id: int, tick: int | None = None) -> str:
@@ -165,6 +159,10 @@ class OrderStreamJob:
     _NO_MINUTE = "none"
 
     def __post_init__(self):
+        longest = min(S.BACKOFF_BASE_MS * S.BACKOFF_MULTIPLIER ** (S.MAX_ATTEMPTS - 2), S.BACKOFF_MAX_MS)
+        if self.tick_seconds * 1000 < longest:
+            raise ValueError(f"tick_seconds must be at least the longest retry delay, {longest / 1000:g} s: "
+                             "a drain tick takes all retries of the tick before")
         for name in ("out", "ticks", "flow"):
             self.paths[name] = f"{self.root}/{name}"
 
@@ -226,15 +224,12 @@ class OrderStreamJob:
     def _due_retries(self, batch_id: int, tick: int, now, prev):
         """Retries due in (prev, now]: only the due-minute folders of the
         window are read (explicit paths: no listing of the whole history)."""
-        import datetime as dt
         if prev is None:
             return None
-        minutes, m = [], prev.replace(second=0, microsecond=0)
-        while m <= now:
-            minutes.append(m.strftime("%Y%m%d%H%M"))
-            m += dt.timedelta(minutes=1)
         base = self._kind_path("retries")
-        paths = [f"{base}/dueMinute={x}" for x in minutes if path_exists(self.spark, f"{base}/dueMinute={x}")]
+        first, last = (x.strftime("%Y%m%d%H%M") for x in (prev, now))
+        paths = [f"{base}/{name}" for name in list_folders(self.spark, base)  # one listing, however long the window
+                 if name.startswith("dueMinute=") and first <= name.partition("=")[2] <= last]
         if not paths:
             return None
         r = self.spark.read.option("basePath", base).parquet(*paths)
@@ -315,7 +310,7 @@ class OrderStreamJob:
             if not getattr(self, "_last_flow", {}).get("retried", 0):
                 break
 
-    def run(self, source: str, checkpoint: str, max_files: int | None = 8) -> int:
+    def run(self, source: str, checkpoint: str, max_files: int | None = None) -> int:
         stream = read_order_stream(self.spark, source, max_per_trigger=max_files)
         q = run_available_now(stream, lambda df, bid: self.process(df, bid), checkpoint)
         last = last_batch_id(q)
@@ -334,35 +329,72 @@ class OrderStreamJob:
             F.coalesce(F.sum("deadLettered"), F.lit(0)).cast("long").alias("deadLettered"),
         )
 
+    # arrivals are ordered by the clock of the tick that stored them
+    SEQ = ["ingestedAt", "batch_id", "tick", "kafkaTopic", "kafkaPartition", "kafkaOffset"]
+
+    def dead_letter_root(self) -> str:
+        return f"{self.root}/dead_letters"
+
+    def consume_dead_letters(self):
+        """I4 on this job's dead letters; their documents become part of ``store``."""
+        return run_dead_letters(self.spark, self.dead_letter_folder(), self.dead_letter_root(), f"{self.root}/dead_letter_ckpt")
+
+    def arrivals(self, after_batch: int = -1) -> DataFrame:
+        """Store rows of the batches after ``after_batch``: stored orders, and
+        the documents of dead letters once they were consumed."""
+        log = self.output("store_log").filter(F.col("batch_id") > after_batch)
+        folder = f"{self.dead_letter_root()}/dlq_docs"
+        if path_exists(self.spark, folder):
+            dead = read_batches(self.spark, folder).filter(F.col("sourceBatch") > after_batch)
+            log = log.unionByName(dead.drop("batch_id").withColumnsRenamed({"sourceBatch": "batch_id", "sourceTick": "tick"}))
+        return log
+
+    def compact(self, batch_id: int) -> str:
+        """Write the state up to ``batch_id`` (a batch whose retries are
+        drained) as a snapshot; ``store`` then reads it and later batches only."""
+        from orderflow.operators.store import compact_store
+        return compact_store(self.spark, self._state(), f"{self.root}/snapshots", version=batch_id)
+
+    def _state(self) -> DataFrame:
+        from orderflow.operators import store as ST
+        root = f"{self.root}/snapshots"
+        version = ST.latest_version(self.spark, root) if path_exists(self.spark, root) else -1
+        if version < 0:
+            return ST.upsert_orders(self.arrivals(), self.SEQ, keep_state=True)
+        state = self.spark.read.parquet(f"{root}/version={version}").drop("ingestedAt")
+        return ST.merge_into_store(state, self.arrivals(version), self.SEQ)
+
     def store(self) -> DataFrame:
-        """The current store: last arrival per orderId over the store log."""
-        from orderflow.operators.store import upsert_orders
-        log = self.output("store_log")
-        return upsert_orders(log, ["batch_id", "tick", "kafkaTopic", "kafkaPartition", "kafkaOffset"])
+        """The current store: last arrival per orderId, over the latest
+        snapshot and the batches after it."""
+        return self._state().drop("firstSeq")
 
 
-def run_dead_letters(spark: SparkSession, dead_letter_folder: str, out_root: str, checkpoint: str, as_of: str):
+def run_dead_letters(spark: SparkSession, dead_letter_folder: str, out_root: str, checkpoint: str):
     """I4: the dead-letter consumer as its own streaming query: A5 for records
-    that parse (DLQ documents), A6 quarantine for those that do not.
-    ``dead_letter_folder`` holds files with a ``rec`` struct (partitioned by
-    batch folders).  Returns None when no dead letter was ever written."""
+    that parse (DLQ documents, stored as of the tick that gave them up), A6
+    quarantine for those that do not.  ``dead_letter_folder`` holds files with a
+    ``rec`` struct, in batch and tick folders.  Returns None when no dead letter
+    was ever written."""
     if not path_exists(spark, dead_letter_folder):
         return None
     rec = T.StructType(S.ENVELOPE.fields + [T.StructField("attempt", T.IntegerType()),
                                             T.StructField("dueAt", T.TimestampType())])
-    schema = T.StructType([T.StructField("rec", rec)])
+    schema = T.StructType([T.StructField("rec", rec), T.StructField("batch_id", T.IntegerType()),
+                           T.StructField("tick", T.IntegerType())])
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        parsed = D.parse_orders(batch.select("rec.*")).persist()
+        parsed = D.parse_orders(batch.select("rec.*", F.col("batch_id").alias("sourceBatch"), F.col("tick").alias("sourceTick"))).persist()
         try:
-            docs = D.to_order_document(D.stamp_dead_letters(parsed), "DLQ", F.lit(as_of).cast("timestamp"))
+            stamped = D.stamp_dead_letters(parsed, keep=["dueAt", "sourceBatch", "sourceTick"])
+            docs = stamped.select(*D.document_columns(F.col, "DLQ", F.col("dueAt"), F.col("partition"), F.col("offset"), F.col("topic")),
+                                  F.col("dueAt").alias("ingestedAt"), "sourceBatch", "sourceTick")
             write_batch(docs, f"{out_root}/dlq_docs", batch_id)
             write_batch(D.quarantine(parsed), f"{out_root}/quarantine", batch_id)
         finally:
             parsed.unpersist()
 
-    stream = spark.readStream.schema(schema).parquet(dead_letter_folder)
-    return run_available_now(stream, process, checkpoint)
+    return run_available_now(read_files(spark, dead_letter_folder, schema), process, checkpoint)
 
 
 # ----------------------------------------------------------- stateful views
@@ -398,17 +430,15 @@ def latest_orders(log: DataFrame, seq_cols: list[str], key: str = "orderId") ->
     ).select(key, "_cur.*", "createdAt", "updatedAt")
 
 
-def hourly_stats_stream(events: DataFrame, ts_col: str = "ts", delay: str = "1 hour",
-                        value_col: str = "value") -> DataFrame:
-    """I8: tumbling one-hour windows with a watermark of ``delay`` (the
-    lateness bound; the batch hourly stats are the truth)."""
-    ts = F.col(ts_col).cast("timestamp")
-    return (events.withColumn("_ts", ts).withWatermark("_ts", delay)
+def hourly_stats_stream(orders: DataFrame, ts_col: str = "createdAt", delay: str = "1 hour") -> DataFrame:
+    """I8: D5 on a stream: count and revenue by tumbling one-hour windows, with
+    a watermark of ``delay`` (the lateness bound; rows later than that are
+    dropped and counted, see ``late_rows``)."""
+    return (orders.withColumn("_ts", F.col(ts_col).cast("timestamp")).withWatermark("_ts", delay)
             .groupBy(F.window("_ts", "1 hour"))
-            .agg(F.count(F.lit(1)).alias("events"), F.min(value_col).alias("minValue"),
-                 F.max(value_col).alias("maxValue"))
-            .select(F.date_format("window.start", "yyyy-MM-dd'T'HH:00:00'Z'").alias("hour"),
-                    "events", "minValue", "maxValue"))
+            .agg(F.count(F.lit(1)).alias("count"),
+                 F.coalesce(F.sum("totalAmount"), F.lit(0)).cast("decimal(38,2)").alias("revenue"))
+            .select(F.date_format("window.start", "yyyy-MM-dd'T'HH:00:00'Z'").alias("hour"), "count", "revenue"))
 
 
 def latest_per_key(out: DataFrame, key_cols: list[str], order_col: str = "batch_id") -> DataFrame:

@@ -24,5 +24,5 @@ def test_every_planned_key_is_registered():
 
 def test_oracles_only_for_registered_keys():
     assert set(E.oracle_sql()) <= set(E.queries())
-    rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert rows_only == {"place_orders", "order_id"}
+    rows_only = {k for k in set(E.queries()) - set(E.oracle_sql()) if not re.match(r"op\d+_|pipeline$", k)}
+    assert not rows_only

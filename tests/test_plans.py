@@ -42,6 +42,35 @@ def test_top_n_per_customer_limited_before_shuffle(spark):
     assert "WindowGroupLimit" in p
 
 
+@pytest.mark.parametrize(("key", "want"), [
+    ("order_by_id", "EqualTo(orderId,ORD-00000042)"), ("orders_by_customer", "EqualTo(customerId,CUST-0010)"),
+    ("orders_by_status", "EqualTo(status,SHIPPED)"), ("orders_by_region", "EqualTo(region,EAST)"),
+    ("orders_by_tier", "EqualTo(customerTier,PREMIUM)"), ("lifecycle_by_status", "EqualTo(lifecycleStatus,DELIVERED)"),
+    ("status_history", "EqualTo(lifecycleStatus,REFUNDED)"), ("region_priority", "EqualTo(priority,EXPRESS)"),
+    ("dlq_orders", "EqualTo(processingStatus,DLQ)"), ("failed_orders", "GreaterThan(retryCount,0)"),
+    ("customer_top10", "EqualTo(customerId,CUST-0010)"), ("search_orders", "EqualTo(region,WEST)"),
+    ("orders_between", "event_month"), ("orders_in_range", "event_month"), ("orders_in_range_paged", "event_month"),
+    ("status_in_range", "event_month"), ("search_between", "event_month")])
+def test_registered_lookups_prune_their_scan(spark, key, want):
+    p = plan(E.queries()[key](spark, SF_SMALL))
+    assert "SortMergeJoin" not in p and "HashJoin" not in p
+    kind = "PartitionFilters" if want == "event_month" else "PushedFilters"
+    assert any(kind in line and want in line for line in p.splitlines())
+
+
+def test_upsert_has_no_sort_aggregate_over_documents(spark):
+    p = plan(E.queries()["upsert_orders"](spark, SF_SMALL))
+    assert "WindowGroupLimit" in p
+    for block in p.split("\n\n"):
+        if "SortAggregate" in block.splitlines()[0]:
+            assert "customerId" not in block
+
+
+def test_values_are_parsed_once(spark):
+    p = plan(E.queries()["order_documents"](spark, SF_SMALL))
+    assert p.count("from_json") <= 2  # the generator's line and its arguments
+
+
 def test_store_report_single_scan(spark):
     p = plan(E.queries()["store_report"](spark, SF_SMALL))
     scans = [ln for ln in p.splitlines() if ln.startswith("(") and "Scan parquet" in ln]

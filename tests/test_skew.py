@@ -55,7 +55,7 @@ def test_hot_order_upsert(spark):
         "status", "totalAmount", F.col("kafkaOffset").alias("seq"),
         F.lit("2001-01-01 00:00:00").cast("timestamp").alias("ingestedAt"))
     cur = ST.upsert_orders(log, ["seq"])
-    assert before_exchange(plan(cur), "partial_max_by")
+    assert before_exchange(plan(cur), "WindowGroupLimit")
     hot = cur.filter(F.col("orderId") == "ORD-HOT").collect()
     max_seq = log.filter(F.col("orderId") == "ORD-HOT").agg(F.max("seq")).first()[0]
     assert len(hot) == 1 and hot[0].seq == max_seq

@@ -41,7 +41,7 @@ def test_incremental_merge_equals_full(spark):
     b1 = [("O1", "PLACED", Decimal("1"), 1, t(1)), ("O2", "PLACED", Decimal("2"), 2, t(1))]
     b2 = [("O1", "DELIVERED", Decimal("1"), 3, t(5)), ("O3", "PLACED", Decimal("3"), 4, t(5))]
     full = ST.upsert_orders(spark.createDataFrame(b1 + b2, LOG), ["seq"])
-    state = ST.upsert_orders(spark.createDataFrame(b1, LOG), ["seq"])
+    state = ST.upsert_orders(spark.createDataFrame(b1, LOG), ["seq"], keep_state=True)
     merged = ST.merge_into_store(state, spark.createDataFrame(b2, LOG), ["seq"])
     cols = ["id", "orderId", "status", "totalAmount", "seq", "createdAt", "updatedAt"]
     assert sorted(full.select(cols).collect()) == sorted(merged.select(cols).collect())
@@ -108,10 +108,23 @@ def test_compaction_versions_and_incremental_merge(spark):
     root = scratch_path(spark, "test-compact")
     b1 = [("O1", "PLACED", Decimal("1"), 1, t(1)), ("O2", "PLACED", Decimal("2"), 2, t(1))]
     b2 = [("O1", "DELIVERED", Decimal("1"), 3, t(5)), ("O3", "PLACED", Decimal("3"), 4, t(5))]
-    v0 = ST.compact_store(spark, ST.upsert_orders(spark.createDataFrame(b1, LOG), ["seq"]), root)
+    v0 = ST.compact_store(spark, ST.upsert_orders(spark.createDataFrame(b1, LOG), ["seq"], keep_state=True), root)
     assert v0.endswith("version=0") and ST.latest_version(spark, root) == 0
     merged = ST.merge_into_store(ST.read_snapshot(spark, root), spark.createDataFrame(b2, LOG), ["seq"])
     v1 = ST.compact_store(spark, merged, root)
     assert v1.endswith("version=1")
     snap = {r.orderId: r for r in ST.read_snapshot(spark, root).collect()}
     assert snap["O1"].status == "DELIVERED" and snap["O1"].createdAt == t(1) and len(snap) == 3
+
+
+def test_merge_equals_batch_for_every_order_of_arrival(spark):
+    import itertools
+    rows = [("O1", "PLACED", Decimal("1"), 5, t(2)), ("O1", "SHIPPED", Decimal("2"), 9, t(4)), ("O1", "OLD", Decimal("3"), 7, t(3)),
+            ("O2", "PLACED", Decimal("4"), 6, t(1))]
+    cols = ["id", "orderId", "status", "totalAmount", "seq", "createdAt", "updatedAt"]
+    want = sorted(ST.upsert_orders(spark.createDataFrame(rows, LOG), ["seq"]).select(cols).collect())
+    for order in itertools.permutations(rows):
+        state = ST.upsert_orders(spark.createDataFrame(order[:2], LOG), ["seq"], keep_state=True)
+        state = ST.merge_into_store(state, spark.createDataFrame([order[2], order[0]], LOG), ["seq"])  # one replayed
+        state = ST.merge_into_store(state, spark.createDataFrame([order[3]], LOG), ["seq"])
+        assert sorted(state.select(cols).collect()) == want
