@@ -635,7 +635,7 @@ def q_order_by_id(spark, sf):
 
 @register("orders_exist", O.with_(
     "SELECT r.orderId, o.orderId IS NOT NULL AS \"exists\" FROM (SELECT 'ORD-' || lpad(CAST(c_custkey * 13 AS VARCHAR), "
-    "greatest(8, length(CAST(c_custkey * 13 AS VARCHAR))), '0') AS orderId FROM customer) r LEFT JOIN order_docs o ON r.orderId = o.orderId", DOCS))
+    "CAST(greatest(8, length(CAST(c_custkey * 13 AS VARCHAR))) AS INT), '0') AS orderId FROM customer) r LEFT JOIN order_docs o ON r.orderId = o.orderId", DOCS))
 def q_orders_exist(spark, sf):
     ids = FX.table(spark, sf, "customer").select(
         F.concat(F.lit("ORD-"), X.padded(F.col("c_custkey") * 13, 8)).alias("orderId"))

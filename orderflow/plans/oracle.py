@@ -10,8 +10,8 @@ from __future__ import annotations
 AS_OF = "TIMESTAMP '2001-08-02 00:00:00'"
 
 ORDER_DOCS = """order_docs AS (
-SELECT 'ORD-' || lpad(cast(o_orderkey as string), greatest(8, length(cast(o_orderkey as string))), '0') AS orderId,
- 'CUST-' || lpad(cast(c_custkey as string), greatest(4, length(cast(c_custkey as string))), '0') AS customerId,
+SELECT 'ORD-' || lpad(cast(o_orderkey as string), cast(greatest(8, length(cast(o_orderkey as string))) as int), '0') AS orderId,
+ 'CUST-' || lpad(cast(c_custkey as string), cast(greatest(4, length(cast(c_custkey as string))) as int), '0') AS customerId,
  CASE WHEN c_custkey % 6 = 0 THEN 'PREMIUM' WHEN c_custkey % 6 <= 3 THEN 'STANDARD' ELSE 'BASIC' END AS customerTier,
  CASE o_orderkey % 5 WHEN 0 THEN 'PLACED' WHEN 1 THEN 'CONFIRMED' WHEN 2 THEN 'SHIPPED' WHEN 3 THEN 'DELIVERED' ELSE 'CANCELLED' END AS status,
  cast(o_totalprice as decimal(18,2)) AS totalAmount, 'INR' AS currency,
