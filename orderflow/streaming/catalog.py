@@ -90,6 +90,11 @@ def run_order_job(spark, sf) -> J.OrderStreamJob:
     return _RUNS[key]
 
 
+def forget_runs() -> None:
+    """The next entry that looks at the order job runs it anew."""
+    _RUNS.clear()
+
+
 @register("process_orders_stream", O.with_(
     "SELECT d.orderId, CASE WHEN a.attempt = 1 THEN a.topic ELSE a.topic || '-retry-' || CAST(a.attempt - 2 AS "
     "VARCHAR) END AS kafkaTopic, a.\"offset\" AS kafkaOffset, 'SUCCESS' AS processingStatus, a.attempt "
