@@ -8,6 +8,7 @@ from collections.abc import Callable
 from functools import lru_cache
 from pathlib import Path
 
+import numpy as np
 import pandas as pd
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -87,6 +88,13 @@ def unpacked(column: str) -> Column:
     return F.pandas_udf(each, "string")(F.col(column))
 
 
+def mix64(h: np.ndarray) -> np.ndarray:
+    """Spreads 64-bit values evenly (the finalizer of splitmix64)."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read again: computed once, and its lineage ends there."""
     spark = df.sparkSession

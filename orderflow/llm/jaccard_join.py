@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderflow.llm.common import packed, saved, unpack, unpacked
+from orderflow.llm.common import mix64, packed, saved, unpack, unpacked
 from orderflow.llm.components import Forest, connected_components
 
 WORDS = 5
@@ -45,13 +45,6 @@ BLOCK, LEAF, FANOUT = 1024, 16, 8
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
-    """Spreads 64-bit values evenly (the finalizer of splitmix64)."""
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
 def words_of(text: str | None) -> list[bytes]:
     """Words of the text with A-Z in lower case, split at ASCII white space."""
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -63,18 +56,18 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     sizes = [len(w) for w in words]
     flat = np.empty(sum(sizes), object)
     flat[:] = [x for w in words for x in w]
-    each = _mix(pd.util.hash_array(flat, categorize=False)) if len(flat) else np.zeros(0, np.uint64)
+    each = mix64(pd.util.hash_array(flat, categorize=False)) if len(flat) else np.zeros(0, np.uint64)
     whole = np.zeros(max(0, len(each) - WORDS + 1), np.uint64)
     for j in range(WORDS):
         whole += each[j:j + len(whole)] * _M[j]
-    whole = _mix(whole).view(np.int64)
+    whole = mix64(whole).view(np.int64)
     sets, at = [], 0
     for n in sizes:
         if n >= WORDS:
             sets.append(np.unique(whole[at:at + n - WORDS + 1]))
         elif n:
             part = each[at:at + n] * np.array(_M[:n])
-            sets.append(_mix(np.array([part.sum(dtype=np.uint64) + np.uint64(n)])).view(np.int64))
+            sets.append(mix64(np.array([part.sum(dtype=np.uint64) + np.uint64(n)])).view(np.int64))
         else:
             sets.append(np.zeros(0, np.int64))
         at += n

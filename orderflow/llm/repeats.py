@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderflow.llm.common import packed, unpack
+from orderflow.llm.common import mix64, packed, unpack
 #: At most so many frequent keys are told to all tasks.
 FREQUENT_KEPT = 100_000
 #: Bytes that are hashed together.
@@ -57,14 +57,7 @@ class Settings:
     frequent_least: int = 16
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
-    """Spreads 64-bit values evenly (the finalizer of splitmix64)."""
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
-_BYTE = _mix(_BYTE)
+_BYTE = mix64(_BYTE)
 _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -103,14 +96,14 @@ class Chunk:
         self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[self.buffer] * up[:n])))
 
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return _mix((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(np.uint64))
+        return mix64((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(np.uint64))
 
     def anchors(self) -> np.ndarray:
         """Of every window the place of its least key (all places if it recurs)."""
         w, k, n = self.settings.window, self.settings.cores[0], len(self.buffer)
         if n < w:
             return np.zeros(0, np.int64)
-        h = _mix((self.sums[k:] - self.sums[:n - k + 1]) * self.down[:n - k + 1])
+        h = mix64((self.sums[k:] - self.sums[:n - k + 1]) * self.down[:n - k + 1])
         h = np.clip((h >> np.uint64(32)).astype(np.uint32), 1, 0xFFFFFFFE)
         h[np.arange(k, n + 1) > self.end_at[:n - k + 1]] = 0xFFFFFFFF  # across documents
         least = _slide(h, w - k + 1, np.minimum)
@@ -125,7 +118,7 @@ class Chunk:
         doc = np.searchsorted(self.ends, at, side="right")
         left, right = np.maximum(at - (w - k), self.starts[doc]), np.minimum(at + w, self.ends[doc])
         context = self.hash(left, right) + (at - left).astype(np.uint64) * _SALT[0] + (right - at).astype(np.uint64) * _SALT[1]
-        return (self.hash(at, at + k) ^ _SALT[level]).view(np.int64), _mix(context).view(np.int64)
+        return (self.hash(at, at + k) ^ _SALT[level]).view(np.int64), mix64(context).view(np.int64)
 
     def longer(self, at: np.ndarray, level: int) -> np.ndarray:
         """Cores of the next level: each window of the given cores holds one, placed alike wherever the window occurs."""
@@ -244,7 +237,7 @@ def _anchor_rows(settings: Settings, shared):
     def copied(copies: list[int]) -> pd.DataFrame:
         ids = np.array(copies, np.int64)
         copies.clear()
-        return pd.DataFrame({"key": _mix(ids.view(np.uint64)).view(np.int64), "context": _END, "id": ids, "at": np.int64(-1)})
+        return pd.DataFrame({"key": mix64(ids.view(np.uint64)).view(np.int64), "context": _END, "id": ids, "at": np.int64(-1)})
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         copies: list[int] = []
@@ -267,7 +260,7 @@ def _anchor_rows(settings: Settings, shared):
                 again = order[~first]
                 core = np.array(settings.cores)[level[again]]
                 doc, start, end = chunk.runs(doc[again], at[again] - settings.window + core, at[again] + settings.window)
-                yield pd.DataFrame({"key": _mix((start + doc * 31).view(np.uint64)).view(np.int64), "context": end - chunk.starts[doc],
+                yield pd.DataFrame({"key": mix64((start + doc * 31).view(np.uint64)).view(np.int64), "context": end - chunk.starts[doc],
                                     "id": chunk.ids[doc], "at": chunk.starts[doc] - start - 1})
             if copies:
                 yield copied(copies)
