@@ -2,8 +2,9 @@
 
 A page is a sequence of words and tags. A word scores by the elements it stands in, a tag costs something; the best
 contiguous run (one linear scan) is the content region, and its words outside boilerplate are the text. The weights come
-from pages that label their own content with ``article`` or, without one, ``main``: for each descriptor (tag,
-``tag.class``, ``#id``) words inside and outside the labelled region are counted over all such pages. Elements whose
+from pages that label their own content with ``main`` or a single ``article`` (see ``label_of``): for each descriptor (tag,
+``tag.class``, ``#id``) words inside and outside the labelled region are counted over all such pages. A label only
+serves to fit the weights; a page is read by its descriptors and the scan, whatever labels it holds. Elements whose
 name says boilerplate (a menu, an advert within the article) are so by a prior, wherever they stand, and explain the
 words they hold; plain tags aren't blamed for words outside, since a link in a menu says nothing about one in a text.
 """
@@ -32,7 +33,6 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 CLOSED_BY_BLOCK = frozenset(["p"])
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
             "th": {"td", "th"}, "option": {"option"}}
-REGION = frozenset(["article", "main"])
 #: Names of boilerplate and of content before any page is counted.
 BOILERPLATE_TAGS = frozenset("nav header footer aside form menu button select dialog head fieldset datalist".split())
 BOILERPLATE_NAMES = frozenset(
@@ -43,6 +43,9 @@ BOILERPLATE_NAMES = frozenset(
 BOILERPLATE_STEMS = re.compile("advert|breadcrumb|comment|cookie|newsletter|promo|sidebar|sponsor|navbar")
 #: A class or id of these says nothing of that kind: ``body.has-sidebar``, ``h1.post-header``.
 UNNAMED_TAGS = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
+#: But an article that is itself a comment or a teaser says so by such a name alone (``article.comment``, ``article#comment-7``).
+ARTICLE_NAMES = BOILERPLATE_NAMES | {"teaser", "teasers"}
+ARTICLE_NAME = re.compile(r"([a-z]+)(?:[-_]+(?:\d+|item|body|card|box|block|entry|list))*")
 CONTENT_TAGS = frozenset("article main p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar toolbar".split())
 PRIOR_WORDS = 50.0
@@ -50,7 +53,6 @@ PRIOR_WORDS = 50.0
 MAX_DESCRIPTORS = 5000
 #: Bounds of a word's weight and a tag's cost; a tag inside a labelled region costs the least.
 WORD_BOUND, TAG_BOUND, TAG_LEAST = 5.0, 2.0, 0.02
-OUTSIDE = "~outside"
 
 TOKEN = re.compile(
     rf"<!--.*?(?:--!?>|\Z)|<({RAW})(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
@@ -66,6 +68,8 @@ def descriptors(tag: str, attributes: str) -> tuple[str, ...]:
             found += [f"{tag}.{c}" for c in value.split()]
         elif name == "id":
             found.append(f"#{value.strip()}")
+            if tag == "article" and is_boilerplate(named := f"article.{value.strip()}"):
+                found.append(named)
         elif name == "role":
             found.append(f"@{value.strip()}")
         elif name == "hidden" or name == "aria-hidden" and value == "true":
@@ -83,6 +87,8 @@ def is_boilerplate(descriptor: str) -> bool:
         name = descriptor[1:]
     elif not dot:
         return tag in BOILERPLATE_TAGS
+    if tag == "article":
+        return bool(m := ARTICLE_NAME.fullmatch(name)) and m[1] in ARTICLE_NAMES
     if tag in UNNAMED_TAGS or re.match(r"(with|has|no|without)[-_]", name):
         return False
     return any(w in BOILERPLATE_NAMES or BOILERPLATE_STEMS.match(w) for w in re.split(r"[^a-z]+", name))
@@ -90,7 +96,7 @@ def is_boilerplate(descriptor: str) -> bool:
 
 def prior(descriptor: str) -> tuple[float, float]:
     """Pseudo-counts of words inside and outside content."""
-    if is_boilerplate(descriptor) or descriptor == OUTSIDE:
+    if is_boilerplate(descriptor):
         return 0.0, PRIOR_WORDS
     return (PRIOR_WORDS, 0.0) if descriptor in CONTENT_TAGS else (2.0, 1.0)
 
@@ -123,32 +129,55 @@ def parse(page: str) -> Iterator[tuple[str, str, list[tuple[str, tuple[str, ...]
                 stack.append((tag, descriptors(tag, m[4] or m[7] or "")))
 
 
-def region_of(page: str) -> str | None:
-    """The tag that labels the content of this page."""
-    found = {m.lower() for m in re.findall(r"<(article|main)[\s>]", page, re.I)}
-    return min(found, default=None)
+def _held(stack: list | tuple) -> list[str]:
+    """Descriptors of the open elements."""
+    return [d for tag, ds in stack for d in ds if not (tag in UNNAMED_TAGS and d[0] == "#")]
 
 
-def _held(stack: list, region: str | None) -> tuple[list[str], bool]:
-    """Descriptors of the open elements, and whether they are inside the page's labelled region."""
-    held = [d for tag, ds in stack for d in ds if not (tag in UNNAMED_TAGS and d[0] == "#")]
-    inside = region is not None and any(t == region for t, _ in stack)
-    return (held, inside) if inside or not region else ([*held, OUTSIDE], inside)
+def label_of(words: Counter) -> tuple[bool, int] | None:
+    """What labels the content of a page, by its words outside named boilerplate in each (within main, number of article).
+
+    The article that has more than half of the words in ``main``, else ``main`` (number 0); without ``main`` the article
+    that has more than half of the page's. Articles beside ``main``, or small ones, are teasers or comments.
+    """
+    inner = {article: n for (main, article), n in words.items() if main}
+    held = inner or {article: n for (_, article), n in words.items()}
+    for article, n in held.items():
+        if article and 2 * n > sum(held.values()):
+            return bool(inner), article
+    return (True, 0) if inner else None
 
 
 def count_words(page: str) -> Counter:
     """Of a page with a labelled region: words (w) and tags (t) by descriptor, inside (1) and outside (0)."""
-    found: Counter = Counter()
-    region = region_of(page)
+    memo: dict[tuple, tuple[list[str], list[str], bool]] = {}
+    events, words, articles = [], Counter(), []  # the outermost articles in order; those of equal names are apart
     for kind, value, stack in parse(page):
-        held, inside = _held(stack, region)
+        key = tuple(stack)
+        if key not in memo:
+            held = _held(key)
+            memo[key] = held, [d for d in held if is_boilerplate(d)], any(t == "main" for t, _ in key)
+        held, blamed, main = memo[key]
+        article = next((e for e in stack if e[0] == "article"), None)
+        if article is not None and not (articles and articles[-1] is article):
+            articles.append(article)
+        n, place = len(value.split()) if kind == "text" else 0, (main, len(articles) if article is not None else 0)
+        if n and not blamed:
+            words[place] += n
+        events.append((kind, value, n, held, blamed, place))
+    found: Counter = Counter()
+    label = label_of(words)
+    if label is None:
+        return found
+    within = [main >= label[0] and (article == label[1] or not label[1]) for *_, (main, article) in events]
+    name = "article" if label[1] else "main"
+    for i, (kind, value, n, held, blamed, _) in enumerate(events):
+        inside = within[i]
         if kind == "tag":
-            found["t", value, int(inside or value == region)] += 1
-        elif n := len(value.split()):
-            blamed = [d for d in held if is_boilerplate(d)]
-            if inside and blamed:
-                continue
-            for d in {*held} if inside else {OUTSIDE, *(blamed or (d for d in held if d[0] in "#@" or "." in d))}:
+            own = value == name and True in within[max(0, i - 1):i + 2]
+            found["t", value, int(inside or own)] += 1
+        elif n and not (inside and blamed):
+            for d in {*held} if inside else {*(blamed or (d for d in held if d[0] in "#@" or "." in d))}:
                 found["w", d, int(inside)] += n
     return found
 
@@ -196,19 +225,17 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 
 def extract(page: str, weights: Weights) -> str:
     """The main text of one page."""
-    region = region_of(page)
     texts: list[str | None] = []  # a text that may be content; None: a block ends; "": neither
     scores: list[float] = []
-    memo: dict[tuple, tuple[float, bool]] = {}
+    memo: dict[tuple, float] = {}
     for kind, value, stack in parse(page):
         key = tuple(stack)
         if key not in memo:
-            held, inside = _held(stack, region)
-            memo[key] = weights.path(held), inside
-        weight, inside = memo[key]
+            memo[key] = weights.path(_held(key))
+        weight = memo[key]
         if kind == "tag":
             texts.append("" if value in INLINE else None)
-            scores.append(-TAG_LEAST if inside else weights.tag(value))
+            scores.append(weights.tag(value))
         else:
             texts.append(value if weight > 0 else "")
             scores.append(weight * len(value.split()) if weight > 0 else 0.0)

@@ -61,3 +61,30 @@ def test_nulls_repeated_rows_clashing_columns_and_empty_tables(llm_spark):
 def test_long_page():
     page = "<article>" + "<p>some words here</p>" * 100_000 + "</article><footer>x</footer>"
     assert len(H.extract(page, H.Weights({})).split()) == 300_000
+
+
+BODY = "".join(f"<p>Body words number {i} of the long main text</p>" for i in range(30))
+BODY_TEXT = " ".join(f"Body words number {i} of the long main text" for i in range(30))
+COMMENTS = "".join(f"<article class='comment' id='comment-{i}'><p>Nice post from reader {i} indeed</p></article>" for i in range(8))
+TEASERS = "".join(f"<article class='teaser'><h3><a href=/{i}>Read also story {i}</a></h3></article>" for i in range(5))
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><main><h1>Head</h1>{BODY}</main>{COMMENTS}{TEASERS}</body>",
+    f"<body>{TEASERS}<main><h1>Head</h1>{BODY}</main><section class=comments>{COMMENTS.replace('class', 'data-x')}</section></body>",
+    f"<body>{TEASERS}<div><h1>Head</h1>{BODY}</div>{COMMENTS}</body>",
+    f"<body><div><h1>Head</h1>{BODY}</div><aside><article><p>Read also this</p></article></aside></body>",
+    f"<body><main><h1>Head</h1>{BODY}{TEASERS}{COMMENTS}</main></body>",
+    f"<body><article class='post category-advertising' id=newsletter-changes><h1>Head</h1>{BODY}{COMMENTS}</article>{TEASERS}</body>"])
+def test_articles_that_are_comments_or_teasers(page):
+    for counts in ({}, H.count_words(page), H.count_words(PAGE.replace("{open}", "<article>").replace("{close}", "</article>"))):
+        assert H.extract(page, H.Weights(counts)) == f"Head {BODY_TEXT}"
+
+
+def test_labels_count_the_content_not_its_teasers():
+    side = "<article><p class=x>one two</p></article>"
+    for page in (f"<main><p class=y>{BODY}</p></main>{side}", f"<main>{side}<div class=y>{BODY}</div></main>{side}", f"{side}<article><div class=y>{BODY}</div></article>"):
+        counts = H.count_words(page)
+        assert counts["w", "p", 1] >= 240 and not counts["w", "div.y", 0] and not counts["w", "p.y", 0]
+        assert counts["w", "p.x", 0] == 2
+    assert H.count_words(f"<div>{BODY}</div>{side}") == {}  # a small article labels nothing
