@@ -26,9 +26,17 @@ from orderflow.llm.common import by_row
 
 #: HTML's elements without content, with raw content, and those that don't end a block of text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|textarea|title|iframe|noscript|noembed|noframes|xmp|template|svg|math|object|canvas"
+RAW = "script|style|textarea|title|iframe|noembed|noframes"
+#: Ordinary elements whose content isn't shown as text; one that is never closed holds nothing.
+UNSHOWN = frozenset("svg canvas template noscript annotation annotation-xml".split())
+#: Within these ``/>`` closes an element, none closes a paragraph, and raw elements are ordinary ones; a block ends them.
+FOREIGN = frozenset(["svg", "math"])
+BLOCKS = frozenset("blockquote body center dd div dl dt h1 h2 h3 h4 h5 h6 li ol p pre table ul".split())
+EMBEDS_BLOCKS = frozenset("foreignobject desc title mi mn mo ms mtext annotation-xml".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s samp small "
-                   "span strike strong sub sup time tt u var wbr nobr".split())
+                   "span strike strong sub sup time tt u var wbr nobr svg canvas template noscript object math semantics annotation "
+                   "annotation-xml mrow mi mn mo ms mtext mspace msup msub msubsup mfrac msqrt mroot mover munder munderover "
+                   "mstyle mpadded mphantom menclose".split())
 #: Elements that a new block, or an item of their own kind, closes.
 CLOSED_BY_BLOCK = frozenset(["p"])
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -54,9 +62,15 @@ MAX_DESCRIPTORS = 5000
 #: Bounds of a word's weight and a tag's cost; a tag inside a labelled region costs the least.
 WORD_BOUND, TAG_BOUND, TAG_LEAST = 5.0, 2.0, 0.02
 
-TOKEN = re.compile(
-    rf"<!--.*?(?:--!?>|\Z)|<({RAW})(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
-    r"|<(/?)([a-z][^\s/>]*)((?>[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-z][^\s/>]*)([^>]*)>|<[!?/][^>]*>|<[!?/a-z][^>]*\Z|[^<]+|<", re.S | re.I)
+TAG_REST = r"((?>[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+#: Tokens of a page, and of what svg or math hold: no element is raw there.
+TOKEN, FOREIGN_TOKEN = (re.compile(
+    rf"<!--.*?(?:--!?>|\Z)|<({raw})(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)|<xmp(?=[\s/>])[^>]*>(.*?)</xmp(?=[\s/>])[^>]*>"
+    rf"|<(/?)([a-z][^\s/>]*){TAG_REST}|<(/?)([a-z][^\s/>]*)([^>]*)>|<[!?/][^>]*>|<[!?/a-z][^>]*\Z|[^<]+|<", re.S | re.I)
+    for raw in (RAW, "(?!)"))
+PAIRED = re.compile(
+    r"<!--.*?--!?>|<(script|style)(?=[\s>])[^>]*(?<!/)>.*?</\1(?=[\s/>])"
+    rf"|<(/?)({'|'.join(sorted(UNSHOWN | FOREIGN, reverse=True))})(?=[\s/>]){TAG_REST}", re.S | re.I)
 ATTRIBUTE = re.compile(r"([a-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.S | re.I)
 
 
@@ -86,7 +100,7 @@ def is_boilerplate(descriptor: str) -> bool:
     if descriptor[0] == "#":
         name = descriptor[1:]
     elif not dot:
-        return tag in BOILERPLATE_TAGS
+        return tag in BOILERPLATE_TAGS or tag in UNSHOWN
     if tag == "article":
         return bool(m := ARTICLE_NAME.fullmatch(name)) and m[1] in ARTICLE_NAMES
     if tag in UNNAMED_TAGS or re.match(r"(with|has|no|without)[-_]", name):
@@ -101,32 +115,69 @@ def prior(descriptor: str) -> tuple[float, float]:
     return (PRIOR_WORDS, 0.0) if descriptor in CONTENT_TAGS else (2.0, 1.0)
 
 
+def _unclosed(page: str) -> set[int]:
+    """Where elements of ``UNSHOWN`` and ``FOREIGN`` open that are never closed."""
+    found: dict[str, list[int]] = {}
+    for m in PAIRED.finditer(page):
+        if m[3]:
+            starts = found.setdefault(m[3].lower(), [])
+            if not m[2]:
+                if not (m[4].endswith("/") and m[3].lower() in FOREIGN):
+                    starts.append(m.start())
+            elif starts:
+                starts.pop()
+    return {i for starts in found.values() for i in starts}
+
+
 def parse(page: str) -> Iterator[tuple[str, str, list[tuple[str, tuple[str, ...]]]]]:
     """(kind, value, open elements): kind is ``text`` or ``tag``; the list is live and holds (tag, descriptors)."""
     stack: list[tuple[str, tuple[str, ...]]] = []
-    for m in TOKEN.finditer(page):
-        raw = m[0]
-        tag = (m[3] or m[6] or "").lower()
+    unclosed = _unclosed(page)
+    at, foreign = 0, -1  # foreign: place on the stack of the innermost svg or math
+    while m := (TOKEN if foreign < 0 else FOREIGN_TOKEN).match(page, at):
+        raw, at = m[0], m.end()
+        tag = (m[4] or m[7] or "").lower()
         if raw[0] != "<" or raw == "<":
             yield "text", html.unescape(raw), stack
+        elif m[2] is not None:
+            yield "tag", "xmp", stack
+            stack.append(("xmp", ("xmp",)))
+            yield "text", m[2], stack
+            stack.pop()
+            yield "tag", "xmp", stack
         elif not tag:
             continue
-        elif m[2] or m[5]:
+        elif m[3] or m[6]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
                     del stack[i:]
                     break
+            if foreign >= len(stack):
+                foreign = _foreign(stack)
             yield "tag", tag, stack
         else:
+            if foreign >= 0 and tag in BLOCKS and not any(t in EMBEDS_BLOCKS for t, _ in stack[foreign:]):
+                del stack[foreign:]
+                foreign = _foreign(stack)
             drop = SIBLINGS.get(tag, CLOSED_BY_BLOCK if tag not in INLINE and tag not in VOID else ())
             if tag == "body":
                 drop = {"head"}
+            if foreign >= 0:
+                drop = ()
             while stack and stack[-1][0] in drop or drop == CLOSED_BY_BLOCK and any(t in drop for t, _ in stack):
                 i = len(stack) - 1 if stack[-1][0] in drop else max(i for i, (t, _) in enumerate(stack) if t in drop)
                 del stack[i:]
             yield "tag", tag, stack
-            if tag not in VOID:
-                stack.append((tag, descriptors(tag, m[4] or m[7] or "")))
+            attributes = m[5] or m[8] or ""
+            empty = raw.endswith("/>") and (foreign >= 0 or tag in FOREIGN) or m.start() in unclosed
+            if tag not in VOID and not empty:
+                if tag in FOREIGN:
+                    foreign = len(stack)
+                stack.append((tag, descriptors(tag, attributes)))
+
+
+def _foreign(stack: list) -> int:
+    return max((i for i, (t, _) in enumerate(stack) if t in FOREIGN), default=-1)
 
 
 def _held(stack: list | tuple) -> list[str]:

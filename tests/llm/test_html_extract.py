@@ -88,3 +88,18 @@ def test_labels_count_the_content_not_its_teasers():
         assert counts["w", "p", 1] >= 240 and not counts["w", "div.y", 0] and not counts["w", "p.y", 0]
         assert counts["w", "p.x", 0] == 2
     assert H.count_words(f"<div>{BODY}</div>{side}") == {}  # a small article labels nothing
+
+
+@pytest.mark.parametrize(("middle", "want"), [
+    ('<svg class="i"/>', ""), ("<svg/>", ""), ("<math/>", ""), ('<svg class="i">', ""), ("<math>", ""), ("<canvas id=c>", ""), ("<template>", ""),
+    ("<noscript>", ""), ("<object data=x>", ""), ("<svg><title/><path d='M0'/></svg>", ""), ("<svg><title>no</title><g><text>no</text></g></svg>", ""),
+    ("<svg><svg><text>no</text></svg><text>no</text></svg>", ""), ("<svg><style>p{}</style><script src=x /></svg>", ""),
+    ("<p>an <svg><path d='M0'/><text>no</text></svg>icon</p>", "an icon"), ("<svg><path><p>shown</p></svg>", "shown"),
+    ("<canvas>no</canvas><template><p>no</p></template><noscript>no <b>no</b></noscript>", ""), ("<!-- <svg> --><script>'<svg>'</script>", ""),
+    ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math> holds</p>", "so x=2 holds"),
+    ("<xmp><b>code</b> &amp; more</xmp>", "<b>code</b> &amp; more"), ("<xmp>", ""), ("<object data=x><p>fallback text</p></object>", "fallback text"),
+    ("<svg>" * 3 + "<svg><text>no</text></svg>", "")])
+def test_embedded_elements_end_where_they_end(middle, want):
+    page = f"<body><article><p>one</p>{middle}<p>two</p><p>three</p></article><script>var x = a<b;</script><footer><svg><text>no</text></svg><p>foot</p></footer></body>"
+    for counts in ({}, H.count_words(page)):
+        assert H.extract(page, H.Weights(counts)) == " ".join(f"one {want} two three".split())
