@@ -227,8 +227,9 @@ _ROWS = "key long, context long, id long, at long"
 
 
 def _settled(key: np.ndarray, context: np.ndarray, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The rows in order of key, context and place; and which of them is the first of its key and context."""
+    """The rows in order of key, context and place, equal ones once; and which of them is the first of its key and context."""
     order = np.lexsort((at, ids, context, key))
+    order = order[_fresh(key[order], context[order]) | _fresh(ids[order], at[order])]  # a document that recurs is one
     return order, _fresh(key[order], context[order])
 
 
@@ -318,13 +319,16 @@ def _intervals(common: np.ndarray) -> Iterator[tuple[int, int, int]]:
 
 
 def _with_earlier(places: list[int], common: list[int]) -> list[int]:
-    """For each string of a sorted list the longest prefix it shares with one of an earlier place (-1: there is none)."""
+    """For each string of a sorted list the longest prefix it shares with one of an earlier place (-1: there is none).
+
+    Those of equal places aren't earlier than each other.
+    """
     best = [-1] * len(places)
     for forward in (True, False):
         stack: list[tuple[int, int]] = []
         for i in range(len(places)) if forward else range(len(places) - 1, -1, -1):
             shared = (common[i - 1] if i else 0) if forward else (common[i] if i < len(common) else 0)
-            while stack and stack[-1][0] > places[i]:
+            while stack and stack[-1][0] >= places[i]:
                 shared = min(shared, stack.pop()[1])
             if stack:
                 best[i] = max(best[i], shared)
@@ -332,11 +336,12 @@ def _with_earlier(places: list[int], common: list[int]) -> list[int]:
     return best
 
 
-def key_spans(lefts: list[bytes], rights: list[bytes], window: int) -> list[tuple[int, int, int]]:
+def key_spans(lefts: list[bytes], rights: list[bytes], window: int, ranks: list[int] | None = None) -> list[tuple[int, int, int]]:
     """(occurrence, bytes to the left, bytes to the right) of repeats of ``window`` bytes and more.
 
-    Occurrences are in order of place. ``rights``: the suffixes at the anchors; ``lefts``: what precedes, reversed.
+    Occurrences are in order of place; ``ranks``: equal for equal places, if there are any. ``rights``: the suffixes at the anchors; ``lefts``: what precedes, reversed.
     """
+    ranks = range(len(rights)) if ranks is None else ranks
     r, r_size = _matrix(rights, window)
     by_right = np.array(sorted(range(len(rights)), key=rights.__getitem__))
     l, l_size = _matrix(lefts, max(1, max(map(len, lefts))))
@@ -354,9 +359,9 @@ def key_spans(lefts: list[bytes], rights: list[bytes], window: int) -> list[tupl
         places = held.tolist()
         if (common == l_size[held[1:]]).all() and (common == l_size[held[:-1]]).all():
             # no diversity to the left: all but the first occurrence extend alike
-            found += [(p, int(common[0]), length) for p in places if p != min(places)]
+            found += [(p, int(common[0]), length) for p in places if ranks[p] != ranks[min(places)]]
             continue
-        best = _with_earlier(places, common.tolist())
+        best = _with_earlier([ranks[p] for p in places], common.tolist())
         found += [(p, b, length) for p, b in zip(places, best, strict=True) if b >= 0 and b + length >= window]
     return found
 
@@ -382,11 +387,13 @@ def _tree_spans(settings: Settings):
             n = len(one)
             span = [_common(np.stack((x[:n], x[n:]), 1).reshape(2 * n, -1), np.stack((s[:n], s[n:]), 1).ravel())[::2]
                     for x, s in ((l, l_size), (r, r_size))]
-            good = span[0] + span[1] >= settings.window
+            apart = (ids[one] != ids[one + 1]) | (place[one] != place[one + 1])
+            good = apart & (span[0] + span[1] >= settings.window)
             later = one[good] + 1
             out.append((ids[later], place[later] - span[0][good], place[later] + span[1][good]))
         for a, b in zip(starts[ends - starts > 2].tolist(), ends[ends - starts > 2].tolist(), strict=True):
-            spans = key_spans([text[i][:left[i]][::-1] for i in range(a, b)], [text[i][left[i]:] for i in range(a, b)], settings.window)
+            ranks = np.cumsum(_fresh(ids[a:b], place[a:b])).tolist()
+            spans = key_spans([text[i][:left[i]][::-1] for i in range(a, b)], [text[i][left[i]:] for i in range(a, b)], settings.window, ranks)
             if spans:
                 i, before, after = (np.array(x) for x in zip(*spans, strict=True))
                 out.append((ids[a + i], place[a + i] - before, place[a + i] + after))

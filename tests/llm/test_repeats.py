@@ -113,6 +113,30 @@ def test_nulls_empty_texts_repeated_rows_and_empty_tables(spark):
     assert run(spark, [], repeats.Settings(), repeats.digest).columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
 
+def test_repeated_rows_without_a_smaller_copy(spark):
+    rng = random.Random(11)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    part, own = text(150), [text(rng.randint(100, 700)) for _ in range(12)]
+    docs = [(i, t) for i, t in enumerate(own)] * 6
+    docs += [(20, part + text(300))] * 5 + [(21, text(50) + part + text(80))] * 5 + [(22, text(30) + part + text(9) + part)] * 4
+    docs += [(19, own[3][:99] + "#" + own[3][99:])] * 3
+    rng.shuffle(docs)
+    want = brute(docs, 100)
+    assert not any(want[i, t] for i, t in enumerate(own)) and want[21, dict(docs)[21]]
+    for settings in (repeats.Settings(), repeats.Settings(frequent_share=0.0, frequent_least=1)):
+        got = run(spark, docs, settings).collect()
+        assert len(got) == len(docs)
+        for r in got:
+            assert [list(s) for s in r["spans"]] == want[r["doc_id"], r["text"]], r["doc_id"]
+
+
+def test_equal_places_are_not_earlier_than_each_other():
+    left, right = b"x" * 10, b"y" * 10
+    assert repeats.key_spans([left] * 3, [right] * 3, 10, [1, 1, 1]) == []
+    assert sorted(repeats.key_spans([left] * 3, [right] * 3, 10, [1, 1, 2])) == [(2, 10, 10)]
+    assert sorted(repeats.key_spans([left, left + b"a", left], [right] * 3, 10, [1, 1, 2])) == [(2, 10, 10)]
+
+
 def test_text_without_repeats(spark):
     prepare(spark)
     df = spark.createDataFrame([(1, "é" * 100), (2, None), (3, "aé" * 30 + "b")], "doc_id long, text string")
