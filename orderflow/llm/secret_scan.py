@@ -1,7 +1,8 @@
 """Operator 7: secret scans by dictionary-primed zstandard novelty.
 
 Strings of a fixed shape (assignments to password-like names, access keys, long hex runs) are always reported. Other
-candidates are long mixed strings that follow a word of sensitive context. For each candidate the marginal compressed
+candidates are long mixed strings near a word of sensitive context, on either side, or near a string that was found so;
+strings of any characters assigned to such a word; and the lines of a private key's block. For each candidate the marginal compressed
 size is measured: zstandard, primed with a dictionary of identifiers, compresses the surroundings with and without
 it. A name or phrase that the dictionary or the surroundings hold adds few bytes, a random string nearly its own
 entropy; strings above a share of bytes are reported as ``novel``.
@@ -10,6 +11,7 @@ entropy; strings above a share of bytes are reported as ``novel``.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -28,12 +30,20 @@ HEX = re.compile(r"[0-9a-f]{32,}")  # a run of 32 or more is what `[0-9a-f]+` gi
 ASSIGN_CHARS, ACCESS_CHARS = 8, 16
 KINDS = ("assign", "access", "hex", "novel")
 
-#: Words of sensitive context, and how far after one a candidate may start.
+#: Words of sensitive context, and how far from one, or after a candidate that was found, another may be.
 CONTEXT_WORDS = ("password", "passwd", "passphrase", "secret", "token", "apikey", "api_key", "api key", "credential",
                  "private", "bearer", "authorization", "signature", "access_key", "access key", "client_id", "pwd")
 CONTEXT = re.compile("|".join(CONTEXT_WORDS), re.I | re.A)
 CONTEXT_CHARS = 40
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: What is assigned to a context word: quoted, or up to a space; only phrases of these words hold spaces.
+ASSIGNED = re.compile(
+    r"[\w.-]*[\"'\]]*\x20*(:?=>?|:)\x20*(?:\"((?:\\.|[^\"\\\n])+)\"|'((?:\\.|[^'\\\n])+)'|([^\s\"'`]+))", re.A)
+ASSIGNED_CHARS = 6
+PHRASE_WORDS = ("password", "passwd", "passphrase", "pwd")
+#: The lines of a private key, and the last one, however short.
+KEY_BLOCK = re.compile(r"-----BEGIN [^\n-]*PRIVATE KEY[^\n-]*-----(.*?)(?=-----END|\Z)", re.S)
+KEY_END = re.compile(r"\s+([A-Za-z0-9+/]+={0,2})\s*-----END")
 #: Identifiers and phrases that aren't secrets.
 IDENTIFIERS = """
 access_key access_token account_id address api_key api_key_id apikey application_id attribute auth_token authorization
@@ -84,21 +94,74 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found, key=lambda x: (x[0], x[2]))
 
 
+def _mixed(own: str) -> bool:
+    return bool(re.search("[0-9]", own) and re.search("[A-Za-z]", own))
+
+
+def _assigned(text: str, word: re.Match) -> tuple[int, int] | None:
+    """Where the value is that is assigned to a context word, if it can be a secret."""
+    if not (m := ASSIGNED.match(text, word.end())):
+        return None
+    group = next(g for g in (2, 3, 4) if m[g] is not None)
+    own = m[group].rstrip(",;.()[]{}<>") if group == 4 else m[group]
+    phrase = word[0].lower() in PHRASE_WORDS
+    if len(own) < ASSIGNED_CHARS or not phrase and re.search(r"\s", own):
+        return None
+    if not (phrase and "=" in m[1]) and not re.search(r"[^\W\d_]", own) or not phrase and not re.search(r"[^A-Za-z_.-]", own):
+        return None
+    return m.start(group), m.start(group) + len(own)
+
+
 def novel_spans(text: str, base: list[tuple[int, int, int]], min_share: float = MIN_SHARE) -> list[tuple[int, int, int]]:
-    """Candidates in sensitive context, apart from ``base``, that the primed compressor can't shorten."""
+    """Candidates in sensitive context, apart from ``base``, that the primed compressor can't shorten.
+
+    A candidate that was found, or an assignment of ``base``, is context for those after it. An assigned value may
+    go on where a string of ``base`` ends.
+    """
     low = text.lower()
     if not any(w in low for w in CONTEXT_WORDS):
         return []
     found: dict[int, tuple[int, int, int]] = {}
+    judged: dict[tuple[int, int], bool] = {}
+
+    def take(start: int, end: int, beyond: bool = False) -> None:
+        """Reports a candidate if it is novel; the context then goes on behind it."""
+        if any(s < end and start < e and not (beyond and e < end) for s, e, _ in base) or (start, end) in judged:
+            return
+        judged[start, end] = novel = novelty(text, start, end) >= min_share
+        if novel and end > found.get(start, (0, 0, 0))[1]:
+            found[start] = start, end, 3
+            ahead.append((end, end + CONTEXT_CHARS, True))
+
+    runs = [m.span() for m in CANDIDATE.finditer(text)]
+    ends = [e for _, e in runs]
+    # from where, how far a candidate may start, and whether letters alone may do: in what goes on from a secret
+    ahead = [(e, e + CONTEXT_CHARS, True) for _, e, kind in base if kind == 0]
+    for block in KEY_BLOCK.finditer(text):
+        ahead.append((block.start(1), block.end(1), True))
+        if last := KEY_END.search(text, max(block.start(1), block.end(1) - CONTEXT_CHARS * 2)):
+            if last.start(1) < block.end(1) and not any(s <= last.start(1) < e for s, e, _ in base):
+                found[last.start(1)] = last.start(1), last.end(1), 3
     for word in CONTEXT.finditer(text):
-        for m in CANDIDATE.finditer(text, word.end()):
-            if m.start() > word.end() + CONTEXT_CHARS:
+        ahead.append((word.end(), word.end() + CONTEXT_CHARS, False))
+        for i in range(bisect_left(ends, word.start() - CONTEXT_CHARS), bisect_right(ends, word.start())):
+            if _mixed(text[slice(*runs[i])]):
+                take(*runs[i])
+        if value := _assigned(text, word):
+            take(*value, beyond=True)
+    while ahead:
+        at, most, goes_on = ahead.pop()
+        for m in CANDIDATE.finditer(text, at):
+            if m.start() > most:
                 break
-            mixed = re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])
-            if mixed and not any(s < m.end() and m.start() < e for s, e, _ in base) and m.start() not in found:
-                if novelty(text, m.start(), m.end()) >= min_share:
-                    found[m.start()] = (m.start(), m.end(), 3)
-    return list(found.values())
+            if _mixed(m[0]) or goes_on and re.search("[a-z][A-Z]", m[0]):
+                take(m.start(), m.end())
+    spans, last = [], 0
+    for span in sorted(found.values()):
+        if span[1] > last:  # of a string within another only the whole one
+            spans.append(span)
+            last = span[1]
+    return spans
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
