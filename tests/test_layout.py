@@ -10,7 +10,7 @@ from orderflow.operators import store as ST
 from orderflow.session import scratch_path
 from orderflow.sources import fixtures as FX
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def plan(df) -> str:

@@ -6,7 +6,7 @@ from orderflow.session import scratch_path
 from orderflow.sources import fixtures as FX
 from orderflow.streaming import jobs as J
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def flaky(attempt):
