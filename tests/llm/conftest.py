@@ -1,10 +1,5 @@
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(__file__))
-
 
 @pytest.fixture(scope="session")
 def llm_spark(spark):

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from brute import sha
+from llm_brute import sha
 from tokenizers import Tokenizer
 
 from orderflow.llm import bpe

@@ -1,6 +1,6 @@
 import random
 
-from brute import components
+from llm_brute import components
 
 from orderflow.llm.components import connected_components
 

@@ -1,6 +1,6 @@
 import random
 
-from brute import decontaminated
+from llm_brute import decontaminated
 
 from orderflow.llm import decontaminate as D
 

@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from brute import components
+from llm_brute import components
 
 from orderflow.llm import embedding_dedup as E
 

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from brute import jaccard, shingles
+from llm_brute import jaccard, shingles
 
 from orderflow.llm import jaccard_join as J
 
@@ -95,7 +95,7 @@ def test_trees_lose_no_link():
             sets.append(np.unique(np.concatenate((s[rng.random(len(s)) < 0.95], rng.integers(0, 2**62, rng.integers(0, 4))))))
         side = rng.integers(0, 2, 120).astype(np.int8) if trial % 2 else np.zeros(120, np.int8)
         edges = J.join_block(np.arange(120), sets, side)
-        from brute import components
+        from llm_brute import components
         want = components(range(120), [(i, j) for i in range(120) for j in range(i) if (side[i] != side[j] or not trial % 2) and J.links(sets[i], sets[j])])
         got = components(range(120), edges)
         both = {frozenset(k for k in got if got[k] == r) for r in set(got.values())}

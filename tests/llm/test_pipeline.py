@@ -1,5 +1,5 @@
 import corpus_pipeline
-from brute import decontaminated, jaccard, secrets, sha
+from llm_brute import decontaminated, jaccard, secrets, sha
 
 from orderflow.llm import queries, secret_scan, toxicity
 from orderflow.llm.bpe import ForcedBoundaryBPE, default_vocabulary

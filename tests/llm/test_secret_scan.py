@@ -1,6 +1,6 @@
 import random
 
-from brute import secrets, sha
+from llm_brute import secrets, sha
 
 from orderflow.llm import secret_scan as S
 
