@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orderflow.llm import (
-    bpe, decontaminate, embedding_dedup, html_extract, jaccard_join, repeats, secret_scan, sharding, toxicity, url_filters,
+    bpe, decontaminate, embedding_dedup, html_extract, jaccard_join, periodic_runs, repeats, secret_scan, sharding, toxicity,
+    url_filters,
 )
 from orderflow.llm.common import prepare, table
 
@@ -54,6 +55,11 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_planted_runs(table(spark, sf_dir, "documents"))
+    return periodic_runs.digest(periodic_runs.periodic_runs(docs))
+
+
 def _ready(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
@@ -64,7 +70,7 @@ def _ready(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 
 QUERIES = {f.__name__: _ready(f) for f in (
     op1_toxicity, op2_bpe, op3_repeats, op4_url_filters, op5_decontamination, op6_embedding_dedup, op7_secret_scan,
-    op8_jaccard_join, op9_sharding, op10_html_text)}
+    op8_jaccard_join, op9_sharding, op10_html_text, op11_periodic_runs)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
