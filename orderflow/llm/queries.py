@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orderflow.llm import (
-    bpe, decontaminate, embedding_dedup, html_extract, jaccard_join, periodic_runs, repeats, secret_scan, sharding, toxicity,
-    url_filters,
+    bpe, decontaminate, embedding_dedup, html_extract, jaccard_join, periodic_runs, quality, repeats, secret_scan, sharding,
+    toxicity, url_filters, whitening,
 )
 from orderflow.llm.common import prepare, table
 
@@ -60,6 +60,15 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digest(periodic_runs.periodic_runs(docs))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def _ready(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
@@ -70,7 +79,7 @@ def _ready(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 
 QUERIES = {f.__name__: _ready(f) for f in (
     op1_toxicity, op2_bpe, op3_repeats, op4_url_filters, op5_decontamination, op6_embedding_dedup, op7_secret_scan,
-    op8_jaccard_join, op9_sharding, op10_html_text, op11_periodic_runs)}
+    op8_jaccard_join, op9_sharding, op10_html_text, op11_periodic_runs, op12_whitening, op13_quality)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
