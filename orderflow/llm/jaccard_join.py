@@ -9,7 +9,8 @@ sets is at least three quarters of the whole. The steps, all of them exact:
    them; of a prefix that is longer by a twelfth of |x| they share a sixteenth of |x| and one more at least. A shingle of
    the prefix is alive if another document's prefix holds it. A document with too few alive shingles has no link. Of the
    others, the most frequent ones may be left out but for that number. Documents are clustered by what remains, rare
-   shingles that they share, and links never leave a cluster.
+   shingles that they share, and links never leave a cluster. Documents with the same most frequent one are contracted
+   first: from then on they are one node, which sends each further shingle once.
 3. Within a cluster, signature trees find the links. A leaf's documents have bitmaps of their shingles; a node holds the
    OR of those below it and the range of their sizes. Two trees are traversed together, and a pair of nodes is dropped if
    its greatest possible overlap, or its sizes, can't reach the threshold. Pairs left at the leaves are verified on sets.
@@ -262,8 +263,8 @@ def _alive(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _clustered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Edges (a: document, b: smallest document) of the clusters by shared shingles within a partition."""
-    if held := _gathered(batches, "h", "rep"):
+    """Edges (a: node, b: smallest node) of the clusters by shared shingles within a partition."""
+    if held := _gathered(batches, "h", "top"):
         nodes, at = np.unique(held[1], return_inverse=True)
         forest = Forest(len(nodes))
         forest.join_runs(held[0], at)
@@ -292,9 +293,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "h").mapInPandas(_alive, "rep long, h long, df int, need int")
     kept = alive.groupBy("rep").agg(F.first("need").alias("need"), F.array_sort(F.collect_list(F.struct("df", "h"))).alias("alive")).where(
         F.size("alive") >= F.col("need"))
-    rare = kept.select("rep", F.explode(F.slice("alive", F.lit(1), F.size("alive") - F.col("need") + 1)).alias("x")).select("rep", "x.h")
-    clusters = saved(connected_components(
-        rare.repartition("h").mapInPandas(_clustered, "a long, b long"), "jaccard_clusters"), "jaccard_cluster")
+    rare = saved(kept.select("rep", F.transform(F.slice("alive", F.lit(1), F.size("alive") - F.col("need") + 1), lambda x: x["h"]).alias("h")).select(
+        "rep", F.element_at("h", -1).alias("top"), "h"), "jaccard_rare")
+    # a document's most frequent shingle of these is its node; a group of near copies has few such
+    nodes = rare.select("top", F.explode("h").alias("h")).where("h <> top").distinct().unionByName(rare.select("top", F.col("top").alias("h")).distinct())
+    linked = connected_components(nodes.repartition("h").mapInPandas(_clustered, "a long, b long"), "jaccard_clusters")
+    named = saved(rare.select(F.col("rep").alias("node"), "top").join(linked.withColumnRenamed("node", "_top"), F.col("top") == F.col("_top"), "left").select(
+        "node", F.coalesce("component", "top").alias("component")), "jaccard_named")
+    sizes = saved(named.groupBy("component").count().where("count > 1"), "jaccard_sizes")
+    clusters = saved(named.join(sizes, "component", "left_semi"), "jaccard_cluster")
 
     # the sets of clustered documents alone
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -305,7 +312,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     held = read.select("id", packed("text").alias("text")).join(clusters.hint("merge"), F.col("id") == F.col("node")).select("id", "text", "component").mapInPandas(
         sets, "rep long, cluster long, shingles array<long>, size long").where("size > 0")
     # a cluster beyond a block is cut by size class: documents that link are in one class or in neighbouring ones
-    many = clusters.groupBy("component").count().where(F.col("count") > block)
+    many = sizes.where(F.col("count") > block)
     wide = rows.join(clusters, F.col("rep") == F.col("node"), "left_semi").where("prefix is not null").select("rep", "n").join(
         clusters, F.col("rep") == F.col("node")).join(many, "component")
     step = F.floor(F.log(F.col("n").cast("double")) / float(np.log(DEN / NUM))).cast("int")

@@ -46,5 +46,5 @@ def test_registered(llm_spark):
 
     names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
     numbers = sorted(int(n[2:].split("_")[0]) for n in names if n[2].isdigit() and n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in names
+    assert numbers == list(range(1, 14)) and "pipeline" in names
     assert set(queries.ORACLE) <= set(entry.queries())
