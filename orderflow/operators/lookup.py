@@ -74,6 +74,15 @@ def orders_exist(ids: DataFrame, df: DataFrame, id_col: str = "orderId") -> Data
             .select(*[ids[c] for c in ids.columns], F.coalesce(F.col("_hit"), F.lit(False)).alias("exists")))
 
 
+def orders_exist_bucketed(ids: DataFrame, stored: DataFrame, id_col: str = "orderId") -> DataFrame:
+    """``orders_exist`` against an id table (``store.write_id_table``): the stored ids are distinct and stay where they are,
+    only the asked ids are shuffled to their buckets."""
+    held = stored.select(F.col(id_col).alias("_sid"), F.lit(True).alias("_hit"))
+    # both sides may be large; a broadcast of the stored ids would grow with the store
+    return ids.join(held.hint("merge"), ids[id_col] == held["_sid"], "left").select(
+        *[ids[c] for c in ids.columns], F.coalesce("_hit", F.lit(False)).alias("exists"))
+
+
 def existing_ids(ids: DataFrame, df: DataFrame, id_col: str = "orderId") -> DataFrame:
     return ids.join(df.select(id_col), id_col, "left_semi")
 

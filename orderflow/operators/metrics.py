@@ -154,18 +154,19 @@ def status_counts(orders: DataFrame) -> DataFrame:
     return wide.unpivot([], S.LIFECYCLE_STATUSES, "status", "orders")
 
 
+DIMENSIONS = ["status", "region", "priority", "category"]
+
+
+def with_default_dimensions(orders: DataFrame) -> DataFrame:
+    """The counters' dimensions, null values under their defaults."""
+    defaults = {"status": S.UNKNOWN, "region": S.UNKNOWN, "priority": S.DEFAULT_PRIORITY, "category": S.DEFAULT_CATEGORY}
+    return orders.withColumns({d: F.coalesce(d, F.lit(defaults[d])) for d in DIMENSIONS})
+
+
 def _dims(orders: DataFrame) -> DataFrame:
-    return orders.select(
-        F.coalesce("status", F.lit(S.UNKNOWN)).alias("status"),
-        F.coalesce("region", F.lit(S.UNKNOWN)).alias("region"),
-        F.coalesce("priority", F.lit(S.DEFAULT_PRIORITY)).alias("priority"),
-        F.coalesce("category", F.lit(S.DEFAULT_CATEGORY)).alias("category"),
-        "totalAmount",
-        F.col("status").alias("rawStatus"),
-    )
+    return with_default_dimensions(orders.withColumn("rawStatus", F.col("status"))).select(*DIMENSIONS, "totalAmount", "rawStatus")
 
 
-DIMENSIONS = ["status", "region", "priority", "category"]
 # grouping_id() of each single-column grouping set over DIMENSIONS
 _GID = {d: (1 << len(DIMENSIONS)) - 1 - (1 << (len(DIMENSIONS) - 1 - i)) for i, d in enumerate(DIMENSIONS)}
 _GID_TOTAL = (1 << len(DIMENSIONS)) - 1

@@ -1,15 +1,17 @@
 """The order store: append log + current view (A4), scan (A7), retention.
 
 There is no MERGE-capable table format on the classpath, so the store is an
-append-only Parquet log and the current state is derived from it: the newest
-arrival per ``orderId`` by a limited window (each map task keeps one row per
-order before the shuffle, so an order that is redelivered millions of times
-costs one row per map task), and the first arrival by a narrow aggregate.
+append-only Parquet log and the current state is derived from it: one aggregate
+by ``orderId`` keeps the newest arrival and the first one's sequence (each map
+task sends one row per order, so an order that is redelivered millions of times
+costs one row per map task).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow import schemas as S
@@ -18,11 +20,11 @@ from orderflow import schemas as S
 STATE_COLS = ["firstSeq"]
 
 
-def _seq(seq_cols: list[str]) -> Column:
+def sequence(seq_cols: list[str]) -> Column:
     return F.struct(*[F.col(c) for c in seq_cols])
 
 
-def _new_id(key: str, seq: Column, seq_cols: list[str]) -> Column:
+def document_id(key: str, seq: Column, seq_cols: list[str]) -> Column:
     return F.substring(F.sha2(F.concat_ws(":", F.col(key), *[seq[c].cast("string") for c in seq_cols]), 256), 1, 24)
 
 
@@ -36,20 +38,17 @@ def upsert_orders(log: DataFrame, seq_cols: list[str], key: str = "orderId",
     state (with ``firstSeq`` and ``createdAt``) keeps what the state says of
     first arrivals; ``keep_state`` returns such a state.
     """
-    first, created = _seq(seq_cols), F.col(ingested_col)
+    first, created = sequence(seq_cols), F.col(ingested_col)
     if "firstSeq" in log.columns:
         first = F.coalesce(F.col("firstSeq"), first)
         created = F.coalesce(F.col("createdAt"), created)
-    # the newest version: one row per key and map task goes through the shuffle
-    newest = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in seq_cols])
     data_cols = [c for c in log.columns if c not in (key, ingested_col, "id", "createdAt", "updatedAt", *STATE_COLS)]
-    current = log.withColumn("_n", F.row_number().over(newest)).filter(F.col("_n") == 1).select(
-        key, *data_cols, F.col(ingested_col).alias("updatedAt"))
-    # the first arrival: narrow columns only
-    began = log.select(F.col(key).alias("_key"), first.alias("_first"), created.alias("_created")).groupBy("_key").agg(
-        F.min("_first").alias("firstSeq"), F.min("_created").alias("createdAt"))
-    out = current.join(began, current[key].eqNullSafe(began["_key"])).withColumn("id", _new_id(key, F.col("firstSeq"), seq_cols))
-    return out.select("id", key, *data_cols, "createdAt", "updatedAt", *(STATE_COLS if keep_state else []))
+    # one pass and one shuffle: each map task sends one row an order, its newest version with the first arrival
+    newest = F.struct(*[F.col(c) for c in data_cols], F.col(ingested_col).alias("updatedAt"))
+    out = log.groupBy(key).agg(F.max_by(newest, sequence(seq_cols)).alias("_newest"), F.min(first).alias("firstSeq"),
+                               F.min(created).alias("createdAt")).select(key, "_newest.*", "firstSeq", "createdAt")
+    return out.withColumn("id", document_id(key, F.col("firstSeq"), seq_cols)).select(
+        "id", key, *data_cols, "createdAt", "updatedAt", *(STATE_COLS if keep_state else []))
 
 
 def merge_into_store(state: DataFrame, batch: DataFrame, seq_cols: list[str], key: str = "orderId",
@@ -121,6 +120,20 @@ def write_store(docs: DataFrame, path: str, ts_col: str = "eventTimestamp", mode
     writer.parquet(path)
 
 
+#: Buckets of an id table; a join meets them with as many partitions.
+ID_BUCKETS = 64
+
+
+def write_id_table(docs: DataFrame, path: str, key: str = "orderId", buckets: int = ID_BUCKETS, name: str | None = None) -> str:
+    """The distinct ids of ``docs`` as a bucketed and sorted table under ``path``; returns its name in the session's catalog.
+
+    A join or aggregate by the id reads it in place, without a shuffle of the stored side."""
+    name = name or f"order_ids_{uuid.uuid4().hex}"
+    (docs.select(key).where(F.col(key).isNotNull()).distinct().repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+     .option("path", path).saveAsTable(name))
+    return name
+
+
 def apply_retention(docs: DataFrame, as_of: Column, days: int = S.RETENTION_DAYS,
                     ts_col: str = "eventTimestamp") -> DataFrame:
     """Drop rows older than ``days`` (TTL on the event time).  Rows with no

@@ -11,6 +11,8 @@ import os
 import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -79,6 +81,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, once a session: the Python workers of stateful processors import it."""
+    context = spark.sparkContext
+    if getattr(context, "_orderflow_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = f"{tempfile.mkdtemp(prefix='orderflow-')}/orderflow_package.zip"  # code alone; served by the driver
+    with zipfile.ZipFile(archive, "w") as z:
+        for path in sorted(package.rglob("*.py")):
+            z.write(path, path.relative_to(package.parent))
+    context.addPyFile(archive)
+    context._orderflow_shipped = True
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A new, unique folder under the checkpoint root for one job's files."""
     return "/".join([checkpoint_root(spark), *parts, uuid.uuid4().hex])
@@ -99,3 +115,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Removes a folder of this library's own and all in it; whether it was there."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))

@@ -16,11 +16,16 @@ from orderflow.operators import documents as D
 from orderflow.operators import feed as FD
 from orderflow.operators import lookup as L
 from orderflow.operators import metrics as M
+from orderflow.operators.buckets import BucketedStore
 from orderflow.plans import catalog as C
 from orderflow.plans import oracle as O
 from orderflow.session import scratch_path
 from orderflow.sources import fixtures as FX
+from orderflow.streaming import counters as CT
+from orderflow.streaming import hours as H
 from orderflow.streaming import jobs as J
+from orderflow.streaming import timers as TM
+from orderflow.streaming.upserts import upsert_stream
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -103,13 +108,38 @@ def forget_runs() -> None:
 def q_process_orders_stream(spark, sf):
     """Stored orders after the stream and its retry drain: each order once,
     with the topic (main or retry-k) of the attempt that succeeded."""
-    job = run_order_job(spark, sf)
+    return _attempts_stored(run_order_job(spark, sf))
+
+
+def _attempts_stored(job: J.OrderStreamJob) -> DataFrame:
     retry_no = F.regexp_extract("kafkaTopic", r"-retry-(\d+)$", 1)
     return job.store().filter(F.col("processingStatus") == "SUCCESS").select(
         "orderId", "kafkaTopic", "kafkaOffset", "processingStatus",
         F.when(retry_no == "", F.lit(1)).otherwise(retry_no.cast("int") + 2).cast("int").alias("attempt"))
 
 
+@register("retry_timers_stream", ORACLE["process_orders_stream"])
+def q_retry_timers_stream(spark, sf):
+    """I1 and I2 by timers: every pending retry is a row of keyed state until it is due."""
+    root = _scratch(spark, "retry_timers")
+    job = TM.TimedOrderJob(spark, f"{root}/job", FX.AS_OF, fails=_flaky)
+    job.run(_topic_source(spark, sf, root), f"{root}/ckpt")
+    return _attempts_stored(job)
+
+
+@register("feed_once_stream", O.with_(C.LEAN_SQL + " AND d.kafkaOffset % 101 <> 0", O.ORDER_DOCS, O.ITEMS))
+def q_feed_once_stream(spark, sf):
+    """A8 on a source that delivers each record twice: the feed has it once."""
+    root = _scratch(spark, "feed_once")
+    log = FX.topic_log(spark, sf)
+    src = J.materialize(log, f"{root}/source")
+    log.write.mode("append").parquet(src)
+    parsed = D.parse_orders(J.each_once(J.read_order_stream(spark, src)))
+    lean = FD.lean_order(D.flatten_event(parsed.filter(~F.col("parseError"))))
+    J.run_available_now(lean, lambda df, bid: J.write_batch(df, f"{root}/out", bid), f"{root}/ckpt")
+    return J.read_batches(spark, f"{root}/out").drop("batch_id")
+
+
 # ---------------------------------------------------------------------- I4
 @register("dead_letter_stream", C.ORACLE["dead_letter_sink"])
 def q_dead_letter_stream(spark, sf):
@@ -161,7 +191,37 @@ def q_live_counters_stream(spark, sf):
     return J.latest_per_key(out, ["dimension", "value"]).select("dimension", "value", "orders")
 
 
+@register("counters_state_stream", C.ORACLE["dimension_counts"])
+def q_counters_state_stream(spark, sf):
+    """The counters read from the state store itself, a row a counter, without a log of updates."""
+    root = _scratch(spark, "counters_state")
+    counters = CT.LiveCounters(spark, f"{root}/counters")
+    counters.run(J.read_files(spark, _lifecycle_source(spark, sf, root), _lifecycle_schema(spark, sf)))
+    return counters.read()
+
+
 # ---------------------------------------------------------------------- I6
+DRIFT_SQL = """drift AS (SELECT dimension, value, count(*) AS n FROM (
+SELECT unnest(['status', 'region', 'priority', 'category']) AS dimension, unnest([coalesce(status, 'UNKNOWN'), coalesce(region, 'UNKNOWN'),
+ coalesce(priority, 'STANDARD'), coalesce(category, 'OTHER')]) AS value FROM lifecycle WHERE kafkaOffset % 97 = 0) GROUP BY 1, 2)"""
+
+
+@register("counters_repaired_stream", O.with_(
+    "SELECT c.dimension, c.value, c.orders, coalesce(d.n, 0) AS diff FROM dim_counts c LEFT JOIN drift d ON d.dimension = c.dimension "
+    "AND d.value = c.value", O.ORDER_DOCS, O.LIFECYCLE, C.DIMS, C.DIM_COUNTS, DRIFT_SQL))
+def q_counters_repaired_stream(spark, sf):
+    """Some orders are counted twice; the audit finds by how much each counter is off, the repair sets them right in the state."""
+    root = _scratch(spark, "counters_repaired")
+    orders = FX.lifecycle_orders(FX.order_docs(spark, sf))
+    stream = J.read_files(spark, J.materialize(orders, f"{root}/source"), orders.schema)
+    counters = CT.LiveCounters(spark, f"{root}/counters")
+    counters.correct(CT.counter_rows(orders.filter("kafkaOffset % 97 = 0")))
+    counters.run(stream)
+    found = counters.repair(M.dimension_counts(orders))
+    counters.run(stream)
+    return counters.read().join(found.select("dimension", "value", "diff"), ["dimension", "value"])
+
+
 @register("resync_job", O.with_(
     "SELECT dimension, value, orders AS live, orders AS store, CAST(0 AS BIGINT) AS diff FROM dim_counts "
     "WHERE dimension = 'status'", O.ORDER_DOCS, O.LIFECYCLE, C.DIMS, C.DIM_COUNTS))
@@ -215,6 +275,33 @@ def q_hourly_stats_stream(spark, sf):
     return J.latest_per_key(J.read_batches(spark, f"{root}/out"), ["hour"]).select("hour", "count", "revenue")
 
 
+@register("hourly_late_stream", ORACLE["hourly_stats_stream"])
+def q_hourly_late_stream(spark, sf):
+    """D5 on a stream with a lateness bound of one hour, files in no order of time: closed hours, late deltas and the open
+    hours of the state add up to the whole."""
+    root = _scratch(spark, "hourly_late")
+    orders = FX.lifecycle_orders(FX.order_docs(spark, sf)).select("createdAt", "totalAmount", "kafkaOffset")
+    src = J.materialize(orders, f"{root}/source", files=6, split_col="kafkaOffset")
+    hours = H.HourlyTotals(spark, f"{root}/hours")
+    hours.run(J.read_files(spark, src, orders.schema, 2))
+    return hours.corrected()
+
+
+@register("upsert_buckets_stream", O.with_(
+    "SELECT orderId, customerId, status, totalAmount, delivery, seq, createdAt, updatedAt FROM (SELECT *, row_number() OVER "
+    "(PARTITION BY orderId ORDER BY delivery DESC, seq DESC) AS rn, min(ingestedAt) OVER (PARTITION BY orderId) AS createdAt, "
+    "ingestedAt AS updatedAt FROM deliveries) WHERE rn = 1", O.ORDER_DOCS, C.DELIVERIES))
+def q_upsert_buckets_stream(spark, sf):
+    """I7 without streaming state: micro-batches, late redeliveries among them, merged into the bucketed store."""
+    root = _scratch(spark, "upsert_buckets")
+    log = FX.deliveries(spark, sf).select("orderId", "customerId", "status", "totalAmount", "delivery", "seq", "ingestedAt")
+    J.materialize(log.filter("delivery = 2"), f"{root}/source")
+    log.filter("delivery = 1").write.mode("append").parquet(f"{root}/source")
+    store = BucketedStore(spark, f"{root}/store", ["delivery", "seq"], buckets=16)
+    upsert_stream(J.read_files(spark, f"{root}/source", log.schema), store, f"{root}/ckpt")
+    return store.read().select("orderId", "customerId", "status", "totalAmount", "delivery", "seq", "createdAt", "updatedAt")
+
+
 # ---------------------------------------------------------------------- I9
 def _feed_stream(spark, sf, root):
     feed = FD.lean_order(FX.order_events(spark, sf), keep=["kafkaOffset"])

@@ -10,6 +10,7 @@ survive lost executors or a driver restart.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -20,7 +21,7 @@ from orderflow import schemas as S
 from orderflow.operators import documents as D
 from orderflow.operators import feed as FD
 from orderflow.operators import retry as R
-from orderflow.session import list_folders, path_exists
+from orderflow.session import delete_folder, list_folders, path_exists
 
 
 # ------------------------------------------------------------------ plumbing
@@ -120,8 +121,20 @@ def last_batch_id(query) -> int:
     return int(prog["batchId"]) if prog else -1
 
 
+RECORD_KEY = ("topic", "partition", "offset")
+
+
+def each_once(stream: DataFrame, within: str = "1 hour", key: tuple[str, ...] = RECORD_KEY) -> DataFrame:
+    """Every record of a stream once, however often the source delivers it ``within`` this time of its first arrival.
+
+    A record is named by its place in the topic; the watermark is on the time of arrival here, so no record is late, and the
+    state holds the keys of the last ``within`` only."""
+    return (stream.withColumn("_arrival", F.current_timestamp()).withWatermark("_arrival", within)
+            .dropDuplicatesWithinWatermark(list(key)).drop("_arrival"))
+
+
 # ------------------------------------------------------------- I1 / I2 / I4
-OUTPUT_KINDS = ("store_log", "feed", "retries", "dead_letters")
+OUTPUT_KINDS = ("store_log", "feed", "retries", "dead_letters", "rejected")
 _REC_FIELDS = ["key", "value", "partition", "offset", "timestamp"]
 
 
@@ -140,6 +153,11 @@ class OrderStreamJob:
     of its due window, however long the job has run.  The clock of each tick
     is recorded once (``ticks``), so a replay takes the same due retries.
 
+    Records that a topic would not take (``documents.publish_outcome``: no key,
+    no lane, more than ``max_bytes``) go to ``rejected`` and count as
+    ``publishFailed``; they are not processed.  ``once_within``: records that the
+    source delivers again within this time are taken once (``each_once``).
+
     ``fails(attempt)`` is an optional extra failure predicate (a stand-in for
     the store rejecting a write); a record that does not parse always fails.
     """
@@ -152,10 +170,13 @@ class OrderStreamJob:
     fails: object = None
     ticks_per_batch: int = S.MAX_ATTEMPTS + 1
     clock: str = "logical"
+    max_bytes: int = S.MAX_RECORD_BYTES
+    once_within: str | None = None
     paths: dict = field(default_factory=dict)
 
-    _FLOW = "published long, processed long, retried long, deadLettered long"
+    _FLOW = "published long, processed long, retried long, deadLettered long, taken long, publishFailed long"
     _TICK = "now timestamp"
+    _SHORT_WINDOW = 60
     _NO_MINUTE = "none"
 
     def __post_init__(self):
@@ -168,7 +189,6 @@ class OrderStreamJob:
 
     # ---- clock: logical (deterministic, for tests and replays) or wall
     def _now(self, batch_id: int, tick: int):
-        import datetime as dt
         if self.clock == "wall":
             return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         n = batch_id * self.ticks_per_batch + tick
@@ -186,6 +206,8 @@ class OrderStreamJob:
                 rows = (self.spark.read.schema(f"{self._TICK}, tick int").option("basePath", path)
                         .parquet(path).collect())
             cache[batch_id] = {r["tick"]: r["now"] for r in rows}
+            for old in [b for b in cache if b < batch_id - 1]:  # a clock needs its own batch and the one before
+                del cache[old]
         return cache[batch_id]
 
     def _clock(self, batch_id: int, tick: int):
@@ -210,7 +232,7 @@ class OrderStreamJob:
     def output(self, kind: str) -> DataFrame | None:
         """One output kind over all batches, with ``batch_id``/``tick``;
         None before anything of that kind was written."""
-        col = {"store_log": "doc", "feed": "feed", "retries": "rec", "dead_letters": "rec"}[kind]
+        col = {"store_log": "doc", "feed": "feed"}.get(kind, "rec")
         path = self._kind_path(kind)
         if not path_exists(self.spark, path):
             return None
@@ -228,8 +250,13 @@ class OrderStreamJob:
             return None
         base = self._kind_path("retries")
         first, last = (x.strftime("%Y%m%d%H%M") for x in (prev, now))
-        paths = [f"{base}/{name}" for name in list_folders(self.spark, base)  # one listing, however long the window
-                 if name.startswith("dueMinute=") and first <= name.partition("=")[2] <= last]
+        minutes = int((now - prev).total_seconds() // 60) + 2
+        if minutes <= self._SHORT_WINDOW:  # the usual tick: the window's own minutes, nothing is listed
+            names = [f"dueMinute={(prev + dt.timedelta(minutes=k)).strftime('%Y%m%d%H%M')}" for k in range(minutes)]
+            names = [n for n in names if n <= f"dueMinute={last}" and path_exists(self.spark, f"{base}/{n}")]
+        else:  # after a long pause: one listing, however long the window
+            names = [n for n in list_folders(self.spark, base) if n.startswith("dueMinute=") and first <= n.partition("=")[2] <= last]
+        paths = [f"{base}/{n}" for n in names]
         if not paths:
             return None
         r = self.spark.read.option("basePath", base).parquet(*paths)
@@ -240,25 +267,34 @@ class OrderStreamJob:
         return r.filter(earlier & due).select("rec.*").select(*S.ENVELOPE.fieldNames(), "attempt")
 
     def process(self, batch: DataFrame, batch_id: int, tick: int = 0) -> None:
-        now_value, prev = self._clock(batch_id, tick)
-        now = F.lit(now_value).cast("timestamp")
+        now, prev = self._clock(batch_id, tick)
         work = batch.select(*S.ENVELOPE.fieldNames()).withColumn("attempt", F.lit(1))
-        due = self._due_retries(batch_id, tick, now_value, prev)
+        due = self._due_retries(batch_id, tick, now, prev)
         if due is not None:
             work = work.unionByName(due)
-        parsed = D.parse_orders(work)
-        ok = ~F.col("parseError")
+        self._handle(work, now, batch_id, tick)
+
+    def _handle(self, work: DataFrame, now_value, batch_id: int, tick: int) -> None:
+        """Every attempt of ``work`` (envelope and ``attempt``) as of one clock
+        reading: all outputs in one pass, the flow counters observed on it."""
+        now = F.lit(now_value).cast("timestamp")
+        parsed = D.publish_outcome(D.parse_orders(work), self.max_bytes)
+        # a record that the topic would not take never arrives: it is kept apart, not tried again
+        rejected = (F.col("attempt") == 1) & ~F.col("published")
+        ok = ~F.col("parseError") & ~rejected
         if self.fails is not None:
             ok = ok & ~self.fails(F.col("attempt"))
-        parsed = parsed.withColumn("ok", ok)
+        parsed = parsed.withColumns({"ok": ok, "publishFailed": rejected})
         # D19 live: counters observed on the same pass (no extra job)
         obs = Observation(f"flow-{batch_id}-{tick}")
         parsed = parsed.observe(
             obs,
-            F.count_if(F.col("attempt") == 1).alias("published"),
+            F.count_if((F.col("attempt") == 1) & ~F.col("publishFailed")).alias("published"),
             F.count_if(F.col("ok")).alias("processed"),
-            F.count_if(~F.col("ok") & (F.col("attempt") < S.MAX_ATTEMPTS)).alias("retried"),
-            F.count_if(~F.col("ok") & (F.col("attempt") >= S.MAX_ATTEMPTS)).alias("deadLettered"),
+            F.count_if(~F.col("ok") & ~F.col("publishFailed") & (F.col("attempt") < S.MAX_ATTEMPTS)).alias("retried"),
+            F.count_if(~F.col("ok") & ~F.col("publishFailed") & (F.col("attempt") >= S.MAX_ATTEMPTS)).alias("deadLettered"),
+            F.count_if(F.col("attempt") > 1).alias("taken"),
+            F.count_if(F.col("publishFailed")).alias("publishFailed"),
         )
 
         ev = lambda c: F.col("event")[c]
@@ -276,13 +312,13 @@ class OrderStreamJob:
             return F.struct(F.lit(kind).alias("kind"), minute.alias("dueMinute"), d.alias("doc"), f.alias("feed"),
                             r.alias("rec"))
 
-        ok_c, dead = F.col("ok"), route["deadLetter"]
+        ok_c, refused, dead = F.col("ok"), F.col("publishFailed"), route["deadLetter"]
         rows = F.array(
             F.when(ok_c, out("store_log", none, doc, null["feed"], null["rec"])),
             F.when(ok_c & FD.lean_ok(ev), out("feed", none, null["doc"], feed, null["rec"])),
-            F.when(~ok_c & ~dead, out("retries", F.date_format(route["dueAt"], "yyyyMMddHHmm"), null["doc"],
-                                      null["feed"], rec)),
-            F.when(~ok_c & dead, out("dead_letters", none, null["doc"], null["feed"], rec)),
+            F.when(~ok_c & ~refused & ~dead, out("retries", self._due_folder(route["dueAt"]), null["doc"], null["feed"], rec)),
+            F.when(~ok_c & ~refused & dead, out("dead_letters", none, null["doc"], null["feed"], rec)),
+            F.when(refused, out("rejected", none, null["doc"], null["feed"], rec)),
         )
         outputs = (parsed.select(F.explode(rows).alias("o")).filter(F.col("o").isNotNull()).select("o.*")
                    .withColumns({"batch_id": F.lit(batch_id), "tick": F.lit(tick)}))
@@ -290,11 +326,15 @@ class OrderStreamJob:
          .partitionBy("kind", "dueMinute", "batch_id", "tick").parquet(self.paths["out"]))
         m = obs.get
         self._last_flow = m
-        counts = tuple(int(m.get(c, 0)) for c in ("published", "processed", "retried", "deadLettered"))
+        counts = tuple(int(m.get(c, 0)) for c in ("published", "processed", "retried", "deadLettered", "taken", "publishFailed"))
         if any(counts):  # an idle tick adds nothing to the totals
             (self.spark.createDataFrame([counts], self._FLOW)
              .write.mode("overwrite").parquet(batch_folder(self.paths["flow"], batch_id, tick)))
 
+    def _due_folder(self, due_at):
+        """Folder of a retry: its due minute."""
+        return F.date_format(due_at, "yyyyMMddHHmm")
+
     def drain(self, after_batch: int) -> None:
         """Drain ticks: a micro-batch runs only when new data arrives, so
         pending retries are fed through the same function on empty batches.
@@ -311,20 +351,38 @@ class OrderStreamJob:
                 break
 
     def run(self, source: str, checkpoint: str, max_files: int | None = None) -> int:
-        stream = read_order_stream(self.spark, source, max_per_trigger=max_files)
-        q = run_available_now(stream, lambda df, bid: self.process(df, bid), checkpoint)
+        q = run_available_now(self._records(source, max_files), lambda df, bid: self.process(df, bid), checkpoint)
         last = last_batch_id(q)
         self.drain(max(last, 0))
         return last
 
+    def _records(self, source: str, max_files: int | None = None) -> DataFrame:
+        stream = read_order_stream(self.spark, source, max_per_trigger=max_files)
+        return each_once(stream, self.once_within) if self.once_within else stream
+
     # ---- read side
+    def _flow(self) -> DataFrame:
+        """Observed counts of every tick; those of cleared batches are one row, written under the last of them."""
+        schema = T.StructType.fromDDL(self._FLOW)
+        ticks, last = read_batches(self.spark, self.paths["flow"], schema), self._flow_base()
+        if last < 0:
+            return ticks.select(*schema.fieldNames())
+        rest = ticks.where(F.col("batch_id") > last) if "batch_id" in ticks.columns else ticks
+        base = self.spark.read.schema(schema).parquet(f"{self.root}/flow_base/version={last}")
+        return rest.select(*schema.fieldNames()).unionByName(base)
+
+    def _flow_base(self) -> int:
+        from orderflow.operators.store import latest_version
+        root = f"{self.root}/flow_base"
+        return latest_version(self.spark, root) if path_exists(self.spark, root) else -1
+
     def flow_counters(self) -> DataFrame:
         """D19 live: published / publish-failed / processed / dead-lettered
         totals over every tick's observed metrics."""
-        f = read_batches(self.spark, self.paths["flow"], T.StructType.fromDDL(self._FLOW))
+        f = self._flow()
         return f.agg(
             F.coalesce(F.sum("published"), F.lit(0)).cast("long").alias("published"),
-            F.lit(0).cast("long").alias("publishFailed"),
+            F.coalesce(F.sum("publishFailed"), F.lit(0)).cast("long").alias("publishFailed"),
             F.coalesce(F.sum("processed"), F.lit(0)).cast("long").alias("processed"),
             F.coalesce(F.sum("deadLettered"), F.lit(0)).cast("long").alias("deadLettered"),
         )
@@ -355,6 +413,69 @@ class OrderStreamJob:
         from orderflow.operators.store import compact_store
         return compact_store(self.spark, self._state(), f"{self.root}/snapshots", version=batch_id)
 
+    # ---- clearing
+    def horizon(self) -> int:
+        """The batch up to which nothing is needed any more: the least of the latest snapshot, the batch before the oldest
+        retry that is still to come, and the batch before the oldest dead letter that was not consumed; -1 if there is none."""
+        from orderflow.operators.store import latest_version
+        root = f"{self.root}/snapshots"
+        least = latest_version(self.spark, root) if path_exists(self.spark, root) else -1
+        flow = self._flow().agg(F.coalesce(F.sum(F.col("retried") - F.col("taken")), F.lit(0))).first()[0]
+        retries = self.output("retries")
+        if flow and retries is not None:
+            clock = read_batches(self.spark, self.paths["ticks"], T.StructType.fromDDL(self._TICK)).agg(F.max("now")).first()[0]
+            oldest = retries.where(F.col("dueAt") > F.lit(clock)).agg(F.min("batch_id")).first()[0]
+            least = min(least, least if oldest is None else oldest - 1)
+        unread = self.output("dead_letters")
+        if unread is not None:
+            seen = f"{self.dead_letter_root()}/seen"
+            if path_exists(self.spark, seen):
+                read = self.spark.read.parquet(seen).select(F.col("sourceBatch").alias("batch_id")).distinct()
+                unread = unread.join(read, "batch_id", "left_anti")
+            oldest = unread.agg(F.min("batch_id")).first()[0]
+            least = min(least, least if oldest is None else oldest - 1)
+        return least
+
+    def clear(self) -> int:
+        """Removes what the job wrote for batches up to its ``horizon`` and returns how many folders went.
+
+        The store is in the snapshot, the flow counts are kept in one row.  The clock of the horizon's own batch stays: the
+        next batch reads it.  The feed goes with its batch; who reads it must have read it by the time of the snapshot."""
+        last, spark = self.horizon(), self.spark
+        if last < 0:
+            return 0
+        gone = 0
+        batches = [b for b in _batches_of(spark, self.paths["flow"]) if b <= last]
+        if batches and last > self._flow_base():
+            schema, base = T.StructType.fromDDL(self._FLOW), self._flow_base()
+            ticks = read_batches(spark, self.paths["flow"], schema).where(F.col("batch_id") <= last).where(F.col("batch_id") > base)
+            total = ticks.select(*schema.fieldNames())
+            if base >= 0:
+                total = total.unionByName(spark.read.schema(schema).parquet(f"{self.root}/flow_base/version={base}"))
+            # from here on readers take the batches up to ``last`` from this row
+            total.agg(*(F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in schema.fieldNames())).coalesce(1).write.parquet(
+                f"{self.root}/flow_base/version={last}")
+        gone += sum(delete_folder(spark, f"{self.paths['flow']}/batch_id={b}") for b in batches)
+        gone += sum(delete_folder(spark, f"{self.root}/flow_base/{f}") for f in list_folders(spark, f"{self.root}/flow_base")
+                    if f.startswith("version=") and int(f.partition("=")[2]) < self._flow_base())
+        for kind in list_folders(spark, self.paths["out"]):
+            for minute in list_folders(spark, f"{self.paths['out']}/{kind}"):
+                folder = f"{self.paths['out']}/{kind}/{minute}"
+                batches = _batches_of(spark, folder)
+                gone += sum(delete_folder(spark, f"{folder}/batch_id={b}") for b in batches if b <= last)
+                if batches and max(batches) <= last and minute != f"dueMinute={self._NO_MINUTE}":
+                    gone += delete_folder(spark, folder)
+        gone += sum(delete_folder(spark, f"{self.paths['ticks']}/batch_id={b}") for b in _batches_of(spark, self.paths["ticks"]) if b < last)
+        root = f"{self.dead_letter_root()}/dlq_docs"
+        for b in _batches_of(spark, root):
+            newest = spark.read.parquet(f"{root}/batch_id={b}").agg(F.max("sourceBatch")).first()[0]
+            if newest is None or newest <= last:
+                gone += delete_folder(spark, f"{root}/batch_id={b}")
+        for name in list_folders(spark, f"{self.root}/snapshots"):
+            if name.startswith("version=") and int(name.partition("=")[2]) < last:
+                gone += delete_folder(spark, f"{self.root}/snapshots/{name}")
+        return gone
+
     def _state(self) -> DataFrame:
         from orderflow.operators import store as ST
         root = f"{self.root}/snapshots"
@@ -370,6 +491,10 @@ class OrderStreamJob:
         return self._state().drop("firstSeq")
 
 
+def _batches_of(spark: SparkSession, folder: str) -> list[int]:
+    return [int(f.partition("=")[2]) for f in list_folders(spark, folder) if f.startswith("batch_id=")]
+
+
 def run_dead_letters(spark: SparkSession, dead_letter_folder: str, out_root: str, checkpoint: str):
     """I4: the dead-letter consumer as its own streaming query: A5 for records
     that parse (DLQ documents, stored as of the tick that gave them up), A6
@@ -390,6 +515,7 @@ def run_dead_letters(spark: SparkSession, dead_letter_folder: str, out_root: str
             docs = stamped.select(*D.document_columns(F.col, "DLQ", F.col("dueAt"), F.col("partition"), F.col("offset"), F.col("topic")),
                                   F.col("dueAt").alias("ingestedAt"), "sourceBatch", "sourceTick")
             write_batch(docs, f"{out_root}/dlq_docs", batch_id)
+            write_batch(parsed.select("sourceBatch").distinct(), f"{out_root}/seen", batch_id)
             write_batch(D.quarantine(parsed), f"{out_root}/quarantine", batch_id)
         finally:
             parsed.unpersist()
