@@ -29,7 +29,7 @@ SEQ = ["delivery", "seq"]
 def q_merge_buckets(spark, sf):
     """A4 by buckets: all first deliveries, a hundredth of the second ones, that batch again, and the rest."""
     log = C._deliveries(spark, sf)
-    store = BucketedStore(spark, scratch_path(spark, "merge_buckets"), SEQ)
+    store = BucketedStore(spark, scratch_path(spark, "merge_buckets"), SEQ, buckets=16)
     again = log.filter("delivery = 2")
     for batch in (log.filter("delivery = 1"), again.filter("seq % 100 = 0"), again.filter("seq % 100 = 0"), again.filter("seq % 100 <> 0")):
         store.merge(batch)

@@ -231,10 +231,10 @@ class OrderStreamJob:
 
     def output(self, kind: str) -> DataFrame | None:
         """One output kind over all batches, with ``batch_id``/``tick``;
-        None before anything of that kind was written."""
+        None before anything of that kind was written, or if all of it was cleared."""
         col = {"store_log": "doc", "feed": "feed"}.get(kind, "rec")
         path = self._kind_path(kind)
-        if not path_exists(self.spark, path):
+        if not any(_batches_of(self.spark, f"{path}/{minute}") for minute in list_folders(self.spark, path)):
             return None
         return (self.spark.read.option("basePath", path).parquet(path)
                 .select(f"{col}.*", "batch_id", "tick"))
@@ -397,14 +397,17 @@ class OrderStreamJob:
         """I4 on this job's dead letters; their documents become part of ``store``."""
         return run_dead_letters(self.spark, self.dead_letter_folder(), self.dead_letter_root(), f"{self.root}/dead_letter_ckpt")
 
-    def arrivals(self, after_batch: int = -1) -> DataFrame:
+    def arrivals(self, after_batch: int = -1) -> DataFrame | None:
         """Store rows of the batches after ``after_batch``: stored orders, and
-        the documents of dead letters once they were consumed."""
-        log = self.output("store_log").filter(F.col("batch_id") > after_batch)
+        the documents of dead letters once they were consumed; None if there are none."""
+        log = self.output("store_log")
+        if log is not None:
+            log = log.filter(F.col("batch_id") > after_batch)
         folder = f"{self.dead_letter_root()}/dlq_docs"
-        if path_exists(self.spark, folder):
+        if _batches_of(self.spark, folder):
             dead = read_batches(self.spark, folder).filter(F.col("sourceBatch") > after_batch)
-            log = log.unionByName(dead.drop("batch_id").withColumnsRenamed({"sourceBatch": "batch_id", "sourceTick": "tick"}))
+            dead = dead.drop("batch_id").withColumnsRenamed({"sourceBatch": "batch_id", "sourceTick": "tick"})
+            log = dead if log is None else log.unionByName(dead)
         return log
 
     def compact(self, batch_id: int) -> str:
@@ -482,8 +485,8 @@ class OrderStreamJob:
         version = ST.latest_version(self.spark, root) if path_exists(self.spark, root) else -1
         if version < 0:
             return ST.upsert_orders(self.arrivals(), self.SEQ, keep_state=True)
-        state = self.spark.read.parquet(f"{root}/version={version}").drop("ingestedAt")
-        return ST.merge_into_store(state, self.arrivals(version), self.SEQ)
+        state, later = self.spark.read.parquet(f"{root}/version={version}").drop("ingestedAt"), self.arrivals(version)
+        return state if later is None else ST.merge_into_store(state, later, self.SEQ)
 
     def store(self) -> DataFrame:
         """The current store: last arrival per orderId, over the latest
