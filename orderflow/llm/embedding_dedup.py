@@ -22,9 +22,10 @@ from orderflow.llm.common import saved
 from orderflow.llm.components import connected_components
 
 THRESHOLD = 0.93
-#: The k-means is fitted on at most so many vectors, for at most so many cells, such that the vectors of one label come to
-#: about so many a cell. Comparing them is cheap next to moving guests, so cells aren't made smaller.
-SAMPLE, MAX_CELLS, CELL_VECTORS = 8192, 1024, 16_000
+#: The k-means is fitted on at most so many vectors; the number of cells is the cheapest of these by the sample (``choose_cells``).
+SAMPLE, CELLS = 8192, (4, 16, 64, 256, 1024)
+#: Comparing so many pairs costs as much as moving one vector.
+PAIRS_A_MOVE = 20_000
 K_MEANS_ROUNDS = 15
 #: Vectors of a block; a task compares two blocks, so many rows at a time.
 BLOCK, ROWS_AT_ONCE = 2000, 500
@@ -68,6 +69,24 @@ def cells_of(x: np.ndarray, centres: np.ndarray, threshold: float) -> tuple[np.n
     return home, [np.flatnonzero(r) for r in near]
 
 
+def choose_cells(x: np.ndarray, n: int, threshold: float) -> np.ndarray:
+    """Centres of the cheapest number of cells for ``n`` vectors of a label that are spread as the sample ``x``.
+
+    More cells compare fewer pairs and move more guests. Where vectors lie in clusters guests are few and cells small; vectors
+    that are spread evenly in many dimensions are near to every border, and the fewest cells are the cheapest."""
+    best, least = np.ones((1, x.shape[1])), np.inf
+    for k in CELLS:
+        centres = spherical_k_means(x, k)
+        home, guests = cells_of(x, centres, threshold)
+        share = np.bincount(home, minlength=len(centres)) / len(x)
+        visits = np.bincount(np.concatenate([*guests, np.zeros(0, np.int64)]).astype(np.int64), minlength=len(centres)) / len(x)
+        cost = n * (share * (share / 2 + visits)).sum() + PAIRS_A_MOVE * (1 + visits.sum())
+        if cost >= least:
+            break
+        best, least = centres, cost
+    return best
+
+
 def _forest(links: np.ndarray) -> list[tuple[int, int]]:
     """Spanning forest of a symmetric link matrix, by breadth."""
     left = links.any(axis=1)
@@ -123,22 +142,25 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     Vectors link if their labels are equal and not null and their cosine is at least ``threshold``. A vector that is
     null, empty, zero or holds null or non-finite components, or has no label, links with nothing, as do vectors of
     different lengths. ``component_id`` is the smallest id reachable by links; rows with a null id link with nothing.
-    A row that recurs with id, label and vector counts once; other columns are left out, whatever their names.
+    A row that recurs with id, label and vector counts as one vector and is returned as often as it is there; other columns are
+    left out, whatever their names.
     """
     rows = vectors.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"),
-                          F.col(vec_col).cast("array<double>").alias("vec")).distinct()
+                          F.col(vec_col).cast("array<double>").alias("vec"))
     good = (F.col("id").isNotNull() & F.col("label").isNotNull() & F.col("vec").isNotNull()
             & F.coalesce(F.forall("vec", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))), F.lit(False))
             & F.coalesce(F.exists("vec", lambda v: v != 0), F.lit(False)))
-    rows = saved(rows.withColumn("good", good), "vectors")
-    classes = saved(rows.where("good").groupBy("label", "vec").agg(
-        F.min("id").alias("rep"), F.count("*").alias("copies")), "vector_classes")
+    # a vector is named by 128 bits; vectors themselves are moved once
+    rows = saved(rows.withColumns({"good": good, "d1": F.xxhash64("vec"), "d2": F.xxhash64(F.lit(1), "vec")}), "vectors")
+    named = ["label", "d1", "d2"]
+    copies = rows.where("good").select("id", *named).distinct().groupBy(*named).agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
+    classes = saved(rows.where("good").groupBy(*named).agg(F.first("vec").alias("vec")).join(copies.hint("merge"), named), "vector_classes")
 
     sizes = classes.groupBy("label", F.size("vec").alias("size")).count().orderBy(F.desc("count"), "size", "label").limit(1).collect()
     width, n = (sizes[0]["size"], sizes[0]["count"]) if sizes else (1, 0)
     sample = classes.where(F.size("vec") == width).orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("vec").collect()
-    centres = spherical_k_means(unit_rows([r["vec"] for r in sample]), max(1, min(MAX_CELLS, -(-n // CELL_VECTORS)))) if sample else np.ones((1, 1))
-    shared = classes.sparkSession.sparkContext.broadcast(centres)  # at most MAX_CELLS rows
+    centres = choose_cells(unit_rows([r["vec"] for r in sample]), n, threshold) if sample else np.ones((1, 1))
+    shared = classes.sparkSession.sparkContext.broadcast(centres)  # at most CELLS[-1] rows
 
     out = T.StructType([*classes.schema.fields, T.StructField("cells", T.ArrayType(T.IntegerType()))])
 
@@ -171,12 +193,13 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
 
     links = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     parts = connected_components(found.where("b is not null").select("a", "b"), "vector_components")
-    described = saved(classes.join(links, "rep", "left").join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
-        F.col("label").alias("_label"), F.col("vec").alias("_vec"), "rep",
+    described = saved(classes.drop("vec").join(links, "rep", "left").join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
+        F.col("label").alias("_label"), F.col("d1").alias("_d1"), F.col("d2").alias("_d2"), "rep",
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
         F.coalesce("component", "rep").alias("component")), "vector_results")
     # a class may hold a third of all rows; both sides are plain reads, so that Spark can split a hot key here
-    joined = rows.join(described, rows["good"] & (rows["label"] == described["_label"]) & (rows["vec"] == described["_vec"]), "left")
+    joined = rows.drop("vec").join(described, F.col("good") & (F.col("label") == F.col("_label")) & (F.col("d1") == F.col("_d1"))
+                                   & (F.col("d2") == F.col("_d2")), "left")
     component = F.coalesce("component", "id")
     return joined.select(F.col("id").alias(id_col), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
                          component.alias("component_id"), (F.col("id").isNull() | (F.col("id") == component)).alias("kept"))
@@ -184,5 +207,5 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
 
 def representatives(vectors: DataFrame, id_col: str = "vec_id", **options) -> DataFrame:
     """``vectors`` with one row of each group kept; all columns stay."""
-    kept = near_duplicates(vectors, id_col=id_col, **options).where("kept").select(F.col(id_col).alias("_kept"))
-    return vectors.join(kept.distinct(), vectors[id_col].eqNullSafe(F.col("_kept")), "left_semi")
+    kept = near_duplicates(vectors, id_col=id_col, **options).where("kept").select(F.col(id_col).alias("_kept")).distinct()
+    return vectors.join(kept, vectors[id_col].eqNullSafe(kept["_kept"]), "left_semi")

@@ -35,7 +35,7 @@ def case(seed, n, dims=6, groups=9):
 
 @pytest.mark.parametrize(("seed", "n", "block"), [(1, 300, 1000), (2, 400, 16), (3, 300, 3)])
 def test_same_as_brute_force(llm_spark, monkeypatch, seed, n, block):
-    monkeypatch.setattr(E, "CELL_VECTORS", 25)  # several cells
+    monkeypatch.setattr(E, "CELLS", (12,))
     rows = case(seed, n)
     got = {r["vec_id"]: tuple(r)[1:] for r in E.near_duplicates(llm_spark.createDataFrame(rows, SCHEMA), block=block).collect()}
     assert got == brute(rows)
@@ -51,6 +51,25 @@ def test_every_near_pair_meets_once_in_a_cell():
         assert min(homes[a], homes[b]) in both and len(both) == 1
 
 
+def test_cells_follow_the_data():
+    """Clustered vectors get many cells, evenly spread ones the fewest."""
+    rng = np.random.default_rng(6)
+    middle = rng.normal(size=(300, 24))
+    clustered = E.unit_rows(list(middle[rng.integers(300, size=3000)] + rng.normal(size=(3000, 24)) * 0.03))
+    even = E.unit_rows(list(rng.normal(size=(3000, 24))))
+    assert len(E.choose_cells(clustered, 10_000_000, 0.93)) >= 64
+    assert len(E.choose_cells(even, 10_000, 0.93)) == 4
+    assert len(E.choose_cells(even[:1], 1, 0.93)) == 1
+
+
+def test_one_row_for_each_row(llm_spark):
+    rows = [(1, [1.0, 2.0], 1, "c")] * 3 + [(2, [1.0, 2.0], 1, "c"), (3, None, 1, "c"), (3, None, 1, "c")]
+    got = sorted(tuple(r) for r in E.near_duplicates(llm_spark.createDataFrame(rows, SCHEMA)).collect())
+    assert got == [(1, 1, 1, True)] * 3 + [(2, 1, 1, False)] + [(3, 0, 3, True)] * 2
+    kept = E.representatives(llm_spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, _kept string")).collect()
+    assert sorted(r["vec_id"] for r in kept) == [1, 1, 1, 3, 3]
+
+
 def test_vectors_that_link_with_nothing(llm_spark):
     v = [1.0, 2.0]
     rows = [(1, None, 1, "c"), (2, [], 1, "c"), (3, [0.0, 0.0], 1, "c"), (4, [1.0, float("nan")], 1, "c"), (5, [1.0, None], 1, "c"),
