@@ -7,6 +7,7 @@ from pages that label their own content with ``main`` or a single ``article`` (s
 serves to fit the weights; a page is read by its descriptors and the scan, whatever labels it holds. Elements whose
 name says boilerplate (a menu, an advert within the article) are so by a prior, wherever they stand, and explain the
 words they hold; plain tags aren't blamed for words outside, since a link in a menu says nothing about one in a text.
+A name is a prior alone: where labelled regions hold much under it, page by page, it counts as content.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import by_row
+from orderflow.llm.common import by_row, saved
 
 #: HTML's elements without content, with raw content, and those that don't end a block of text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -49,6 +50,14 @@ BOILERPLATE_NAMES = frozenset(
     "overlay pagination popup promo promoted promotion related respond reply replies share sharing sidebar signup social "
     "sponsor sponsored subscribe subscription toolbar widget".split())
 BOILERPLATE_STEMS = re.compile("advert|breadcrumb|comment|cookie|newsletter|promo|sidebar|sponsor|navbar")
+#: Words beside a boilerplate word in a name that still says boilerplate (``cookie-notice-bar``); with any other word behind it
+#: the name is about something else (``share-prices``, ``notice-of-meeting``).
+STRUCTURE_NAMES = frozenset(
+    "area articles author bar block body bottom box btn button buttons card cards cell col column container content copyright count "
+    "desktop div element fixed float form global group head heading home html icon icons img inline inner input item items label layer "
+    "left link links list logo logos main media middle mobile module nav outer page panel popover popular posts primary recent region "
+    "right row secondary section site slot social space static sticky stories strip tab tabs text thread title toggle top unit units "
+    "view widgets wrap wrapper zone".split())
 #: A class or id of these says nothing of that kind: ``body.has-sidebar``, ``h1.post-header``.
 UNNAMED_TAGS = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
 #: But an article that is itself a comment or a teaser says so by such a name alone (``article.comment``, ``article#comment-7``).
@@ -56,18 +65,20 @@ ARTICLE_NAMES = BOILERPLATE_NAMES | {"teaser", "teasers"}
 ARTICLE_NAME = re.compile(r"([a-z]+)(?:[-_]+(?:\d+|item|body|card|box|block|entry|list))*")
 CONTENT_TAGS = frozenset("article main p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar toolbar".split())
+#: What a name says before any page is counted, in words; for a name of boilerplate, in words of each page that holds it within
+#: its content: labels lift such a name if it holds more there, as a menu, an advert or a notice in an article don't.
 PRIOR_WORDS = 50.0
-#: At most so many descriptors get weights of their own, the most frequent ones.
-MAX_DESCRIPTORS = 5000
+#: So many counts go to the tasks as one table, the most frequent ones; rarer descriptors meet the pages by a join.
+BROADCAST_DESCRIPTORS = 100_000
 #: Bounds of a word's weight and a tag's cost; a tag inside a labelled region costs the least.
 WORD_BOUND, TAG_BOUND, TAG_LEAST = 5.0, 2.0, 0.02
 
 TAG_REST = r"((?>[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-#: Tokens of a page, and of what svg or math hold: no element is raw there.
-TOKEN, FOREIGN_TOKEN = (re.compile(
-    rf"<!--.*?(?:--!?>|\Z)|<({raw})(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)|<xmp(?=[\s/>])[^>]*>(.*?)</xmp(?=[\s/>])[^>]*>"
+#: Tokens of a page, of one whose last xmp was closed before, and of what svg or math hold: no element is raw there.
+TOKEN, PLAIN_TOKEN, FOREIGN_TOKEN = (re.compile(
+    rf"<!--.*?(?:--!?>|\Z)|<({raw})(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)|<{xmp}(?=[\s/>])[^>]*>(.*?)</xmp(?=[\s/>])[^>]*>"
     rf"|<(/?)([a-z][^\s/>]*){TAG_REST}|<(/?)([a-z][^\s/>]*)([^>]*)>|<[!?/][^>]*>|<[!?/a-z][^>]*\Z|[^<]+|<", re.S | re.I)
-    for raw in (RAW, "(?!)"))
+    for raw, xmp in ((RAW, "xmp"), (RAW, "(?!)"), ("(?!)", "xmp")))
 PAIRED = re.compile(
     r"<!--.*?--!?>|<(script|style)(?=[\s>])[^>]*(?<!/)>.*?</\1(?=[\s/>])"
     rf"|<(/?)({'|'.join(sorted(UNSHOWN | FOREIGN, reverse=True))})(?=[\s/>]){TAG_REST}", re.S | re.I)
@@ -105,7 +116,12 @@ def is_boilerplate(descriptor: str) -> bool:
         return bool(m := ARTICLE_NAME.fullmatch(name)) and m[1] in ARTICLE_NAMES
     if tag in UNNAMED_TAGS or re.match(r"(with|has|no|without)[-_]", name):
         return False
-    return any(w in BOILERPLATE_NAMES or BOILERPLATE_STEMS.match(w) for w in re.split(r"[^a-z]+", name))
+    words = [w for w in re.split(r"[^a-z]+", name) if w]
+    said = [w in BOILERPLATE_NAMES or bool(BOILERPLATE_STEMS.match(w)) for w in words]
+    if True not in said:
+        return False
+    last = len(said) - 1 - said[::-1].index(True)  # English puts what a thing is last
+    return all(w in STRUCTURE_NAMES for w in words[last + 1:])
 
 
 def prior(descriptor: str) -> tuple[float, float]:
@@ -129,60 +145,72 @@ def _unclosed(page: str) -> set[int]:
     return {i for starts in found.values() for i in starts}
 
 
-def parse(page: str) -> Iterator[tuple[str, str, list[tuple[str, tuple[str, ...]]]]]:
-    """(kind, value, open elements): kind is ``text`` or ``tag``; the list is live and holds (tag, descriptors)."""
-    stack: list[tuple[str, tuple[str, ...]]] = []
+def parse(page: str) -> Iterator[tuple[str, object]]:
+    """Events of a page: ("text", text), ("tag", name) for every tag, ("open", (name, descriptors)) and ("close", how many).
+
+    Work is in proportion to the page, whatever its depth: elements that are open are counted by name."""
+    stack: list[str] = []
+    opened: Counter = Counter()
     unclosed = _unclosed(page)
-    at, foreign = 0, -1  # foreign: place on the stack of the innermost svg or math
-    while m := (TOKEN if foreign < 0 else FOREIGN_TOKEN).match(page, at):
+    at, foreign = 0, []  # foreign: places on the stack of svg and math
+    last_xmp = page.lower().rfind("</xmp")
+
+    def close(i: int) -> tuple[str, int]:
+        n = len(stack) - i
+        for t in stack[i:]:
+            opened[t] -= 1
+        del stack[i:]
+        while foreign and foreign[-1] >= len(stack):
+            foreign.pop()
+        return "close", n
+
+    def place(names) -> int:
+        i = len(stack) - 1
+        while stack[i] not in names:
+            i -= 1
+        return i
+
+    while m := (FOREIGN_TOKEN if foreign else TOKEN if at <= last_xmp else PLAIN_TOKEN).match(page, at):
         raw, at = m[0], m.end()
         tag = (m[4] or m[7] or "").lower()
         if raw[0] != "<" or raw == "<":
-            yield "text", html.unescape(raw), stack
+            yield "text", html.unescape(raw)
         elif m[2] is not None:
-            yield "tag", "xmp", stack
-            stack.append(("xmp", ("xmp",)))
-            yield "text", m[2], stack
-            stack.pop()
-            yield "tag", "xmp", stack
+            yield "tag", "xmp"
+            yield "open", ("xmp", ("xmp",))
+            yield "text", m[2]
+            yield "close", 1
+            yield "tag", "xmp"
         elif not tag:
             continue
         elif m[3] or m[6]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
-            if foreign >= len(stack):
-                foreign = _foreign(stack)
-            yield "tag", tag, stack
+            if opened[tag]:
+                yield close(place((tag,)))
+            yield "tag", tag
         else:
-            if foreign >= 0 and tag in BLOCKS and not any(t in EMBEDS_BLOCKS for t, _ in stack[foreign:]):
-                del stack[foreign:]
-                foreign = _foreign(stack)
+            if foreign and tag in BLOCKS and not any(t in EMBEDS_BLOCKS for t in stack[foreign[-1]:]):
+                yield close(foreign[-1])
             drop = SIBLINGS.get(tag, CLOSED_BY_BLOCK if tag not in INLINE and tag not in VOID else ())
             if tag == "body":
                 drop = {"head"}
-            if foreign >= 0:
+            if foreign:
                 drop = ()
-            while stack and stack[-1][0] in drop or drop == CLOSED_BY_BLOCK and any(t in drop for t, _ in stack):
-                i = len(stack) - 1 if stack[-1][0] in drop else max(i for i, (t, _) in enumerate(stack) if t in drop)
-                del stack[i:]
-            yield "tag", tag, stack
-            attributes = m[5] or m[8] or ""
-            empty = raw.endswith("/>") and (foreign >= 0 or tag in FOREIGN) or m.start() in unclosed
+            while stack and stack[-1] in drop or drop is CLOSED_BY_BLOCK and opened["p"]:
+                yield close(place(drop))
+            yield "tag", tag
+            empty = raw.endswith("/>") and (foreign or tag in FOREIGN) or m.start() in unclosed
             if tag not in VOID and not empty:
                 if tag in FOREIGN:
-                    foreign = len(stack)
-                stack.append((tag, descriptors(tag, attributes)))
-
-
-def _foreign(stack: list) -> int:
-    return max((i for i, (t, _) in enumerate(stack) if t in FOREIGN), default=-1)
+                    foreign.append(len(stack))
+                stack.append(tag)
+                opened[tag] += 1
+                yield "open", (tag, descriptors(tag, m[5] or m[8] or ""))
 
 
-def _held(stack: list | tuple) -> list[str]:
-    """Descriptors of the open elements."""
-    return [d for tag, ds in stack for d in ds if not (tag in UNNAMED_TAGS and d[0] == "#")]
+def _own(element: tuple[str, tuple[str, ...]]) -> list[str]:
+    """Descriptors of an element that count; the id of a page's own parts says nothing."""
+    tag, found = element
+    return [d for d in found if not (tag in UNNAMED_TAGS and d[0] == "#")]
 
 
 def label_of(words: Counter) -> tuple[bool, int] | None:
@@ -199,37 +227,77 @@ def label_of(words: Counter) -> tuple[bool, int] | None:
     return (True, 0) if inner else None
 
 
+def _places(page: str) -> tuple[list[tuple[bool, int]], Counter]:
+    """For each text and tag of a page whether it is within ``main`` and in which outermost article (from 1, in order), and
+    the words outside named boilerplate by such places."""
+    places, words, articles = [], Counter(), 0
+    stack = [(False, 0, False)]  # within main, article, within boilerplate
+    for kind, value in parse(page):
+        if kind == "open":
+            main, article, blamed = stack[-1]
+            if value[0] == "article" and not article:
+                articles += 1
+                article = articles
+            stack.append((main or value[0] == "main", article, blamed or any(map(is_boilerplate, _own(value)))))
+        elif kind == "close":
+            del stack[-value:]
+        else:
+            places.append(stack[-1][:2])
+            if kind == "text" and not stack[-1][2] and (n := len(value.split())):
+                words[places[-1]] += n
+    return places, words
+
+
 def count_words(page: str) -> Counter:
-    """Of a page with a labelled region: words (w) and tags (t) by descriptor, inside (1) and outside (0)."""
-    memo: dict[tuple, tuple[list[str], list[str], bool]] = {}
-    events, words, articles = [], Counter(), []  # the outermost articles in order; those of equal names are apart
-    for kind, value, stack in parse(page):
-        key = tuple(stack)
-        if key not in memo:
-            held = _held(key)
-            memo[key] = held, [d for d in held if is_boilerplate(d)], any(t == "main" for t, _ in key)
-        held, blamed, main = memo[key]
-        article = next((e for e in stack if e[0] == "article"), None)
-        if article is not None and not (articles and articles[-1] is article):
-            articles.append(article)
-        n, place = len(value.split()) if kind == "text" else 0, (main, len(articles) if article is not None else 0)
-        if n and not blamed:
-            words[place] += n
-        events.append((kind, value, n, held, blamed, place))
+    """Of a page with a labelled region: words (w) and tags (t) by descriptor, inside (1) and outside (0), and whether it has a
+    descriptor that holds words inside (p).
+
+    An element hands its words to its descriptors when it closes, so a word costs nothing for each element it stands in; of
+    elements of one descriptor within each other the outermost counts."""
     found: Counter = Counter()
+    places, words = _places(page)
     label = label_of(words)
     if label is None:
         return found
-    within = [main >= label[0] and (article == label[1] or not label[1]) for *_, (main, article) in events]
+    within = [main >= label[0] and (article == label[1] or not label[1]) for main, article in places]
     name = "article" if label[1] else "main"
-    for i, (kind, value, n, held, blamed, _) in enumerate(events):
-        inside = within[i]
-        if kind == "tag":
-            own = value == name and True in within[max(0, i - 1):i + 2]
-            found["t", value, int(inside or own)] += 1
-        elif n and not (inside and blamed):
-            for d in {*held} if inside else {*(blamed or (d for d in held if d[0] in "#@" or "." in d))}:
-                found["w", d, int(inside)] += n
+    stack: list[list] = [[(), False, 0, 0, 0]]  # descriptors that aren't open yet, in boilerplate, words inside, outside, of these in boilerplate
+    opened: Counter = Counter()
+    i = -1
+
+    def close() -> None:
+        own, _, inside, outside, blamed = stack.pop()
+        for d in own:
+            opened[d] -= 1
+            if inside:
+                found["w", d, 1] += inside
+                found["p", d, 1] = 1
+            # a word in boilerplate is explained by that alone; plain tags aren't blamed
+            if n := blamed if is_boilerplate(d) else outside - blamed if d[0] in "#@" or "." in d else 0:
+                found["w", d, 0] += n
+        for k, n in ((2, inside), (3, outside), (4, blamed)):
+            stack[-1][k] += n
+
+    for kind, value in parse(page):
+        if kind == "open":
+            all_own = _own(value)
+            own = tuple(d for d in dict.fromkeys(all_own) if not opened[d])
+            opened.update(own)
+            stack.append([own, stack[-1][1] or any(map(is_boilerplate, all_own)), 0, 0, 0])
+        elif kind == "close":
+            for _ in range(value):
+                close()
+        else:
+            i += 1
+            if kind == "tag":
+                own = value == name and True in within[max(0, i - 1):i + 2]
+                found["t", value, int(within[i] or own)] += 1
+            elif n := len(value.split()):
+                stack[-1][2 if within[i] else 3] += n
+                if not within[i] and stack[-1][1]:
+                    stack[-1][4] += n
+    while len(stack) > 1:
+        close()
     return found
 
 
@@ -244,6 +312,8 @@ class Weights:
     def word(self, descriptor: str) -> float:
         if descriptor not in self._words:
             a, b = prior(descriptor)
+            if not a:  # boilerplate by name
+                b *= max(1.0, self.counts.get(("p", descriptor, 1), 0))
             a += self.counts.get(("w", descriptor, 1), 0) + 0.5
             b += self.counts.get(("w", descriptor, 0), 0) + 0.5
             self._words[descriptor] = max(-WORD_BOUND, min(WORD_BOUND, math.log(a / b)))
@@ -256,10 +326,20 @@ class Weights:
             self._tags[tag] = -max(TAG_LEAST, min(TAG_BOUND, math.log(b / a)))
         return self._tags[tag]
 
-    def path(self, held: list[str]) -> float:
-        """Weight of a word in these elements: that of the worst boilerplate element, else of the best other."""
-        each = [self.word(d) for d in held]
-        return min(each) if min(each, default=0) < 0 else max(each, default=0.5)
+    def below(self, above: tuple[float, float], element: tuple[str, tuple[str, ...]]) -> tuple[float, float]:
+        """Least and greatest weight of an element's and its ancestors' descriptors, from those of its parent."""
+        each = [self.word(d) for d in _own(element)]
+        return min([above[0], *each]), max([above[1], *each])
+
+
+#: Least and greatest weight where no element is open.
+NOWHERE = (math.inf, -math.inf)
+
+
+def weight_of(bounds: tuple[float, float]) -> float:
+    """Weight of a word: that of the worst boilerplate element it stands in, else of the best other."""
+    low, high = bounds
+    return low if low < 0 else high if high > -math.inf else 0.5
 
 
 def best_run(scores: list[float]) -> tuple[int, int]:
@@ -278,16 +358,17 @@ def extract(page: str, weights: Weights) -> str:
     """The main text of one page."""
     texts: list[str | None] = []  # a text that may be content; None: a block ends; "": neither
     scores: list[float] = []
-    memo: dict[tuple, float] = {}
-    for kind, value, stack in parse(page):
-        key = tuple(stack)
-        if key not in memo:
-            memo[key] = weights.path(_held(key))
-        weight = memo[key]
-        if kind == "tag":
+    stack = [NOWHERE]
+    for kind, value in parse(page):
+        if kind == "open":
+            stack.append(weights.below(stack[-1], value))
+        elif kind == "close":
+            del stack[-value:]
+        elif kind == "tag":
             texts.append("" if value in INLINE else None)
             scores.append(weights.tag(value))
         else:
+            weight = weight_of(stack[-1])
             texts.append(value if weight > 0 else "")
             scores.append(weight * len(value.split()) if weight > 0 else 0.0)
     start, end = best_run(scores)
@@ -302,8 +383,8 @@ def extract(page: str, weights: Weights) -> str:
     return " ".join(blocks)
 
 
-def fit_weights(pages: DataFrame, html_col: str = "html") -> Weights:
-    """Counts over all pages that label their content; without such a page the prior alone holds."""
+def count_pages(pages: DataFrame, html_col: str = "html") -> DataFrame:
+    """(what, name, n0, n1): words, tags and pages by descriptor, outside and inside, over all pages that label their content."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             total: Counter = Counter()
@@ -312,24 +393,76 @@ def fit_weights(pages: DataFrame, html_col: str = "html") -> Weights:
             yield pd.DataFrame([(*k, float(n)) for k, n in total.items()], columns=["what", "name", "inside", "n"])
 
     labelled = pages.select(F.col(html_col).alias("html")).where(F.col("html").rlike("(?i)<(article|main)[\\s>]"))
-    counts = labelled.mapInPandas(count, "what string, name string, inside int, n double").groupBy("what", "name").agg(
+    return labelled.mapInPandas(count, "what string, name string, inside int, n double").groupBy("what", "name").agg(
         *(F.sum(F.when(F.col("inside") == i, F.col("n")).otherwise(0.0)).alias(f"n{i}") for i in (0, 1)))
-    rows = counts.orderBy(F.desc(F.col("n0") + F.col("n1")), "what", "name").limit(MAX_DESCRIPTORS).collect()
+
+
+def _weights(rows) -> Weights:
     return Weights({(r["what"], r["name"], i): r[f"n{i}"] for r in rows for i in (0, 1)})
 
 
+def fit_weights(pages: DataFrame, html_col: str = "html") -> Weights:
+    """The weights by all pages that label their content; without such a page the prior alone holds. For pages of few
+    descriptors: all counts come to the driver (``extract_text`` doesn't need that)."""
+    return _weights(count_pages(pages, html_col).collect())
+
+
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
                  weights: Weights | None = None) -> DataFrame:
     """One row for each row of ``pages``: id, url, text, n_chars.
 
     A null or empty page, or one without content, has an empty text. Of runs with equal scores the first counts.
     Repeated rows are read each; an empty table gives no rows; other columns are left out, whatever their names.
-    """
-    weights = weights or fit_weights(pages, html_col)
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    The counts of ``BROADCAST_DESCRIPTORS`` descriptors, the most frequent ones, go to all tasks. If there are more, each
+    page's rarer ones are looked up by a join and come with the page, so every page is read with the same weights.
+    """
+    rare = None
+    if weights is None:
+        counts = saved(count_pages(pages, html_col), "html_counts")
+        by_name = counts.groupBy("name").agg(F.sum(F.col("n0") + F.col("n1")).alias("n"))
+        common = by_name.orderBy(F.desc("n"), "name").limit(BROADCAST_DESCRIPTORS)
+        if by_name.count() > BROADCAST_DESCRIPTORS:
+            common = saved(common, "html_common")
+            rare = counts.join(common.select(F.col("name").alias("_name")), F.col("name") == F.col("_name"), "left_anti")
+            counts = counts.join(common.select("name"), "name", "left_semi")
+        weights = _weights(counts.collect())  # at most three rows for each of BROADCAST_DESCRIPTORS
+    read = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    read = read.withColumn("own", F.lit(None).cast(_OWN)) if rare is None else _with_rare(read, rare, weights)
+
+    def extract_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = [extract(p or "", weights) for p in batch["html"]]
+            texts = []
+            for page, own in zip(batch["html"], batch["own"], strict=True):
+                mine = weights if own is None or not len(own) else Weights(
+                    weights.counts | {(r["what"], r["name"], i): r[f"n{i}"] for r in own for i in (0, 1)})
+                texts.append(extract(page or "", mine))
             yield pd.DataFrame({"id": batch["id"], "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
-    return by_row(pages, read, id_col, "url string, text string, n_chars long", url=url_col, html=html_col).withColumnRenamed("url", url_col)
+    made = by_row(read, extract_all, "id", "url string, text string, n_chars long", url="url", html="html", own="own")
+    return made.withColumnsRenamed({"url": url_col, "id": id_col})
+
+
+_OWN = "array<struct<what:string,name:string,n0:double,n1:double>>"
+
+
+def _with_rare(read: DataFrame, rare: DataFrame, weights: Weights) -> DataFrame:
+    """``read`` with each page's descriptors (and tags) that the common weights don't hold, and their counts, as ``own``."""
+    known = {name for _, name, _ in weights.counts}
+
+    def names(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for key, page in zip(batch["key"], batch["html"], strict=True):
+                mine = set()
+                for kind, value in parse(page):
+                    mine.update(_own(value) if kind == "open" else [value] if kind == "tag" else ())
+                rows += [(key, d) for d in mine - known]
+            yield pd.DataFrame(rows, columns=["key", "name"])
+
+    keyed = read.withColumn("key", F.sha2(F.coalesce("html", F.lit("")), 256))
+    held = keyed.where("html is not null").select("key", "html").mapInPandas(names, "key string, name string").distinct()
+    # names that are on few labelled pages; on others they may be frequent, and Spark's skew join splits them
+    own = saved(held.join(rare.hint("merge"), "name").groupBy(F.col("key").alias("_key")).agg(
+        F.collect_list(F.struct("what", "name", "n0", "n1")).cast(_OWN).alias("own")), "html_own")
+    return keyed.join(own.hint("merge"), F.col("key") == F.col("_key"), "left").drop("key", "_key")

@@ -1,7 +1,11 @@
 import html
 import re
+import time
+import tracemalloc
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from orderflow.llm import html_extract as H
 from orderflow.llm.common import table
@@ -103,3 +107,92 @@ def test_embedded_elements_end_where_they_end(middle, want):
     page = f"<body><article><p>one</p>{middle}<p>two</p><p>three</p></article><script>var x = a<b;</script><footer><svg><text>no</text></svg><p>foot</p></footer></body>"
     for counts in ({}, H.count_words(page)):
         assert H.extract(page, H.Weights(counts)) == " ".join(f"one {want} two three".split())
+
+
+SHARES = "<div class=share-prices><p>" + "Prices rose again in all markets today. " * 12 + "</p></div>"
+
+
+@pytest.mark.parametrize("name", ["class=related-work", "class=social-history", "class=comments-on-law", "class=form-of-government", "class=login-guide",
+                                  "class=subscription-model", "class=popup-book", "class=ad-hoc", "id=notice-of-meeting", "class=share-prices"])
+def test_names_that_only_hold_a_word_of_boilerplate(name):
+    page = f"<article><p>First words of it.</p><section {name}><p>Second words here.</p></section><p>Last words.</p></article>"
+    assert H.extract(page, H.Weights({})) == "First words of it. Second words here. Last words."
+
+
+@pytest.mark.parametrize("name", ["notice", "cookie-notice-bar", "site-header", "ad-slot", "social-links", "post-comments", "newsletter signup-box", "related-posts", "sidebar2"])
+def test_names_of_boilerplate(name):
+    page = f"<article><p>First words of it.</p><div class='{name}'><p>Second words here.</p></div><p>Last words.</p></article>"
+    assert H.extract(page, H.Weights({})) == "First words of it. Last words."
+
+
+def test_labels_overrule_names():
+    """A section of a boilerplate name that holds much of the labelled articles is content, an advert among them is not."""
+    page = ("<body><article><p>First words of it.</p><section class=notice><p>" + "The notice tells at length what the board has decided. " * 12
+            + "</p></section><div class=ad-slot><p>Buy now</p></div><p>Last words.</p></article><div class=notice-box>x</div></body>")
+    counts = Counter()
+    for _ in range(300):
+        counts.update(H.count_words(page))
+    text = H.extract(page, H.Weights(counts))
+    assert "what the board has decided" in text and "Buy now" not in text and text.startswith("First words") and text.endswith("Last words.")
+    few = Counter()
+    for _ in range(300):
+        few.update(H.count_words("<article><p>" + "word " * 50 + "</p><div class=ad-slot><p>Buy now cheap</p></div></article>"))
+    assert "Buy" not in H.extract(page, H.Weights(few))
+
+
+def plain_counts(page):
+    """``count_words`` of words by walking all open elements for each text."""
+    found, stack, texts = Counter(), [], []
+    for kind, value in H.parse(page):
+        if kind == "open":
+            stack.append(value)
+        elif kind == "close":
+            del stack[-value:]
+        else:
+            texts.append((kind, value, [e for e in stack]))
+    places, words = H._places(page)
+    label = H.label_of(words)
+    for (kind, value, path), (main, article) in zip(texts, places, strict=True):
+        inside = main >= label[0] and (article == label[1] or not label[1])
+        held = {d for e in path for d in H._own(e)}
+        blamed = {d for d in held if H.is_boilerplate(d)}
+        n = len(value.split()) if kind == "text" else 0
+        for d in held if inside else blamed or {d for d in held if d[0] in "#@" or "." in d}:
+            if n:
+                found["w", d, int(inside)] += n
+    return found
+
+
+def test_counts_equal_a_walk_over_all_open_elements(llm_spark):
+    pages = [r["html"] for r in table(llm_spark, "/root/testdata/sf0.001", "pages").collect()]
+    pages += [PAGE.replace("{open}", "<main>").replace("{close}", "</main>"), f"<article class=a><div class=a><div class=a>x y</div> z</div><p>{BODY}</article><nav class=b><div class=b>q</div></nav>"]
+    some = 0
+    for page in pages:
+        counts = H.count_words(page)
+        if counts:
+            some += 1
+            assert {k: n for k, n in counts.items() if k[0] == "w"} == plain_counts(page)
+    assert some > 50
+
+
+def test_rare_descriptors_come_by_a_join(llm_spark, monkeypatch):
+    rows = [(i, f"u{i}", f"<body><div class=box{i}><p>Side words {i} of a box that stands outside</p></div><article><p>Main words number {i} and more of them, always "
+             f"the same length of text</p><div class=in{i}>inner {i}</div></article></body>") for i in range(60)] + [(60, None, None), (0, "again", "<p>x</p>")]
+    pages = llm_spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("own", F.lit("c"))
+    want = sorted(map(tuple, H.extract_text(pages).collect()), key=str)
+    monkeypatch.setattr(H, "BROADCAST_DESCRIPTORS", 4)
+    assert sorted(map(tuple, H.extract_text(pages).collect()), key=str) == want
+    assert all("Side words" not in (r[2] or "") for r in want) and sum("Main words" in r[2] for r in want) == 60
+
+
+@pytest.mark.parametrize("page", ["<div>" * 40_000 + "x", "<div class=a>y " * 40_000, "<article>" + "<div class=a>y " * 20_000, "<xmp>" * 40_000, "<b></i>" * 40_000,
+                                  "<p>a<div>" * 20_000, "<article><main>" * 10_000 + "x", "<svg><g>" * 20_000, "<div>" * 20_000 + "</p>" * 20_000])
+def test_deep_and_unclosed_pages_take_linear_time(page):
+    began = time.time()
+    tracemalloc.start()
+    try:
+        H.extract(page, H.Weights(H.count_words(page)))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert time.time() - began < 20 and peak < 300e6  # traced, some ten times slower than without
