@@ -26,7 +26,7 @@ def java_string_hash_u32(c) -> Column:
     step exact under ANSI mode (INT arithmetic would overflow).
     """
     k = _col(c)
-    code_points = F.transform(F.sequence(F.lit(1), F.char_length(k)), lambda i: F.ascii(F.substring(k, i, 1)))
+    code_points = F.transform(F.split(k, ""), F.ascii)  # the text is walked once
 
     def step(acc, cp):
         high = F.lit(0xD800) + F.shiftright(cp - 0x10000, 10)
@@ -35,7 +35,7 @@ def java_string_hash_u32(c) -> Column:
         return F.when(cp > 0xFFFF, pair).otherwise((acc * 31 + cp) % _U32)
 
     folded = F.aggregate(code_points, F.lit(0).cast("bigint"), step)
-    # sequence(1, 0) counts down, so the empty string is handled explicitly
+    # how the empty string splits doesn't matter
     return F.when(F.char_length(k) == 0, F.lit(0).cast("bigint")).otherwise(folded)
 
 

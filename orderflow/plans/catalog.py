@@ -83,6 +83,16 @@ def _stored(spark, sf) -> DataFrame:
     return ST.scan_orders(spark, _STORES[key])
 
 
+def stored_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """The store that the lookups read."""
+    return _stored(spark, sf)
+
+
+def forget_stores() -> None:
+    """The next lookup writes its store anew."""
+    _STORES.clear()
+
+
 def _stored_lc(spark, sf) -> DataFrame:
     return FX.lifecycle_orders(_stored(spark, sf))
 

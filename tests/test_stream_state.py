@@ -193,7 +193,7 @@ def test_clearing_keeps_folders_level(spark):
         return sum(len(list_folders(spark, f"{job.paths['out']}/{k}/{m}")) for k in list_folders(spark, job.paths["out"])
                    for m in list_folders(spark, f"{job.paths['out']}/{k}")) + sum(len(list_folders(spark, job.paths[n])) for n in ("ticks", "flow"))
 
-    sizes, n, before = [], 6, -1
+    sizes, n, before = [], 4, -1
     for b in range(n):
         part = log.where(F.col("offset") % n == b)
         for j in (job, keep):
