@@ -9,6 +9,10 @@ results are written as Parquet and read again as the next stage's docs.
 3. decontamination: documents that hold a window of a benchmark item go.
 4. secret_scan: found secrets become a mark in the text; every document stays, with its new length.
 5. bpe: token counts and digests of the ids and of the decoded text.
+
+A null or empty text is not toxic, links with nothing, holds no window and no secret, and stays to the end, where it has no
+tokens. Rows with a null id stay. Rows that share an id are one document to the join: they stay or go together. Each stage
+reads whole texts, however long, and hands on every column of ``documents``, also further ones, whatever their names.
 """
 
 from __future__ import annotations
