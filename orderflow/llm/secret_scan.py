@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 import zstandard
@@ -35,10 +36,13 @@ CONTEXT_WORDS = ("password", "passwd", "passphrase", "secret", "token", "apikey"
                  "private", "bearer", "authorization", "signature", "access_key", "access key", "client_id", "pwd")
 CONTEXT = re.compile("|".join(CONTEXT_WORDS), re.I | re.A)
 CONTEXT_CHARS = 40
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+CANDIDATE_CHARS, LONG_RUN = 16, 1000
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{CANDIDATE_CHARS},}}")
+#: What a context word may be a part of.
+NAME = re.compile(r"[\w.-]+", re.A)
 #: What is assigned to a context word: quoted, or up to a space; only phrases of these words hold spaces.
 ASSIGNED = re.compile(
-    r"[\w.-]*[\"'\]]*\x20*(:?=>?|:)\x20*(?:\"((?:\\.|[^\"\\\n])+)\"|'((?:\\.|[^'\\\n])+)'|([^\s\"'`]+))", re.A)
+    r"[\"'\]]*\x20*(:?=>?|:)\x20*(?:\"((?:\\.|[^\"\\\n])+)\"|'((?:\\.|[^'\\\n])+)'|([^\s\"'`]+))", re.A)
 ASSIGNED_CHARS = 6
 PHRASE_WORDS = ("password", "passwd", "passphrase", "pwd")
 #: The lines of a private key, and the last one, however short.
@@ -94,17 +98,133 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found, key=lambda x: (x[0], x[2]))
 
 
-def _mixed(own: str) -> bool:
-    return bool(re.search("[0-9]", own) and re.search("[A-Za-z]", own))
+class _Places:
+    """Where in a text a pattern matches, to ask for the first match from a place on without scanning again."""
 
+    def __init__(self, pattern: str, text: str):
+        self.starts = [m.start() for m in re.finditer(pattern, text)]
 
-def _assigned(text: str, word: re.Match) -> tuple[int, int] | None:
-    """Where the value is that is assigned to a context word, if it can be a secret."""
-    if not (m := ASSIGNED.match(text, word.end())):
+    def within(self, start: int, end: int) -> bool:
+        i = bisect_left(self.starts, start)
+        return i < len(self.starts) and self.starts[i] < end
+
+
+class _Scan:
+    """Candidates of one text in sensitive context; every stretch of the text is walked a bounded number of times."""
+
+    def __init__(self, text: str, base: list[tuple[int, int, int]], min_share: float):
+        self.text, self.min_share = text, min_share
+        self.runs = [m.span() for m in CANDIDATE.finditer(text)]
+        self.run_starts, self.run_ends = [s for s, _ in self.runs], [e for _, e in self.runs]
+        self.digits, self.letters, self.humps = (_Places(x, text) for x in ("[0-9]", "[A-Za-z]", "[a-z](?=[A-Z])"))
+        self.words = [m.span() for m in CONTEXT.finditer(text)]
+        self.names = [m.span() for m in NAME.finditer(text)]
+        self.name_starts = [s for s, _ in self.names]
+        self.base_starts = [s for s, _, _ in base]
+        self.base_reach = list(accumulate((e for _, e, _ in base), max))
+        self.found: dict[int, tuple[int, int, int]] = {}
+        self.judged: set[tuple[int, int]] = set()
+        self.seen: set[tuple[int, int, bool]] = set()
+        self.values: dict[tuple[int, bool], tuple[int, int] | None] = {}
+        # from where and how far a candidate may start, and whether letters alone may do: in what goes on from a secret
+        self.ahead = [(e, e + CONTEXT_CHARS, True) for _, e, kind in base if kind == 0]
+
+    def mixed(self, start: int, end: int) -> bool:
+        return self.digits.within(start, end) and self.letters.within(start, end)
+
+    def in_base(self, start: int, end: int, beyond: bool = False) -> bool:
+        """Whether a string of a fixed shape overlaps; with ``beyond``, one that doesn't end within."""
+        i = bisect_left(self.base_starts, end)
+        reach = self.base_reach[i - 1] if i else 0
+        return reach >= end if beyond else reach > start
+
+    def take(self, start: int, end: int, beyond: bool = False, measured_from: int | None = None) -> None:
+        """Reports a candidate if it is novel; the context then goes on behind it."""
+        if (start, end) in self.judged or self.in_base(start, end, beyond):
+            return
+        self.judged.add((start, end))
+        if novelty(self.text, start if measured_from is None else measured_from, end) >= self.min_share and end > self.found.get(start, (0, 0, 0))[1]:
+            self.found[start] = start, end, 3
+            self.ahead.append((end, end + CONTEXT_CHARS, True))
+
+    def starting(self, at: int, most: int) -> Iterator[tuple[int, int]]:
+        """Candidates that start from ``at`` to ``most``; the rest of a run that ``at`` falls in is one, up to the next
+        context word if it is long."""
+        i = bisect_right(self.run_ends, at)
+        if i < len(self.runs) and self.runs[i][0] < at:
+            end = self.runs[i][1]
+            if end - at > LONG_RUN:
+                k = bisect_left(self.words, (at, 0))
+                end = min(end, self.words[k][0]) if k < len(self.words) else end
+            if end - at >= CANDIDATE_CHARS:
+                yield at, end
+            i += 1
+        while i < len(self.runs) and self.runs[i][0] <= most:
+            yield self.runs[i]
+            i += 1
+
+    def assigned(self, start: int, end: int) -> tuple[int, int] | None:
+        """Where the value is that is assigned to the context word at [start, end), if it can be a secret."""
+        i = bisect_right(self.name_starts, end) - 1  # the name goes on to its own end, whatever follows the word
+        at = self.names[i][1] if i >= 0 and self.names[i][1] > end else end
+        phrase = self.text[start:end].lower() in PHRASE_WORDS
+        if (at, phrase) not in self.values:
+            self.values[at, phrase] = _value(self.text, at, phrase)
+        return self.values[at, phrase]
+
+    def pieces(self, start: int, end: int) -> Iterator[tuple[int, int]]:
+        """A candidate, or of a long one what lies between the context words it holds itself."""
+        if end - start <= LONG_RUN:
+            yield start, end
+            return
+        i = bisect_left(self.words, (start, 0))
+        at = start
+        while i < len(self.words) and self.words[i][0] < end:
+            if self.words[i][0] - at >= CANDIDATE_CHARS:
+                yield at, self.words[i][0]
+            at = max(at, self.words[i][1])
+            i += 1
+        if end - at >= CANDIDATE_CHARS:
+            yield at, end
+
+    def spans(self) -> list[tuple[int, int, int]]:
+        for block in KEY_BLOCK.finditer(self.text):
+            self.ahead.append((block.start(1), block.end(1), True))
+            if last := KEY_END.search(self.text, max(block.start(1), block.end(1) - CONTEXT_CHARS * 2)):
+                if last.start(1) < block.end(1):  # too short to measure alone: together with the line before it
+                    before = self.text.rfind("\n", block.start(1), max(block.start(1), self.text.rfind("\n", 0, last.start(1))))
+                    self.take(last.start(1), last.end(1), beyond=True, measured_from=max(block.start(1), before + 1))
+        for start, end in self.words:
+            self.ahead.append((end, end + CONTEXT_CHARS, False))
+            for i in range(bisect_left(self.run_ends, start - CONTEXT_CHARS), bisect_right(self.run_ends, start)):
+                self.judge(*self.runs[i], False)
+            if value := self.assigned(start, end):
+                self.take(*value, beyond=True)
+        while self.ahead:
+            at, most, goes_on = self.ahead.pop()
+            for start, end in self.starting(at, most):
+                self.judge(start, end, goes_on)
+        spans, last = [], 0
+        for span in sorted(self.found.values()):
+            if span[1] > last:  # of a string within another only the whole one
+                spans.append(span)
+                last = span[1]
+        return spans
+
+    def judge(self, start: int, end: int, goes_on: bool) -> None:
+        if (start, end, goes_on) in self.seen:
+            return
+        self.seen.add((start, end, goes_on))
+        for s, e in self.pieces(start, end):
+            if self.mixed(s, e) or goes_on and self.humps.within(s, e - 1):
+                self.take(s, e)
+
+
+def _value(text: str, at: int, phrase: bool) -> tuple[int, int] | None:
+    if not (m := ASSIGNED.match(text, at)):
         return None
     group = next(g for g in (2, 3, 4) if m[g] is not None)
     own = m[group].rstrip(",;.()[]{}<>") if group == 4 else m[group]
-    phrase = word[0].lower() in PHRASE_WORDS
     if len(own) < ASSIGNED_CHARS or not phrase and re.search(r"\s", own):
         return None
     if not (phrase and "=" in m[1]) and not re.search(r"[^\W\d_]", own) or not phrase and not re.search(r"[^A-Za-z_.-]", own):
@@ -116,52 +236,13 @@ def novel_spans(text: str, base: list[tuple[int, int, int]], min_share: float =
     """Candidates in sensitive context, apart from ``base``, that the primed compressor can't shorten.
 
     A candidate that was found, or an assignment of ``base``, is context for those after it. An assigned value may
-    go on where a string of ``base`` ends.
+    go on where a string of ``base`` ends. Of a candidate of more than ``LONG_RUN`` characters the parts between the
+    context words within it are measured.
     """
     low = text.lower()
     if not any(w in low for w in CONTEXT_WORDS):
         return []
-    found: dict[int, tuple[int, int, int]] = {}
-    judged: dict[tuple[int, int], bool] = {}
-
-    def take(start: int, end: int, beyond: bool = False) -> None:
-        """Reports a candidate if it is novel; the context then goes on behind it."""
-        if any(s < end and start < e and not (beyond and e < end) for s, e, _ in base) or (start, end) in judged:
-            return
-        judged[start, end] = novel = novelty(text, start, end) >= min_share
-        if novel and end > found.get(start, (0, 0, 0))[1]:
-            found[start] = start, end, 3
-            ahead.append((end, end + CONTEXT_CHARS, True))
-
-    runs = [m.span() for m in CANDIDATE.finditer(text)]
-    ends = [e for _, e in runs]
-    # from where, how far a candidate may start, and whether letters alone may do: in what goes on from a secret
-    ahead = [(e, e + CONTEXT_CHARS, True) for _, e, kind in base if kind == 0]
-    for block in KEY_BLOCK.finditer(text):
-        ahead.append((block.start(1), block.end(1), True))
-        if last := KEY_END.search(text, max(block.start(1), block.end(1) - CONTEXT_CHARS * 2)):
-            if last.start(1) < block.end(1) and not any(s <= last.start(1) < e for s, e, _ in base):
-                found[last.start(1)] = last.start(1), last.end(1), 3
-    for word in CONTEXT.finditer(text):
-        ahead.append((word.end(), word.end() + CONTEXT_CHARS, False))
-        for i in range(bisect_left(ends, word.start() - CONTEXT_CHARS), bisect_right(ends, word.start())):
-            if _mixed(text[slice(*runs[i])]):
-                take(*runs[i])
-        if value := _assigned(text, word):
-            take(*value, beyond=True)
-    while ahead:
-        at, most, goes_on = ahead.pop()
-        for m in CANDIDATE.finditer(text, at):
-            if m.start() > most:
-                break
-            if _mixed(m[0]) or goes_on and re.search("[a-z][A-Z]", m[0]):
-                take(m.start(), m.end())
-    spans, last = [], 0
-    for span in sorted(found.values()):
-        if span[1] > last:  # of a string within another only the whole one
-            spans.append(span)
-            last = span[1]
-    return spans
+    return _Scan(text, base, min_share).spans()
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
