@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderflow.llm.common import by_row
+from orderflow.llm.common import by_row, saved
 
 #: Bytes to words: A-Z to lower case, other ASCII but a-z and 0-9 to a space, bytes of other characters as they are.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -143,7 +143,11 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, n: int = 10, text_col
 
     A row is judged by its text alone: a null text is clean, and repeated rows go or stay together.
     """
+    shared = None
     for table in _tables(benchmark, n, item_col, item_text_col, block_chars):
+        if shared is not None:  # a worker holds one block's table: what a block left is written before the next one
+            docs = saved(docs, "decontamination_block")
+            shared.unpersist()
         shared = docs.sparkSession.sparkContext.broadcast(table)
         docs = docs.where(_is_clean(shared)(F.col(text_col)))
     return docs
