@@ -76,9 +76,8 @@ def token_counts(urls: DataFrame, url_col: str, rules: Iterable[UrlRule]) -> dic
         f"substr(`{url_col}`, instr(`{url_col}`, '://') + 3)"), "?", 1), "#", 1), "/")
     host = F.transform(F.split(F.lower(F.get(rest, F.lit(0))), r"\."), lambda x: F.concat(F.lit("h:"), x))
     path = F.transform(F.slice(rest, 2, F.greatest(F.size(rest), F.lit(1))), lambda x: F.concat(F.lit("p:"), x))
-    tokens = urls.where(F.col(url_col).contains("://")).select(F.explode(F.concat(host, path)).alias("token"))
-    names = urls.sparkSession.createDataFrame([(t,) for t in wanted], "token string")
-    counted = tokens.join(names, "token").groupBy("token").count()  # as many rows as the rules have tokens
+    own = F.filter(F.concat(host, path), lambda t: t.isin(wanted))  # a task sends a count for each token of the rules, no more
+    counted = urls.where(F.col(url_col).contains("://")).select(F.explode(own).alias("token")).groupBy("token").count()
     return dict.fromkeys(wanted, 0) | {r["token"]: r["count"] for r in counted.collect()}
 
 
