@@ -12,6 +12,7 @@ The model is fitted on at most ``max_labelled`` labelled documents, the first by
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -26,7 +27,8 @@ from orderflow.llm.common import by_row, saved
 from orderflow.llm.decontaminate import words_of
 from orderflow.llm.jaccard_join import shingle_sets
 
-#: Bounds of the fit: labelled documents, features to choose from, and features with a weight.
+#: Bounds of the fit: labelled documents, features to choose from, and features with a weight. A feature is chosen only if it
+#: serves a hundredth of the toxic documents that still lack some, so far fewer than ``MAX_FEATURES`` are (some 60 on the test tables).
 MAX_LABELLED = 20_000
 MAX_CANDIDATES, MAX_FEATURES = 4096, 512
 #: Word beginnings that are features too, in characters; they carry a stem to endings no labelled document has.
@@ -38,6 +40,8 @@ EXPLAINED_BY, MIN_SHARE = 12, 0.01
 #: Documents of this expected severity and more are toxic.
 MIN_SEVERITY = 0.5
 ROUNDS, RIDGE = 1500, 1e-5
+#: Words that a worker keeps in memory with what they add.
+MAX_SEEN = 500_000
 
 
 def features(text: str | None) -> dict[str, int]:
@@ -58,11 +62,28 @@ class OrdinalModel:
 
     weights: dict[str, float] = field(default_factory=dict)
     thresholds: tuple[float, ...] = ()
+    _seen: dict[bytes, tuple[str, ...]] = field(default_factory=dict, repr=False, compare=False)
 
     def linear(self, counts: dict[str, int]) -> float:
         get = self.weights.get
         return sum(w * np.log1p(n) for f, n in counts.items() if (w := get(f)))
 
+    def counts(self, text: str | None) -> dict[str, int]:
+        """``features`` of a text, those with a weight alone. What a word adds is looked up once for each worker."""
+        found: dict[str, int] = {}
+        seen, weights = self._seen, self.weights
+        for raw, n in Counter(words_of((text or "").lower())).items():
+            own = seen.get(raw)
+            if own is None:
+                word = raw.decode("utf-8", "replace")
+                own = tuple(f for f in (word, *(f"{word[:k]}*" for k in STEMS if len(word) > k)) if f in weights)
+                if len(seen) >= MAX_SEEN:
+                    seen.clear()
+                seen[raw] = own
+            for f in own:
+                found[f] = found.get(f, 0) + n
+        return found
+
     def at_least(self, linear: float) -> list[float]:
         """P(grade >= k) for k from 1."""
         return [float(1 / (1 + np.exp(min(700.0, t - linear)))) for t in self.thresholds]
@@ -119,7 +140,8 @@ def choose(held: list[set[int]], n: int, least: int) -> list[int]:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id",
         label_col: str = "toxic", max_labelled: int = MAX_LABELLED) -> OrdinalModel:
-    """The model of at most ``max_labelled`` labelled documents; near copies count once.
+    """The model of at most ``max_labelled`` labelled documents; documents of the same set of shingles count once, with the
+    text and label of the one of the smallest id.
 
     Null labels and texts are left out. Without toxic or without clean examples, or without a feature that tells them
     apart, the model has no thresholds and every severity is 0.
@@ -132,11 +154,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = texts.join(F.broadcast(chosen), F.col("_id") == F.col("id")).select("id", "text", "toxic")
 
     def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:  # near copies mostly have the same least shingle; they count once
-            yield batch.assign(key=[int(s[0]) if len(s) else 0 for s in shingle_sets(batch["text"].tolist())])
+        for batch in batches:  # texts of the same shingles count once
+            yield batch.assign(key=[hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() for s in shingle_sets(batch["text"].tolist())])
 
-    sample = sample.mapInPandas(keyed, T.StructType([*sample.schema.fields, T.StructField("key", T.LongType())])).groupBy("key").agg(
-        F.min_by("text", "id").alias("text"), F.max("toxic").alias("toxic"))
+    # of each such text one row, with its own label
+    row = F.struct(F.col("id").alias("_id"), "toxic", "text")
+    sample = sample.mapInPandas(keyed, T.StructType([*sample.schema.fields, T.StructField("key", T.StringType())])).groupBy("key").agg(
+        F.min(row).alias("row")).select("row.text", "row.toxic")
     sample = saved(sample.select("text", "toxic"), "toxicity_sample")
     seen = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n0, n1 = seen.get(0, 0), seen.get(1, 0)
@@ -194,7 +218,7 @@ def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col
         for batch in batches:
             rows = []
             for text in batch["text"]:
-                least = model.at_least(model.linear(features(text)))
+                least = model.at_least(model.linear(model.counts(text)))
                 exact = [a - b for a, b in zip([1.0, *least], [*least, 0.0], strict=True)]
                 severity = round(sum(least), 6)
                 rows.append((severity, int(np.argmax(exact)), severity >= min_severity))
@@ -208,7 +232,7 @@ def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col
 def reject_toxic(docs: DataFrame, model: OrdinalModel, text_col: str = "text", min_severity: float = MIN_SEVERITY) -> DataFrame:
     """``docs`` without toxic rows; all columns stay, a null text too."""
     def severity(texts: pd.Series) -> pd.Series:
-        return pd.Series([sum(model.at_least(model.linear(features(t)))) for t in texts], dtype=float)
+        return pd.Series([sum(model.at_least(model.linear(model.counts(t)))) for t in texts], dtype=float)
 
     severity.__annotations__ = {"texts": pd.Series, "return": pd.Series}
     return docs.where(F.pandas_udf(severity, T.DoubleType())(F.col(text_col)) < min_severity)

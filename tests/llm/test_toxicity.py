@@ -66,3 +66,49 @@ def test_nulls_empty_texts_one_class_and_empty_tables(llm_spark):
     assert X.score(docs.limit(0), model).count() == 0
     assert X.fit(docs.limit(0), labels).thresholds == ()
     assert X.reject_toxic(docs, X.OrdinalModel()).count() == 84
+
+
+def plain_severity(model, text):
+    """The expected severity by the formula, over all features of the text."""
+    z = sum(model.weights[f] * np.log(1 + n) for f, n in X.features(text).items() if f in model.weights)
+    return sum(1 / (1 + np.exp(t - z)) for t in model.thresholds)
+
+
+def test_scores_equal_the_formula(llm_spark):
+    model = X.OrdinalModel({"bad": 1.5, "gru*": 0.7, "grum*": 0.2, "über*": 2.0, "worse": 3.0}, (1.0, 2.5))
+    texts = [None, "", "bad bad grumpf gru GRUMPY", "überall übel worse", "fine", "bad " * 50, "Bad! grumpf-worse"]
+    got = X.score(llm_spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    for r in got:
+        want = plain_severity(model, texts[r["doc_id"]])
+        assert abs(r["severity"] - want) < 1e-6 and r["toxic"] == (want >= X.MIN_SEVERITY)
+    for text in texts:  # counting what the model knows alone, whatever was seen before
+        assert model.counts(text) == {f: n for f, n in X.features(text).items() if f in model.weights}
+
+
+def test_fit_is_the_least_of_a_grid():
+    """The fitted weight and thresholds against every point of a grid of the penalised log-likelihood."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 4, 400).astype(float)
+    grades = np.clip(np.digitize(1.3 * x + rng.logistic(size=400), [1.5, 4.0]), 0, 2)
+
+    def loss(w, a, b):
+        below = 1 / (1 + np.exp(np.stack([w * x - a, w * x - b])))
+        edges = np.concatenate((np.zeros((1, 400)), below, np.ones((1, 400))))
+        mass = edges[grades + 1, np.arange(400)] - edges[grades, np.arange(400)]
+        return -np.log(np.maximum(mass, 1e-12)).mean() + X.RIDGE / 2 * w * w
+
+    weights, limits = X.fit_ordinal([{0: v} if v else {} for v in x], grades, 1)
+    fitted = loss(weights[0], *limits)
+    grid = [loss(w, a, a + g) for w in np.arange(0, 3, 0.1) for a in np.arange(-1, 4, 0.1) for g in np.arange(0.2, 5, 0.2)]
+    assert fitted <= min(grid) + 1e-6
+
+
+def test_texts_of_the_same_shingles_count_once_with_their_own_label(llm_spark):
+    """Documents that share a passage are documents of their own; a clean text isn't fitted as toxic for it."""
+    head = "this same long head stands before every text of the source and goes on for a while "
+    rows = [(i, head + ("fine words " * 3 + f"clean {i}" if i % 3 else f"grumpf snorx grumpf toxic {i}"), int(i % 3 == 0)) for i in range(120)]
+    docs = llm_spark.createDataFrame([(i, t) for i, t, _ in rows] + [(900 + k, rows[0][1]) for k in range(50)], "doc_id long, text string")
+    labels = llm_spark.createDataFrame([(i, x) for i, _, x in rows] + [(900 + k, 0) for k in range(50)], "doc_id long, toxic int")
+    model = X.fit(docs, labels)
+    got = {r["doc_id"]: r["toxic"] for r in X.score(docs, model).collect()}
+    assert all(got[i] == bool(x) for i, _, x in rows)
