@@ -86,6 +86,13 @@ ATTRIBUTE = re.compile(r"([a-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))
 
 
 def descriptors(tag: str, attributes: str) -> tuple[str, ...]:
+    """Tag, ``tag.class``, ``#id`` and ``@role`` of an element."""
+    if not attributes:
+        return (tag,)
+    return _short_descriptors(tag, attributes) if len(attributes) <= 200 else _descriptors(tag, attributes)
+
+
+def _descriptors(tag: str, attributes: str) -> tuple[str, ...]:
     found = [tag]
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
@@ -102,6 +109,9 @@ def descriptors(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(found)
 
 
+_short_descriptors = lru_cache(20_000)(_descriptors)
+
+
 @lru_cache(100_000)
 def is_boilerplate(descriptor: str) -> bool:
     """Whether the name alone says so."""
@@ -210,7 +220,7 @@ def parse(page: str) -> Iterator[tuple[str, object]]:
 def _own(element: tuple[str, tuple[str, ...]]) -> list[str]:
     """Descriptors of an element that count; the id of a page's own parts says nothing."""
     tag, found = element
-    return [d for d in found if not (tag in UNNAMED_TAGS and d[0] == "#")]
+    return [d for d in found if not (tag in UNNAMED_TAGS and d[0] == "#")] if len(found) > 1 else list(found)
 
 
 def label_of(words: Counter) -> tuple[bool, int] | None:
@@ -227,12 +237,12 @@ def label_of(words: Counter) -> tuple[bool, int] | None:
     return (True, 0) if inner else None
 
 
-def _places(page: str) -> tuple[list[tuple[bool, int]], Counter]:
-    """For each text and tag of a page whether it is within ``main`` and in which outermost article (from 1, in order), and
+def _places(events: list[tuple[str, object]]) -> tuple[list[tuple[bool, int]], Counter]:
+    """For each text and tag of a parsed page whether it is within ``main`` and in which outermost article (from 1, in order), and
     the words outside named boilerplate by such places."""
     places, words, articles = [], Counter(), 0
     stack = [(False, 0, False)]  # within main, article, within boilerplate
-    for kind, value in parse(page):
+    for kind, value in events:
         if kind == "open":
             main, article, blamed = stack[-1]
             if value[0] == "article" and not article:
@@ -255,7 +265,8 @@ def count_words(page: str) -> Counter:
     An element hands its words to its descriptors when it closes, so a word costs nothing for each element it stands in; of
     elements of one descriptor within each other the outermost counts."""
     found: Counter = Counter()
-    places, words = _places(page)
+    events = list(parse(page))
+    places, words = _places(events)
     label = label_of(words)
     if label is None:
         return found
@@ -278,7 +289,7 @@ def count_words(page: str) -> Counter:
         for k, n in ((2, inside), (3, outside), (4, blamed)):
             stack[-1][k] += n
 
-    for kind, value in parse(page):
+    for kind, value in events:
         if kind == "open":
             all_own = _own(value)
             own = tuple(d for d in dict.fromkeys(all_own) if not opened[d])

@@ -244,14 +244,14 @@ def periodic_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def with_planted_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with a tenth of the texts, chosen by a checksum of the id, made periodic from some word on.
+    """(id, text) of ``docs`` with a tenth of the texts, chosen by a checksum of the id, made periodic from some word on.
 
     With h = crc32(decimal id) and g = h // 10: where h is divisible by 10, each word i >= a becomes word a + (i - a) % p,
     a = g % n, p = 1 + (n - a) // (3 + g % 8). Texts without words and rows without an id stay as they are.
     """
     h = F.crc32(F.col(id_col).cast("string").cast("binary"))
     words = F.filter(F.split(F.col(text_col), r"[\x20\x09-\x0D]+", -1), lambda w: w != "")
-    planted = docs.withColumn("_w", F.when((h % 10 == 0) & F.col(text_col).isNotNull(), words)).withColumn(
+    planted = docs.select(id_col, text_col).withColumn("_w", F.when((h % 10 == 0) & F.col(text_col).isNotNull(), words)).withColumn(
         "_g", F.floor(h / 10)).withColumn("_n", F.size("_w"))
     n, g = F.col("_n"), F.col("_g")
     a = F.when(n > 0, g % n)

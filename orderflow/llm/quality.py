@@ -28,7 +28,7 @@ MAX_LABELLED = 6_000
 BUCKETS, DIM = 1 << 17, 8
 #: Characters of the n-grams.
 GRAMS = (2, 3, 4)
-EPOCHS, SHARDS, RATE = 5, 4, 0.5
+EPOCHS, SHARDS, RATE = 5, 8, 0.5
 #: A score of so much and more predicts label 1.
 MIN_SCORE = 0.3
 #: Labels whose id has the checksum 0 modulo this are held out.
@@ -165,7 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             found = Features.of(batch["text"].tolist()).shares()
             yield pd.DataFrame({"place": batch["place"], "label": batch["label"], "buckets": [b for b, _ in found], "shares": [s for _, s in found]})
 
-    sample = saved(sample.mapInPandas(read, "place long, label int, buckets array<int>, shares array<double>").withColumn(
+    sample = saved(sample.mapInPandas(read, "place long, label int, buckets array<int>, shares array<float>").withColumn(
         "shard", F.pmod("place", F.lit(SHARDS)).cast("int")), "quality_sample")
     model = new_model()
     for step in range(EPOCHS):

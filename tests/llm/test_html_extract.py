@@ -150,7 +150,7 @@ def plain_counts(page):
             del stack[-value:]
         else:
             texts.append((kind, value, [e for e in stack]))
-    places, words = H._places(page)
+    places, words = H._places(list(H.parse(page)))
     label = H.label_of(words)
     for (kind, value, path), (main, article) in zip(texts, places, strict=True):
         inside = main >= label[0] and (article == label[1] or not label[1])

@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import pytest
 from llm_brute import sha
+from pyspark.sql import functions as F
 
 from orderflow.llm import periodic_runs as P
 
@@ -122,7 +123,7 @@ def test_rows_equal_brute_force(llm_spark):
     rows = [(i, t, "x") for i, t in enumerate(texts)]
     rows += [(1000, None, None), (1001, "", "y"), (1002, " \t\n ", None), (5, texts[5], "z"), (None, "a b " * 30, None),
              (1003, "é é  b\x0bc\r\nd " * 9, "w"), (1004, "a " * 5, "q"), (1005, "a " * 6, "q")]
-    docs = llm_spark.createDataFrame(rows, "doc_id long, text string, runs string")
+    docs = llm_spark.createDataFrame(rows, "doc_id long, text string, _w string").withColumn("runs", F.lit(1))
     got = P.digest(P.periodic_runs(P.with_planted_runs(docs))).collect()
     want = [brute_row(i, t) for i, t, _ in rows]
     key = lambda r: (r[0] is not None, r[0] or 0, r[1:2])
