@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 # Settings every job relies on.  They are applied with ``setdefault`` semantics
@@ -81,18 +81,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Sends this package to the executors, once a session: the Python workers of stateful processors import it."""
-    context = spark.sparkContext
-    if getattr(context, "_orderflow_shipped", False):
-        return
-    package = Path(__file__).resolve().parent
-    archive = f"{tempfile.mkdtemp(prefix='orderflow-')}/orderflow_package.zip"  # code alone; served by the driver
-    with zipfile.ZipFile(archive, "w") as z:
-        for path in sorted(package.rglob("*.py")):
-            z.write(path, path.relative_to(package.parent))
-    context.addPyFile(archive)
-    context._orderflow_shipped = True
+def prepare_processors(spark: SparkSession, module: str) -> None:
+    """What the stateful processors of ``module`` need.
+
+    Their Python workers, one of them beside the driver, need not find this package: the module's classes are sent by value.
+    The state store must have column families. Spark's default store has none, so it is replaced for the session's new queries;
+    a query that runs on keeps the store of its checkpoint."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    if "RocksDB" not in spark.conf.get(provider, ""):
+        spark.conf.set(provider, SESSION_DEFAULTS[provider])
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:

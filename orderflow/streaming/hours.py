@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from orderflow.session import ship_package
+from orderflow.session import prepare_processors
 from orderflow.streaming import jobs as J
 
 HOUR_MS = 3_600_000
@@ -81,7 +81,7 @@ class OpenHours(StatefulProcessor):
 
 def hours_with_late(orders: DataFrame, ts_col: str = "createdAt", delay: str = "1 hour") -> DataFrame:
     """Of a stream of orders: totals of hours as they close, and deltas of hours that were closed before (``kind``)."""
-    ship_package(orders.sparkSession)
+    prepare_processors(orders.sparkSession, __name__)
     ts = F.col(ts_col).cast("timestamp")
     seen = orders.withColumn("_ts", ts).where("_ts is not null").withWatermark("_ts", delay).select(
         F.unix_millis(F.date_trunc("hour", F.col("_ts"))).alias("hourStart"),

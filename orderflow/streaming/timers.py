@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from orderflow import schemas as S
-from orderflow.session import path_exists, ship_package
+from orderflow.session import path_exists, prepare_processors
 from orderflow.streaming import jobs as J
 
 PENDING = T.StructType([*S.ENVELOPE.fields, T.StructField("attempt", T.IntegerType()), T.StructField("dueAt", T.TimestampType())])
@@ -57,7 +57,7 @@ class HoldUntilDue(StatefulProcessor):
 
 def hold_until_due(retries: DataFrame) -> DataFrame:
     """``retries`` (a stream of ``PENDING`` rows), each once its time has come."""
-    ship_package(retries.sparkSession)
+    prepare_processors(retries.sparkSession, __name__)
     return retries.select(*PENDING.fieldNames()).groupBy(*KEY).transformWithState(
         statefulProcessor=HoldUntilDue(), outputStructType=PENDING, outputMode="Append", timeMode="ProcessingTime")
 
