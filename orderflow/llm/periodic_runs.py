@@ -13,7 +13,7 @@ its first half, and its copy p words further. So
    smallest period counts. A catcher whose whole square lies in a known run of a period up to m is left out: there p is a
    multiple of that period.
 
-Runs that are reported are compared word by word over their length, so a clash of hashes can't show. Work is O(n log n),
+Runs that are reported are compared word by word over their length: a clash of hashes reports nothing false. Work is O(n log n),
 memory O(n) for a stream of n words. Documents of a batch are dealt to streams by length; between them stands a word of its
 own that equals no other, so no run crosses it.
 """
