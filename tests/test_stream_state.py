@@ -1,13 +1,17 @@
 """Timers, counters in the state, lateness, repeated records, clearing."""
 import datetime as dt
+import os
+import subprocess
+import sys
 import time
 from decimal import Decimal
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from orderflow.operators import metrics as M
-from orderflow.session import list_folders, scratch_path
+from orderflow.session import list_folders, prepare_processors, scratch_path
 from orderflow.sources import fixtures as FX
 from orderflow.streaming import counters as CT
 from orderflow.streaming import hours as H
@@ -79,6 +83,16 @@ def test_timers_wait_and_survive_a_restart(spark, log, ticked):
     assert both.count() == taken.count() > 0 and both.where("ingestedAt < dueAt").count() == 0
 
 
+@pytest.mark.parametrize(("module", "name"), [(TM, "HoldUntilDue"), (H, "OpenHours")])
+def test_processors_run_where_the_package_is_not(spark, tmp_path, module, name):
+    prepare_processors(spark, module.__name__)
+    sent = cloudpickle.dumps(getattr(module, name)())
+    code = "import pickle, sys; p = pickle.loads(sys.stdin.buffer.read()); print(type(p).__name__, 'orderflow' in sys.modules)"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], input=sent, capture_output=True, cwd=tmp_path, env=env, check=False)
+    assert done.stdout.decode().split() == [name, "False"], done.stderr.decode()
+
+
 def test_what_a_topic_would_not_take(spark):
     rows = [("k", "{}", "orders.placed", 1, 1, dt.datetime(2024, 1, 1)), (None, "{}", "orders.placed", 1, 2, dt.datetime(2024, 1, 1)),
             ("k", "{" + "x" * 100, "orders.placed", 1, 3, dt.datetime(2024, 1, 1)), ("k", "{}", "orders.placed", None, 4, None)]
