@@ -115,6 +115,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
+def any_path(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path fits a glob pattern."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p))
+
+
 def delete_folder(spark: SparkSession, path: str) -> bool:
     """Removes a folder of this library's own and all in it; whether it was there."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

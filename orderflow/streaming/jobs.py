@@ -21,7 +21,7 @@ from orderflow import schemas as S
 from orderflow.operators import documents as D
 from orderflow.operators import feed as FD
 from orderflow.operators import retry as R
-from orderflow.session import delete_folder, list_folders, path_exists
+from orderflow.session import any_path, delete_folder, list_folders, path_exists
 
 
 # ------------------------------------------------------------------ plumbing
@@ -100,6 +100,12 @@ def read_batches(spark: SparkSession, root: str, schema: T.StructType | None = N
     was written yet)."""
     if not path_exists(spark, root):
         if schema is None:
+def one_row(spark: SparkSession, schema: str, values) -> DataFrame:
+    """A table of one row in one partition, made without a Python worker."""
+    fields = T.StructType.fromDDL(schema).fields
+    return spark.range(0, 1, 1, 1).select(*(F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(fields, values, strict=True)))
+
+
             raise FileNotFoundError(root)
         return spark.createDataFrame([], schema)
     r = spark.read
@@ -217,8 +223,7 @@ class OrderStreamJob:
         now = mine.get(tick)
         if now is None:
             now = self._now(batch_id, tick)
-            (self.spark.createDataFrame([(now,)], self._TICK).write.mode("overwrite")
-             .parquet(batch_folder(self.paths["ticks"], batch_id, tick)))
+            write_batch(one_row(self.spark, self._TICK, [now]), self.paths["ticks"], batch_id, tick)
             mine[tick] = now
         earlier = [n for t, n in mine.items() if t < tick]
         if not earlier:
@@ -234,7 +239,7 @@ class OrderStreamJob:
         None before anything of that kind was written, or if all of it was cleared."""
         col = {"store_log": "doc", "feed": "feed"}.get(kind, "rec")
         path = self._kind_path(kind)
-        if not any(_batches_of(self.spark, f"{path}/{minute}") for minute in list_folders(self.spark, path)):
+        if not any_path(self.spark, f"{path}/dueMinute=*/batch_id=*"):
             return None
         return (self.spark.read.option("basePath", path).parquet(path)
                 .select(f"{col}.*", "batch_id", "tick"))
@@ -328,8 +333,7 @@ class OrderStreamJob:
         self._last_flow = m
         counts = tuple(int(m.get(c, 0)) for c in ("published", "processed", "retried", "deadLettered", "taken", "publishFailed"))
         if any(counts):  # an idle tick adds nothing to the totals
-            (self.spark.createDataFrame([counts], self._FLOW)
-             .write.mode("overwrite").parquet(batch_folder(self.paths["flow"], batch_id, tick)))
+            write_batch(one_row(self.spark, self._FLOW, counts), self.paths["flow"], batch_id, tick)
 
     def _due_folder(self, due_at):
         """Folder of a retry: its due minute."""
@@ -404,7 +408,7 @@ class OrderStreamJob:
         if log is not None:
             log = log.filter(F.col("batch_id") > after_batch)
         folder = f"{self.dead_letter_root()}/dlq_docs"
-        if _batches_of(self.spark, folder):
+        if any_path(self.spark, f"{folder}/batch_id=*"):
             dead = read_batches(self.spark, folder).filter(F.col("sourceBatch") > after_batch)
             dead = dead.drop("batch_id").withColumnsRenamed({"sourceBatch": "batch_id", "sourceTick": "tick"})
             log = dead if log is None else log.unionByName(dead)

@@ -1,14 +1,15 @@
 """Delayed retries by timers (I1, I2): keyed state instead of drain ticks.
 
 The order job writes a failed record, with the time its next attempt is due, to its retry topic.  A second query reads that
-topic: each record is one row of keyed state with a processing-time timer; when the timer fires the record leaves the state
-and goes through the same attempt as any other, and a further failure is one more record of the retry topic.  Nothing is
-listed by due time, and pending records survive a restart in the checkpoint.  The state holds one row a pending record.
+topic: each record is one row of keyed state, and those due at one time share the timers of ``SHARDS`` keys, so the number of
+calls to the state does not grow with the records; when a timer fires its records leave the state and go through the same
+attempt as any other, and a further failure is one more record of the retry topic.  Nothing is listed by due time, and pending
+records survive a restart in the checkpoint.  The state holds one row a pending record.
 """
 
 from __future__ import annotations
 
-import datetime as dt
+import itertools
 import time
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,31 +25,37 @@ from orderflow.streaming import jobs as J
 
 PENDING = T.StructType([*S.ENVELOPE.fields, T.StructField("attempt", T.IntegerType()), T.StructField("dueAt", T.TimestampType())])
 KEY = ["topic", "partition", "offset", "attempt"]
-
-
-def _millis(due: dt.datetime) -> int:
-    """Epoch milliseconds of a session timestamp (UTC by definition here), rounded up."""
-    aware = due if due.tzinfo else due.astimezone()
-    return -int(-aware.timestamp() * 1000 // 1)
+#: Keys that the records due at one time are dealt to by a hash: a key holds this share of one micro-batch's failures.
+SHARDS = 1024
+#: Records that go to the state in one call.
+CHUNK = 1000
+#: State stores for each task that can run at once.
+STORES_PER_SLOT = 3
+#: Megabytes of the retry topic in a micro-batch, for each task that can run at once.
+SLOT_MB = 32
 
 
 class HoldUntilDue(StatefulProcessor):
-    """Keeps the one record of a key until its ``dueAt``, then sends it on."""
+    """Keeps the records of a key (due time in epoch milliseconds, shard) until that time, then sends them on."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._record = handle.getValueState("record", PENDING)
+        self._records = handle.getListState("records", PENDING)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        for row in rows:  # a record that is delivered again replaces itself: the same timer
-            self._record.update(tuple(row[c] for c in PENDING.fieldNames()))
-            self._handle.registerTimer(_millis(row["dueAt"]))
+        chunk = [tuple(row[c] for c in PENDING.fieldNames()) for row in itertools.islice(rows, CHUNK)]
+        while chunk:
+            self._records.appendList(chunk)
+            chunk = [tuple(row[c] for c in PENDING.fieldNames()) for row in itertools.islice(rows, CHUNK)]
+        self._handle.registerTimer(key[0])
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        record = self._record.get()
-        if record is not None:
-            self._record.clear()
+        at = [PENDING.fieldNames().index(c) for c in KEY]
+        # a record that was delivered again replaces itself
+        records = {tuple(r[i] for i in at): r for r in self._records.get()}
+        self._records.clear()
+        for record in records.values():
             yield Row(**dict(zip(PENDING.fieldNames(), record, strict=True)))
 
     def close(self) -> None:
@@ -58,7 +65,9 @@ class HoldUntilDue(StatefulProcessor):
 def hold_until_due(retries: DataFrame) -> DataFrame:
     """``retries`` (a stream of ``PENDING`` rows), each once its time has come."""
     prepare_processors(retries.sparkSession, __name__)
-    return retries.select(*PENDING.fieldNames()).groupBy(*KEY).transformWithState(
+    dealt = retries.select(F.ceil(F.unix_micros("dueAt") / 1000).alias("dueMillis"), F.pmod(F.xxhash64(*KEY), F.lit(SHARDS)).alias("shard"),
+                           *PENDING.fieldNames())
+    return dealt.groupBy("dueMillis", "shard").transformWithState(
         statefulProcessor=HoldUntilDue(), outputStructType=PENDING, outputMode="Append", timeMode="ProcessingTime")
 
 
@@ -77,11 +86,14 @@ class TimedOrderJob(J.OrderStreamJob):
     def __post_init__(self):
         super().__post_init__()
         self.ticks_per_batch = 2
+        self._taken: dict[int, int] = {}
 
     def process(self, batch: DataFrame, batch_id: int, tick: int = 0) -> None:
         now, _ = self._clock(batch_id, tick)
         work = batch if tick else batch.withColumn("attempt", F.lit(1))
         self._handle(work.select(*S.ENVELOPE.fieldNames(), "attempt"), now, batch_id, tick)
+        if tick:
+            self._taken = {batch_id: int(self._last_flow.get("taken", 0))}
 
     def _due_folder(self, due_at):
         return F.lit(self._NO_MINUTE)
@@ -92,7 +104,9 @@ class TimedOrderJob(J.OrderStreamJob):
         path = self._kind_path("retries")
         if not path_exists(self.spark, path):  # a topic is there before its first record
             self.spark.createDataFrame([], schema).write.mode("append").parquet(path)
-        return J.read_files(self.spark, path, schema).select("rec.*")
+        # by size: an attempt's tasks leave many small files
+        size = (SLOT_MB << 20) * self.spark.sparkContext.defaultParallelism
+        return self.spark.readStream.schema(schema).option("maxBytesPerTrigger", size).parquet(path).select("rec.*")
 
     def _beat(self) -> DataFrame:
         """A stream without rows whose source always has new offsets: after a restart Spark runs no batch, and so no timer,
@@ -103,13 +117,28 @@ class TimedOrderJob(J.OrderStreamJob):
     def start_retries(self, checkpoint: str):
         """The retry query, until it is stopped."""
         due = hold_until_due(self.retry_topic().unionByName(self._beat()))
-        return (due.writeStream.foreachBatch(lambda df, bid: self.process(df, bid, self.RETRY_TICK)).outputMode("append")
-                .option("checkpointLocation", checkpoint).trigger(processingTime=self.poll).start())
+        # a state store and a Python worker for each shuffle partition and micro-batch: a few for each task slot, however many
+        # the session has (a checkpoint keeps the number it began with)
+        conf, name = self.spark.conf, "spark.sql.shuffle.partitions"
+        kept = conf.get(name)
+        conf.set(name, str(min(int(kept), STORES_PER_SLOT * self.spark.sparkContext.defaultParallelism)))
+        try:
+            return (due.writeStream.foreachBatch(lambda df, bid: self.process(df, bid, self.RETRY_TICK)).outputMode("append")
+                    .option("checkpointLocation", checkpoint).trigger(processingTime=self.poll).start())
+        finally:
+            conf.set(name, kept)
 
     def pending(self) -> int:
         """Retries that were routed and not yet taken, by the recorded flow."""
         return int(self._flow().agg(F.coalesce(F.sum(F.col("retried") - F.col("taken")), F.lit(0))).first()[0])
 
+    def _idle(self, progress) -> bool:
+        """Whether a micro-batch took nothing from the retry topic or the state and left nothing in the state: a record that came
+        twice was routed twice and is taken once, so the flow alone would wait for it."""
+        read = sum(int(s["numInputRows"]) for s in progress["sources"] if s["description"].startswith("FileStreamSource"))
+        taken = self._taken.get(progress["batchId"], 1)
+        return not read and not taken and not any(int(o["numRowsTotal"]) for o in progress["stateOperators"])
+
     def run(self, source: str, checkpoint: str, max_files: int | None = None, timeout: float = 600) -> int:
         """Everything available in ``source`` and all its retries, then stop."""
         q = J.run_available_now(self._records(source, max_files), lambda df, bid: self.process(df, bid), checkpoint)
@@ -120,13 +149,20 @@ class TimedOrderJob(J.OrderStreamJob):
         """The retry query until nothing is pending; a record due later than ``timeout`` seconds from now is left for the next run."""
         if not self.pending():
             return
-        q, until = self.start_retries(checkpoint), time.monotonic() + timeout
+        q, until, seen, died = self.start_retries(checkpoint), time.monotonic() + timeout, None, False
         try:
-            while self.pending() and time.monotonic() < until:
-                if not q.isActive:
+            while time.monotonic() < until:
+                if died := not q.isActive:
                     break
-                time.sleep(0.5)
+                last = q.lastProgress
+                if last and last["batchId"] != seen:  # counted once a micro-batch
+                    seen = last["batchId"]
+                    if self._idle(last) or not self.pending():
+                        break
+                time.sleep(0.1)
         finally:
             q.stop()
         if q.exception():
             raise q.exception()
+        if died:
+            raise RuntimeError("the retry query ended with retries still to come")
