@@ -1,17 +1,18 @@
 """The order store: append log + current view (A4), scan (A7), retention.
 
 There is no MERGE-capable table format on the classpath, so the store is an
-append-only Parquet log and the current state is derived from it: one aggregate
-by ``orderId`` keeps the newest arrival and the first one's sequence (each map
-task sends one row per order, so an order that is redelivered millions of times
-costs one row per map task).
+append-only Parquet log and the current state is derived from it: the newest
+arrival per ``orderId`` by a limited window (each map task sends one row per
+order, so an order that is redelivered millions of times costs one row per map
+task; columns that nobody asks for are not read), and the first arrival's
+sequence, where it is asked for, by a narrow aggregate.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderflow import schemas as S
@@ -28,6 +29,14 @@ def document_id(key: str, seq: Column, seq_cols: list[str]) -> Column:
     return F.substring(F.sha2(F.concat_ws(":", F.col(key), *[seq[c].cast("string") for c in seq_cols]), 256), 1, 24)
 
 
+def newest_orders(log: DataFrame, seq_cols: list[str], key: str = "orderId", ingested_col: str = "ingestedAt") -> DataFrame:
+    """The last arrival of each key, its arrival time as ``updatedAt``; nothing of first arrivals."""
+    newest = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in seq_cols])
+    data_cols = [c for c in log.columns if c not in (key, ingested_col, "id", "createdAt", "updatedAt", *STATE_COLS)]
+    return log.withColumn("_n", F.row_number().over(newest)).filter(F.col("_n") == 1).select(
+        key, *data_cols, F.col(ingested_col).alias("updatedAt"))
+
+
 def upsert_orders(log: DataFrame, seq_cols: list[str], key: str = "orderId",
                   ingested_col: str = "ingestedAt", keep_state: bool = False) -> DataFrame:
     """Current document per key: full replace by the **last arrival**.
@@ -42,13 +51,13 @@ def upsert_orders(log: DataFrame, seq_cols: list[str], key: str = "orderId",
     if "firstSeq" in log.columns:
         first = F.coalesce(F.col("firstSeq"), first)
         created = F.coalesce(F.col("createdAt"), created)
-    data_cols = [c for c in log.columns if c not in (key, ingested_col, "id", "createdAt", "updatedAt", *STATE_COLS)]
-    # one pass and one shuffle: each map task sends one row an order, its newest version with the first arrival
-    newest = F.struct(*[F.col(c) for c in data_cols], F.col(ingested_col).alias("updatedAt"))
-    out = log.groupBy(key).agg(F.max_by(newest, sequence(seq_cols)).alias("_newest"), F.min(first).alias("firstSeq"),
-                               F.min(created).alias("createdAt")).select(key, "_newest.*", "firstSeq", "createdAt")
-    return out.withColumn("id", document_id(key, F.col("firstSeq"), seq_cols)).select(
-        "id", key, *data_cols, "createdAt", "updatedAt", *(STATE_COLS if keep_state else []))
+    current = newest_orders(log, seq_cols, key, ingested_col)
+    # the first arrival: narrow columns only
+    began = log.select(F.col(key).alias("_key"), first.alias("_first"), created.alias("_created")).groupBy("_key").agg(
+        F.min("_first").alias("firstSeq"), F.min("_created").alias("createdAt"))
+    out = current.join(began, current[key].eqNullSafe(began["_key"])).withColumn("id", document_id(key, F.col("firstSeq"), seq_cols))
+    data_cols = [c for c in current.columns if c not in (key, "updatedAt")]
+    return out.select("id", key, *data_cols, "createdAt", "updatedAt", *(STATE_COLS if keep_state else []))
 
 
 def merge_into_store(state: DataFrame, batch: DataFrame, seq_cols: list[str], key: str = "orderId",

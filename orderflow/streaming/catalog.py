@@ -113,7 +113,8 @@ def q_process_orders_stream(spark, sf):
 
 def _attempts_stored(job: J.OrderStreamJob) -> DataFrame:
     retry_no = F.regexp_extract("kafkaTopic", r"-retry-(\d+)$", 1)
-    return job.store().filter(F.col("processingStatus") == "SUCCESS").select(
+    stored = job.store(["orderId", "kafkaTopic", "kafkaOffset", "processingStatus"])
+    return stored.filter(F.col("processingStatus") == "SUCCESS").select(
         "orderId", "kafkaTopic", "kafkaOffset", "processingStatus",
         F.when(retry_no == "", F.lit(1)).otherwise(retry_no.cast("int") + 2).cast("int").alias("attempt"))
 
@@ -152,8 +153,8 @@ def q_dead_letter_stream(spark, sf):
 @register("stored_dlq_orders", C.ORACLE["dead_letter_sink"])
 def q_stored_dlq_orders(spark, sf):
     """B22 on the job's own store: dead letters are stored beside the orders."""
-    return L.by_processing_status(run_order_job(spark, sf).store(), "DLQ").select(
-        "orderId", "retryCount", "lastError", "processingStatus", "kafkaTopic", "kafkaPartition", "kafkaOffset")
+    columns = ["orderId", "retryCount", "lastError", "processingStatus", "kafkaTopic", "kafkaPartition", "kafkaOffset"]
+    return L.by_processing_status(run_order_job(spark, sf).store(columns), "DLQ")
 
 
 STORED = """stored AS (
@@ -164,7 +165,7 @@ UNION ALL SELECT customerTier, totalAmount, 'DLQ' FROM order_docs WHERE kafkaOff
 @register("stored_report", O.with_(C.store_report_sql("stored"), O.ORDER_DOCS, O.ITEMS, C.TOPIC_LOG, C.ATTEMPTS, STORED))
 def q_stored_report(spark, sf):
     """D14 on the job's own store."""
-    r = M.store_report(run_order_job(spark, sf).store())
+    r = M.store_report(run_order_job(spark, sf).store(["customerTier", "totalAmount", "processingStatus"]))
     return r.withColumn("tierDistribution", F.to_json("tierDistribution"))
 
 

@@ -483,19 +483,34 @@ class OrderStreamJob:
                 gone += delete_folder(spark, f"{self.root}/snapshots/{name}")
         return gone
 
-    def _state(self) -> DataFrame:
+    def _parts(self) -> tuple[DataFrame | None, DataFrame | None]:
+        """The latest snapshot and the arrivals after it, None for what is not there."""
         from orderflow.operators import store as ST
         root = f"{self.root}/snapshots"
         version = ST.latest_version(self.spark, root) if path_exists(self.spark, root) else -1
-        if version < 0:
-            return ST.upsert_orders(self.arrivals(), self.SEQ, keep_state=True)
-        state, later = self.spark.read.parquet(f"{root}/version={version}").drop("ingestedAt"), self.arrivals(version)
+        state = self.spark.read.parquet(f"{root}/version={version}").drop("ingestedAt") if version >= 0 else None
+        return state, self.arrivals(version)
+
+    def _state(self) -> DataFrame:
+        from orderflow.operators import store as ST
+        state, later = self._parts()
+        if state is None:
+            return ST.upsert_orders(later, self.SEQ, keep_state=True)
         return state if later is None else ST.merge_into_store(state, later, self.SEQ)
 
-    def store(self) -> DataFrame:
+    def store(self, columns: list[str] | None = None) -> DataFrame:
         """The current store: last arrival per orderId, over the latest
-        snapshot and the batches after it."""
-        return self._state().drop("firstSeq")
+        snapshot and the batches after it.  With ``columns`` only these are read
+        and shuffled, and first arrivals only if ``id`` or ``createdAt`` is one of them."""
+        from orderflow.operators import store as ST
+        if columns is None or {"id", "createdAt"} & set(columns):
+            whole = self._state().drop("firstSeq")
+            return whole if columns is None else whole.select(*columns)
+        state, later = self._parts()
+        if state is not None:
+            earlier = state.withColumnRenamed("updatedAt", "ingestedAt")
+            later = earlier if later is None else earlier.unionByName(later, allowMissingColumns=True)
+        return ST.newest_orders(later, self.SEQ).select(*columns)
 
 
 def _batches_of(spark: SparkSession, folder: str) -> list[int]:
