@@ -1,8 +1,8 @@
 """Registered streaming queries.
 
 Each entry materialises its Spark-derived input as a file source, runs the
-streaming query with ``trigger(availableNow=True)`` (as many files a
-micro-batch as there are task slots) and returns the sink's contents, so the
+streaming query with ``trigger(availableNow=True)`` (a few files a
+micro-batch for each task slot) and returns the sink's contents, so the
 batch SQL of the same operator is its oracle.  The order job is run once for
 all entries that look at its outputs.
 """
