@@ -132,12 +132,10 @@ def q_retry_timers_stream(spark, sf):
 def q_feed_once_stream(spark, sf):
     """A8 on a source that delivers each record twice: the feed has it once."""
     root = _scratch(spark, "feed_once")
-    log = FX.topic_log(spark, sf)
-    src = J.materialize(log, f"{root}/source")
-    log.write.mode("append").parquet(src)
-    parsed = D.parse_orders(J.each_once(J.read_order_stream(spark, src)))
-    lean = FD.lean_order(D.flatten_event(parsed.filter(~F.col("parseError"))))
-    J.run_available_now(lean, lambda df, bid: J.write_batch(df, f"{root}/out", bid), f"{root}/ckpt")
+    src = _topic_source(spark, sf, root)
+    spark.read.parquet(src).write.mode("append").parquet(src)
+    feed = J.feed_once(J.read_order_stream(spark, src))
+    J.run_available_now(feed, lambda df, bid: J.write_batch(df, f"{root}/out", bid), f"{root}/ckpt")
     return J.read_batches(spark, f"{root}/out").drop("batch_id")
 
 

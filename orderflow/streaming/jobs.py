@@ -100,17 +100,17 @@ def write_batch(df: DataFrame, root: str, batch_id: int, tick: int | None = None
     df.write.mode("overwrite").parquet(batch_folder(root, batch_id, tick))
 
 
-def read_batches(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
-    """All batch folders under ``root`` (empty, with ``schema``, when nothing
-    was written yet)."""
-    if not path_exists(spark, root):
-        if schema is None:
 def one_row(spark: SparkSession, schema: str, values) -> DataFrame:
     """A table of one row in one partition, made without a Python worker."""
     fields = T.StructType.fromDDL(schema).fields
     return spark.range(0, 1, 1, 1).select(*(F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(fields, values, strict=True)))
 
 
+def read_batches(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
+    """All batch folders under ``root`` (empty, with ``schema``, when nothing
+    was written yet)."""
+    if not path_exists(spark, root):
+        if schema is None:
             raise FileNotFoundError(root)
         return spark.createDataFrame([], schema)
     r = spark.read
@@ -144,6 +144,16 @@ def each_once(stream: DataFrame, within: str = "1 hour", key: tuple[str, ...] =
             .dropDuplicatesWithinWatermark(list(key)).drop("_arrival"))
 
 
+def feed_once(stream: DataFrame, within: str = "1 hour") -> DataFrame:
+    """A8 on a source that may deliver records again: the lean feed of every record that parses, each record once.
+
+    The lean row goes through the shuffle that finds repeated records, not the record's text.  A record is judged after that:
+    one that doesn't parse counts as delivered too."""
+    ev = lambda c: F.col("event")[c]
+    lean = D.parse_orders(stream).select(*RECORD_KEY, (~F.col("parseError") & FD.lean_ok(ev)).alias("_ok"), F.struct(*FD.lean_columns(ev)).alias("_feed"))
+    return each_once(lean, within).filter("_ok").select("_feed.*")
+
+
 # ------------------------------------------------------------- I1 / I2 / I4
 OUTPUT_KINDS = ("store_log", "feed", "retries", "dead_letters", "rejected")
 _REC_FIELDS = ["key", "value", "partition", "offset", "timestamp"]
