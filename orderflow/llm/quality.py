@@ -160,31 +160,43 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = texts.join(F.broadcast(chosen), F.col("_id") == F.col("id")).groupBy("id").agg(
         F.min("text").alias("text"), F.min("label").alias("label")).select(F.xxhash64("id").alias("place"), "text", "label")
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = Features.of(batch["text"].tolist()).shares()
-            yield pd.DataFrame({"place": batch["place"], "label": batch["label"], "buckets": [b for b, _ in found], "shares": [s for _, s in found]})
-
-    sample = saved(sample.mapInPandas(read, "place long, label int, buckets array<int>, shares array<float>").withColumn(
-        "shard", F.pmod("place", F.lit(SHARDS)).cast("int")), "quality_sample")
+    shards = saved(_shards(sample), "quality_sample")
     model = new_model()
     for step in range(EPOCHS):
-        model = _round(sample, model, RATE * (1 - step / EPOCHS), step)
+        model = _round(shards, model, RATE * (1 - step / EPOCHS), step)
     return model
 
 
-def _round(sample: DataFrame, model: QualityModel, rate: float, step: int) -> QualityModel:
-    """The average, weighted by documents, of the models that the shards make from ``model`` in one epoch."""
-    shared = sample.sparkSession.sparkContext.broadcast(model)
-
-    def train(group: pd.DataFrame) -> pd.DataFrame:
+def _shards(sample: DataFrame) -> DataFrame:
+    """A row for each shard of ``sample`` (place, text, label): the labels, buckets and shares of its documents, at most
+    ``MAX_LABELLED`` in all, in order of place and label.  Texts are shuffled once; no round shuffles features."""
+    def read(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["place", "label"])
-        rows = [(np.asarray(b, np.int64), np.asarray(s, float)) for b, s in zip(group["buckets"], group["shares"], strict=True)]
-        made = epoch(shared.value, rows, group["label"].to_numpy(), rate, step)
-        return pd.DataFrame({"shard": [int(group["shard"].iloc[0])], "n": [len(group)], "vectors": [made.vectors.astype(np.float32).tobytes()],
-                             "output": [made.output.tobytes()]})
+        found = Features.of(group["text"].tolist()).shares()
+        return pd.DataFrame({"shard": [int(group["shard"].iloc[0])], "labels": [group["label"].to_numpy(np.int8).tobytes()],
+                             "sizes": [np.array([len(b) for b, _ in found], np.int64).tobytes()],
+                             "buckets": [np.concatenate([b for b, _ in found]).astype(np.int32).tobytes()],
+                             "shares": [np.concatenate([s for _, s in found]).astype(np.float32).tobytes()]})
+
+    dealt = sample.withColumn("shard", F.pmod("place", F.lit(SHARDS)).cast("int"))
+    return dealt.groupBy("shard").applyInPandas(read, "shard int, labels binary, sizes binary, buckets binary, shares binary")
 
-    parts = sorted(sample.groupBy("shard").applyInPandas(train, "shard int, n long, vectors binary, output binary").collect())  # a model a shard
+
+def _round(shards: DataFrame, model: QualityModel, rate: float, step: int) -> QualityModel:
+    """The average, weighted by documents, of the models that the shards make from ``model`` in one epoch."""
+    shared = shards.sparkSession.sparkContext.broadcast(model)
+
+    def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for shard in batch.itertuples(index=False):
+                labels, ends = np.frombuffer(shard.labels, np.int8), np.cumsum(np.frombuffer(shard.sizes, np.int64))[:-1]
+                buckets, shares = np.frombuffer(shard.buckets, np.int32), np.frombuffer(shard.shares, np.float32)
+                rows = [(b.astype(np.int64), s.astype(float)) for b, s in zip(np.split(buckets, ends), np.split(shares, ends), strict=True)]
+                made = epoch(shared.value, rows, labels, rate, step)
+                yield pd.DataFrame({"shard": [shard.shard], "n": [len(labels)], "vectors": [made.vectors.astype(np.float32).tobytes()],
+                                    "output": [made.output.tobytes()]})
+
+    parts = sorted(shards.mapInPandas(train, "shard int, n long, vectors binary, output binary").collect())  # a model a shard
     shared.unpersist()
     total = sum(p["n"] for p in parts)
     if not total:
