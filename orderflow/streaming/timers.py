@@ -9,12 +9,14 @@ records survive a restart in the checkpoint.  The state holds one row a pending
 
 from __future__ import annotations
 
+import datetime as dt
 import itertools
+import math
 import time
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -62,10 +64,14 @@ class HoldUntilDue(StatefulProcessor):
         pass
 
 
+def _due_millis(due_at: str) -> Column:
+    return F.ceil(F.unix_micros(due_at) / 1000)
+
+
 def hold_until_due(retries: DataFrame) -> DataFrame:
     """``retries`` (a stream of ``PENDING`` rows), each once its time has come."""
     prepare_processors(retries.sparkSession, __name__)
-    dealt = retries.select(F.ceil(F.unix_micros("dueAt") / 1000).alias("dueMillis"), F.pmod(F.xxhash64(*KEY), F.lit(SHARDS)).alias("shard"),
+    dealt = retries.select(_due_millis("dueAt").alias("dueMillis"), F.pmod(F.xxhash64(*KEY), F.lit(SHARDS)).alias("shard"),
                            *PENDING.fieldNames())
     return dealt.groupBy("dueMillis", "shard").transformWithState(
         statefulProcessor=HoldUntilDue(), outputStructType=PENDING, outputMode="Append", timeMode="ProcessingTime")
@@ -82,6 +88,7 @@ class TimedOrderJob(J.OrderStreamJob):
     poll: str = "1 second"
 
     RETRY_TICK = 1
+    _TOPIC = T.StructType([T.StructField("rec", PENDING)])
 
     def __post_init__(self):
         super().__post_init__()
@@ -100,13 +107,12 @@ class TimedOrderJob(J.OrderStreamJob):
 
     def retry_topic(self) -> DataFrame:
         """The retry topic as a stream of ``PENDING`` rows."""
-        schema = T.StructType([T.StructField("rec", PENDING)])
         path = self._kind_path("retries")
         if not path_exists(self.spark, path):  # a topic is there before its first record
-            self.spark.createDataFrame([], schema).write.mode("append").parquet(path)
+            self.spark.createDataFrame([], self._TOPIC).write.mode("append").parquet(path)
         # by size: an attempt's tasks leave many small files
         size = (SLOT_MB << 20) * self.spark.sparkContext.defaultParallelism
-        return self.spark.readStream.schema(schema).option("maxBytesPerTrigger", size).parquet(path).select("rec.*")
+        return self.spark.readStream.schema(self._TOPIC).option("maxBytesPerTrigger", size).parquet(path).select("rec.*")
 
     def _beat(self) -> DataFrame:
         """A stream without rows whose source always has new offsets: after a restart Spark runs no batch, and so no timer,
@@ -133,32 +139,42 @@ class TimedOrderJob(J.OrderStreamJob):
         return int(self._flow().agg(F.coalesce(F.sum(F.col("retried") - F.col("taken")), F.lit(0))).first()[0])
 
     def _idle(self, progress) -> bool:
-        """Whether a micro-batch took nothing from the retry topic or the state and left nothing in the state: a record that came
-        twice was routed twice and is taken once, so the flow alone would wait for it."""
-        read = sum(int(s["numInputRows"]) for s in progress["sources"] if s["description"].startswith("FileStreamSource"))
-        taken = self._taken.get(progress["batchId"], 1)
-        return not read and not taken and not any(int(o["numRowsTotal"]) for o in progress["stateOperators"])
-
-    def run(self, source: str, checkpoint: str, max_files: int | None = None, timeout: float = 600) -> int:
-        """Everything available in ``source`` and all its retries, then stop."""
+        """Whether a micro-batch found no new file in the retry topic, took nothing from the state and came after the last due
+        time.  The flow alone doesn't tell: a record that came twice is routed twice and taken once."""
+        topic = next(s for s in progress["sources"] if s["description"].startswith("FileStreamSource"))
+        if topic["startOffset"] != topic["endOffset"] or self._taken.get(progress["batchId"], 1):
+            return False
+        if any(int(o["numRowsTotal"]) for o in progress["stateOperators"]):
+            return False
+        # a session may not count the rows of the state: they are gone when a micro-batch after their time took nothing
+        retries = self.spark.read.schema(self._TOPIC).option("recursiveFileLookup", "true").parquet(self._kind_path("retries"))
+        last_due = retries.agg(F.max(_due_millis("rec.dueAt"))).first()[0]
+        return last_due is None or dt.datetime.fromisoformat(progress["timestamp"]).timestamp() * 1000 > last_due
+
+    def run(self, source: str, checkpoint: str, max_files: int | None = None, timeout: float | None = None) -> int:
+        """Everything available in ``source`` and all its retries, then stop; ``timeout`` as in ``run_retries``."""
         q = J.run_available_now(self._records(source, max_files), lambda df, bid: self.process(df, bid), checkpoint)
         self.run_retries(f"{checkpoint}_retries", timeout)
         return J.last_batch_id(q)
 
-    def run_retries(self, checkpoint: str, timeout: float = 600) -> None:
-        """The retry query until nothing is pending; a record due later than ``timeout`` seconds from now is left for the next run."""
-        if not self.pending():
+    def run_retries(self, checkpoint: str, timeout: float | None = None) -> None:
+        """The retry query until nothing is pending, however long it takes.
+
+        With ``timeout`` it is an error if that takes more seconds; the checkpoint keeps what is pending for the next run."""
+        if not path_exists(self.spark, self._kind_path("retries")):
             return
-        q, until, seen, died = self.start_retries(checkpoint), time.monotonic() + timeout, None, False
+        q, seen, done, died = self.start_retries(checkpoint), None, False, False
+        until = math.inf if timeout is None else time.monotonic() + timeout
         try:
             while time.monotonic() < until:
                 if died := not q.isActive:
                     break
                 last = q.lastProgress
                 if last and last["batchId"] != seen:  # counted once a micro-batch
-                    seen = last["batchId"]
-                    if self._idle(last) or not self.pending():
+                    # the first one after a restart may have been planned before the latest records were there
+                    if done := seen is not None and self._idle(last):
                         break
+                    seen = last["batchId"]
                 time.sleep(0.1)
         finally:
             q.stop()
@@ -166,3 +182,6 @@ class TimedOrderJob(J.OrderStreamJob):
             raise q.exception()
         if died:
             raise RuntimeError("the retry query ended with retries still to come")
+        if not done:
+            raise TimeoutError(f"the retry query was not done after {timeout:g} s, {self.pending()} retries are still to come by the "
+                               "recorded flow; the next run goes on from the checkpoint")
