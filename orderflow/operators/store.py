@@ -5,7 +5,8 @@ append-only Parquet log and the current state is derived from it: the newest
 arrival per ``orderId`` by a limited window (each map task sends one row per
 order, so an order that is redelivered millions of times costs one row per map
 task; columns that nobody asks for are not read), and the first arrival's
-sequence, where it is asked for, by a narrow aggregate.
+sequence, where it is asked for, by a narrow aggregate.  A state that is kept
+for later batches is written whole: one aggregate gives both.
 """
 
 from __future__ import annotations
@@ -51,13 +52,21 @@ def upsert_orders(log: DataFrame, seq_cols: list[str], key: str = "orderId",
     if "firstSeq" in log.columns:
         first = F.coalesce(F.col("firstSeq"), first)
         created = F.coalesce(F.col("createdAt"), created)
+    if keep_state:
+        # a state is written whole: one pass and one shuffle, each map task sends one row an order, its newest version with the first arrival
+        data_cols = [c for c in log.columns if c not in (key, ingested_col, "id", "createdAt", "updatedAt", *STATE_COLS)]
+        newest = F.struct(*[F.col(c) for c in data_cols], F.col(ingested_col).alias("updatedAt"))
+        out = log.groupBy(key).agg(F.max_by(newest, sequence(seq_cols)).alias("_newest"), F.min(first).alias("firstSeq"),
+                                   F.min(created).alias("createdAt")).select(key, "_newest.*", "firstSeq", "createdAt")
+        return out.withColumn("id", document_id(key, F.col("firstSeq"), seq_cols)).select(
+            "id", key, *data_cols, "createdAt", "updatedAt", *STATE_COLS)
     current = newest_orders(log, seq_cols, key, ingested_col)
     # the first arrival: narrow columns only
     began = log.select(F.col(key).alias("_key"), first.alias("_first"), created.alias("_created")).groupBy("_key").agg(
         F.min("_first").alias("firstSeq"), F.min("_created").alias("createdAt"))
     out = current.join(began, current[key].eqNullSafe(began["_key"])).withColumn("id", document_id(key, F.col("firstSeq"), seq_cols))
     data_cols = [c for c in current.columns if c not in (key, "updatedAt")]
-    return out.select("id", key, *data_cols, "createdAt", "updatedAt", *(STATE_COLS if keep_state else []))
+    return out.select("id", key, *data_cols, "createdAt", "updatedAt")
 
 
 def merge_into_store(state: DataFrame, batch: DataFrame, seq_cols: list[str], key: str = "orderId",
